@@ -273,3 +273,188 @@ def build() -> dict[str, str]:
     q["gap_distribution"] = with_(core, """SELECT gap_priority, count(*) AS gap_count
       FROM gaps GROUP BY gap_priority""")
     return q
+
+
+ENC_COLS = ("pat_id, encounter_id, visit_type_c, encounter_type, encounter_dttm, dept_id, "
+            "prov_id, primary_dx_id, primary_dx_code, encounter_status, load_dttm")
+T_0702 = "TIMESTAMP '2001-07-02 00:00:00'"
+T_0201 = "TIMESTAMP '2001-02-01 00:00:00'"
+PAT_ATTRS = ["mrn_token", "first_name", "last_name", "gender", "zip_code", "payer_name"]
+
+
+def _anti_union(target: str, source: str, keys: list[str]) -> str:
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    return (f"SELECT * FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {on})\n"
+            f"UNION ALL SELECT * FROM {source}")
+
+
+def _merge_keep_load(target: str, source: str, keys: list[str]) -> str:
+    """Matched: source values except keys and load_dttm (from target)."""
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    return f"""SELECT s.* REPLACE (t.load_dttm AS load_dttm) FROM {target} t JOIN {source} s ON {on}
+UNION ALL SELECT t.* FROM {target} t WHERE NOT EXISTS (SELECT 1 FROM {source} s WHERE {on})
+UNION ALL SELECT s.* FROM {source} s WHERE NOT EXISTS (SELECT 1 FROM {target} t WHERE {on})"""
+
+
+def _enc_mod(col: str = "encounter_id") -> str:
+    return f"CAST(substr({col}, 2) AS BIGINT) % 3"
+
+
+def build_more() -> dict[str, str]:
+    q = {}
+    core = _core()
+    # --- upserts -----------------------------------------------------------------
+    q["encounter_upsert"] = with_([
+        ENC_TYPES,
+        bronze_encounter("b1", "o_orderkey % 3 != 2"), dim_encounter("s1", "b1", T1),
+        bronze_encounter("b2", "o_orderkey % 3 != 0", "'F'"), dim_encounter("s2", "b2", LOAD),
+    ], _anti_union("s1", "s2", ["encounter_id"]))
+    q["charge_upsert"] = with_([
+        bronze_charge("b1", "l_orderkey % 3 != 2"), fact_charges("s1", "b1", T1),
+        bronze_charge("b2", "l_orderkey % 3 != 0", "'ADJUSTED'"), fact_charges("s2", "b2", LOAD),
+    ], _anti_union("s1", "s2", ["encounter_id", "charge_id"]))
+    changed = " OR ".join([f"v.{a} != s.{a}" for a in PAT_ATTRS]
+                          + ["v.birth_date IS DISTINCT FROM s.birth_date"])
+    cols = "pat_id, mrn_token, first_name, last_name, birth_date, gender, zip_code, payer_name"
+    q["patient_scd2"] = with_([
+        bronze_patient("b1", "c_custkey % 4 != 3"), stg_patient("s1", "b1"),
+        bronze_patient("b2", "TRUE", "CASE WHEN c_custkey % 5 = 0 THEN 'SELF-PAY' ELSE payer_name END"),
+        stg_patient("s2", "b2"),
+        dim_patient("v1", "s1", "DATE '2001-08-01'", T1),
+        f"""chg AS (SELECT v.pat_id FROM v1 v JOIN s2 s ON v.pat_id = s.pat_id WHERE {changed})""",
+    ], f"""SELECT * FROM v1 WHERE pat_id NOT IN (SELECT pat_id FROM chg)
+UNION ALL SELECT * REPLACE (DATE '2001-08-02' AS expiration_date, false AS is_current)
+  FROM v1 WHERE pat_id IN (SELECT pat_id FROM chg)
+UNION ALL SELECT {cols}, DATE '2001-08-02' AS effective_date, NULL::DATE AS expiration_date,
+  true AS is_current, {LOAD} AS load_dttm
+  FROM s2 WHERE pat_id IN (SELECT pat_id FROM chg) OR pat_id NOT IN (SELECT pat_id FROM v1)""")
+    q["eligibility_upsert"] = with_(silver_ctes() + [
+        f"enc1 AS (SELECT * FROM dim_encounter WHERE {_enc_mod()} != 2)",
+        f"enc2 AS (SELECT * FROM dim_encounter WHERE {_enc_mod()} != 0)",
+        eligibility("e1", load=T1, enc="enc1"), eligibility("e2", load=LOAD, enc="enc2"),
+    ], _anti_union("e1", "e2", ["pat_id", "encounter_id", "measure_id"]))
+    billing_both = silver_ctes() + [billing("b_prior", "DATE '2001-07-02'", T_0702), billing()]
+    q["billing_upsert"] = with_(billing_both, _merge_keep_load(
+        "b_prior", "billing", ["encounter_id", "charge_id"]))
+    q["quality_upsert"] = with_(silver_ctes() + [
+        eligibility(), eligibility("e_old", load=T1, compliant=("WELLNESS",)),
+        quality("q99", 1999, T1, "e_old"), quality("q00_old", 2000, T1, "e_old"),
+        "q_prior AS (SELECT * FROM q99 UNION ALL SELECT * FROM q00_old)",
+        quality(),
+    ], _merge_keep_load("q_prior", "quality", ["pat_id", "encounter_id", "measure_id"]))
+    q["gap_upsert"] = with_(silver_ctes() + [
+        eligibility(), quality(), gaps(),
+        quality("q99", 1999, T_0201), gaps("g_prior", "DATE '2001-02-01'", T_0201, "q99"),
+    ], _merge_keep_load("g_prior", "gaps", ["pat_id", "measure_id"]))
+    q["idempotency"] = with_(billing_both + [
+        "merged AS (" + _merge_keep_load("b_prior", "billing", ["encounter_id", "charge_id"]) + ")"
+    ], """SELECT count(*) AS row_count,
+      count(DISTINCT (encounter_id, charge_id)) AS distinct_keys,
+      CASE WHEN count(*) > 0 AND count(*) != count(DISTINCT (encounter_id, charge_id))
+           THEN 'FAIL' ELSE 'PASS' END AS status FROM merged""")
+    q["dup_keys"] = with_([bronze_charge()], """SELECT encounter_id, charge_id, count(*) AS dup_count
+      FROM bronze_charge_raw GROUP BY encounter_id, charge_id HAVING count(*) > 1""")
+    q["false_positives"] = with_(core, """SELECT count(*) AS fp_count FROM eligibility e
+      JOIN fact_charges ch ON e.encounter_id = ch.encounter_id
+      WHERE ch.cpt_code = '9921' AND e.measure_id IN (
+        SELECT measure_id FROM codes WHERE code_type = 'CPT' AND code_value = '99213')""")
+    # --- checks ------------------------------------------------------------------------
+    ncols = ["pat_id", "mrn", "first_name", "birth_date", "gender", "payer_name"]
+    parts = [f"""SELECT 'bronze.dim_patient' AS table_name, '{c}' AS column_name,
+        count(*) AS row_count, count(*) FILTER (WHERE {c} IS NULL) AS null_count,
+        CASE WHEN count(*) > 0 THEN round(count(*) FILTER (WHERE {c} IS NULL) / count(*), 6)
+             ELSE 0.0 END AS null_rate FROM bronze_patient""" for c in ncols]
+    q["null_rate"] = with_([bronze_patient(), "r AS (" + " UNION ALL ".join(parts) + ")"],
+                           """SELECT *, CASE WHEN row_count > 0 AND null_rate > 0.0 THEN 'FAIL'
+                              ELSE 'PASS' END AS column_status FROM r""")
+    q["row_count_threshold"] = with_([
+        """snaps AS (SELECT CAST(ts AS DATE) AS day, count(*) AS row_count, max(ts) AS assertion_dttm
+           FROM events WHERE ts < TIMESTAMP '2024-01-30 00:00:00' GROUP BY 1)""",
+        """hist AS (SELECT row_count FROM snaps WHERE assertion_dttm >= TIMESTAMP '2024-01-23 00:00:00')""",
+        """cur AS (SELECT count(*) AS c FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30')""",
+        """agg AS (SELECT (SELECT c FROM cur) AS current_count, count(row_count) AS history_samples,
+           avg(row_count) AS a FROM hist)""",
+    ], """SELECT 'events' AS table_name, current_count, history_samples,
+      round(a, 2) AS trailing_avg, CAST(floor(a * 0.8) AS BIGINT) AS minimum_required,
+      CASE WHEN history_samples = 0 THEN 'PASS'
+           WHEN current_count >= CAST(floor(a * 0.8) AS BIGINT) THEN 'PASS' ELSE 'FAIL' END AS status
+      FROM agg""")
+    orph = """orph AS (SELECT DISTINCT pat_id FROM quality q
+      WHERE NOT EXISTS (SELECT 1 FROM billing b WHERE b.pat_id = q.pat_id))"""
+    q["referential_integrity"] = with_(core + [orph], """SELECT 'gold_quality.measures' AS child_table,
+      'gold_billing.claims_processed' AS parent_table, 'pat_id' AS key_column,
+      count(*) AS orphan_count, CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS status
+      FROM orph""")
+    q["orphan_sample"] = with_(core + [orph],
+                               "SELECT pat_id FROM orph ORDER BY pat_id NULLS FIRST LIMIT 10")
+    nk = []
+    for tname, cte, cols_ in [("silver.dim_patient", "dim_patient", ["pat_id"]),
+                              ("silver.dim_encounter", "dim_encounter", ["pat_id", "encounter_id"]),
+                              ("silver.fact_charges", "fact_charges", ["encounter_id"])]:
+        for c in cols_:
+            nk.append(f"""SELECT '{tname}' AS table_name, '{c}' AS column_name, count(*) AS row_count,
+              count(*) FILTER (WHERE {c} IS NULL) AS null_count,
+              CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 'FAIL' ELSE 'PASS' END AS status
+              FROM {cte}""")
+    q["silver_null_keys"] = with_(silver_ctes(), " UNION ALL ".join(nk))
+    q["mapping_drift"] = with_(silver_ctes(), """SELECT count(*) AS unmapped_count,
+      CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'PASS' END AS status
+      FROM dim_encounter e LEFT JOIN enc_types r ON e.visit_type_c = r.visit_type_c
+      WHERE e.visit_type_c IS NOT NULL AND r.encounter_type IS NULL AND e.encounter_type != 'OTHER'""")
+    q["validate_codes"] = with_(silver_ctes() + ["""observed AS (
+      SELECT DISTINCT 'OBSERVED' AS measure_id, code_type, code_value FROM (
+        SELECT 'CPT' AS code_type, cpt_code AS code_value FROM fact_charges WHERE cpt_code IS NOT NULL
+        UNION ALL SELECT 'ICD10', primary_dx_code FROM dim_encounter WHERE primary_dx_code IS NOT NULL))"""],
+        """SELECT code_type, count(*) AS row_count,
+          count(DISTINCT (measure_id, code_type, code_value)) AS distinct_keys,
+          count(*) FILTER (WHERE (code_type = 'CPT' AND length(code_value) < 4)
+                              OR (code_type = 'ICD10' AND length(code_value) < 3)) AS short_codes,
+          count(*) FILTER (WHERE contains(code_value, ',') OR contains(code_value, ' ')) AS delimited_codes,
+          count(*) FILTER (WHERE code_type NOT IN ('CPT', 'ICD10')) AS invalid_types,
+          CASE WHEN count(*) != count(DISTINCT (measure_id, code_type, code_value))
+                 OR count(*) FILTER (WHERE (code_type = 'CPT' AND length(code_value) < 4)
+                              OR (code_type = 'ICD10' AND length(code_value) < 3)) > 0
+                 OR count(*) FILTER (WHERE contains(code_value, ',') OR contains(code_value, ' ')) > 0
+                 OR count(*) FILTER (WHERE code_type NOT IN ('CPT', 'ICD10')) > 0
+               THEN 'FAIL' ELSE 'PASS' END AS status
+        FROM observed GROUP BY code_type""")
+    # --- stage log / SLA / reports ---------------------------------------------------------
+    stage_log = f"""stage_log AS (SELECT 'run-' || user_id AS run_id, event_type AS stage_name,
+      min(ts) AS start_time, max(ts) AS end_time,
+      CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+      count(*) AS row_count, '{{"source":"events"}}' AS details, {LOAD} AS logged_at
+      FROM events GROUP BY user_id, event_type)"""
+    q["stage_log"] = with_([stage_log], "SELECT * FROM stage_log")
+    q["sla_report"] = with_([stage_log, """runs AS (SELECT run_id, max(end_time) AS run_end_time,
+        count(*) AS stage_count, count(*) FILTER (WHERE status = 'FAILED') AS failed_stages
+        FROM stage_log GROUP BY run_id)"""],
+        """SELECT *, run_completed_local <= CAST(CAST(run_completed_local AS DATE) AS TIMESTAMP)
+                     + INTERVAL 6 HOUR AS sla_met
+           FROM (SELECT *, timezone('America/New_York', timezone('UTC', run_end_time))
+                 AS run_completed_local FROM runs)""")
+    q["inventory_census"] = """SELECT count(*) AS total_schemas,
+      count(DISTINCT catalog_name) AS total_catalogs,
+      CASE WHEN count(*) = 15 AND count(DISTINCT catalog_name) = 3 THEN 'PASS' ELSE 'FAIL' END
+        AS census_result
+      FROM (SELECT DISTINCT n_name AS catalog_name, c_mktsegment AS schema_name
+            FROM customer JOIN nation ON c_nationkey = n_nationkey)
+      WHERE catalog_name IN ('NATION_1', 'NATION_2', 'NATION_3')
+        AND schema_name IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')"""
+    q["pattern_report"] = """SELECT page_id, url,
+      CASE WHEN url LIKE 'https://%.example.%/%' THEN 'PASS' ELSE 'FAIL' END AS url_format_check
+      FROM pages"""
+    q["recent_activity"] = """SELECT event_id, ts, user_id, event_type, value,
+      CAST(json_extract(props, '$.k') AS INTEGER) AS prop_k
+      FROM events WHERE event_type = 'error'
+        AND ts > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 1 DAY
+      ORDER BY ts DESC, event_id DESC LIMIT 20"""
+    return q
+
+
+_build_core = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    q = _build_core()
+    q.update(build_more())
+    return q

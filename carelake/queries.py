@@ -107,3 +107,249 @@ REGISTRY = {
     "gap_summary": q_gap_summary,
     "gap_distribution": q_gap_distribution,
 }
+
+
+# ---- upserts and SCD2 (two deliveries over the whole tables) ----------------------
+def _src_mod(c: str, m: int):
+    return F.col(c) % F.lit(m)
+
+
+def _enc_mod(m: int):
+    """``o_orderkey % m`` recovered from a silver ``encounter_id`` ('E<key>')."""
+    return F.substring("encounter_id", 2, 64).cast("long") % F.lit(m)
+
+
+def q_encounter_upsert(spark, sf_dir):
+    """Delivery 1: keys % 3 in (0, 1); delivery 2: keys % 3 in (1, 2), re-sent
+    with status 'F'. Keys % 3 = 1 are updated, 2 inserted, 0 kept."""
+    types = seeds.encounter_types(spark)
+    raw = adapter.encounter(spark, sf_dir)
+    d1 = stage_encounters(raw.filter(_src_mod("_src_key", 3) != 2), types, T1)
+    d2 = stage_encounters(raw.filter(_src_mod("_src_key", 3) != 0)
+                          .withColumn("encounter_status", F.lit("F")), types, P.load_ts)
+    t = upsert_all(schemas.empty(spark, schemas.DIM_ENCOUNTER), d1, ["encounter_id"])
+    return upsert_all(t, d2, ["encounter_id"])
+
+
+def q_charge_upsert(spark, sf_dir):
+    raw = adapter.charge_detail(spark, sf_dir)
+    d1 = stage_charges(raw.filter(_src_mod("_src_key", 3) != 2), T1)
+    d2 = stage_charges(raw.filter(_src_mod("_src_key", 3) != 0)
+                       .withColumn("claim_status", F.lit("ADJUSTED")), P.load_ts)
+    keys = ["encounter_id", "charge_id"]
+    t = upsert_all(schemas.empty(spark, schemas.FACT_CHARGES), d1, keys)
+    return upsert_all(t, d2, keys)
+
+
+def q_patient_scd2(spark, sf_dir):
+    """Day 1 loads patients with key % 4 != 3; day 2 re-delivers everyone
+    with the payer changed to SELF-PAY for key % 5 = 0."""
+    raw = adapter.dim_patient(spark, sf_dir)
+    d1 = stage_patients(raw.filter(_src_mod("_src_key", 4) != 3)).drop("attr_hash")
+    d2 = stage_patients(raw.withColumn("payer_name", F.when(
+        _src_mod("_src_key", 5) == 0, F.lit("SELF-PAY")).otherwise(F.col("payer_name")))
+    ).drop("attr_hash")
+    t1 = scd2_apply(schemas.empty(spark, schemas.DIM_PATIENT), d1, "pat_id", PATIENT_ATTRS,
+                    dt.date(2001, 8, 1), T1)
+    return scd2_apply(t1, d2, "pat_id", PATIENT_ATTRS, P.as_of_date, P.load_ts)
+
+
+def _eligibility_for(spark, sf_dir, s: Silver, enc_filter, params: Params) -> DataFrame:
+    return elig.eligibility_batch(s.dim_patient, s.dim_encounter.filter(enc_filter),
+                                  s.fact_charges, seeds.eligibility_codes(spark),
+                                  adapter.measure_definitions(spark), params)
+
+
+def q_eligibility_upsert(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    target = _eligibility_for(spark, sf_dir, s, _enc_mod(3) != 2, P.with_(as_of_ts=T1))
+    batch = _eligibility_for(spark, sf_dir, s, _enc_mod(3) != 0, P)
+    return upsert_all(target, batch, ["pat_id", "encounter_id", "measure_id"])
+
+
+BILLING_PRIOR = P.with_(as_of_date=dt.date(2001, 7, 2), as_of_ts=dt.datetime(2001, 7, 2))
+
+
+def _billing_upserted(spark, sf_dir):
+    return marts.billing_upsert(_billing(spark, sf_dir, BILLING_PRIOR), _billing(spark, sf_dir))
+
+
+def q_billing_upsert(spark, sf_dir):
+    """Yesterday's-window mart (as of 2001-07-02) upserted with today's batch."""
+    return _billing_upserted(spark, sf_dir)
+
+
+QUALITY_PRIOR = P.with_(as_of_ts=T1, compliant_types=("WELLNESS",))
+
+
+def q_quality_upsert(spark, sf_dir):
+    """Target: year 1999 rows plus year 2000 rows scored with an older
+    compliance list; the batch re-scores year 2000."""
+    target = _quality(spark, sf_dir, QUALITY_PRIOR.with_(measurement_year=1999)).unionByName(
+        _quality(spark, sf_dir, QUALITY_PRIOR))
+    return marts.quality_upsert(target, _quality(spark, sf_dir))
+
+
+GAP_PRIOR = P.with_(as_of_date=dt.date(2001, 2, 1), as_of_ts=dt.datetime(2001, 2, 1),
+                    measurement_year=1999)
+
+
+def q_gap_upsert(spark, sf_dir):
+    """Queue built on 2001-02-01 from year-1999 measures, upserted with the
+    2001-08-02 batch from year-2000 measures."""
+    return marts.gap_upsert(_gaps(spark, sf_dir, GAP_PRIOR), _gaps(spark, sf_dir))
+
+
+def q_idempotency(spark, sf_dir):
+    """Post-upsert key check on the billing mart (rows vs distinct keys)."""
+    return marts.billing_summary(_billing_upserted(spark, sf_dir))
+
+
+def q_dup_keys(spark, sf_dir):
+    """Duplicate (encounter_id, charge_id) keys among raw charge deliveries."""
+    return duplicate_keys(adapter.charge_detail_raw(spark, sf_dir), ["encounter_id", "charge_id"])
+
+
+def q_false_positives(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    fp = elig.substring_false_positives(_eligibility(spark, sf_dir, silver=s), s.fact_charges,
+                                        seeds.eligibility_codes(spark))
+    return fp.agg(F.count(F.lit(1)).alias("fp_count"))
+
+
+# ---- data-quality checks ------------------------------------------------------------
+def q_null_rate(spark, sf_dir):
+    return checks.null_rate(adapter.dim_patient(spark, sf_dir), "bronze.dim_patient",
+                            ["pat_id", "mrn", "first_name", "birth_date", "gender",
+                             "payer_name"])
+
+
+EVENTS_AS_OF = dt.datetime(2024, 1, 30, 23, 59, 59)
+
+
+def _event_snapshots(spark, sf_dir) -> DataFrame:
+    """Daily row-count snapshots of the events table before the as-of day,
+    as ``audit.dq_results`` records (details JSON built with to_json)."""
+    ev = adapter.table(spark, sf_dir, "events")
+    daily = (ev.filter(F.col("ts") < F.lit(dt.datetime.combine(EVENTS_AS_OF.date(), dt.time()))
+                       .cast("timestamp_ntz"))
+             .groupBy(F.to_date("ts").alias("day"))
+             .agg(F.count(F.lit(1)).alias("row_count"), F.max("ts").alias("assertion_dttm")))
+    return daily.select(
+        F.concat(F.lit("snap-"), F.col("day").cast("string")).alias("assertion_run_id"),
+        "assertion_dttm", F.lit("events").alias("mart_name"),
+        F.lit("row_count_snapshot").alias("assertion_name"), F.lit("PASS").alias("status"),
+        F.to_json(F.struct(F.lit("events").alias("table"), "row_count")).alias("details"))
+
+
+def q_row_count_threshold(spark, sf_dir):
+    """Today's events vs 80% of the trailing 7-day average of snapshots."""
+    ev = adapter.table(spark, sf_dir, "events")
+    today = ev.filter(F.to_date("ts") == F.lit(EVENTS_AS_OF.date()))
+    hist = checks.snapshot_history(_event_snapshots(spark, sf_dir), "events", EVENTS_AS_OF,
+                                   P.dq_trailing_days)
+    return checks.row_count_threshold(today, hist, "events", P.dq_row_count_ratio)
+
+
+def q_referential_integrity(spark, sf_dir):
+    """Cross-mart check quality -> billing on pat_id."""
+    return checks.referential_integrity(_quality(spark, sf_dir), _billing(spark, sf_dir),
+                                        "pat_id", "gold_quality.measures",
+                                        "gold_billing.claims_processed")
+
+
+def q_orphan_sample(spark, sf_dir):
+    return checks.orphan_sample(_quality(spark, sf_dir), _billing(spark, sf_dir), "pat_id", 10)
+
+
+def q_silver_null_keys(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return checks.null_key_counts({
+        "silver.dim_patient": (s.dim_patient, ["pat_id"]),
+        "silver.dim_encounter": (s.dim_encounter, ["pat_id", "encounter_id"]),
+        "silver.fact_charges": (s.fact_charges, ["encounter_id"]),
+    })
+
+
+def q_mapping_drift(spark, sf_dir):
+    return checks.mapping_drift(_silver(spark, sf_dir).dim_encounter, seeds.encounter_types(spark))
+
+
+def q_validate_codes(spark, sf_dir):
+    """Code-set rules applied to the codes observed on charges (CPT) and
+    encounter diagnoses (ICD-10)."""
+    s = _silver(spark, sf_dir)
+    cpt = s.fact_charges.filter(F.col("cpt_code").isNotNull()).select(
+        F.lit("CPT").alias("code_type"), F.col("cpt_code").alias("code_value"))
+    icd = s.dim_encounter.filter(F.col("primary_dx_code").isNotNull()).select(
+        F.lit("ICD10").alias("code_type"), F.col("primary_dx_code").alias("code_value"))
+    observed = cpt.unionByName(icd).distinct().withColumn("measure_id", F.lit("OBSERVED"))
+    return checks.validate_codes(observed)
+
+
+# ---- stage log, SLA, reports -----------------------------------------------------------
+def q_stage_log(spark, sf_dir):
+    from carelake.plans import runlog
+    return runlog.stage_log_from_events(adapter.table(spark, sf_dir, "events"), P.load_ts)
+
+
+def q_sla_report(spark, sf_dir):
+    from carelake.plans import runlog
+    log = runlog.stage_log_from_events(adapter.table(spark, sf_dir, "events"), P.load_ts)
+    return runlog.sla_report(log, P.sla_deadline, P.sla_timezone)
+
+
+CENSUS_CATALOGS = ["NATION_1", "NATION_2", "NATION_3"]
+CENSUS_SCHEMAS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def q_inventory_census(spark, sf_dir):
+    """Which (nation, market segment) pairs hold customers, vs the expected grid."""
+    listing = (adapter.table(spark, sf_dir, "customer")
+               .join(adapter.table(spark, sf_dir, "nation"),
+                     F.col("c_nationkey") == F.col("n_nationkey"))
+               .select(F.col("n_name").alias("catalog_name"),
+                       F.col("c_mktsegment").alias("schema_name")).distinct())
+    return checks.inventory_census(listing, CENSUS_CATALOGS, CENSUS_SCHEMAS)
+
+
+def q_pattern_report(spark, sf_dir):
+    pages = adapter.table(spark, sf_dir, "pages").select("page_id", "url")
+    return checks.pattern_report(pages, "url", "https://%.example.%/%", "url_format_check")
+
+
+def q_recent_activity(spark, sf_dir):
+    ev = adapter.table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value",
+        F.from_json("props", "k INT").alias("props"))
+    out = checks.recent_activity(ev, "ts", dt.datetime(2024, 1, 31), "1 DAY", 20,
+                                 where=F.col("event_type") == "error",
+                                 tiebreak=[F.col("event_id").desc()])
+    return out.select("event_id", "ts", "user_id", "event_type", "value",
+                      F.col("props.k").alias("prop_k"))
+
+
+REGISTRY.update({
+    "encounter_upsert": q_encounter_upsert,
+    "charge_upsert": q_charge_upsert,
+    "patient_scd2": q_patient_scd2,
+    "eligibility_upsert": q_eligibility_upsert,
+    "billing_upsert": q_billing_upsert,
+    "quality_upsert": q_quality_upsert,
+    "gap_upsert": q_gap_upsert,
+    "idempotency": q_idempotency,
+    "dup_keys": q_dup_keys,
+    "false_positives": q_false_positives,
+    "null_rate": q_null_rate,
+    "row_count_threshold": q_row_count_threshold,
+    "referential_integrity": q_referential_integrity,
+    "orphan_sample": q_orphan_sample,
+    "silver_null_keys": q_silver_null_keys,
+    "mapping_drift": q_mapping_drift,
+    "validate_codes": q_validate_codes,
+    "stage_log": q_stage_log,
+    "sla_report": q_sla_report,
+    "inventory_census": q_inventory_census,
+    "pattern_report": q_pattern_report,
+    "recent_activity": q_recent_activity,
+})
