@@ -458,3 +458,19 @@ def build() -> dict[str, str]:  # noqa: F811
     q = _build_core()
     q.update(build_more())
     return q
+
+
+def build_runtime() -> dict[str, str]:
+    return {"ingest_profile": """SELECT 'bronze.encounter' AS table_name, count(*) AS total_rows,
+        CAST(1 AS BIGINT) AS distinct_batches FROM orders
+      UNION ALL SELECT 'bronze.charge_detail', count(*), 1 FROM lineitem
+      UNION ALL SELECT 'bronze.dim_patient', count(*), 1 FROM customer"""}
+
+
+_build_all = build
+
+
+def build() -> dict[str, str]:  # noqa: F811
+    q = _build_all()
+    q.update(build_runtime())
+    return q

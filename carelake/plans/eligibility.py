@@ -89,3 +89,28 @@ def substring_false_positives(eligibility: DataFrame, fact_charges: DataFrame,
     probe = fact_charges.filter(F.col("cpt_code") == probe_code).select("encounter_id")
     return (eligibility.join(probe, "encounter_id")
             .join(bounded_broadcast(measures), "measure_id", "left_semi"))
+
+
+def supported_pairs(dim_encounter: DataFrame, fact_charges: DataFrame, codes: DataFrame,
+                    params: Params) -> DataFrame:
+    """(encounter_id, measure_id) pairs backed by an exact code match."""
+    cpt = bounded_broadcast(valid_codes(codes, "CPT", params))
+    icd = bounded_broadcast(valid_codes(codes, "ICD10", params))
+    by_cpt = (fact_charges.join(cpt, F.col("cpt_code") == F.col("code_value"))
+              .select("encounter_id", "measure_id"))
+    by_icd = (dim_encounter.join(icd, F.col("primary_dx_code") == F.col("code_value"))
+              .select("encounter_id", "measure_id"))
+    return by_cpt.unionByName(by_icd).distinct()
+
+
+def unsupported_eligibility(eligibility: DataFrame, dim_encounter: DataFrame,
+                            fact_charges: DataFrame, codes: DataFrame, params: Params
+                            ) -> DataFrame:
+    """Eligibility rows without any exact code match (must be empty).
+
+    The probe-code form (``substring_false_positives``) also flags encounters
+    that carry a truncated code *and* a genuine one, so it fails on valid
+    data; this form checks the exact-match invariant itself.
+    """
+    return eligibility.join(supported_pairs(dim_encounter, fact_charges, codes, params),
+                            ["encounter_id", "measure_id"], "left_anti")

@@ -353,3 +353,50 @@ REGISTRY.update({
     "pattern_report": q_pattern_report,
     "recent_activity": q_recent_activity,
 })
+
+
+# ---- streaming ingest, gated run, audit trail --------------------------------------------
+def _fresh_store(spark, kind: str):
+    import uuid
+    from carelake.sources.store import Store
+    return Store.shared(spark, "carelake-runs", f"{kind}-{uuid.uuid4().hex[:12]}")
+
+
+def q_ingest_profile(spark, sf_dir):
+    """Stream the landing files (driver tables) into bronze, available-now,
+    then profile the bronze tables (rows and batches per table)."""
+    from carelake.streaming.ingest import ingest_all, ingest_profile
+    store = _fresh_store(spark, "ingest")
+    specs = adapter.landing_specs(sf_dir)
+    ingest_all(spark, specs, lambda e: store.log_path(f"bronze.{e}"),
+               lambda e: f"{store.root}/_checkpoints/bronze/{e}")
+    prof = ingest_profile({f"bronze.{s.entity}": store.read_log(f"bronze.{s.entity}")
+                           for s in specs})
+    return prof.select("table_name", "total_rows", "distinct_batches")
+
+
+def _gated(spark, sf_dir):
+    from carelake.plans.pipeline import Run, run_pipeline
+    store = _fresh_store(spark, "pipeline")
+    run = Run(spark, store, P, adapter.landing_specs(sf_dir))
+    return store, run_pipeline(run, raise_on_failure=False)
+
+
+def q_gated_run(spark, sf_dir):
+    """The whole nightly run; the stage log of the run (halts at a failed gate)."""
+    _, log = _gated(spark, sf_dir)
+    return log.select("stage_name", "status", "row_count")
+
+
+def q_dq_history(spark, sf_dir):
+    """Audit trail written by the gated run's DQ gates."""
+    store, _ = _gated(spark, sf_dir)
+    return store.read_log("audit.dq_results").select(
+        "mart_name", "assertion_name", "status", "details")
+
+
+REGISTRY.update({
+    "ingest_profile": q_ingest_profile,
+    "gated_run": q_gated_run,
+    "dq_history": q_dq_history,
+})

@@ -44,10 +44,14 @@ def _pick(key: F.Column, values: list[str]) -> F.Column:
 
 
 def dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
+    return patient_from_customer(table(spark, sf_dir, "customer"))
+
+
+def patient_from_customer(c: DataFrame, extra: list | None = None) -> DataFrame:
+    """Row-wise mapping (usable on a stream)."""
     k = F.col("c_custkey")
     seg = F.col("c_mktsegment")
-    df = c.select(
+    return c.select(
         F.concat(F.lit("P"), k.cast("string")).alias("pat_id"),
         F.when(k % 11 == 0, None).otherwise(F.concat(F.lit("M"), k.cast("string"))).alias("mrn"),
         F.when(k % 13 == 0, None).otherwise(F.concat(F.lit("  "), seg, F.lit(" "))).alias("first_name"),
@@ -60,12 +64,16 @@ def dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lpad(F.col("c_nationkey").cast("string"), 5, "0").alias("zip_code"),
         F.when(k % 19 == 0, None).otherwise(seg).alias("payer_name"),
         k.alias("_src_key"),
+        *(extra or []),
     )
-    return df
 
 
 def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return encounter_from_orders(table(spark, sf_dir, "orders"))
+
+
+def encounter_from_orders(o: DataFrame, extra: list | None = None) -> DataFrame:
+    """Row-wise mapping (usable on a stream)."""
     k = F.col("o_orderkey")
     visit = None
     for prio, code in PRIORITY_TO_VISIT_TYPE:
@@ -82,12 +90,17 @@ def encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(k % 5, DX_BY_ORDERKEY_MOD5).alias("primary_dx_id"),
         F.col("o_orderstatus").alias("encounter_status"),
         k.alias("_src_key"),
+        *(extra or []),
     )
 
 
 def charge_detail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem rows as charges; (encounter_id, charge_id) is NOT unique."""
-    li = table(spark, sf_dir, "lineitem")
+    return charges_from_lineitem(table(spark, sf_dir, "lineitem"))
+
+
+def charges_from_lineitem(li: DataFrame, extra: list | None = None) -> DataFrame:
+    """Row-wise mapping (usable on a stream)."""
     billed = F.col("l_extendedprice").cast("decimal(12,2)")
     allowed = (billed - F.col("l_quantity").cast("decimal(12,2)")).cast("decimal(12,2)")
     paid = F.when(F.col("l_partkey") % 10 == 0, None).otherwise(
@@ -106,6 +119,7 @@ def charge_detail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp_ntz").alias("charge_dttm"),
         F.col("l_orderkey").alias("_src_key"),
         F.col("l_partkey").alias("_tiebreak"),
+        *(extra or []),
     )
 
 
@@ -130,3 +144,46 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "charge_detail": charge_detail(spark, sf_dir).drop("_src_key", "_tiebreak"),
         "hedis_measure_definition": measure_definitions(spark),
     }
+
+
+# Explicit landing schemas of the driver tables (inference off).
+CUSTOMER_SCHEMA = schemas._struct(
+    ("c_custkey", schemas.L), ("c_name", schemas.S), ("c_nationkey", schemas.I),
+    ("c_acctbal", schemas.T.DoubleType()), ("c_mktsegment", schemas.S))
+ORDERS_SCHEMA = schemas._struct(
+    ("o_orderkey", schemas.L), ("o_custkey", schemas.L), ("o_orderstatus", schemas.S),
+    ("o_totalprice", schemas.T.DoubleType()), ("o_orderdate", schemas.TS),
+    ("o_orderpriority", schemas.S))
+LINEITEM_SCHEMA = schemas._struct(
+    ("l_orderkey", schemas.L), ("l_partkey", schemas.L), ("l_suppkey", schemas.L),
+    ("l_linenumber", schemas.I), ("l_quantity", schemas.T.DoubleType()),
+    ("l_extendedprice", schemas.T.DoubleType()), ("l_discount", schemas.T.DoubleType()),
+    ("l_tax", schemas.T.DoubleType()), ("l_returnflag", schemas.S), ("l_linestatus", schemas.S),
+    ("l_shipdate", schemas.TS))
+
+_META = ["_ingestion_timestamp", "_source_file", "_batch_id", "_ingestion_date"]
+
+
+def _carry_meta(df: DataFrame, fn, drop: list[str]) -> DataFrame:
+    """Apply a row-wise mapping while keeping the ingest metadata columns:
+    the metadata rides along in one struct column and is unpacked after."""
+    packed = df.withColumn("_meta", F.struct(*[F.col(c) for c in _META]))
+    out = fn(packed, extra=[F.col("_meta")])
+    return out.drop(*drop).select("*", *[F.col(f"_meta.{c}").alias(c) for c in _META]).drop("_meta")
+
+
+def landing_specs(sf_dir: str) -> list:
+    """Streaming ingest specs that land the driver tables as bronze entities
+    (row-wise mappings only, so they run on the stream)."""
+    from carelake.streaming.ingest import IngestSpec
+    return [
+        IngestSpec("encounter", ORDERS_SCHEMA, sf_dir,
+                   lambda df: _carry_meta(df, encounter_from_orders, ["_src_key"]),
+                   "orders.parquet"),
+        IngestSpec("charge_detail", LINEITEM_SCHEMA, sf_dir,
+                   lambda df: _carry_meta(df, charges_from_lineitem, ["_src_key", "_tiebreak"]),
+                   "lineitem.parquet"),
+        IngestSpec("dim_patient", CUSTOMER_SCHEMA, sf_dir,
+                   lambda df: _carry_meta(df, patient_from_customer, ["_src_key"]),
+                   "customer.parquet"),
+    ]
