@@ -17,5 +17,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     lookup table itself). Larger inputs are returned unhinted so the planner
     keeps a shuffle join (AQE may still broadcast from runtime statistics).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    fits = _CHECKED.get(key)
+    if fits is None:
+        fits = df.limit(max_rows + 1).count() <= max_rows
+        _CHECKED[key] = fits
+    return F.broadcast(df) if fits else df
+
+
+# Verdicts per (application, plan): the same lookup plan is checked once.
+_CHECKED: dict = {}

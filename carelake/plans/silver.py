@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,11 +12,25 @@ from carelake.params import Params
 from carelake.plans.staging import PATIENT_ATTRS, stage_charges, stage_encounters, stage_patients
 
 
-@dataclass
 class Silver:
-    dim_patient: DataFrame
-    dim_encounter: DataFrame
-    fact_charges: DataFrame
+    """Silver frames derived from bronze; each plan is built on first use."""
+
+    def __init__(self, spark: SparkSession, bronze: dict, encounter_types: DataFrame,
+                 params: Params):
+        self.spark, self.bronze, self.types, self.params = spark, bronze, encounter_types, params
+
+    @cached_property
+    def dim_patient(self) -> DataFrame:
+        return initial_dim_patient(self.spark, stage_patients(self.bronze["dim_patient"]()),
+                                   self.params)
+
+    @cached_property
+    def dim_encounter(self) -> DataFrame:
+        return stage_encounters(self.bronze["encounter"](), self.types, self.params.load_ts)
+
+    @cached_property
+    def fact_charges(self) -> DataFrame:
+        return stage_charges(self.bronze["charge_detail"](), self.params.load_ts)
 
 
 def initial_dim_patient(spark: SparkSession, staged: DataFrame, params: Params) -> DataFrame:
@@ -25,11 +39,7 @@ def initial_dim_patient(spark: SparkSession, staged: DataFrame, params: Params)
                       "pat_id", PATIENT_ATTRS, params.as_of_date, params.load_ts)
 
 
-def build_silver(spark: SparkSession, bronze: dict[str, DataFrame], encounter_types: DataFrame,
+def build_silver(spark: SparkSession, bronze: dict, encounter_types: DataFrame,
                  params: Params) -> Silver:
-    staged = stage_patients(bronze["dim_patient"])
-    return Silver(
-        dim_patient=initial_dim_patient(spark, staged, params),
-        dim_encounter=stage_encounters(bronze["encounter"], encounter_types, params.load_ts),
-        fact_charges=stage_charges(bronze["charge_detail"], params.load_ts),
-    )
+    """``bronze`` maps entity -> zero-argument DataFrame factory."""
+    return Silver(spark, bronze, encounter_types, params)

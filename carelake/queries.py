@@ -23,33 +23,54 @@ P = TESTDATA_PARAMS
 T1 = dt.datetime(2001, 8, 1)  # first delivery's load time in the two-delivery queries
 
 
+# Plan objects (not data) are memoized per session, input and parameters:
+# building a plan costs thousands of py4j calls, running it re-reads the data.
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, params: Params, build):
+    key = (kind, spark.sparkContext.applicationId, sf_dir, params)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def _silver(spark: SparkSession, sf_dir: str, params: Params = P) -> Silver:
-    return build_silver(spark, adapter.bronze(spark, sf_dir), seeds.encounter_types(spark), params)
+    return _memo("silver", spark, sf_dir, params, lambda: build_silver(
+        spark, adapter.bronze(spark, sf_dir), seeds.encounter_types(spark), params))
 
 
 def _eligibility(spark, sf_dir, params: Params = P, silver: Silver | None = None) -> DataFrame:
-    s = silver or _silver(spark, sf_dir, params)
-    return elig.eligibility_batch(s.dim_patient, s.dim_encounter, s.fact_charges,
-                                  seeds.eligibility_codes(spark),
-                                  adapter.measure_definitions(spark), params)
+    def build():
+        s = silver or _silver(spark, sf_dir, params)
+        return elig.eligibility_batch(s.dim_patient, s.dim_encounter, s.fact_charges,
+                                      seeds.eligibility_codes(spark),
+                                      adapter.measure_definitions(spark), params)
+    return _memo("eligibility", spark, sf_dir, params, build)
 
 
 def _quality(spark, sf_dir, params: Params = P) -> DataFrame:
-    s = _silver(spark, sf_dir, params)
-    return marts.quality_batch(_eligibility(spark, sf_dir, params, s), s.dim_encounter,
-                               s.dim_patient, params)
+    def build():
+        s = _silver(spark, sf_dir, params)
+        return marts.quality_batch(_eligibility(spark, sf_dir, params), s.dim_encounter,
+                                   s.dim_patient, params)
+    return _memo("quality", spark, sf_dir, params, build)
 
 
 def _billing(spark, sf_dir, params: Params = P) -> DataFrame:
-    s = _silver(spark, sf_dir, params)
-    return marts.billing_batch(s.dim_encounter, s.fact_charges, seeds.encounter_types(spark),
-                               params)
+    def build():
+        s = _silver(spark, sf_dir, params)
+        return marts.billing_batch(s.dim_encounter, s.fact_charges,
+                                   seeds.encounter_types(spark), params)
+    return _memo("billing", spark, sf_dir, params, build)
 
 
 def _gaps(spark, sf_dir, params: Params = P) -> DataFrame:
-    s = _silver(spark, sf_dir, params)
-    return marts.gap_batch(_quality(spark, sf_dir, params), s.dim_encounter, s.dim_patient,
-                           seeds.encounter_types(spark), params)
+    def build():
+        s = _silver(spark, sf_dir, params)
+        return marts.gap_batch(_quality(spark, sf_dir, params), s.dim_encounter, s.dim_patient,
+                               seeds.encounter_types(spark), params)
+    return _memo("gaps", spark, sf_dir, params, build)
 
 
 # ---- staging -----------------------------------------------------------------

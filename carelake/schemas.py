@@ -6,6 +6,8 @@ zone, and keeping them naive avoids session-zone shifts between engines.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,5 +176,39 @@ def conform(df: DataFrame, schema: T.StructType, table: str = "table",
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """An empty table with the contract (create-if-missing)."""
-    return spark.createDataFrame([], schema)
+    """An empty table with the contract (create-if-missing). Built JVM-side
+    (``range(0)``) so the optimizer can prune joins against it."""
+    return spark.range(0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def sql_literal(v, typ: T.DataType) -> str:
+    """SQL text of one typed literal (for inline VALUES tables)."""
+    if v is None:
+        return f"CAST(NULL AS {typ.simpleString()})"
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, (int, float)):
+        return f"CAST({v!r} AS {typ.simpleString()})"
+    if isinstance(v, dt.datetime):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
+    if isinstance(v, dt.date):
+        return f"DATE '{v.isoformat()}'"
+    text = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def literal_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Small literal table (seed/lookup rows) as one inline ``VALUES``
+    relation: a local relation inside the JVM plan, so no Python worker is
+    needed to scan it and the planner knows its size."""
+    if not rows:
+        return empty(spark, schema)
+    names = [f.name for f in schema.fields]
+    values = ", ".join(
+        "(" + ", ".join(sql_literal(v, f.dataType) for v, f in zip(row, schema.fields)) + ")"
+        for row in rows)
+    cols = ", ".join(f"CAST(`c{i}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                     for i, f in enumerate(schema.fields))
+    alias = ", ".join(f"`c{i}`" for i in range(len(names)))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({alias})")

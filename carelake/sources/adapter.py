@@ -133,16 +133,16 @@ def charge_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def measure_definitions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(MEASURE_DEFINITION_ROWS, schemas.MEASURE_DEFINITION)
+    return schemas.literal_frame(spark, MEASURE_DEFINITION_ROWS, schemas.MEASURE_DEFINITION)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All bronze entities (contract columns only)."""
+def bronze(spark: SparkSession, sf_dir: str) -> dict:
+    """Bronze entities (contract columns only) as lazy factories."""
     return {
-        "dim_patient": dim_patient(spark, sf_dir).drop("_src_key"),
-        "encounter": encounter(spark, sf_dir).drop("_src_key"),
-        "charge_detail": charge_detail(spark, sf_dir).drop("_src_key", "_tiebreak"),
-        "hedis_measure_definition": measure_definitions(spark),
+        "dim_patient": lambda: dim_patient(spark, sf_dir).drop("_src_key"),
+        "encounter": lambda: encounter(spark, sf_dir).drop("_src_key"),
+        "charge_detail": lambda: charge_detail(spark, sf_dir).drop("_src_key", "_tiebreak"),
+        "hedis_measure_definition": lambda: measure_definitions(spark),
     }
 
 

@@ -41,11 +41,11 @@ CODE_DELIMITERS = (",", " ")
 
 
 def encounter_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(ENCOUNTER_TYPE_ROWS, schemas.ENCOUNTER_TYPE)
+    return schemas.literal_frame(spark, ENCOUNTER_TYPE_ROWS, schemas.ENCOUNTER_TYPE)
 
 
 def eligibility_codes(spark: SparkSession, extra_rows: list | None = None) -> DataFrame:
-    return spark.createDataFrame(ELIGIBILITY_CODE_ROWS + list(extra_rows or []),
+    return schemas.literal_frame(spark, ELIGIBILITY_CODE_ROWS + list(extra_rows or []),
                                  schemas.ELIGIBILITY_CODES)
 
 
