@@ -34,41 +34,49 @@ def measure_names(measure_defs: DataFrame) -> DataFrame:
 def eligibility_batch(dim_patient: DataFrame, dim_encounter: DataFrame,
                       fact_charges: DataFrame, codes: DataFrame, measure_defs: DataFrame,
                       params: Params) -> DataFrame:
-    """Per (patient, encounter, measure) eligibility.
-
-    A CPT match comes from any charge of the encounter; an ICD-10 match from
-    the encounter's primary diagnosis. Charges are first reduced to distinct
-    ``(encounter_id, measure_id)`` pairs through the broadcast code set
-    (map-side combine), so the big encounter join sees at most one row per
-    measure and encounter even when one encounter holds most charges.
+    """Per (patient, encounter, measure) eligibility, in one pass over encounters.
+
+    * CPT: charges are reduced through the broadcast code set to one row per
+      encounter holding the set of matched measures (``collect_set``, combined
+      map-side), so a hot encounter collapses before the shuffle and the
+      aggregate's ``encounter_id`` partitioning serves the join directly;
+    * ICD-10: the encounter's primary diagnosis is matched by a broadcast
+      join (no shuffle);
+    * both candidates are exploded and de-duplicated (UNION semantics). The
+      distinct is clustered by ``encounter_id`` already, so it adds no shuffle.
     """
-    encounters = (dim_encounter
-                  .filter(F.col("pat_id").isNotNull() & F.col("encounter_id").isNotNull())
-                  .select("pat_id", "encounter_id", "encounter_dttm", "encounter_type",
-                          "primary_dx_code"))
     names = bounded_broadcast(measure_names(measure_defs))
-
     cpt = bounded_broadcast(valid_codes(codes, "CPT", params))
+    icd = bounded_broadcast(valid_codes(codes, "ICD10", params)
+                            .select(F.col("code_value").alias("_icd_code"),
+                                    F.col("measure_id").alias("_icd_measure")))
     cpt_hits = (fact_charges.filter(F.col("cpt_code").isNotNull())
                 .select("encounter_id", "cpt_code")
                 .join(cpt, F.col("cpt_code") == F.col("code_value"))
-                .select("encounter_id", "measure_id").distinct())
-    by_cpt = encounters.join(cpt_hits, "encounter_id")
+                .groupBy("encounter_id")
+                .agg(F.collect_set("measure_id").alias("_cpt_measures")))
 
-    icd = bounded_broadcast(valid_codes(codes, "ICD10", params))
-    by_icd = (encounters.filter(F.col("primary_dx_code").isNotNull())
-              .join(icd, F.col("primary_dx_code") == F.col("code_value"))
-              .drop("code_value"))
-
-    cols = ["pat_id", "encounter_id", "encounter_dttm", "encounter_type", "measure_id"]
-    eligible = (by_cpt.select(*cols).unionByName(by_icd.select(*cols))
-                .join(names, "measure_id", "left").distinct())
+    encounters = (dim_encounter
+                  .filter(F.col("pat_id").isNotNull() & F.col("encounter_id").isNotNull()
+                          & F.col("encounter_dttm").isNotNull())
+                  .select("pat_id", "encounter_id", "encounter_dttm", "encounter_type",
+                          "primary_dx_code"))
+    candidates = (encounters
+                  .join(icd, F.col("primary_dx_code") == F.col("_icd_code"), "left")
+                  .join(cpt_hits, "encounter_id", "left"))
+    eligible = (candidates
+                .select("pat_id", "encounter_id", "encounter_dttm", "encounter_type",
+                        F.explode(F.concat(
+                            F.coalesce("_cpt_measures", F.array().cast("array<string>")),
+                            F.array("_icd_measure"))).alias("measure_id"))
+                .filter(F.col("measure_id").isNotNull())
+                .distinct()
+                .join(names, "measure_id", "left"))
 
     patients = (dim_patient.filter(F.col("is_current") == F.lit(True))
                 .filter(F.col("birth_date").isNotNull())
                 .select("pat_id", "birth_date"))
-    return (eligible.filter(F.col("encounter_dttm").isNotNull())
-            .join(patients, "pat_id")
+    return (eligible.join(patients, "pat_id")
             .select("pat_id", "encounter_id", "measure_id",
                     F.coalesce("measure_name", "measure_id").alias("measure_name"),
                     F.lit("Y").alias("measure_eligible"),
