@@ -185,7 +185,7 @@ def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: boo
     failure: Exception | None = None
     records = []
     for stage in STAGES[start_at:]:
-        began = dt.datetime.utcnow()
+        began = _utcnow()
         if failure is not None:
             records.append(runlog.stage_record(run.run_id, stage, None, None, "UPSTREAM_FAILED",
                                                None, "{}", began))
@@ -196,7 +196,7 @@ def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: boo
         except (dq.DataQualityError, RuntimeError) as e:
             status, failure = "FAILED", e
             detail = '{"error": %s}' % _json_str(str(e)[:500])
-        ended = dt.datetime.utcnow()
+        ended = _utcnow()
         rows = _row_count(run.store, OUTPUT_TABLE[stage])
         records.append(runlog.stage_record(run.run_id, stage, began, ended, status, rows,
                                            detail, ended))
@@ -207,6 +207,11 @@ def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: boo
     return log
 
 
+def _utcnow() -> dt.datetime:
+    """Naive UTC wall clock (the log's timestamp convention)."""
+    return dt.datetime.now(dt.UTC).replace(tzinfo=None)
+
+
 def _json_str(s: str) -> str:
     import json
     return json.dumps(s)
