@@ -43,12 +43,16 @@ def guard_unique_source(src: DataFrame, keys: list[str], on_duplicate: str = "er
         return latest_per_key(keyed, keys, order).unionByName(src.filter(_any_null(keys)))
     if on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate mode: {on_duplicate}")
+    # NULL-key rows never match and are exempt; they bypass the keyed window
+    # so they cannot pile up in the one partition that NULL hashes to.
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     first = keys[0]
-    guarded = F.when(_any_null(keys) | (n == 1), F.col(first)).otherwise(
+    guarded = F.when(n == 1, F.col(first)).otherwise(
         F.raise_error(F.concat(F.lit("upsert source has duplicate key: "),
                                F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))))
-    return src.withColumn(first, guarded.cast(src.schema[first].dataType))
+    keyed = src.filter(~_any_null(keys))
+    return keyed.withColumn(first, guarded.cast(src.schema[first].dataType)).unionByName(
+        src.filter(_any_null(keys)))
 
 
 def upsert_all(target: DataFrame, source: DataFrame, keys: list[str],

@@ -138,6 +138,7 @@ def stage_billing(run: Run) -> None:
                                 s.read(reference.ENCOUNTER_TYPES), p)
     s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch))
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
+    run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
 
 
 def stage_quality(run: Run) -> None:
@@ -146,6 +147,7 @@ def stage_quality(run: Run) -> None:
                                 s.read("silver.dim_patient"), p)
     s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch))
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
+    run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
 
 
 def stage_gaps(run: Run) -> None:
@@ -154,6 +156,7 @@ def stage_gaps(run: Run) -> None:
                             s.read("silver.dim_patient"), s.read(reference.ENCOUNTER_TYPES), p)
     s.replace(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch))
     _idempotent(marts.gap_summary(s.read(dq.GAPS)), dq.GAPS)
+    run.spark.conf.set("carelake.dq.last_mart", dq.GAPS)
 
 
 STAGE_FN = {

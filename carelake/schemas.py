@@ -153,6 +153,24 @@ CONTRACTS = {
 }
 
 
+# Column comments of the contracts (carried as StructField metadata).
+COMMENTS = {
+    ("silver.dim_patient", "mrn_token"): "SHA-256 hash of source MRN (deterministic tokenization)",
+    ("silver.dim_encounter", "encounter_type"): "Canonical type from reference.dim_encounter_type",
+    ("silver.dim_encounter", "primary_dx_code"): "Normalized ICD-10 code (DX_ prefix stripped)",
+    ("silver.hedis_eligibility", "encounter_type"): "Canonical encounter_type from silver.dim_encounter",
+}
+
+
+def with_comments(schema: T.StructType, table: str) -> T.StructType:
+    """The contract with column comments attached as field metadata."""
+    return T.StructType([
+        T.StructField(f.name, f.dataType, f.nullable,
+                      {**(f.metadata or {}), "comment": COMMENTS[(table, f.name)]}
+                      if (table, f.name) in COMMENTS else f.metadata)
+        for f in schema.fields])
+
+
 def not_null_guard(col: Column, name: str, table: str) -> Column:
     """Column that fails the task when a NOT NULL column holds NULL (lazy)."""
     return F.when(col.isNull(), F.raise_error(

@@ -70,6 +70,32 @@ class Store:
             "overwrite").text(f"{self.path(name)}/{POINTER}")
         return v
 
+    # ---- table properties and SQL names ------------------------------------------
+    def set_properties(self, name: str, props: dict[str, str]) -> None:
+        """Table properties (quality, source, description, ...) kept next to
+        the table as a small key/value file; merged with existing ones."""
+        merged = {**self.properties(name), **props}
+        rows = sorted((str(k), str(v)) for k, v in merged.items())
+        self.spark.createDataFrame(rows, "key string, value string").coalesce(1).write.mode(
+            "overwrite").json(f"{self.path(name)}/_properties")
+
+    def properties(self, name: str) -> dict[str, str]:
+        try:
+            rows = self.spark.read.schema("key string, value string").json(
+                f"{self.path(name)}/_properties").collect()
+        except Exception:  # noqa: BLE001 - none set yet
+            return {}
+        return {r.key: r.value for r in rows}
+
+    def register_views(self, names: list[str]) -> list[str]:
+        """Expose tables to SQL as temp views ``<layer>_<table>``."""
+        out = []
+        for n in names:
+            view = n.replace(".", "_")
+            self.read(n).createOrReplaceTempView(view)
+            out.append(view)
+        return out
+
     # ---- append-only log tables ------------------------------------------------
     def log_path(self, name: str) -> str:
         return self._log_path(name)

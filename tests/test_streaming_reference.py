@@ -99,3 +99,19 @@ def test_code_validity_expired_and_future(spark):
     got = {r.measure_id for r in valid_codes(codes, "CPT", Params(
         as_of_date=dt.date(2024, 6, 30))).collect()}
     assert got == {"CDC", "AWV", "EDGE"}
+
+
+def test_store_properties_views_and_versions(spark, tmpdir_path):
+    store = Store(spark, tmpdir_path)
+    reference.load_encounter_types(spark, store)
+    props = store.properties(reference.ENCOUNTER_TYPES)
+    assert props["quality"] == "reference"
+    store.set_properties(reference.ENCOUNTER_TYPES, {"owner": "data-eng"})
+    assert set(store.properties(reference.ENCOUNTER_TYPES)) == {
+        "quality", "source", "description", "owner"}
+    views = store.register_views([reference.ENCOUNTER_TYPES])
+    assert spark.sql(f"SELECT count(*) AS n FROM {views[0]}").first().n == 5
+    # missing table reads as an empty table with its contract
+    assert store.read("silver.dim_patient").columns == schemas.DIM_PATIENT.fieldNames()
+    c = schemas.with_comments(schemas.DIM_PATIENT, "silver.dim_patient")
+    assert "SHA-256" in c["mrn_token"].metadata["comment"]
