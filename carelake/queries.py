@@ -397,10 +397,15 @@ def q_ingest_profile(spark, sf_dir):
 
 
 def _gated(spark, sf_dir):
+    """One gated run per session and input; its store holds the stage log
+    and the audit trail that ``gated_run`` and ``dq_history`` report."""
     from carelake.plans.pipeline import Run, run_pipeline
-    store = _fresh_store(spark, "pipeline")
-    run = Run(spark, store, P, adapter.landing_specs(sf_dir))
-    return store, run_pipeline(run, raise_on_failure=False)
+
+    def build():
+        store = _fresh_store(spark, "pipeline")
+        run = Run(spark, store, P, adapter.landing_specs(sf_dir))
+        return store, run_pipeline(run, raise_on_failure=False)
+    return _memo("gated", spark, sf_dir, P, build)
 
 
 def q_gated_run(spark, sf_dir):

@@ -55,7 +55,7 @@ def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_p
     progress = q.recentProgress or []
     added = sum(int(p.get("numInputRows", 0)) for p in progress)
     return {"entity": spec.entity, "target": target_path, "batch_id": batch_id,
-            "rows_added": added}
+            "landing_path": spec.landing_path, "rows_added": added}
 
 
 def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable[[str], str],

@@ -44,6 +44,16 @@ def _key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
 
+_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+         "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def spark_type_as_duck(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper()
+    return _DUCK.get(t, t)
+
+
 def compare(spark_df, con, sql: str) -> dict:
     cols_s = sorted(spark_df.columns)
     srows = [tuple(_norm(r[c]) for c in cols_s) for r in spark_df.collect()]
@@ -54,6 +64,13 @@ def compare(spark_df, con, sql: str) -> dict:
     drows = [tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()]
     out = {"spark_rows": len(srows), "oracle_rows": len(drows),
            "columns_match": cols_s == cols_d}
+    stypes = {f.name: spark_type_as_duck(f.dataType.simpleString()) for f in spark_df.schema.fields}
+    dtypes = dict(zip(dcols, [str(t) for t in rel.types]))
+    bad_types = {c: (stypes.get(c), dtypes.get(c)) for c in cols_s
+                 if stypes.get(c) != dtypes.get(c)}
+    out["types_match"] = not bad_types
+    if bad_types:
+        out["type_diffs"] = bad_types
     if not out["columns_match"]:
         out["spark_cols"], out["oracle_cols"] = cols_s, cols_d
     ss, ds = sorted(srows, key=_key), sorted(drows, key=_key)
@@ -62,5 +79,5 @@ def compare(spark_df, con, sql: str) -> dict:
         sset, dset = set(ss), set(ds)
         out["only_spark"] = list(sset - dset)[:3]
         out["only_oracle"] = list(dset - sset)[:3]
-    out["ok"] = out["columns_match"] and out["values_match"]
+    out["ok"] = out["columns_match"] and out["values_match"] and out["types_match"]
     return out
