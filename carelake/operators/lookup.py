@@ -17,12 +17,18 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
     lookup table itself). Larger inputs are returned unhinted so the planner
     keeps a shuffle join (AQE may still broadcast from runtime statistics).
     """
+    return F.broadcast(df) if fits_rows(df, max_rows) else df
+
+
+def fits_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most
+    ``max_rows + 1``); cached per application and plan."""
     key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     fits = _CHECKED.get(key)
     if fits is None:
         fits = df.limit(max_rows + 1).count() <= max_rows
         _CHECKED[key] = fits
-    return F.broadcast(df) if fits else df
+    return fits
 
 
 # Verdicts per (application, plan): the same lookup plan is checked once.

@@ -72,15 +72,41 @@ def upsert_all(target: DataFrame, source: DataFrame, keys: list[str],
 
 def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str],
                    update_cols: list[str], on_duplicate: str = "error",
-                   order: list[Column] | None = None) -> DataFrame:
+                   order: list[Column] | None = None, strategy: str = "full_outer",
+                   max_broadcast_keys: int = 2_000_000) -> DataFrame:
     """MERGE with an explicit column map.
 
     Matched: ``update_cols`` take the source value, every other column
     (keys, first load time) keeps the target value. Not matched: the source
-    row is inserted whole. One full outer join on the keys.
+    row is inserted whole.
+
+    ``strategy``:
+      * ``full_outer`` - one full outer join on the keys (shuffles both sides);
+      * ``split`` - for a batch that is small next to the table: target rows
+        whose key is not in the batch pass through a broadcast anti join (the
+        table is never shuffled); only the touched rows meet the batch in the
+        outer join;
+      * ``auto`` - ``split`` when the batch keys pass a bounded size check,
+        else ``full_outer``. Use it on a materialized batch (the check reads it).
     """
     cols = target.columns
     src = guard_unique_source(source.select(*cols), keys, on_duplicate, order)
+    if strategy == "auto":
+        from carelake.operators.lookup import fits_rows
+        strategy = "split" if fits_rows(src.select(*keys), max_broadcast_keys) else "full_outer"
+    if strategy == "split":
+        batch_keys = F.broadcast(src.select(*keys).filter(~_any_null(keys)))
+        untouched = target.join(batch_keys, keys, "left_anti")
+        touched = target.join(batch_keys, keys, "left_semi")
+        return untouched.unionByName(
+            _merge_outer(touched, src, keys, update_cols, cols))
+    if strategy != "full_outer":
+        raise ValueError(f"unknown upsert strategy: {strategy}")
+    return _merge_outer(target, src, keys, update_cols, cols)
+
+
+def _merge_outer(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str],
+                 cols: list[str]) -> DataFrame:
     t = target.withColumn("_t_present", F.lit(True)).alias("t")
     s = src.withColumn("_s_present", F.lit(True)).alias("s")
     cond = None

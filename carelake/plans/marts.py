@@ -57,9 +57,11 @@ def billing_batch(dim_encounter: DataFrame, fact_charges: DataFrame,
         "claim_status", load.alias("load_dttm"), load.alias("updated_dttm"))
 
 
-def billing_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error") -> DataFrame:
+def billing_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error",
+                   strategy: str = "full_outer") -> DataFrame:
     return upsert_columns(target, batch, BILLING_KEYS,
-                          _update_cols(target.columns, BILLING_KEYS), on_duplicate)
+                          _update_cols(target.columns, BILLING_KEYS), on_duplicate,
+                          strategy=strategy)
 
 
 # ---- quality ----------------------------------------------------------------
@@ -82,9 +84,11 @@ def quality_batch(eligibility: DataFrame, dim_encounter: DataFrame, dim_patient:
         "encounter_type", load.alias("load_dttm"), load.alias("updated_dttm"))
 
 
-def quality_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error") -> DataFrame:
+def quality_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error",
+                   strategy: str = "full_outer") -> DataFrame:
     return upsert_columns(target, batch, QUALITY_KEYS,
-                          _update_cols(target.columns, QUALITY_KEYS), on_duplicate)
+                          _update_cols(target.columns, QUALITY_KEYS), on_duplicate,
+                          strategy=strategy)
 
 
 def quality_summary(measures: DataFrame, params: Params) -> DataFrame:
@@ -147,10 +151,10 @@ def gap_batch(measures: DataFrame, dim_encounter: DataFrame, dim_patient: DataFr
 
 
 def gap_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error",
-               close_resolved: bool = False) -> DataFrame:
+               close_resolved: bool = False, strategy: str = "full_outer") -> DataFrame:
     """Upsert the gap queue. Closed gaps stay unless ``close_resolved``."""
     out = upsert_columns(target, batch, GAP_KEYS, _update_cols(target.columns, GAP_KEYS),
-                         on_duplicate)
+                         on_duplicate, strategy=strategy)
     if close_resolved:
         out = out.join(batch.select(*GAP_KEYS), GAP_KEYS, "left_semi")
     return out

@@ -132,29 +132,40 @@ def _idempotent(df: DataFrame, table: str) -> None:
                            f"{v.distinct_keys} distinct keys")
 
 
+def _materialized_batch(run: Run, name: str, batch: DataFrame) -> DataFrame:
+    """Write the night's batch once (staging snapshot) and read it back: it
+    is computed a single time, its lineage is cut, and the upsert can size
+    it cheaply to pick its join strategy."""
+    run.store.replace(f"staging.{name}", batch)
+    return run.store.read(f"staging.{name}", batch.schema)
+
+
 def stage_billing(run: Run) -> None:
     s, p = run.store, run.params
-    batch = marts.billing_batch(s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
-                                s.read(reference.ENCOUNTER_TYPES), p)
-    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch))
+    batch = _materialized_batch(run, "billing_batch", marts.billing_batch(
+        s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
+        s.read(reference.ENCOUNTER_TYPES), p))
+    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="auto"))
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
     run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
 
 
 def stage_quality(run: Run) -> None:
     s, p = run.store, run.params
-    batch = marts.quality_batch(s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
-                                s.read("silver.dim_patient"), p)
-    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch))
+    batch = _materialized_batch(run, "quality_batch", marts.quality_batch(
+        s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
+        s.read("silver.dim_patient"), p))
+    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="auto"))
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
     run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
 
 
 def stage_gaps(run: Run) -> None:
     s, p = run.store, run.params
-    batch = marts.gap_batch(s.read(dq.QUALITY), s.read("silver.dim_encounter"),
-                            s.read("silver.dim_patient"), s.read(reference.ENCOUNTER_TYPES), p)
-    s.replace(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch))
+    batch = _materialized_batch(run, "gap_batch", marts.gap_batch(
+        s.read(dq.QUALITY), s.read("silver.dim_encounter"), s.read("silver.dim_patient"),
+        s.read(reference.ENCOUNTER_TYPES), p))
+    s.replace(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch, strategy="auto"))
     _idempotent(marts.gap_summary(s.read(dq.GAPS)), dq.GAPS)
     run.spark.conf.set("carelake.dq.last_mart", dq.GAPS)
 

@@ -94,3 +94,15 @@ def test_scd2_expire_insert_and_noop(spark):
         ("P3", "PAY", True, day1, None), ("P4", "PAY", True, day2, None)]
     t3 = scd2_apply(t2, s2, "pat_id", PATIENT_ATTRS, day2, D2)
     assert sorted(map(str, t3.collect())) == sorted(map(str, t2.collect()))
+
+
+@pytest.mark.parametrize("strategy", ["full_outer", "split", "auto"])
+def test_upsert_strategies_agree(spark, strategy):
+    tgt = spark.createDataFrame([("a", "1", D1, D1), ("b", "1", D1, D1), (None, "n", D1, D1)], T)
+    src = spark.createDataFrame([("b", "2", D2, D2), ("c", "2", D2, D2), (None, "m", D2, D2)], T)
+    out = upsert_columns(tgt, src, ["k"], ["v", "updated_dttm"], strategy=strategy)
+    assert rows(out) == [(None, "m", D2, D2), (None, "n", D1, D1), ("a", "1", D1, D1),
+                         ("b", "2", D1, D2), ("c", "2", D2, D2)]
+    if strategy == "split":
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
