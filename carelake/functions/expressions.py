@@ -23,17 +23,18 @@ def col_or(c) -> Column:
 
 
 def lit_date(d: dt.date) -> Column:
-    return F.lit(d).cast("date")
+    return F.lit(d.isoformat()).cast("date")
 
 
-def lit_ts(t: dt.datetime) -> Column:
-    """Naive (wall-clock) timestamp literal."""
-    return F.lit(t).cast("timestamp_ntz") if not isinstance(t, str) else F.expr(
-        f"timestamp_ntz'{t}'")
+def lit_ts(t: dt.datetime | str) -> Column:
+    """Naive (wall-clock) timestamp literal, built from text so neither the
+    Python process zone nor the session zone can shift it."""
+    text = t if isinstance(t, str) else t.isoformat(sep=" ")
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def ts_start_of_day(d: dt.date) -> Column:
-    return F.lit(dt.datetime.combine(d, dt.time())).cast("timestamp_ntz")
+    return lit_ts(dt.datetime.combine(d, dt.time()))
 
 
 def tokenize(c, salt: str | None = None) -> Column:
@@ -105,8 +106,7 @@ def year_start(year: int) -> dt.datetime:
 def in_year(ts, year: int) -> Column:
     """``year(ts) = Y`` written as a half-open range so Parquet can prune."""
     c = col_or(ts)
-    return (c >= F.lit(year_start(year)).cast(
-        "timestamp_ntz")) & (c < F.lit(year_start(year + 1)).cast("timestamp_ntz"))
+    return (c >= lit_ts(year_start(year))) & (c < lit_ts(year_start(year + 1)))
 
 
 def valid_on(effective, expiration, day: dt.date) -> Column:

@@ -252,8 +252,8 @@ def _event_snapshots(spark, sf_dir) -> DataFrame:
     """Daily row-count snapshots of the events table before the as-of day,
     as ``audit.dq_results`` records (details JSON built with to_json)."""
     ev = adapter.table(spark, sf_dir, "events")
-    daily = (ev.filter(F.col("ts") < F.lit(dt.datetime.combine(EVENTS_AS_OF.date(), dt.time()))
-                       .cast("timestamp_ntz"))
+    from carelake.functions import ts_start_of_day
+    daily = (ev.filter(F.col("ts") < ts_start_of_day(EVENTS_AS_OF.date()))
              .groupBy(F.to_date("ts").alias("day"))
              .agg(F.count(F.lit(1)).alias("row_count"), F.max("ts").alias("assertion_dttm")))
     return daily.select(
@@ -266,7 +266,8 @@ def _event_snapshots(spark, sf_dir) -> DataFrame:
 def q_row_count_threshold(spark, sf_dir):
     """Today's events vs 80% of the trailing 7-day average of snapshots."""
     ev = adapter.table(spark, sf_dir, "events")
-    today = ev.filter(F.to_date("ts") == F.lit(EVENTS_AS_OF.date()))
+    from carelake.functions import lit_date
+    today = ev.filter(F.to_date("ts") == lit_date(EVENTS_AS_OF.date()))
     hist = checks.snapshot_history(_event_snapshots(spark, sf_dir), "events", EVENTS_AS_OF,
                                    P.dq_trailing_days)
     return checks.row_count_threshold(today, hist, "events", P.dq_row_count_ratio)

@@ -33,3 +33,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() >= 0
     assert "patient_responsibility" in df.columns
+
+
+@pytest.mark.parametrize("name", ["billing_batch", "gap_batch", "recent_activity", "sla_report"])
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(E.queries()[name](spark, SF_ORACLE), con, ORACLE[name])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["ok"], r

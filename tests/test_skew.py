@@ -6,6 +6,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from carelake.functions import lit_ts
 from carelake.operators.dedupe import latest_per_key
 from carelake.params import Params
 from carelake.plans import marts
@@ -58,7 +59,7 @@ def test_last_encounter_hot_patient_partial_aggregate(spark):
     enc = spark.range(N).select(
         _hot("pat_id"), F.concat(F.lit("E"), F.col("id").cast("string")).alias("encounter_id"),
         F.lit(101).alias("visit_type_c"),
-        (F.lit(dt.datetime(2000, 1, 1)).cast("timestamp_ntz")
+        (lit_ts(dt.datetime(2000, 1, 1))
          + F.make_dt_interval(F.col("id") % 300)).alias("encounter_dttm"))
     out = marts.last_encounter(enc, seeds.encounter_types(spark))
     plan = out._jdf.queryExecution().executedPlan().toString()
@@ -76,7 +77,7 @@ def test_hot_patient_join_is_split_by_aqe(spark, skew_conf):
         F.lit("OFFICE").alias("encounter_type"))
     enc = spark.range(N).select(
         F.concat(F.lit("E"), F.col("id").cast("string")).alias("encounter_id"),
-        F.lit(dt.datetime(2000, 5, 1)).cast("timestamp_ntz").alias("encounter_dttm"))
+        lit_ts(dt.datetime(2000, 5, 1)).alias("encounter_dttm"))
     pats = spark.range(4000).select(
         F.concat(F.lit("P"), F.col("id").cast("string")).alias("pat_id")).union(
         spark.range(1).select(F.lit("HOT").alias("pat_id"))).select(
