@@ -126,10 +126,12 @@ def null_key_counts(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame
 
 def mapping_drift(dim_encounter: DataFrame, encounter_types: DataFrame) -> DataFrame:
     """Encounters whose visit type has no mapping yet are not ``OTHER``."""
+    from carelake.operators.lookup import bounded_broadcast
+    mapped = bounded_broadcast(encounter_types.filter(F.col("encounter_type").isNotNull())
+                               .select("visit_type_c"))
     bad = (dim_encounter.filter(F.col("visit_type_c").isNotNull()
                                 & (F.col("encounter_type") != "OTHER"))
-           .join(encounter_types.filter(F.col("encounter_type").isNotNull())
-                 .select("visit_type_c"), "visit_type_c", "left_anti"))
+           .join(mapped, "visit_type_c", "left_anti"))
     return bad.agg(F.count(F.lit(1)).alias("unmapped_count")).withColumn(
         "status", _pass_fail(F.col("unmapped_count") > 0))
 

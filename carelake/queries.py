@@ -327,9 +327,11 @@ CENSUS_SCHEMAS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY
 
 def q_inventory_census(spark, sf_dir):
     """Which (nation, market segment) pairs hold customers, vs the expected grid."""
+    from carelake.operators.lookup import bounded_broadcast
+    nations = bounded_broadcast(adapter.table(spark, sf_dir, "nation")
+                                .select("n_nationkey", "n_name"))
     listing = (adapter.table(spark, sf_dir, "customer")
-               .join(adapter.table(spark, sf_dir, "nation"),
-                     F.col("c_nationkey") == F.col("n_nationkey"))
+               .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
                .select(F.col("n_name").alias("catalog_name"),
                        F.col("c_mktsegment").alias("schema_name")).distinct())
     return checks.inventory_census(listing, CENSUS_CATALOGS, CENSUS_SCHEMAS)

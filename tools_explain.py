@@ -33,9 +33,14 @@ def summarize(plan: str) -> dict:
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = [a for a in sys.argv[1:] if not a.startswith("--")]
+    sf = args[0] if args else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan: what Catalyst chose
+    if "--scale" in sys.argv:
+        # as at cluster scale: no size-based broadcast of data tables; only the
+        # explicitly size-checked lookups stay broadcast
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     cols = ["shuffles", "reused", "broadcasts", "smj", "bhj", "group_limit_partial", "scans",
             "pushed_filter_scans", "cartesian_or_nlj"]
     print("| query | " + " | ".join(cols) + " |")
