@@ -68,10 +68,24 @@ def stage_bronze(run: Run) -> None:
         reference.load_encounter_types(run.spark, s)
     if s.version(reference.ELIGIBILITY_CODES) is None:
         reference.load_eligibility_codes(run.spark, s)
-    ingest_all(run.spark, run.landing, lambda e: s.log_path(f"bronze.{e}"),
+    specs = list(run.landing)
+    if not any(sp.entity == "hedis_measure_definition" for sp in specs):
+        folder = f"{s.root}/_landing/hedis_measure_definition"
+        if not _exists(run.spark, folder):
+            adapter.land_measure_definitions(run.spark, f"{s.root}/_landing")
+        specs.append(adapter.measure_definition_spec(folder))
+    ingest_all(run.spark, specs, lambda e: s.log_path(f"bronze.{e}"),
                lambda e: f"{s.root}/_checkpoints/bronze/{e}", run.run_id)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def stage_silver(run: Run) -> None:
     s, p = run.store, run.params
     types = s.read(reference.ENCOUNTER_TYPES)
@@ -112,7 +126,7 @@ def stage_eligibility(run: Run) -> None:
     codes = s.read(reference.ELIGIBILITY_CODES)
     batch = eligibility.eligibility_batch(
         s.read("silver.dim_patient"), s.read("silver.dim_encounter"),
-        s.read("silver.fact_charges"), codes, adapter.measure_definitions(run.spark), p)
+        s.read("silver.fact_charges"), codes, _bronze(run, "hedis_measure_definition"), p)
     keys = ["pat_id", "encounter_id", "measure_id"]
     s.replace("silver.hedis_eligibility", upsert_all(s.read("silver.hedis_eligibility"),
                                                      batch, keys))

@@ -172,6 +172,20 @@ def _carry_meta(df: DataFrame, fn, drop: list[str]) -> DataFrame:
     return out.drop(*drop).select("*", *[F.col(f"_meta.{c}").alias(c) for c in _META]).drop("_meta")
 
 
+def land_measure_definitions(spark: SparkSession, landing_root: str) -> str:
+    """Drop the measure catalogue into a landing folder (one Parquet file per
+    delivery) for the streaming ingest; returns the folder."""
+    folder = f"{landing_root}/hedis_measure_definition"
+    measure_definitions(spark).coalesce(1).write.mode("append").parquet(folder)
+    return folder
+
+
+def measure_definition_spec(folder: str):
+    from carelake.streaming.ingest import IngestSpec
+    return IngestSpec("hedis_measure_definition", schemas.MEASURE_DEFINITION, folder,
+                      file_glob="*.parquet")
+
+
 def landing_specs(sf_dir: str) -> list:
     """Streaming ingest specs that land the driver tables as bronze entities
     (row-wise mappings only, so they run on the stream)."""
