@@ -86,23 +86,43 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _concurrently(*jobs) -> None:
+    """Run independent Spark actions side by side (one driver thread each);
+    re-raise the first failure after all have finished."""
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = [pool.submit(j) for j in jobs]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
+
 def stage_silver(run: Run) -> None:
     s, p = run.store, run.params
     types = s.read(reference.ENCOUNTER_TYPES)
-    newest = [F.col("_ingestion_timestamp").desc(), F.col("_source_file").desc()]
-    staged = stage_patients(_bronze(run, "dim_patient"), latest_by=newest).drop("attr_hash")
-    s.replace("silver.dim_patient", scd2_apply(s.read("silver.dim_patient"), staged, "pat_id",
-                                               PATIENT_ATTRS, p.as_of_date, p.load_ts))
-    enc = stage_encounters(_bronze(run, "encounter"), types, p.load_ts)
-    s.replace("silver.dim_encounter", upsert_all(s.read("silver.dim_encounter"), enc,
-                                                 ["encounter_id"]))
-    ch = stage_charges(_bronze(run, "charge_detail"), p.load_ts)
-    order = [F.col("charge_dttm").desc_nulls_last()] + [
-        F.col(c).desc_nulls_last() for c in ("cpt_code", "billed_amt", "allowed_amt",
-                                             "paid_amt", "claim_status")]
-    s.replace("silver.fact_charges", upsert_all(s.read("silver.fact_charges"), ch,
-                                                ["encounter_id", "charge_id"],
-                                                on_duplicate="latest", order=order))
+
+    def patients():
+        newest = [F.col("_ingestion_timestamp").desc(), F.col("_source_file").desc()]
+        staged = stage_patients(_bronze(run, "dim_patient"), latest_by=newest).drop("attr_hash")
+        s.replace("silver.dim_patient", scd2_apply(s.read("silver.dim_patient"), staged,
+                                                   "pat_id", PATIENT_ATTRS, p.as_of_date,
+                                                   p.load_ts))
+
+    def encounters():
+        enc = stage_encounters(_bronze(run, "encounter"), types, p.load_ts)
+        s.replace("silver.dim_encounter", upsert_all(s.read("silver.dim_encounter"), enc,
+                                                     ["encounter_id"]))
+
+    def charges():
+        ch = stage_charges(_bronze(run, "charge_detail"), p.load_ts)
+        order = [F.col("charge_dttm").desc_nulls_last()] + [
+            F.col(c).desc_nulls_last() for c in ("cpt_code", "billed_amt", "allowed_amt",
+                                                 "paid_amt", "claim_status")]
+        s.replace("silver.fact_charges", upsert_all(s.read("silver.fact_charges"), ch,
+                                                    ["encounter_id", "charge_id"],
+                                                    on_duplicate="latest", order=order))
+
+    _concurrently(patients, encounters, charges)
     silver_gates(run)
 
 
@@ -131,12 +151,18 @@ def stage_eligibility(run: Run) -> None:
     s.replace("silver.hedis_eligibility", upsert_all(s.read("silver.hedis_eligibility"),
                                                      batch, keys))
     result = s.read("silver.hedis_eligibility")
-    bad = eligibility.unsupported_eligibility(result, s.read("silver.dim_encounter"),
-                                              s.read("silver.fact_charges"), codes, p)
-    if bad.limit(1).count():
-        raise dq.DataQualityError("Eligibility rows without an exact code match")
-    if duplicate_keys(result, keys).limit(1).count():
-        raise dq.DataQualityError("Duplicate keys in silver.hedis_eligibility after upsert")
+
+    def exact_match_only():
+        bad = eligibility.unsupported_eligibility(result, s.read("silver.dim_encounter"),
+                                                  s.read("silver.fact_charges"), codes, p)
+        if bad.limit(1).count():
+            raise dq.DataQualityError("Eligibility rows without an exact code match")
+
+    def unique_keys():
+        if duplicate_keys(result, keys).limit(1).count():
+            raise dq.DataQualityError("Duplicate keys in silver.hedis_eligibility after upsert")
+
+    _concurrently(exact_match_only, unique_keys)
 
 
 def _idempotent(df: DataFrame, table: str) -> None:

@@ -35,10 +35,9 @@ def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
             .withColumn("_ingestion_date", F.to_date("_ingestion_timestamp")))
 
 
-def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_path: str,
-           batch_id: str | None = None) -> dict:
-    """Ingest unseen landing files of one entity; blocks until done."""
-    batch_id = batch_id or str(uuid.uuid4())
+def start(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_path: str,
+          batch_id: str):
+    """Start the available-now streaming query of one entity (non-blocking)."""
     reader = spark.readStream.schema(spec.schema)
     if spec.file_glob:
         reader = reader.option("pathGlobFilter", spec.file_glob)
@@ -51,6 +50,10 @@ def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_p
          .partitionBy("_ingestion_date")
          .trigger(availableNow=True)
          .start(target_path))
+    return q
+
+
+def _summary(q, spec: IngestSpec, target_path: str, batch_id: str) -> dict:
     q.awaitTermination()
     progress = q.recentProgress or []
     added = sum(int(p.get("numInputRows", 0)) for p in progress)
@@ -58,12 +61,36 @@ def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_p
             "landing_path": spec.landing_path, "rows_added": added}
 
 
+def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_path: str,
+           batch_id: str | None = None) -> dict:
+    """Ingest unseen landing files of one entity; blocks until done."""
+    batch_id = batch_id or str(uuid.uuid4())
+    q = start(spark, spec, target_path, checkpoint_path, batch_id)
+    return _summary(q, spec, target_path, batch_id)
+
+
 def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable[[str], str],
-               checkpoint_of: Callable[[str], str], batch_id: str | None = None) -> list[dict]:
-    """Independent streaming query per entity, each with its own checkpoint."""
+               checkpoint_of: Callable[[str], str], batch_id: str | None = None,
+               concurrent: bool = True) -> list[dict]:
+    """One independent streaming query per entity, each with its own
+    checkpoint. With ``concurrent`` all queries run side by side (small
+    entities do not wait behind the largest) and are awaited together; a
+    failure of any query is raised after all have stopped."""
     batch_id = batch_id or str(uuid.uuid4())
-    return [ingest(spark, s, target_of(s.entity), checkpoint_of(s.entity), batch_id)
-            for s in specs]
+    if not concurrent:
+        return [ingest(spark, s, target_of(s.entity), checkpoint_of(s.entity), batch_id)
+                for s in specs]
+    running = [(s, start(spark, s, target_of(s.entity), checkpoint_of(s.entity), batch_id))
+               for s in specs]
+    out, error = [], None
+    for s, q in running:
+        try:
+            out.append(_summary(q, s, target_of(s.entity), batch_id))
+        except Exception as e:  # noqa: BLE001 - let the others finish first
+            error = error or e
+    if error is not None:
+        raise error
+    return out
 
 
 def read_bronze(spark: SparkSession, path: str, since=None) -> DataFrame:
