@@ -82,8 +82,8 @@ def test_second_delivery_builds_scd2_history(spark, tmpdir_path):
     assert dim.count() == n + k_changed
     assert dim.filter(~F.col("is_current")).count() == k_changed
     assert dim.filter(F.col("is_current")).count() == n
-    cur = dim.filter(F.col("is_current") & (F.col("first_name") == "SELFPAY"))
+    cur = dim.filter(F.col("is_current") & (F.col("effective_date") == dt.date(2001, 8, 2)))
     assert cur.count() == k_changed
-    assert {r.effective_date for r in cur.collect()} == {dt.date(2001, 8, 2)}
+    assert all("SELFPAY" in (r.first_name, r.payer_name) for r in cur.collect())
     expired = dim.filter(~F.col("is_current")).select("expiration_date").distinct().collect()
     assert [r.expiration_date for r in expired] == [dt.date(2001, 8, 2)]
