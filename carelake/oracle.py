@@ -460,6 +460,76 @@ def build() -> dict[str, str]:  # noqa: F811
     return q
 
 
+def pipeline_charges() -> list[str]:
+    """Charges as the gated run builds them: bronze keeps every delivery (no
+    part key), silver keeps the latest per key by charge time, then code,
+    amounts (after the 0.00 default) and status, all descending."""
+    raw = bronze_charge("pc")  # defines pc_raw and (unused) pc
+    return [raw, f"""fact_charges AS (
+  SELECT encounter_id, charge_id, cpt_code, billed_amt, paid_amt, allowed_amt, claim_status,
+         charge_dttm, {LOAD} AS load_dttm FROM (
+    SELECT *, row_number() OVER (PARTITION BY encounter_id, charge_id ORDER BY
+        charge_dttm DESC NULLS LAST, cpt_code DESC NULLS LAST, billed_amt DESC NULLS LAST,
+        allowed_amt DESC NULLS LAST, paid_amt DESC NULLS LAST, claim_status DESC NULLS LAST) AS rn
+    FROM (SELECT encounter_id, charge_id, cpt_code,
+            coalesce(billed_amt, 0.00::DECIMAL(12,2)) AS billed_amt,
+            coalesce(paid_amt, 0.00::DECIMAL(12,2)) AS paid_amt,
+            coalesce(allowed_amt, 0.00::DECIMAL(12,2)) AS allowed_amt,
+            claim_status, charge_dttm FROM pc_raw) y) x
+  WHERE rn = 1)"""]
+
+
+def _pipeline_ctes() -> list[str]:
+    return ([ENC_TYPES, CODES, MEASURE_DEFS, bronze_patient(), stg_patient(), dim_patient(),
+             bronze_encounter(), dim_encounter()] + pipeline_charges()
+            + [eligibility(), quality(), billing(), gaps(),
+               """ri AS (SELECT count(DISTINCT pat_id) AS orphans FROM quality q
+                  WHERE NOT EXISTS (SELECT 1 FROM billing b WHERE b.pat_id = q.pat_id))""",
+               """cnt AS (SELECT (SELECT count(*) FROM orders) AS n_orders,
+                  (SELECT count(*) FROM eligibility) AS n_elig,
+                  (SELECT count(*) FROM billing) AS n_bill,
+                  (SELECT count(*) FROM quality) AS n_qual,
+                  (SELECT count(*) FROM gaps) AS n_gaps,
+                  (SELECT orphans FROM ri) AS orphans)"""])
+
+
+def build_pipeline() -> dict[str, str]:
+    """Stage log and audit trail of the gated run. Gates on nulls and row
+    counts pass by construction (keys are never NULL, no history yet); the
+    cross-mart check fails exactly when quality has patients without claims."""
+    ri_status = "CASE WHEN orphans > 0 THEN 'FAILED' ELSE 'SUCCESS' END"
+    after = "CASE WHEN orphans > 0 THEN 'UPSTREAM_FAILED' ELSE 'SUCCESS' END"
+    gated = with_(_pipeline_ctes(), f"""
+      SELECT 'bronze_ingestion' AS stage_name, 'SUCCESS' AS status, n_orders AS row_count FROM cnt
+      UNION ALL SELECT 'silver_patient_encounter', 'SUCCESS', n_orders FROM cnt
+      UNION ALL SELECT 'silver_hedis_eligibility', 'SUCCESS', n_elig FROM cnt
+      UNION ALL SELECT 'gold_billing_mart', 'SUCCESS', n_bill FROM cnt
+      UNION ALL SELECT 'billing_dq', 'SUCCESS', n_bill FROM cnt
+      UNION ALL SELECT 'gold_quality_mart', 'SUCCESS', n_qual FROM cnt
+      UNION ALL SELECT 'quality_dq', {ri_status}, n_qual FROM cnt
+      UNION ALL SELECT 'gold_care_gaps', {after},
+        CASE WHEN orphans > 0 THEN NULL ELSE n_gaps END FROM cnt
+      UNION ALL SELECT 'care_gaps_dq', {after},
+        CASE WHEN orphans > 0 THEN NULL ELSE n_gaps END FROM cnt""")
+    b, qn, g = ("gold_billing.claims_processed", "gold_quality.measures",
+                "gold_care_mgmt.gap_queue")
+    hist = with_(_pipeline_ctes(), f"""
+      SELECT '{b}' AS mart_name, 'null_rate:pat_id,encounter_id,charge_id' AS assertion_name,
+             'PASS' AS status, n_bill AS observed_count FROM cnt
+      UNION ALL SELECT '{b}', 'row_count_threshold', 'PASS', n_bill FROM cnt
+      UNION ALL SELECT '{b}', 'row_count_snapshot', 'PASS', n_bill FROM cnt
+      UNION ALL SELECT '{qn}', 'null_rate:pat_id,encounter_id,measure_id', 'PASS', n_qual FROM cnt
+      UNION ALL SELECT '{qn}', 'row_count_threshold', 'PASS', n_qual FROM cnt
+      UNION ALL SELECT '{qn}', 'row_count_snapshot', 'PASS', n_qual FROM cnt
+      UNION ALL SELECT '{qn}', 'referential_integrity:{qn}->{b}',
+             CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END, orphans FROM cnt
+      UNION ALL SELECT '{g}', 'null_rate:pat_id,measure_id', 'PASS', n_gaps FROM cnt
+        WHERE orphans = 0
+      UNION ALL SELECT '{g}', 'row_count_threshold', 'PASS', n_gaps FROM cnt WHERE orphans = 0
+      UNION ALL SELECT '{g}', 'row_count_snapshot', 'PASS', n_gaps FROM cnt WHERE orphans = 0""")
+    return {"gated_run": gated, "dq_history": hist}
+
+
 def build_runtime() -> dict[str, str]:
     return {"ingest_profile": """SELECT 'bronze.encounter' AS table_name, count(*) AS total_rows,
         CAST(1 AS BIGINT) AS distinct_batches FROM orders
@@ -473,4 +543,5 @@ _build_all = build
 def build() -> dict[str, str]:  # noqa: F811
     q = _build_all()
     q.update(build_runtime())
+    q.update(build_pipeline())
     return q

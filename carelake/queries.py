@@ -418,10 +418,13 @@ def q_gated_run(spark, sf_dir):
 
 
 def q_dq_history(spark, sf_dir):
-    """Audit trail written by the gated run's DQ gates."""
+    """Audit trail written by the gated run's DQ gates, with the count each
+    record observed (parsed back from its JSON details)."""
     store, _ = _gated(spark, sf_dir)
+    observed = F.coalesce(*[F.get_json_object("details", f"$.{k}") for k in
+                            ("row_count", "current_count", "orphan_count")]).cast("long")
     return store.read_log("audit.dq_results").select(
-        "mart_name", "assertion_name", "status", "details")
+        "mart_name", "assertion_name", "status", observed.alias("observed_count"))
 
 
 REGISTRY.update({

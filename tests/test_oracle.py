@@ -12,7 +12,6 @@ from tests.harness import compare, duck
 import __spark_entry__ as E
 
 ORACLE = E.oracle_sql()
-SKIP_HEAVY = {"gated_run", "dq_history"}  # covered in test_pipeline_plans
 
 
 @pytest.fixture(scope="module")
