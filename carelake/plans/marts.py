@@ -24,6 +24,12 @@ def _update_cols(cols: list[str], keys: list[str]) -> list[str]:
 
 
 # ---- billing ----------------------------------------------------------------
+def lookback_cutoff(params: Params) -> dt.datetime:
+    """Midnight of ``as_of - lookback_days`` (``date_sub`` on a date)."""
+    return dt.datetime.combine(params.as_of_date - dt.timedelta(days=params.lookback_days),
+                               dt.time())
+
+
 def billing_batch(dim_encounter: DataFrame, fact_charges: DataFrame,
                   encounter_types: DataFrame, params: Params) -> DataFrame:
     """Processed claims in the look-back window.
@@ -34,8 +40,7 @@ def billing_batch(dim_encounter: DataFrame, fact_charges: DataFrame,
     * look-back ``encounter_dttm >= as_of - N days`` (midnight), pushed to the
       scan.
     """
-    cutoff = dt.datetime.combine(params.as_of_date - dt.timedelta(days=params.lookback_days),
-                                 dt.time())
+    cutoff = lookback_cutoff(params)
     types = bounded_broadcast(active_types(encounter_types)
                               .select("visit_type_c", F.col("encounter_type").alias("_det_type")))
     enc = (dim_encounter.filter(F.col("encounter_dttm") >= lit_ts(cutoff))

@@ -28,6 +28,16 @@ class Silver:
     def dim_encounter(self) -> DataFrame:
         return stage_encounters(self.bronze["encounter"](), self.types, self.params.load_ts)
 
+    def dim_encounter_where(self, cond) -> DataFrame:
+        """``dim_encounter.filter(cond)`` for a condition that only *bounds*
+        ``encounter_dttm`` (look-back, calendar year), applied before the
+        latest-row dedupe. Equivalent because the dedupe keeps the latest
+        ``encounter_dttm`` per key: if that row passes the bound, all rows tied
+        with it pass too; if it fails, no row of the key passes. Pushed below
+        the window, the bound reaches the Parquet scan."""
+        return stage_encounters(self.bronze["encounter"]().filter(cond), self.types,
+                                self.params.load_ts)
+
     @cached_property
     def fact_charges(self) -> DataFrame:
         return stage_charges(self.bronze["charge_detail"](), self.params.load_ts)

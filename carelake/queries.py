@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake import schemas
+from carelake.functions import in_year, lit_ts
 from carelake.operators import checks
 from carelake.operators.upsert import duplicate_keys, idempotency_summary, scd2_apply, upsert_all
 from carelake.params import TESTDATA_PARAMS, Params
@@ -52,7 +53,8 @@ def _eligibility(spark, sf_dir, params: Params = P, silver: Silver | None = None
 def _quality(spark, sf_dir, params: Params = P) -> DataFrame:
     def build():
         s = _silver(spark, sf_dir, params)
-        return marts.quality_batch(_eligibility(spark, sf_dir, params), s.dim_encounter,
+        year_enc = s.dim_encounter_where(in_year("encounter_dttm", params.measurement_year))
+        return marts.quality_batch(_eligibility(spark, sf_dir, params), year_enc,
                                    s.dim_patient, params)
     return _memo("quality", spark, sf_dir, params, build)
 
@@ -60,8 +62,10 @@ def _quality(spark, sf_dir, params: Params = P) -> DataFrame:
 def _billing(spark, sf_dir, params: Params = P) -> DataFrame:
     def build():
         s = _silver(spark, sf_dir, params)
-        return marts.billing_batch(s.dim_encounter, s.fact_charges,
-                                   seeds.encounter_types(spark), params)
+        window = s.dim_encounter_where(F.col("encounter_dttm") >= lit_ts(
+            marts.lookback_cutoff(params)))
+        return marts.billing_batch(window, s.fact_charges, seeds.encounter_types(spark),
+                                   params)
     return _memo("billing", spark, sf_dir, params, build)
 
 
