@@ -531,7 +531,11 @@ def build_pipeline() -> dict[str, str]:
 
 
 def build_runtime() -> dict[str, str]:
-    return {"ingest_profile": """SELECT 'bronze.encounter' AS table_name, count(*) AS total_rows,
+    return {"dedupe_latest": """SELECT event_id, ts, user_id, event_type, value, props FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id, event_type
+                                     ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
+        FROM events) x WHERE rn = 1""",
+            "ingest_profile": """SELECT 'bronze.encounter' AS table_name, count(*) AS total_rows,
         CAST(1 AS BIGINT) AS distinct_batches FROM orders
       UNION ALL SELECT 'bronze.charge_detail', count(*), 1 FROM lineitem
       UNION ALL SELECT 'bronze.dim_patient', count(*), 1 FROM customer"""}

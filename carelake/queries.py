@@ -431,7 +431,17 @@ def q_dq_history(spark, sf_dir):
         "mart_name", "assertion_name", "status", observed.alias("observed_count"))
 
 
+def q_dedupe_latest(spark, sf_dir):
+    """Generic latest-row-per-key (W1): newest event per (user, event type),
+    ties broken by the highest event id."""
+    from carelake.operators.dedupe import latest_per_key
+    ev = adapter.table(spark, sf_dir, "events")
+    return latest_per_key(ev, ["user_id", "event_type"],
+                          [F.col("ts").desc_nulls_last(), F.col("event_id").desc()])
+
+
 REGISTRY.update({
+    "dedupe_latest": q_dedupe_latest,
     "ingest_profile": q_ingest_profile,
     "gated_run": q_gated_run,
     "dq_history": q_dq_history,
