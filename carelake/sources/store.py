@@ -12,8 +12,6 @@ Hadoop-compatible filesystem works.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -121,6 +119,3 @@ class Store:
         if not self._has_log(name):
             return schemas.empty(self.spark, schema)
         return self.spark.read.option("mergeSchema", "true").parquet(self._log_path(name))
-
-    def local_path(self, name: str) -> str:
-        return os.path.join(self.root, *name.split(".", 1))
