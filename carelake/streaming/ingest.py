@@ -24,6 +24,9 @@ class IngestSpec:
     landing_path: str           # landing folder
     transform: Callable[[DataFrame], DataFrame] | None = None  # row-wise only
     file_glob: str | None = None  # only files whose name matches (pathGlobFilter)
+    # Bounded micro-batches: a large backlog is drained in several commits
+    # instead of one giant batch (availableNow still reads every file).
+    max_files_per_trigger: int | None = 1000
 
 
 def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
@@ -41,6 +44,8 @@ def start(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_pa
     reader = spark.readStream.schema(spec.schema)
     if spec.file_glob:
         reader = reader.option("pathGlobFilter", spec.file_glob)
+    if spec.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", spec.max_files_per_trigger)
     stream = reader.parquet(spec.landing_path)
     stream = with_ingest_metadata(stream, batch_id)
     if spec.transform is not None:

@@ -39,6 +39,23 @@ def test_ingest_once_then_only_new_files(spark, tmpdir_path):
     assert bronze.filter(F.col("_source_file").contains("part2")).count() == r3["rows_added"]
 
 
+def test_backlog_drains_in_bounded_batches(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    src = adapter.table(spark, SF_SMALL, "customer")
+    for i in range(3):
+        src.filter(f"c_custkey % 3 = {i}").write.parquet(os.path.join(landing, f"f{i}"))
+    spec = IngestSpec("dim_patient", adapter.CUSTOMER_SCHEMA, landing + "/*",
+                      lambda df: adapter._carry_meta(df, adapter.patient_from_customer,
+                                                     ["_src_key"]),
+                      max_files_per_trigger=1)
+    target = os.path.join(tmpdir_path, "bronze")
+    r = ingest(spark, spec, target, os.path.join(tmpdir_path, "ckpt"), "b1")
+    assert r["rows_added"] == src.count()
+    assert read_bronze(spark, target).count() == src.count()
+    commits = os.listdir(os.path.join(tmpdir_path, "ckpt", "commits"))
+    assert len([c for c in commits if not c.startswith(".")]) >= 3
+
+
 def test_seed_tables_and_validation(spark, tmpdir_path):
     store = Store(spark, tmpdir_path)
     v = reference.load_encounter_types(spark, store).first()
