@@ -36,6 +36,15 @@ def test_gated_run_halts_then_resumes(spark, tmpdir_path):
         s: "SUCCESS" for s in STAGES[STAGES.index("quality_dq"):]}
     gaps = store.read("gold_care_mgmt.gap_queue")
     assert gaps.count() > 0
+    # validating ALL marts: null-rate + row-count per mart, then cross-mart RI
+    from carelake.plans import dq, runlog
+    rows = dq.validate(store, "ALL", "manual", TESTDATA_PARAMS, cross_mart="log")
+    names = [r.assertion_name for r in rows]
+    assert names.count("row_count_threshold") == 3 and names[-1].startswith("referential")
+    # SLA report over our own stage log (halted stages have no end time)
+    sla = runlog.sla_report(store.read_log("audit.orchestration_log")).collect()
+    assert {r.run_id for r in sla} == {run.run_id, run2.run_id}
+    assert all(r.run_end_time is not None for r in sla)
     # second full run over the same landing files: bronze gets nothing new,
     # marts are idempotent
     before = store.read("gold_billing.claims_processed").count()
