@@ -1,7 +1,5 @@
 """Gated pipeline run, resume, and physical-plan shape."""
 
-import datetime as dt
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -63,8 +61,6 @@ def test_plans_broadcast_lookups_and_push_filters(spark):
 
 
 def test_quality_year_filter_reaches_scan(spark):
-    from carelake.plans import marts
-    from carelake.params import Params
     enc_path = f"{SF_SMALL}/orders.parquet"
     df = spark.read.parquet(enc_path).select(
         F.col("o_orderdate").alias("encounter_dttm"), F.col("o_orderkey").alias("k"))
