@@ -82,16 +82,17 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str],
 
     ``strategy``:
       * ``full_outer`` - one full outer join on the keys (shuffles both sides);
-      * ``split`` - for a batch that is small next to the table: target rows
-        whose key is not in the batch pass through a broadcast anti join (the
-        table is never shuffled); only the touched rows meet the batch in the
-        outer join;
-      * ``auto`` - ``split`` when the batch keys pass a bounded size check,
-        else ``full_outer``. Use it on a materialized batch (the check reads it).
+      * ``split`` / ``auto`` - for a batch that is small next to the table:
+        target rows whose key is not in the batch pass through a broadcast
+        anti join (the table is never shuffled); only the touched rows meet
+        the batch in the outer join. The batch keys are broadcast only after a
+        bounded size check (at most ``max_broadcast_keys``); above it the
+        full outer join is used. Use it on a materialized batch (the check
+        reads it).
     """
     cols = target.columns
     src = guard_unique_source(source.select(*cols), keys, on_duplicate, order)
-    if strategy == "auto":
+    if strategy in ("auto", "split"):
         from carelake.operators.lookup import fits_rows
         strategy = "split" if fits_rows(src.select(*keys), max_broadcast_keys) else "full_outer"
     if strategy == "split":

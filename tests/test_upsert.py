@@ -106,3 +106,6 @@ def test_upsert_strategies_agree(spark, strategy):
     if strategy == "split":
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan
+        big = upsert_columns(tgt, src, ["k"], ["v", "updated_dttm"], strategy="split",
+                             max_broadcast_keys=1)  # over the bound: no broadcast
+        assert rows(big) == rows(out)
