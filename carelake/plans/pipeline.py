@@ -111,7 +111,8 @@ def stage_silver(run: Run) -> None:
     def encounters():
         enc = stage_encounters(_bronze(run, "encounter"), types, p.load_ts)
         s.replace("silver.dim_encounter", upsert_all(s.read("silver.dim_encounter"), enc,
-                                                     ["encounter_id"]))
+                                                     ["encounter_id"]),
+                  cluster_by=["encounter_dttm"])  # look-back / year filters skip row groups
 
     def charges():
         ch = stage_charges(_bronze(run, "charge_detail"), p.load_ts)
@@ -185,7 +186,8 @@ def stage_billing(run: Run) -> None:
     batch = _materialized_batch(run, "billing_batch", marts.billing_batch(
         s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="auto"))
+    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="auto"),
+              cluster_by=["encounter_dttm"])
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
     run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
 
@@ -195,7 +197,8 @@ def stage_quality(run: Run) -> None:
     batch = _materialized_batch(run, "quality_batch", marts.quality_batch(
         s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
         s.read("silver.dim_patient"), p))
-    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="auto"))
+    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="auto"),
+              cluster_by=["encounter_dttm"])
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
     run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
 

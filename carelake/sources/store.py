@@ -60,9 +60,16 @@ class Store:
             reader = reader.schema(schema)
         return reader.parquet(f"{self.path(name)}/v={v:06d}")
 
-    def replace(self, name: str, df: DataFrame) -> int:
-        """Write ``df`` as the next version and repoint. Returns the version."""
+    def replace(self, name: str, df: DataFrame, cluster_by: list[str] | None = None) -> int:
+        """Write ``df`` as the next version and repoint. Returns the version.
+
+        ``cluster_by`` sorts rows within each task before writing (no
+        shuffle): row groups then cover narrow ranges of those columns, so
+        range filters on them skip row groups via Parquet min/max statistics.
+        """
         v = (self.version(name) or 0) + 1
+        if cluster_by:
+            df = df.sortWithinPartitions(*cluster_by)
         df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v:06d}")
         self.spark.createDataFrame([(str(v),)], "value string").coalesce(1).write.mode(
             "overwrite").text(f"{self.path(name)}/{POINTER}")

@@ -132,3 +132,35 @@ def test_store_properties_views_and_versions(spark, tmpdir_path):
     assert store.read("silver.dim_patient").columns == schemas.DIM_PATIENT.fieldNames()
     c = schemas.with_comments(schemas.DIM_PATIENT, "silver.dim_patient")
     assert "SHA-256" in c["mrn_token"].metadata["comment"]
+
+
+def test_cluster_by_narrows_row_groups_for_range_filters(spark, tmpdir_path):
+    import glob
+
+    import pyarrow.parquet as pq
+    from carelake.plans.staging import stage_encounters
+    old = spark.conf.get("parquet.block.size", None)
+    spark.conf.set("parquet.block.size", str(64 * 1024))
+    try:
+        store = Store(spark, tmpdir_path)
+        enc = stage_encounters(adapter.encounter(spark, "/root/testdata/sf0.01"),
+                               seeds.encounter_types(spark), dt.datetime(2001, 8, 2))
+        cutoff = dt.datetime(2001, 5, 4)
+        hits = {}
+        for name, cluster in [("silver.plain", None), ("silver.clustered", ["encounter_dttm"])]:
+            store.replace(name, enc, cluster_by=cluster)
+            groups = 0
+            hits[name] = 0
+            for f in glob.glob(store.path(name) + "/v=000001/*.parquet"):
+                md = pq.ParquetFile(f).metadata
+                col = pq.ParquetFile(f).schema_arrow.get_field_index("encounter_dttm")
+                for i in range(md.num_row_groups):
+                    groups += 1
+                    hits[name] += md.row_group(i).column(col).statistics.max >= cutoff
+        assert hits["silver.clustered"] < hits["silver.plain"]
+        assert store.read("silver.clustered").count() == enc.count()
+    finally:
+        if old is None:
+            spark.conf.unset("parquet.block.size")
+        else:
+            spark.conf.set("parquet.block.size", old)
