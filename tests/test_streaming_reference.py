@@ -164,3 +164,15 @@ def test_cluster_by_narrows_row_groups_for_range_filters(spark, tmpdir_path):
             spark.conf.unset("parquet.block.size")
         else:
             spark.conf.set("parquet.block.size", old)
+
+
+def test_read_bronze_since_prunes_partitions(spark, tmpdir_path):
+    path = os.path.join(tmpdir_path, "bronze")
+    df = spark.range(10).select(
+        F.col("id"), F.when(F.col("id") < 5, F.lit("2024-01-01")).otherwise(
+            F.lit("2024-01-02")).cast("date").alias("_ingestion_date"))
+    df.write.partitionBy("_ingestion_date").parquet(path)
+    recent = read_bronze(spark, path, since=dt.date(2024, 1, 2))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_ingestion_date" in plan
+    assert recent.count() == 5
