@@ -25,6 +25,15 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Single writer: versions this store has read or written, and log
+        # tables known to exist, are remembered instead of re-listed.
+        self._versions: dict[str, int] = {}
+        self._logs: set[str] = set()
+
+    def refresh(self) -> None:
+        """Forget remembered versions (after another writer changed tables)."""
+        self._versions.clear()
+        self._logs.clear()
 
     @classmethod
     def shared(cls, spark: SparkSession, *parts: str) -> Store:
@@ -36,11 +45,16 @@ class Store:
 
     # ---- versioned (replace) tables -----------------------------------------
     def version(self, name: str) -> int | None:
+        if name in self._versions:
+            return self._versions[name]
         try:
             rows = self.spark.read.text(f"{self.path(name)}/{POINTER}").collect()
         except Exception:  # noqa: BLE001 - no pointer yet
             return None
-        return int(rows[0][0]) if rows else None
+        if not rows:
+            return None
+        self._versions[name] = int(rows[0][0])
+        return self._versions[name]
 
     def exists(self, name: str) -> bool:
         return self.version(name) is not None or self._has_log(name)
@@ -73,6 +87,7 @@ class Store:
         df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v:06d}")
         self.spark.createDataFrame([(str(v),)], "value string").coalesce(1).write.mode(
             "overwrite").text(f"{self.path(name)}/{POINTER}")
+        self._versions[name] = v
         return v
 
     # ---- table properties and SQL names ------------------------------------------
@@ -109,17 +124,21 @@ class Store:
         return f"{self.path(name)}/log"
 
     def _has_log(self, name: str) -> bool:
+        if name in self._logs:
+            return True
         try:
             self.spark.read.parquet(self._log_path(name)).schema  # noqa: B018
-            return True
         except Exception:  # noqa: BLE001
             return False
+        self._logs.add(name)
+        return True
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         w = df.write.mode("append").option("mergeSchema", "true")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self._log_path(name))
+        self._logs.add(name)
 
     def read_log(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         schema = schema or schemas.CONTRACTS.get(name)
