@@ -226,11 +226,19 @@ STAGE_FN = {
 }
 
 
+_COUNTS: dict = {}
+
+
 def _row_count(store: Store, table: str) -> int | None:
+    """Rows of a stage's output; a snapshot version is counted once (a gate
+    stage reports the table its mart stage just wrote)."""
     try:
         if table.startswith("bronze."):
             return store.read_log(table).count()
-        return store.read(table).count()
+        key = (store.root, table, store.version(table))
+        if key not in _COUNTS:
+            _COUNTS[key] = store.read(table).count()
+        return _COUNTS[key]
     except Exception:  # noqa: BLE001 - best effort, as a metric
         return None
 
