@@ -162,7 +162,7 @@ def validate_codes(codes: DataFrame, allowed_types=("CPT", "ICD10"),
 
 def codes_per_measure(codes: DataFrame) -> DataFrame:
     return codes.groupBy("measure_id", "code_type").agg(
-        F.count(F.lit(1)).alias("normalized_count"))
+        F.count(F.lit(1)).alias("normalized_count")).orderBy("measure_id", "code_type")
 
 
 def encounter_type_check(types: DataFrame, expected_rows: int = 5) -> DataFrame:

@@ -171,7 +171,8 @@ def gap_summary(queue: DataFrame) -> DataFrame:
 
 
 def gap_distribution(queue: DataFrame) -> DataFrame:
-    return queue.groupBy("gap_priority").agg(F.count(F.lit(1)).alias("gap_count"))
+    return (queue.groupBy("gap_priority").agg(F.count(F.lit(1)).alias("gap_count"))
+            .orderBy("gap_priority"))
 
 
 def billing_summary(claims: DataFrame) -> DataFrame:
