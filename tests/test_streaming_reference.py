@@ -176,3 +176,13 @@ def test_read_bronze_since_prunes_partitions(spark, tmpdir_path):
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_ingestion_date" in plan
     assert recent.count() == 5
+
+
+def test_store_version_cache_is_single_writer(spark, tmpdir_path):
+    a, b = Store(spark, tmpdir_path), Store(spark, tmpdir_path)
+    a.replace("silver.t", spark.range(1))
+    assert b.version("silver.t") == 1
+    a.replace("silver.t", spark.range(2))
+    assert b.version("silver.t") == 1  # remembered; another writer is not seen
+    b.refresh()
+    assert b.version("silver.t") == 2 and b.read("silver.t", a.read("silver.t").schema).count() == 2

@@ -109,3 +109,13 @@ def test_upsert_strategies_agree(spark, strategy):
         big = upsert_columns(tgt, src, ["k"], ["v", "updated_dttm"], strategy="split",
                              max_broadcast_keys=1)  # over the bound: no broadcast
         assert rows(big) == rows(out)
+
+
+def test_merge_latest_newer_wins_older_loses(spark):
+    from carelake.operators.upsert import merge_latest
+    tgt = spark.createDataFrame([("a", "1", D2, D2), ("b", "1", D2, D2), ("c", "1", D1, D1)], T)
+    batch = spark.createDataFrame([("a", "new", D2 + dt.timedelta(days=1), D2),
+                                   ("b", "old", D1, D1), ("d", "2", D1, D1)], T)
+    out = merge_latest(tgt, batch, ["k"], [F.col("load_dttm").desc()])
+    assert [(r[0], r[1]) for r in rows(out)] == [("a", "new"), ("b", "1"), ("c", "1"),
+                                                ("d", "2")]
