@@ -31,7 +31,7 @@ class Params:
     gap_medium_days: int = 180
     sla_deadline: str = "06:00"
     sla_timezone: str = "America/New_York"
-    namespace: str = "patient360_dev"
+    namespace: str = "carelake"
     # Day on which code-set validity is judged; None = as_of_date. Code sets
     # are versioned by their own effective dates, independent of the clinical
     # as-of day used for look-back windows and gap ages.
