@@ -6,15 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import quality_rules
+from carelake.llm import html_extract, license_scan, mil_classifier, quality_rules, sentencepiece_bpe
 from carelake.llm.common import read_table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = quality_rules.measure(read_table(spark, sf_dir, "documents"))
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     "n_repeat_words", "base_failed", "kept")
 
 
+def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = mil_classifier.fit(docs, read_table(spark, sf_dir, "labels"))
+    return mil_classifier.score(docs, model)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = sentencepiece_bpe.load_vocabulary(spark)
+    return sentencepiece_bpe.encode(read_table(spark, sf_dir, "documents"), vocab)
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op6_quality_rules,)}
+    f.__name__: f for f in (op1_license_scan, op6_quality_rules, op7_html_extract,
+                            op9_quality_classifier, op10_sentencepiece)}
