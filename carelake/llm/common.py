@@ -72,6 +72,7 @@ def left_join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str
     spread = F.when(hot, F.xxhash64(*[F.col(c) for c in out or keys])).otherwise(F.lit(0))
     j = j.withColumn("__far_l", hot).withColumn("__spread", spread)
     r = r.withColumn("__spread_r", F.lit(0).cast("bigint"))
-    j = j.join(r, [F.col("__far_l") == F.col("__far"), F.col("__spread") == F.col("__spread_r"),
+    # a hash join of the cold keys: the wide left rows need no sort
+    j = j.join(r.hint("shuffle_hash"), [F.col("__far_l") == F.col("__far"), F.col("__spread") == F.col("__spread_r"),
                    *[F.col(k) == F.col(f"__r_{k}") for k in keys]], "left")
     return j.select(*keys, *out, *[F.coalesce(f"__hc_{c}", f"__c_{c}").alias(c) for c in cols])

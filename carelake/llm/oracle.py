@@ -43,5 +43,38 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM r"""
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lines() -> str:
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH cut AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT doc_id, i, ls[i] AS line, translate(trim(ls[i], {white}), '{_UPPER}', '{_LOWER}') AS k
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM cut)),
+held AS (
+  SELECT k, max(doc_id) AS top FROM lines WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT l.doc_id, i, line, h.k IS NOT NULL AND l.doc_id <> h.top AS gone
+  FROM lines l LEFT JOIN held h ON l.k = h.k)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
+def _revisits() -> str:
+    return """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes, sha256(body) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                     ELSE page_id END AS f FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN f = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f <> page_id THEN f END AS refers_to FROM f"""
+
+
 def build() -> dict[str, str]:
-    return {"op6_quality_rules": _quality()}
+    return {"op3_line_dedup": _lines(), "op8_warc_zip": _revisits(), "op6_quality_rules": _quality()}

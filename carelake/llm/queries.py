@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from carelake.llm import html_extract, license_scan, mil_classifier, quality_rules, sentencepiece_bpe
+from carelake.llm import (decontaminate, html_extract, license_scan, line_dedup, mil_classifier, quality_rules,
+                          sentencepiece_bpe, warc_zip)
 from carelake.llm.common import read_table
 
 
@@ -14,6 +16,16 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = line_dedup.dedup(docs, line_dedup.deliveries(docs))
+    return d.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = quality_rules.measure(read_table(spark, sf_dir, "documents"))
     return m.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
@@ -24,6 +36,12 @@ def op7_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(read_table(spark, sf_dir, "pages"))
 
 
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    typed = warc_zip.with_types(read_table(spark, sf_dir, "pages"))
+    records = warc_zip.read_archives(warc_zip.write_archives(typed), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     model = mil_classifier.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -36,5 +54,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op6_quality_rules, op7_html_extract,
-                            op9_quality_classifier, op10_sentencepiece)}
+    f.__name__: f for f in (op1_license_scan, op3_line_dedup, op5_decontaminate, op6_quality_rules,
+                            op7_html_extract, op8_warc_zip, op9_quality_classifier, op10_sentencepiece)}
