@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import (decontaminate, html_extract, license_scan, line_dedup, mil_classifier, quality_rules,
-                          sentencepiece_bpe, warc_zip)
-from carelake.llm.common import read_table
+from carelake.llm import (decontaminate, html_extract, license_scan, line_dedup, mil_classifier, pii_boost,
+                          quality_rules, sentencepiece_bpe, warc_zip)
+from carelake.llm.common import materialize, read_table
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,13 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_pii_boost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = materialize(pii_boost.candidates(read_table(spark, sf_dir, "documents")), "candidates")
+    d = pii_boost.find(found, pii_boost.fit(found))
+    return d.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                    F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
@@ -54,5 +61,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op3_line_dedup, op5_decontaminate, op6_quality_rules,
+    f.__name__: f for f in (op1_license_scan, op3_line_dedup, op4_pii_boost, op5_decontaminate, op6_quality_rules,
                             op7_html_extract, op8_warc_zip, op9_quality_classifier, op10_sentencepiece)}
