@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import (decontaminate, html_extract, license_scan, line_dedup, mil_classifier, pii_boost,
+from carelake.llm import (decontaminate, html_extract, license_scan, line_dedup, mil_classifier, near_dedup, pii_boost,
                           quality_rules, sentencepiece_bpe, warc_zip)
 from carelake.llm.common import materialize, read_table
 
@@ -16,6 +16,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     d = line_dedup.dedup(docs, line_dedup.deliveries(docs))
@@ -61,5 +65,5 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_license_scan, op3_line_dedup, op4_pii_boost, op5_decontaminate, op6_quality_rules,
+    f.__name__: f for f in (op1_license_scan, op2_near_dedup, op3_line_dedup, op4_pii_boost, op5_decontaminate, op6_quality_rules,
                             op7_html_extract, op8_warc_zip, op9_quality_classifier, op10_sentencepiece)}
