@@ -5,7 +5,8 @@ vocabulary can span are segmented on their own. In a chunk all adjacent pairs th
 piece wait on an agenda, best score first, leftmost on ties. A popped candidate is
 skipped for good when a hash of (seed, variant, piece, position) falls below the dropout
 rate, so the same seed always gives the same segmentation, and other seeds or variants give
-others. Characters outside the vocabulary become byte pieces; so does a literal U+2581, which
+others. Chunks of a batch that aren't known yet run their agendas side by side in arrays; very long
+chunks use a heap. Characters outside the vocabulary become byte pieces; so does a literal U+2581, which
 makes decoding exact for every text. With dropout 0 the result is the usual merge encoding.
 
 Cases: a null text has null ids, an empty one no ids; both decode to what they were. Repeated
@@ -34,7 +35,12 @@ CACHE_ENTRIES = 150_000
 #: Chunks longer than this are segmented each time and not remembered.
 CACHE_CHARS = 64
 #: Rank of a pair that is no piece, or whose merge was skipped.
-NEVER = float("inf")
+NEVER = 2**40
+#: Chunks whose agendas run together.
+BLOCK_CHUNKS = 4096
+#: Texts whose chunks are gathered together.
+GROUP_CHARS = 4_000_000
+MASK, WIDE = 2**64 - 1, 2**21 + 2**20
 
 
 @dataclass(frozen=True)
@@ -62,36 +68,31 @@ class Vocabulary:
         return Vocabulary(pieces, tuple(sp.get_score(i) for i in ids), byte_ids, special)
 
 
-class _Cache(dict):
-    """Chunk to packed ids; misses are segmented. Two generations bound the memory."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make, self.old = make, {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        got = self.old.get(chunk)
-        if got is None:
-            got = self.make(chunk)
-        if len(chunk) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
-                self.old = dict(self)
-                self.clear()
-            self[chunk] = got
-        return got
-
-
 class Encoder:
-    """Encodes and decodes single texts; one per task."""
+    """Encodes and decodes single texts; one per task.
+
+    Pairs that form a piece are a sorted table of (left id, right id) keys with the rank of the
+    piece's score and its id. Symbols outside the vocabulary have ids beyond it.
+    """
 
     _CHUNK = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
     def __init__(self, vocab: Vocabulary, dropout: float = 0.0, seed: int = 0):
-        self.vocab, self.seed = vocab, seed
-        self.bound = int(dropout * 2.0**64)
-        normal = [i for i in range(len(vocab.pieces)) if i not in vocab.special]
-        self.rank = {vocab.pieces[i]: -vocab.scores[i] for i in normal}
-        self.packed = {vocab.pieces[i]: struct.pack("<i", i) for i in normal}
+        self.vocab, self.size = vocab, len(vocab.pieces)
+        self.bound = min(2**64 - 1, int(dropout * 2.0**64))
+        self.seed = seed * 0xD6E8FEB86659FD93 & MASK
+        normal = [i for i in range(self.size) if i not in vocab.special]
+        self.id_of = {vocab.pieces[i]: i for i in normal}
+        order = {x: r for r, x in enumerate(sorted({-vocab.scores[i] for i in normal}))}
+        pairs = sorted((self.id_of[p[:k]] * WIDE + self.id_of[p[k:]], order[-vocab.scores[i]], i)
+                       for i in normal for p in [vocab.pieces[i]] for k in range(1, len(p))
+                       if p[:k] in self.id_of and p[k:] in self.id_of)
+        self.keys, self.ranks, self.merged = (np.array([x[j] for x in pairs], np.int64) for j in range(3))
+        self.lookup = {k: (r, i) for k, r, i in pairs}
+        # id of a character: its piece, or beyond the vocabulary its code point
+        self.char_id = np.arange(0x110000, dtype=np.int32) + self.size
+        for p in (p for p in self.id_of if len(p) == 1):
+            self.char_id[ord(p)] = self.id_of[p]
         self.pack_bytes = [struct.pack("<i", i) for i in vocab.byte_ids]
         self.escaped = b"".join(self.pack_bytes[b] for b in SPACE.encode())
         self.out = [p.replace(SPACE, " ").encode() for p in vocab.pieces]
@@ -99,90 +100,175 @@ class Encoder:
             self.out[i] = b""
         for b, i in enumerate(vocab.byte_ids):
             self.out[i] = bytes([b])
-        self.caches: dict[int, _Cache] = {}
+        self.young: dict[int, dict[str, bytes]] = {}
+        self.old: dict[int, dict[str, bytes]] = {}
 
-    def skipped(self, piece: str, position: int, variant: int) -> bool:
+    def skipped(self, piece: int, position: int, variant: int) -> bool:
         """Keyed hash of a candidate below the dropout rate."""
-        return xxhash.xxh64_intdigest(f"{variant}:{position}:{piece}", self.seed) < self.bound
-
-    def segment(self, chunk: str, variant: int) -> bytes:
-        sym = self.merge_short(chunk, variant) if len(chunk) <= CACHE_CHARS else self.merge_long(chunk, variant)
-        ready = self.packed
-        return b"".join([ready.get(s) or b"".join([self.pack_bytes[x] for x in s.encode()]) for s in sym])
+        x = piece * 0x9E3779B97F4A7C15 ^ position * 0xC2B2AE3D27D4EB4F ^ variant * 0x165667B19E3779F9 ^ self.seed
+        x &= MASK
+        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & MASK
+        x = (x ^ x >> 29) * 0xC4CEB9FE1A85EC53 & MASK
+        return x ^ x >> 32 < self.bound
+
+    def _skipped(self, piece: np.ndarray, position: np.ndarray, variant: int) -> np.ndarray:
+        u = np.uint64
+        x = piece.astype(u) * u(0x9E3779B97F4A7C15) ^ position.astype(u) * u(0xC2B2AE3D27D4EB4F) ^ u(
+            (variant * 0x165667B19E3779F9 & MASK) ^ self.seed)
+        x = (x ^ x >> u(33)) * u(0xFF51AFD7ED558CCD)
+        x = (x ^ x >> u(29)) * u(0xC4CEB9FE1A85EC53)
+        return x ^ x >> u(32) < u(self.bound)
+
+    def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of the piece that two symbols form; ``NEVER`` if none."""
+        key = a.astype(np.int64) * WIDE + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = self.keys[at] == key
+        return np.where(hit, self.ranks[at], NEVER), self.merged[at]
+
+    def _packed(self, ids: np.ndarray) -> bytes:
+        if (ids < self.size).all():
+            return ids.astype("<i4").tobytes()
+        return b"".join([struct.pack("<i", i) if i < self.size else
+                         b"".join([self.pack_bytes[x] for x in chr(i - self.size).encode()]) for i in ids.tolist()])
+
+    def segment_many(self, chunks: list[str], variant: int) -> dict[str, bytes]:
+        """Chunks of at most ``CACHE_CHARS`` characters, all agendas of a block at once: a row holds the ranks
+        of a chunk's adjacent pairs, and each step merges or skips the best of every row."""
+        out: dict[str, bytes] = {}
+        chunks = sorted(chunks, key=len)
+        for start in range(0, len(chunks), BLOCK_CHUNKS):
+            block = chunks[start:start + BLOCK_CHUNKS]
+            n, width = len(block), len(block[-1])
+            size = np.fromiter(map(len, block), np.int64, n)
+            col = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            sym = np.full((n, width + 1), -1, np.int32)
+            sym[np.repeat(np.arange(n), size), col] = self.char_id[np.frombuffer("".join(block).encode("utf-32-le"), np.uint32)]
+            pos = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
+            rank, _ = self._pair(sym[:, :-1], sym[:, 1:])  # a pair with the -1 at the end is no piece
+            row = np.arange(n)  # chunks whose agenda isn't empty
+            s, p, k = sym, pos, rank
+            while width > 1:
+                i = k.argmin(axis=1)
+                live = k[np.arange(len(k)), i] < NEVER
+                if not live.all():
+                    sym[row] = s
+                    row, s, p, k, i = row[live], s[live], p[live], k[live], i[live]
+                if len(row) == 0:
+                    break
+                r = np.arange(len(row))
+                _, piece = self._pair(s[r, i], s[r, i + 1])
+                if self.bound:
+                    skip = self._skipped(piece, p[r, i], variant)
+                    k[r[skip], i[skip]] = NEVER
+                    go = ~skip
+                    r, i, piece = r[go], i[go], piece[go]
+                if len(r):
+                    s[r, i] = piece
+                    take = np.arange(s.shape[1])[None, :]
+                    take = np.minimum(take + (take > i[:, None]), s.shape[1] - 1)
+                    x, y = np.take_along_axis(s[r], take, 1), np.take_along_axis(p[r], take, 1)
+                    x[:, -1] = -1
+                    z = np.take_along_axis(k[r], np.minimum(take[:, :-1], k.shape[1] - 1), 1)
+                    z[:, -1] = NEVER
+                    q = np.arange(len(r))
+                    z[q, i], _ = self._pair(x[q, i], x[q, i + 1])
+                    h = np.flatnonzero(i > 0)
+                    z[h, i[h] - 1], _ = self._pair(x[h, i[h] - 1], x[h, i[h]])
+                    s[r], p[r], k[r] = x, y, z
+            if len(row):
+                sym[row] = s
+            ends = np.cumsum((sym >= 0).sum(axis=1)).tolist()
+            flat, at = sym[sym >= 0], 0
+            plain = bool((flat < self.size).all())
+            data = flat.astype("<i4").tobytes() if plain else b""
+            for chunk, end in zip(block, ends, strict=True):
+                out[chunk] = data[4 * at:4 * end] if plain else self._packed(flat[at:end])
+                at = end
+        return out
 
-    def merge_short(self, chunk: str, variant: int) -> list[str]:
-        """The agenda as an array of the ranks of all adjacent pairs."""
-        rank, sym = self.rank.get, list(chunk)
-        agenda = [rank(a + b, NEVER) for a, b in zip(sym, sym[1:], strict=False)]
-        while agenda:
-            best = min(agenda)
-            if best == NEVER:
-                break
-            i = agenda.index(best)
-            piece = sym[i] + sym[i + 1]
-            if self.bound and self.skipped(piece, sum(map(len, sym[:i])), variant):
-                agenda[i] = NEVER
-                continue
-            sym[i:i + 2] = [piece]
-            del agenda[i]
-            if i < len(agenda):
-                agenda[i] = rank(piece + sym[i + 1], NEVER)
-            if i:
-                agenda[i - 1] = rank(sym[i - 1] + piece, NEVER)
-        return sym
-
-    def merge_long(self, chunk: str, variant: int) -> list[str]:
-        """The agenda as a heap, for chunks of any length."""
-        rank, sym, n = self.rank.get, list(chunk), len(chunk)
+    def merge_long(self, chunk: str, variant: int) -> bytes:
+        """The agenda as a heap, for one chunk of any length."""
+        sym, n = self.char_id[np.frombuffer(chunk.encode("utf-32-le"), np.uint32)].tolist(), len(chunk)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple] = []
 
         def offer(a: int, b: int) -> None:
-            found = rank(piece := sym[a] + sym[b])
+            found = self.lookup.get(sym[a] * WIDE + sym[b])
             if found is not None:
-                heapq.heappush(agenda, (found, a, b, piece))
+                heapq.heappush(agenda, (found[0], a, b, sym[a], sym[b], found[1]))
 
         for a in range(n - 1):
             offer(a, a + 1)
         while agenda:
-            _, a, b, piece = heapq.heappop(agenda)
-            if not sym[a] or not sym[b] or right[a] != b or len(sym[a]) + len(sym[b]) != len(piece):
+            _, a, b, was_a, was_b, piece = heapq.heappop(agenda)
+            if sym[a] != was_a or sym[b] != was_b or right[a] != b:
                 continue
             if self.bound and self.skipped(piece, a, variant):
                 continue
-            sym[a], sym[b], right[a] = piece, "", right[b]
+            sym[a], sym[b], right[a] = piece, -1, right[b]
             if right[b] < n:
                 left[right[b]] = a
                 offer(a, right[b])
             if left[a] >= 0:
                 offer(left[a], a)
-        return [s for s in sym if s]
+        return self._packed(np.array([x for x in sym if x >= 0], np.int32))
 
-    def encode(self, text: str, variant: int = 0) -> bytes:
-        """Ids as packed 32-bit integers."""
+    def _split(self, text: str) -> list[list[str]]:
+        """Chunks of the marked text; more than one list where a literal U+2581 goes in between as bytes."""
         if not text:
-            return b""
-        cache = self.caches.get(variant)
-        if cache is None:
-            cache = self.caches[variant] = _Cache(lambda c: self.segment(c, variant))
-        if SPACE in text:
-            return b"".join(self._escaped_parts(text, cache))
-        marked = (" " + text).replace(" ", SPACE)
-        return b"".join(map(cache.__getitem__, self._CHUNK.findall(marked)))
-
-    def _escaped_parts(self, text: str, cache: _Cache) -> list[bytes]:
-        """A literal U+2581 in the text goes in as bytes, so that it isn't read as a space."""
-        out: list[bytes] = []
-        for k, part in enumerate((" " + text).split(SPACE)):
-            if k:
-                out.append(self.escaped)
-            out += map(cache.__getitem__, self._CHUNK.findall(part.replace(" ", SPACE)))
+            return []
+        parts = (" " + text).split(SPACE)
+        return [self._CHUNK.findall(p.replace(" ", SPACE)) for p in parts]
+
+    def encode_many(self, texts: list[str], variants: list[int]) -> list[bytes]:
+        """Ids of each text as packed 32-bit integers."""
+        split = [self._split(t) for t in texts]
+        for v in set(variants):
+            young, old = self.young.setdefault(v, {}), self.old.setdefault(v, {})
+            if len(young) > CACHE_ENTRIES:
+                self.old[v], young = young, {}
+                old, self.young[v] = self.old[v], young
+            missing: set[str] = set()
+            for lists, w in zip(split, variants, strict=True):
+                if w == v:
+                    for chunks in lists:
+                        missing.update(chunks)
+            missing.difference_update(young)
+            young.update((c, old[c]) for c in missing & old.keys())
+            missing.difference_update(old)
+            short = [c for c in missing if len(c) <= CACHE_CHARS]
+            young.update(self.segment_many(short, v))
+            young.update((c, self.merge_long(c, v)) for c in missing if len(c) > CACHE_CHARS)
+        out = []
+        for lists, v in zip(split, variants, strict=True):
+            get = self.young[v].__getitem__
+            out.append(self.escaped.join([b"".join(map(get, chunks)) for chunks in lists]))
+        for v in set(variants):  # long chunks aren't worth keeping
+            for c in [c for c in self.young[v] if len(c) > CACHE_CHARS]:
+                del self.young[v][c]
         return out
 
+    def encode(self, text: str, variant: int = 0) -> bytes:
+        return self.encode_many([text], [variant])[0]
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.out.__getitem__, ids))[1:].decode()
 
 
+def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``GROUP_CHARS`` characters."""
+    group, size = [], 0
+    for t in texts:
+        group.append(t)
+        size += len(t or "")
+        if size >= GROUP_CHARS:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
 def encode(docs: DataFrame, vocab: Vocabulary, dropout: float = 0.1, seed: int = 7, variants: int = 2,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, ids, n_ids, n_chars, lossless (its ids decode to the text).
@@ -195,15 +281,15 @@ def encode(docs: DataFrame, vocab: Vocabulary, dropout: float = 0.1, seed: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = Encoder(shared.value, dropout, seed)
         for b in batches:
-            packed, ends, null, chars, ok = [], [0], [], [], []
-            for t in b.column(1):
-                text = t.as_py()
-                got = b"" if text is None else enc.encode(text, xxhash.xxh32_intdigest(text, seed) % variants)
-                null.append(text is None)
-                packed.append(got)
-                ends.append(ends[-1] + len(got) // 4)
-                chars.append(len(text or ""))
-                ok.append(enc.decode(np.frombuffer(got, np.int32).tolist()) == (text or ""))
+            texts = b.column(1).to_pylist()
+            packed: list[bytes] = []
+            for group in _groups(texts):
+                packed += enc.encode_many([t or "" for t in group],
+                                          [xxhash.xxh32_intdigest(t or "", seed) % variants for t in group])
+            null = [t is None for t in texts]
+            chars = [len(t or "") for t in texts]
+            ok = [enc.decode(np.frombuffer(p, np.int32).tolist()) == (t or "") for p, t in zip(packed, texts, strict=True)]
+            ends = np.cumsum([0, *[len(p) // 4 for p in packed]])
             ids = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
                 mask=pa.array(null, pa.bool_()))
