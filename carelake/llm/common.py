@@ -61,18 +61,16 @@ def left_join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str
     """
     cols = [c for c in right.columns if c not in keys and c != n]
     out = [c for c in left.columns if c not in keys]
-    r = right.where(F.col(n) * parts <= total).select(
-        F.lit(False).alias("__far"), *[F.col(k).alias(f"__r_{k}") for k in keys],
-        *[F.col(c).alias(f"__c_{c}") for c in cols], F.lit(True).alias("__cold"))
-    h = right.where(F.col(n) * parts > total).select(
-        *[F.col(k).alias(f"__h_{k}") for k in keys], *[F.col(c).alias(f"__hc_{c}") for c in cols],
+    cold = right.where(F.col(n) * parts <= total).select(
+        F.xxhash64(*keys).alias("__rk"), *[F.col(k).alias(f"__r_{k}") for k in keys],
+        *[F.col(c).alias(f"__c_{c}") for c in cols])
+    hot = right.where(F.col(n) * parts > total).select(
+        *[F.col(k).alias(f"__h_{k}") for k in keys], *[F.col(c).alias(f"__h_c_{c}") for c in cols],
         F.lit(True).alias("__hot"))
-    j = left.join(F.broadcast(h), [F.col(k) == F.col(f"__h_{k}") for k in keys], "left")
-    hot = F.col("__hot").isNotNull()
-    spread = F.when(hot, F.xxhash64(*[F.col(c) for c in out or keys])).otherwise(F.lit(0))
-    j = j.withColumn("__far_l", hot).withColumn("__spread", spread)
-    r = r.withColumn("__spread_r", F.lit(0).cast("bigint"))
+    j = left.join(F.broadcast(hot), [F.col(k) == F.col(f"__h_{k}") for k in keys], "left")
+    spread = F.when(F.col("__hot"), F.xxhash64(*(out or keys))).otherwise(F.xxhash64(*keys))
     # a hash join of the cold keys: the wide left rows need no sort
-    j = j.join(r.hint("shuffle_hash"), [F.col("__far_l") == F.col("__far"), F.col("__spread") == F.col("__spread_r"),
-                   *[F.col(k) == F.col(f"__r_{k}") for k in keys]], "left")
-    return j.select(*keys, *out, *[F.coalesce(f"__hc_{c}", f"__c_{c}").alias(c) for c in cols])
+    j = j.withColumn("__lk", spread).join(
+        cold.hint("shuffle_hash"),
+        [F.col("__lk") == F.col("__rk"), *[F.col(k) == F.col(f"__r_{k}") for k in keys]], "left")
+    return j.select(*keys, *out, *[F.coalesce(f"__h_c_{c}", f"__c_{c}").alias(c) for c in cols])
