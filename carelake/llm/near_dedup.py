@@ -12,7 +12,7 @@ Copies collapse first: texts with equal words are one class, represented by its
 follows sees classes only. Within a bucket no pairs are listed. All members are compared with one
 head (the smallest id), then, as long as a bucket holds several components, with members of
 other components (two more rounds), and at last the members outside the bucket's main component with
-all others, as arrays in blocks of bounded size that emit likely links only. So no link that
+all others, as arrays in blocks of bounded size that emit links only. So no link that
 agrees in a band is lost to a cap; a pair at the threshold agrees in no band with probability
 ``miss()`` (1e-5 for the defaults).
 
@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from carelake.llm.common import left_join_counted, materialize
 from carelake.llm.components import components
 
-BLOCK = 1024
+BLOCK, REST_BLOCK = 1024, 512
 _ODD = np.random.default_rng(5).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
 _SCALE = 20.0
 
@@ -135,6 +135,12 @@ def _likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, s: S
     return ok
 
 
+def similar(a: np.ndarray, b: np.ndarray, s: Settings) -> bool:
+    """Whether two full sets reach the threshold."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= s.percent * (len(a) + len(b) - both)
+
+
 def sketches(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, class hashes c1 and c2, n (size of its set), regs (null if empty)."""
 
@@ -196,12 +202,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
                 if a is None:  # sorts before the pairs of its block
                     heads.append(own)
                     continue
-                for head in heads:
-                    both = len(np.intersect1d(own, head, assume_unique=True))
-                    if 100 * both >= s.percent * (len(own) + len(head) - both):
-                        a_out.append(a)
-                        b_out.append(b)
-                        break
+                if any(similar(own, head, s) for head in heads):
+                    a_out.append(a)
+                    b_out.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
     return (heads.unionByName(rows).repartition("b", "salt").sortWithinPartitions("b", "salt", F.col("a").asc_nulls_first())
@@ -237,23 +240,24 @@ def _cross_pairs(m: DataFrame, seed: int) -> DataFrame:
     return j.select(F.col("id").alias("a"), other.alias("b"))
 
 
-def _rest(m: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
-    """All likely pairs across the components of a bucket: members outside its main component with all
-    others, in blocks of arrays. A pair is emitted for the first band it agrees in only."""
+def _rest(m: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """Verified links across the components of a bucket: members outside its main component with all others, in
+    blocks of arrays. A pair is looked at for the first band it agrees in only, and a member needs one link
+    to each component, so few rows leave a block however many pairs it compares."""
     sizes = m.groupBy("band", "key", "c").agg(F.count(F.lit(1)).alias("k"))
     mains = (sizes.groupBy("band", "key").agg(F.sum("k").alias("cnt"), F.max(F.struct("k", "c")).alias("top"),
                                               F.count(F.lit(1)).alias("parts"))
              .where("parts > 1 and cnt > 2")
              .select("band", "key", "cnt", F.col("top.c").alias("main"),
-                     F.ceil(F.col("cnt") / BLOCK).cast("int").alias("qm"),
-                     F.ceil((F.col("cnt") - F.col("top.k")) / BLOCK).cast("int").alias("qs")))
+                     F.ceil(F.col("cnt") / REST_BLOCK).cast("int").alias("qm"),
+                     F.ceil((F.col("cnt") - F.col("top.k")) / REST_BLOCK).cast("int").alias("qs")))
     mains = materialize(mains, "mains")
     total = mains.agg(F.sum("cnt")).first()[0] or 0
     j = left_join_counted(m, mains, ["band", "key"], "cnt", total).where("main is not null")
-    j = j.join(classes.select("id", "regs", "n"), "id")
+    j = j.join(classes.select("id", "regs", "n"), "id").join(sets, "id")
     slot = lambda q, x: F.pmod(F.xxhash64("id", F.lit(x)), F.col(q)).cast("int")
     every = lambda q: F.explode(F.sequence(F.lit(0), F.col(q) - 1))
-    cols = ["band", "key", "id", "c", "regs", "n"]
+    cols = ["band", "key", "id", "c", "regs", "n", "set"]
     right = j.select(*cols, "qs", slot("qm", 1).alias("x")).select(*cols, "x", every("qs").alias("y"), F.lit(0).alias("side"))
     left = (j.where("c <> main").select(*cols, "qm", slot("qs", 2).alias("y"))
             .select(*cols, every("qm").alias("x"), "y", F.lit(1).alias("side")).select(right.columns))
@@ -265,17 +269,20 @@ def _rest(m: DataFrame, classes: DataFrame, s: Settings) -> DataFrame:
         idb, cb, nb = (b[x].to_numpy() for x in ("id", "c", "n"))
         both = set(a["id"].tolist())
         outside = np.array([i in both for i in idb.tolist()], bool)
-        for i, c, regs, n in zip(a["id"], a["c"], a["regs"], a["n"], strict=True):
-            ra = np.frombuffer(regs, np.uint16)
+        held = [np.frombuffer(x, np.uint64) for x in b["set"]]
+        for i, c, regs, n, data in zip(a["id"], a["c"], a["regs"], a["n"], a["set"], strict=True):
+            ra, own, linked = np.frombuffer(regs, np.uint16), np.frombuffer(data, np.uint64), {c}
             # a pair of two outside members may meet twice in a block: take it once
             use = np.flatnonzero((cb != c) & ~(outside & (idb < i)))
-            if len(use) == 0:
-                continue
             same = (rb[use] == ra).reshape(len(use), s.bands, s.rows).all(axis=2)
             use = use[same.argmax(axis=1) == band]
-            if len(use):
-                ok = _likely(np.broadcast_to(ra, (len(use), len(ra))), rb[use], np.full(len(use), n), nb[use], s)
-                out += [(i, x) for x in idb[use[ok]].tolist()]
+            if len(use) == 0:
+                continue
+            ok = _likely(np.broadcast_to(ra, (len(use), len(ra))), rb[use], np.full(len(use), n), nb[use], s)
+            for x in use[ok].tolist():
+                if cb[x] not in linked and similar(own, held[x], s):
+                    linked.add(cb[x])
+                    out.append((i, idb[x]))
         return pd.DataFrame({"a": [x[0] for x in out], "b": [x[1] for x in out]}, dtype="int64")
 
     return left.unionByName(right).groupBy("band", "key", "x", "y").applyInPandas(run, "a bigint, b bigint")
@@ -306,8 +313,8 @@ def classes_and_components(docs: DataFrame, s: Settings, id_col: str = "doc_id",
         sk.where("n > 0 and doc_id is not null").groupBy("c1", "c2")
         .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("regs").alias("regs")),
         "classes")
-    step = 2 * s.rows
-    key = F.xxhash64("band", F.substring(F.col("regs"), F.col("band") * step + 1, F.lit(step)))
+    width = 2 * s.rows
+    key = F.xxhash64("band", F.substring(F.col("regs"), F.col("band") * width + 1, F.lit(width)))
     b = classes.select("id", "regs", F.explode(F.sequence(F.lit(0), F.lit(s.bands - 1))).alias("band")).select(
         "id", "band", key.alias("key"))
     heads = materialize(b.groupBy("band", "key").agg(F.count(F.lit(1)).alias("cnt"), F.min("id").alias("head"))
@@ -321,18 +328,15 @@ def classes_and_components(docs: DataFrame, s: Settings, id_col: str = "doc_id",
     some = materialize(some.select("id", "n", "regs").dropDuplicates(["id", "regs"]), "candidates")
     sets = materialize(_sets(docs, ids, s, id_col, text_col), "sets")
     comp, tested = None, None
-    for step_no in range(4):
-        if step_no in (1, 2):
-            pairs = _ordered(_cross_pairs(_label(m, comp), step_no))
-        elif step_no == 3:
-            pairs = _ordered(_rest(_label(m, comp), some, s))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs if step_no == 3 else _estimated(pairs, some, s), "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        if pairs.isEmpty():
-            continue
-        links = materialize(_verified(pairs, sets, s), "verified")
+    for step in range(4):
+        if step == 3:
+            links = materialize(_rest(_label(m, comp), some, sets, s), "verified")
+        else:
+            if step:
+                pairs = _ordered(_cross_pairs(_label(m, comp), step)).join(tested, ["a", "b"], "left_anti")
+            pairs = materialize(_estimated(pairs, some, s), "pairs")
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            links = materialize(_verified(pairs, sets, s), "verified")
         if not links.isEmpty():
             comp = _join_up(comp, links)
     return sk, classes, comp

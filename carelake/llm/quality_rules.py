@@ -84,7 +84,10 @@ def with_measures(df: DataFrame, text: Column) -> DataFrame:
             F.char_length(F.array_join("__w", "")).cast("bigint").alias("word_chars"),
             F.regexp_count("__t", F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             (F.size("__l") - F.size(F.array_distinct("__l"))).cast("bigint").alias("n_dup_lines"),
-            F.when(F.col("__s").isNull(), F.lit(0)).otherwise(_repeat_positions(F.col("__s")))
+            # the partition id only keeps the optimizer from moving a later filter below this point,
+            # where the sorted windows would be computed anew for each of them
+            F.when(F.col("__s").isNull(), F.lit(0))
+            .when(F.spark_partition_id() >= 0, _repeat_positions(F.col("__s")))
             .cast("bigint").alias("n_repeat_words"),
             F.size("__l").cast("bigint").alias("n_lines"),
             F.size(F.filter("__w", lambda w: F.lower(w).isin(*STOP_WORDS))).cast("bigint")
