@@ -145,11 +145,11 @@ def rewrite(docs: DataFrame, counts: DataFrame | None, id_col: str = "doc_id", t
         j = d.join(gone.hint("shuffle_hash"),
                    F.col("row")[id_col].cast("bigint").eqNullSafe(F.col("d"))
                    & (F.xxhash64(F.col("row")[text_col]) == F.col("th")), "left").select("row", "gone")
-    lines = F.split(text, "\n")
-    j = j.select("row", "gone", F.size(lines).alias("n"), F.when(F.col("gone").isNotNull(), lines).alias("lines"))
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.col("n") - 1), "gone"), lambda i: F.get("lines", i))
+    j = j.select("row", "gone", F.size(F.split(text, "\n")).alias("n"))
+    left = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), "gone")
+    kept = let(F.split(text, "\n"), lambda lines: F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
     return j.select(
-        "row", F.when(F.col("gone").isNull(), text).otherwise(F.array_join(left, "\n")).alias("kept_text"),
+        "row", F.when(F.col("gone").isNull(), text).otherwise(kept).alias("kept_text"),
         F.col("n").cast("bigint").alias("n_lines"),
         F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("bigint").alias("n_dropped"))
 
