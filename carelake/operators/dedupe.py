@@ -18,8 +18,3 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column],
     w = Window.partitionBy(*keys).orderBy(*order)
     return (df.withColumn(rank_col, F.row_number().over(w))
             .filter(F.col(rank_col) == 1).drop(rank_col))
-
-
-def drop_duplicate_versions(df: DataFrame, keys: list[str]) -> DataFrame:
-    """``dropDuplicates(keys)`` (hash aggregate with map-side combine)."""
-    return df.dropDuplicates(keys)

@@ -5,31 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Lookup tables (encounter types, code sets, measure catalogue) hold a few
-# hundred rows by nature; anything above this bound is joined by shuffle.
-MAX_BROADCAST_ROWS = 1_000_000
+# Lookup tables (encounter types, code sets, measure catalogue) hold a few hundred rows by
+# nature; one whose plan may hold more than this is joined by shuffle.
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only after checking its size.
-
-    The check counts at most ``max_rows + 1`` rows (a bounded job on the
-    lookup table itself). Larger inputs are returned unhinted so the planner
-    keeps a shuffle join (AQE may still broadcast from runtime statistics).
-    """
-    return F.broadcast(df) if fits_rows(df, max_rows) else df
+def plan_bytes(df: DataFrame) -> int:
+    """Upper estimate of the size from the plan's statistics (file sizes included); runs no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
 
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most
-    ``max_rows + 1``); cached per application and plan."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    fits = _CHECKED.get(key)
-    if fits is None:
-        fits = df.limit(max_rows + 1).count() <= max_rows
-        _CHECKED[key] = fits
-    return fits
+def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only while its plan proves it small.
 
-
-# Verdicts per (application, plan): the same lookup plan is checked once.
-_CHECKED: dict = {}
+    The check is made for every plan that is built, so a lookup that has grown since is
+    checked again. A larger one is returned without a hint: the planner keeps a
+    shuffle join (AQE may still broadcast from runtime statistics).
+    """
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from carelake.functions import changed_any, lit_date, lit_ts
 from carelake.operators.dedupe import latest_per_key
-from pyspark.sql import Window
 
 
 def _any_null(keys: Iterable[str], prefix: str = "") -> Column:
@@ -45,14 +44,16 @@ def guard_unique_source(src: DataFrame, keys: list[str], on_duplicate: str = "er
         raise ValueError(f"unknown on_duplicate mode: {on_duplicate}")
     # NULL-key rows never match and are exempt; they bypass the keyed window
     # so they cannot pile up in the one partition that NULL hashes to.
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    # Copies of a key are counted by partial sums; only the keys' one-row counts are joined.
     first = keys[0]
-    guarded = F.when(n == 1, F.col(first)).otherwise(
+    keyed = src.filter(~_any_null(keys))
+    repeated = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
+    j = keyed.join(repeated, keys, "left")
+    guarded = F.when(F.col("_copies").isNull(), F.col(first)).otherwise(
         F.raise_error(F.concat(F.lit("upsert source has duplicate key: "),
                                F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))))
-    keyed = src.filter(~_any_null(keys))
-    return keyed.withColumn(first, guarded.cast(src.schema[first].dataType)).unionByName(
-        src.filter(_any_null(keys)))
+    return j.withColumn(first, guarded.cast(src.schema[first].dataType)).select(
+        *src.columns).unionByName(src.filter(_any_null(keys)))
 
 
 def upsert_all(target: DataFrame, source: DataFrame, keys: list[str],
@@ -77,7 +78,7 @@ def merge_latest(target: DataFrame, batch: DataFrame, keys: list[str], order: li
     For keys present in ``batch`` the stored row and the new rows compete
     under ``order`` (latest-of-latest equals latest over everything, so the
     result equals a full recompute); other stored rows pass through an anti
-    join. Work grows with the batch, not with the table's history.
+    join. Staging work grows with the batch; the stored table is read and rewritten whole.
     """
     batch = batch.select(*target.columns)
     touched = batch.select(*keys).distinct()
@@ -88,8 +89,8 @@ def merge_latest(target: DataFrame, batch: DataFrame, keys: list[str], order: li
 
 def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str],
                    update_cols: list[str], on_duplicate: str = "error",
-                   order: list[Column] | None = None, strategy: str = "full_outer",
-                   max_broadcast_keys: int = 2_000_000) -> DataFrame:
+                   order: list[Column] | None = None, strategy: str = "full_outer"
+                   ) -> DataFrame:
     """MERGE with an explicit column map.
 
     Matched: ``update_cols`` take the source value, every other column
@@ -98,21 +99,16 @@ def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str],
 
     ``strategy``:
       * ``full_outer`` - one full outer join on the keys (shuffles both sides);
-      * ``split`` / ``auto`` - for a batch that is small next to the table:
-        target rows whose key is not in the batch pass through a broadcast
-        anti join (the table is never shuffled); only the touched rows meet
-        the batch in the outer join. The batch keys are broadcast only after a
-        bounded size check (at most ``max_broadcast_keys``); above it the
-        full outer join is used. Use it on a materialized batch (the check
-        reads it).
+      * ``split`` - for a batch that is small next to the table: target rows whose key
+        is not in the batch pass through an anti join, and only the touched rows
+        meet the batch in the outer join. No size switch: AQE broadcasts the batch keys
+        when their runtime size allows and shuffles otherwise. Use it on a
+        materialized batch, which is read three times.
     """
     cols = target.columns
     src = guard_unique_source(source.select(*cols), keys, on_duplicate, order)
-    if strategy in ("auto", "split"):
-        from carelake.operators.lookup import fits_rows
-        strategy = "split" if fits_rows(src.select(*keys), max_broadcast_keys) else "full_outer"
     if strategy == "split":
-        batch_keys = F.broadcast(src.select(*keys).filter(~_any_null(keys)))
+        batch_keys = src.select(*keys).filter(~_any_null(keys))
         untouched = target.join(batch_keys, keys, "left_anti")
         touched = target.join(batch_keys, keys, "left_semi")
         return untouched.unionByName(
@@ -168,22 +164,22 @@ def scd2_apply(target: DataFrame, staged: DataFrame, key: str, attrs: list[str],
     s_in = F.col("s._s_present").isNotNull()
     changed = t_in & s_in & changed_any("t", "s", attrs, null_safe)
 
-    kept_or_expired = j.filter(t_in).select(*[
-        (F.when(changed, lit_date(as_of_date)).otherwise(F.col("t.expiration_date"))
-         if c == "expiration_date" else
-         F.when(changed, F.lit(False)).otherwise(F.col("t.is_current"))
-         if c == "is_current" else F.col(f"t.{c}")).alias(c)
-        for c in cols])
-
     fresh = {
         "effective_date": lit_date(as_of_date),
         "expiration_date": F.lit(None).cast("date"),
         "is_current": F.lit(True),
         "load_dttm": lit_ts(load_ts),
     }
-    new_versions = j.filter(s_in & (~t_in | changed)).select(*[
-        (fresh[c] if c in fresh else F.col(f"s.{c}")).alias(c) for c in cols])
-    return history.unionByName(kept_or_expired).unionByName(new_versions)
+    ended = {"expiration_date": F.when(changed, lit_date(as_of_date)).otherwise(F.col("t.expiration_date")),
+             "is_current": F.when(changed, F.lit(False)).otherwise(F.col("t.is_current"))}
+    typed = lambda f, c: c.cast(f.dataType).alias(f.name)
+    old = F.struct(*[typed(f, ended.get(f.name, F.col(f"t.{f.name}"))) for f in target.schema.fields])
+    new = F.struct(*[typed(f, fresh[f.name] if f.name in fresh else F.col(f"s.{f.name}"))
+                     for f in target.schema.fields])
+    # the join runs once: each of its rows gives the version it keeps or ends, the one it starts, or both
+    versions = F.array_compact(F.array(F.when(t_in, old), F.when(s_in & (~t_in | changed), new)))
+    applied = j.select(F.explode(versions).alias("_v")).select(*[F.col(f"_v.{c}").alias(c) for c in cols])
+    return history.unionByName(applied)
 
 
 def idempotency_summary(df: DataFrame, keys: list[str], extra: dict[str, Column] | None = None

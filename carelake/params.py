@@ -31,7 +31,6 @@ class Params:
     gap_medium_days: int = 180
     sla_deadline: str = "06:00"
     sla_timezone: str = "America/New_York"
-    namespace: str = "carelake"
     # Day on which code-set validity is judged; None = as_of_date. Code sets
     # are versioned by their own effective dates, independent of the clinical
     # as-of day used for look-back windows and gap ages.
@@ -59,7 +58,7 @@ class Params:
             "lookback_days": int, "measurement_year": int, "dq_trailing_days": int,
             "gap_high_days": int, "gap_medium_days": int,
             "dq_row_count_ratio": float, "high_cost_threshold": str,
-            "sla_deadline": str, "sla_timezone": str, "namespace": str,
+            "sla_deadline": str, "sla_timezone": str,
         }
         for name, fn in conv.items():
             raw = spark.conf.get(CONF_PREFIX + name, None)

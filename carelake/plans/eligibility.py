@@ -24,7 +24,7 @@ def measure_names(measure_defs: DataFrame) -> DataFrame:
     """One name per measure id (a re-delivered definition must not fan out
     eligibility keys): the newest delivery when ingestion metadata exists."""
     if "_ingestion_timestamp" in measure_defs.columns:
-        name = F.max_by("measure_name", "_ingestion_timestamp")
+        name = F.max_by("measure_name", F.struct("_ingestion_timestamp", "measure_name"))
     else:
         name = F.max("measure_name")
     return (measure_defs.filter(F.col("measure_id").isNotNull())

@@ -10,6 +10,7 @@ without repeating the ones before it (repair run).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -23,7 +24,6 @@ from carelake.params import Params
 from carelake.plans import dq, eligibility, marts, reference, runlog
 from carelake.plans.staging import (PATIENT_ATTRS, stage_charges, stage_encounters,
                                     stage_patients)
-from carelake.sources import adapter
 from carelake.sources.store import Store
 from carelake.streaming.ingest import IngestSpec, ingest_all
 
@@ -66,30 +66,23 @@ def _bronze(run: Run, entity: str) -> DataFrame:
     return run.store.read_log(f"bronze.{entity}")
 
 
+def _reference_gate(table: str, verdict: DataFrame) -> None:
+    """Halt on a reference load that does not validate."""
+    failed = [r.asDict() for r in verdict.collect() if r.status == "FAIL"]
+    if failed:
+        raise dq.DataQualityError(f"{table} failed its validation: {failed}")
+
+
 def stage_bronze(run: Run) -> None:
     s = run.store
     if s.version(reference.ENCOUNTER_TYPES) is None:
-        reference.load_encounter_types(run.spark, s)
+        _reference_gate(reference.ENCOUNTER_TYPES, reference.load_encounter_types(run.spark, s))
     if s.version(reference.ELIGIBILITY_CODES) is None:
-        reference.load_eligibility_codes(run.spark, s)
-    specs = list(run.landing)
-    if not any(sp.entity == "hedis_measure_definition" for sp in specs):
-        folder = f"{s.root}/_landing/hedis_measure_definition"
-        if not _exists(run.spark, folder):
-            adapter.land_measure_definitions(run.spark, f"{s.root}/_landing")
-        specs.append(adapter.measure_definition_spec(folder))
-    ingest_all(run.spark, specs, lambda e: s.log_path(f"bronze.{e}"),
+        _reference_gate(reference.ELIGIBILITY_CODES, reference.load_eligibility_codes(run.spark, s))
+    ingest_all(run.spark, list(run.landing), lambda e: s.log_path(f"bronze.{e}"),
                lambda e: f"{s.root}/_checkpoints/bronze/{e}", run.run_id)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
-
-
 def _concurrently(*jobs) -> None:
     """Run independent Spark actions side by side (one driver thread each);
     re-raise the first failure after all have finished."""
@@ -111,7 +104,8 @@ def _bronze_since_watermark(run: Run, entity: str):
         return df, None
     mark = run.store.properties(f"silver.{entity}_state").get(WATERMARK)
     if mark:
-        df = df.filter(F.col("_ingestion_timestamp") > F.lit(mark).cast("timestamp_ntz"))
+        since = F.lit(mark).cast("timestamp_ntz")  # the date prunes partitions
+        df = df.filter((F.col("_ingestion_date") >= since.cast("date")) & (F.col("_ingestion_timestamp") > since))
     new_mark = df.agg(F.max("_ingestion_timestamp")).first()[0]
     return df, new_mark
 
@@ -127,7 +121,8 @@ def stage_silver(run: Run) -> None:
 
     def patients():
         bronze, mark = _bronze_since_watermark(run, "dim_patient")
-        newest = [F.col("_ingestion_timestamp").desc(), F.col("_source_file").desc()]
+        newest = [F.col("_ingestion_timestamp").desc(), F.col("_source_file").desc(),
+                  F.xxhash64(*[c for c in bronze.columns if not c.startswith("_")]).desc()]
         staged = stage_patients(bronze, latest_by=newest).drop("attr_hash")
         s.replace("silver.dim_patient", scd2_apply(s.read("silver.dim_patient"), staged,
                                                    "pat_id", PATIENT_ATTRS, p.as_of_date,
@@ -217,8 +212,7 @@ def stage_eligibility(run: Run) -> None:
 def _idempotent(df: DataFrame, table: str) -> None:
     v = df.first()
     if v.status == "FAIL":
-        raise RuntimeError(f"Idempotency check failed for {table}: {v.row_count} rows but "
-                           f"{v.distinct_keys} distinct keys")
+        raise RuntimeError(f"{table} is not unique by its key: {v.row_count} rows, {v.distinct_keys} keys")
 
 
 def _materialized_batch(run: Run, name: str, batch: DataFrame) -> DataFrame:
@@ -234,7 +228,7 @@ def stage_billing(run: Run) -> None:
     batch = _materialized_batch(run, "billing_batch", marts.billing_batch(
         s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="auto"),
+    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="split"),
               cluster_by=["encounter_dttm"])
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
     run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
@@ -245,7 +239,7 @@ def stage_quality(run: Run) -> None:
     batch = _materialized_batch(run, "quality_batch", marts.quality_batch(
         s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
         s.read("silver.dim_patient"), p))
-    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="auto"),
+    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="split"),
               cluster_by=["encounter_dttm"])
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
     run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
@@ -256,7 +250,7 @@ def stage_gaps(run: Run) -> None:
     batch = _materialized_batch(run, "gap_batch", marts.gap_batch(
         s.read(dq.QUALITY), s.read("silver.dim_encounter"), s.read("silver.dim_patient"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch, strategy="auto"))
+    s.replace(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch, strategy="split"))
     _idempotent(marts.gap_summary(s.read(dq.GAPS)), dq.GAPS)
     run.spark.conf.set("carelake.dq.last_mart", dq.GAPS)
 
@@ -280,15 +274,12 @@ _COUNTS: dict = {}
 def _row_count(store: Store, table: str) -> int | None:
     """Rows of a stage's output; a snapshot version is counted once (a gate
     stage reports the table its mart stage just wrote)."""
-    try:
-        if table.startswith("bronze."):
-            return store.read_log(table).count()
-        key = (store.root, table, store.version(table))
-        if key not in _COUNTS:
-            _COUNTS[key] = store.read(table).count()
-        return _COUNTS[key]
-    except Exception:  # noqa: BLE001 - best effort, as a metric
-        return None
+    if table.startswith("bronze."):
+        return store.read_log(table).count()
+    key = (store.root, table, store.version(table))
+    if key not in _COUNTS:
+        _COUNTS[key] = store.read(table).count()
+    return _COUNTS[key]
 
 
 def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: bool = True
@@ -296,35 +287,33 @@ def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: boo
     """Run the stages in order; returns this run's stage log rows."""
     start_at = STAGES.index(resume_from) if resume_from else 0
     failure: Exception | None = None
-    records = []
     for stage in STAGES[start_at:]:
         began = _utcnow()
         if failure is not None:
-            records.append(runlog.stage_record(run.run_id, stage, None, None, "UPSTREAM_FAILED",
-                                               None, "{}", began))
+            _log_stage(run, stage, None, None, "UPSTREAM_FAILED", None, "{}", began)
             continue
         status, detail = "SUCCESS", "{}"
         try:
             STAGE_FN[stage](run)
-        except (dq.DataQualityError, RuntimeError) as e:
+        except Exception as e:  # noqa: BLE001 - any failure ends the run, after it is logged
             status, failure = "FAILED", e
-            detail = '{"error": %s}' % _json_str(str(e)[:500])
+            detail = json.dumps({"error": str(e), "type": type(e).__name__})
         ended = _utcnow()
-        rows = _row_count(run.store, OUTPUT_TABLE[stage])
-        records.append(runlog.stage_record(run.run_id, stage, began, ended, status, rows,
-                                           detail, ended))
-    run.store.append(LOG, run.spark.createDataFrame(records, schemas.ORCHESTRATION_LOG))
+        rows = _row_count(run.store, OUTPUT_TABLE[stage]) if failure is None else None
+        _log_stage(run, stage, began, ended, status, rows, detail, ended)
     log = run.store.read_log(LOG).filter(F.col("run_id") == run.run_id)
     if failure is not None and raise_on_failure:
         raise PipelineHalted(str(failure)) from failure
     return log
 
 
+def _log_stage(run: Run, *record) -> None:
+    """One log record as the stage ends, so that a later crash loses none."""
+    row = runlog.stage_record(run.run_id, *record)
+    run.store.append(LOG, run.spark.createDataFrame([row], schemas.ORCHESTRATION_LOG).coalesce(1))
+
+
 def _utcnow() -> dt.datetime:
     """Naive UTC wall clock (the log's timestamp convention)."""
     return dt.datetime.now(dt.UTC).replace(tzinfo=None)
 
-
-def _json_str(s: str) -> str:
-    import json
-    return json.dumps(s)

@@ -404,15 +404,12 @@ def q_ingest_profile(spark, sf_dir):
 
 
 def _gated(spark, sf_dir):
-    """One gated run per session and input; its store holds the stage log
-    and the audit trail that ``gated_run`` and ``dq_history`` report."""
+    """One gated run over the driver tables in a store of its own."""
     from carelake.plans.pipeline import Run, run_pipeline
-
-    def build():
-        store = _fresh_store(spark, "pipeline")
-        run = Run(spark, store, P, adapter.landing_specs(sf_dir))
-        return store, run_pipeline(run, raise_on_failure=False)
-    return _memo("gated", spark, sf_dir, P, build)
+    store = _fresh_store(spark, "pipeline")
+    measures = adapter.land_measure_definitions(spark, f"{store.root}/_landing")
+    run = Run(spark, store, P, adapter.landing_specs(sf_dir, measures))
+    return store, run_pipeline(run, raise_on_failure=False)
 
 
 def q_gated_run(spark, sf_dir):

@@ -121,18 +121,6 @@ ORCHESTRATION_LOG = _struct(
     ("end_time", TS), ("status", S, False), ("row_count", L), ("details", S),
     ("logged_at", TS, False))
 
-# Keys (grain) of the keyed tables.
-KEYS = {
-    "silver.dim_encounter": ["encounter_id"],
-    "silver.fact_charges": ["encounter_id", "charge_id"],
-    "silver.hedis_eligibility": ["pat_id", "encounter_id", "measure_id"],
-    "gold_billing.claims_processed": ["encounter_id", "charge_id"],
-    "gold_quality.measures": ["pat_id", "encounter_id", "measure_id"],
-    "gold_care_mgmt.gap_queue": ["pat_id", "measure_id"],
-    "reference.dim_encounter_type": ["visit_type_c"],
-    "reference.hedis_eligibility_codes": ["measure_id", "code_type", "code_value"],
-}
-
 CONTRACTS = {
     "bronze.encounter": ENCOUNTER,
     "bronze.charge_detail": CHARGE_DETAIL,
@@ -155,10 +143,10 @@ CONTRACTS = {
 
 # Column comments of the contracts (carried as StructField metadata).
 COMMENTS = {
-    ("silver.dim_patient", "mrn_token"): "SHA-256 hash of source MRN (deterministic tokenization)",
-    ("silver.dim_encounter", "encounter_type"): "Canonical type from reference.dim_encounter_type",
-    ("silver.dim_encounter", "primary_dx_code"): "Normalized ICD-10 code (DX_ prefix stripped)",
-    ("silver.hedis_eligibility", "encounter_type"): "Canonical encounter_type from silver.dim_encounter",
+    ("silver.dim_patient", "mrn_token"): "SHA-256 token of the record number",
+    ("silver.dim_encounter", "encounter_type"): "mapped visit type, OTHER if unknown",
+    ("silver.dim_encounter", "primary_dx_code"): "diagnosis code without its prefix",
+    ("silver.hedis_eligibility", "encounter_type"): "visit type of the matching encounter",
 }
 
 

@@ -186,11 +186,13 @@ def measure_definition_spec(folder: str):
                       file_glob="*.parquet")
 
 
-def landing_specs(sf_dir: str) -> list:
+def landing_specs(sf_dir: str, measures: str | None = None) -> list:
     """Streaming ingest specs that land the driver tables as bronze entities
-    (row-wise mappings only, so they run on the stream)."""
+    (row-wise mappings only, so they run on the stream). ``measures`` is the folder of
+    the measure catalogue (``land_measure_definitions``), which the tables don't hold."""
     from carelake.streaming.ingest import IngestSpec
-    return [
+    catalogue = [measure_definition_spec(measures)] if measures else []
+    return catalogue + [
         IngestSpec("encounter", ORDERS_SCHEMA, sf_dir,
                    lambda df: _carry_meta(df, encounter_from_orders, ["_src_key"]),
                    "orders.parquet"),

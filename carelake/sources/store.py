@@ -1,12 +1,15 @@
 """Snapshot store: ``layer.table`` names mapped to folders under one root.
 
-* keyed tables are replaced whole: the new state goes to a fresh version
-  folder ``v=NNNNNN`` and a one-line pointer is rewritten (single writer; a
+* keyed tables are replaced whole: the new state goes to a fresh version folder ``v=NNNNNN``,
+  which counts from the moment its marker file exists. The current version is the highest
+  marked one. Nothing is overwritten: a crash before the marker leaves the old version
+  current, and the half-written folder's number is never used again (single writer; a
   job may read version N while it writes N+1, which also cuts lineage);
 * log tables (audit, bronze) are append-only folders.
 
+Only a folder that does not exist counts as absent; any other failure to read is raised.
 The root must be a shared folder on a cluster (e.g. below the session's
-``spark.checkpoint.dir``); pointers are written with Spark itself so any
+``spark.checkpoint.dir``); markers go through Hadoop's file system API, so any
 Hadoop-compatible filesystem works.
 """
 
@@ -18,12 +21,20 @@ from pyspark.sql import types as T
 from carelake import schemas
 from carelake.session import shared_dir
 
-POINTER = "_current"
+MARKER = "_committed"
+
+# Columns that the ingest adds to every bronze row.
+INGEST_COLUMNS = schemas._struct(
+    ("_ingestion_timestamp", schemas.TS), ("_source_file", schemas.S), ("_batch_id", schemas.S),
+    ("_ingestion_date", schemas.D))
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, root: str, retain: int | None = None):
+        """``retain``: how many versions of a table stay (at least 2; None keeps all)."""
+        if retain is not None and retain < 2:
+            raise ValueError("retain must be at least 2: a job may still read the previous version")
+        self.spark, self.retain = spark, retain
         self.root = root.rstrip("/")
         # Single writer: versions this store has read or written, and log
         # tables known to exist, are remembered instead of re-listed.
@@ -36,24 +47,54 @@ class Store:
         self._logs.clear()
 
     @classmethod
-    def shared(cls, spark: SparkSession, *parts: str) -> Store:
-        return cls(spark, shared_dir(spark, *parts))
+    def shared(cls, spark: SparkSession, *parts: str, retain: int | None = 3) -> Store:
+        return cls(spark, shared_dir(spark, *parts), retain)
 
     def path(self, name: str) -> str:
         layer, table = name.split(".", 1)
         return f"{self.root}/{layer}/{table}"
 
+    # ---- files ---------------------------------------------------------------
+    def _hadoop(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def path_exists(self, path: str) -> bool:
+        fs, p = self._hadoop(path)
+        return fs.exists(p)
+
+    def _folders(self, path: str) -> dict[int, bool]:
+        """Version folders below ``path``: number -> committed."""
+        fs, p = self._hadoop(path)
+        if not fs.exists(p):
+            return {}
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return {int(n[2:]): self.path_exists(f"{path}/{n}/{MARKER}")
+                for n in names if n.startswith("v=")}
+
+    def _commit(self, path: str, write) -> int:
+        """``write(folder)`` into a number never used before, then mark it."""
+        v = max(self._folders(path), default=0) + 1
+        write(f"{path}/v={v:06d}")
+        fs, marker = self._hadoop(f"{path}/v={v:06d}/{MARKER}")
+        fs.create(marker, False).close()
+        if self.retain is not None:
+            committed = sorted(k for k, ok in self._folders(path).items() if ok)
+            for old in committed[:-self.retain]:
+                fs, p = self._hadoop(f"{path}/v={old:06d}")
+                fs.delete(p, True)
+        return v
+
+    def _current(self, path: str) -> int | None:
+        return max((k for k, ok in self._folders(path).items() if ok), default=None)
+
     # ---- versioned (replace) tables -----------------------------------------
     def version(self, name: str) -> int | None:
-        if name in self._versions:
-            return self._versions[name]
-        try:
-            rows = self.spark.read.text(f"{self.path(name)}/{POINTER}").collect()
-        except Exception:  # noqa: BLE001 - no pointer yet
-            return None
-        if not rows:
-            return None
-        self._versions[name] = int(rows[0][0])
+        if name not in self._versions:
+            v = self._current(self.path(name))
+            if v is None:
+                return None
+            self._versions[name] = v
         return self._versions[name]
 
     def exists(self, name: str) -> bool:
@@ -81,12 +122,9 @@ class Store:
         shuffle): row groups then cover narrow ranges of those columns, so
         range filters on them skip row groups via Parquet min/max statistics.
         """
-        v = (self.version(name) or 0) + 1
         if cluster_by:
             df = df.sortWithinPartitions(*cluster_by)
-        df.write.mode("overwrite").parquet(f"{self.path(name)}/v={v:06d}")
-        self.spark.createDataFrame([(str(v),)], "value string").coalesce(1).write.mode(
-            "overwrite").text(f"{self.path(name)}/{POINTER}")
+        v = self._commit(self.path(name), lambda folder: df.write.mode("errorifexists").parquet(folder))
         self._versions[name] = v
         return v
 
@@ -96,15 +134,16 @@ class Store:
         the table as a small key/value file; merged with existing ones."""
         merged = {**self.properties(name), **props}
         rows = sorted((str(k), str(v)) for k, v in merged.items())
-        self.spark.createDataFrame(rows, "key string, value string").coalesce(1).write.mode(
-            "overwrite").json(f"{self.path(name)}/_properties")
+        df = self.spark.createDataFrame(rows, "key string, value string").coalesce(1)
+        self._commit(f"{self.path(name)}/_properties",
+                     lambda folder: df.write.mode("errorifexists").json(folder))
 
     def properties(self, name: str) -> dict[str, str]:
-        try:
-            rows = self.spark.read.schema("key string, value string").json(
-                f"{self.path(name)}/_properties").collect()
-        except Exception:  # noqa: BLE001 - none set yet
+        path = f"{self.path(name)}/_properties"
+        v = self._current(path)
+        if v is None:
             return {}
+        rows = self.spark.read.schema("key string, value string").json(f"{path}/v={v:06d}").collect()
         return {r.key: r.value for r in rows}
 
     def register_views(self, names: list[str]) -> list[str]:
@@ -126,22 +165,29 @@ class Store:
     def _has_log(self, name: str) -> bool:
         if name in self._logs:
             return True
-        try:
-            self.spark.read.parquet(self._log_path(name)).schema  # noqa: B018
-        except Exception:  # noqa: BLE001
+        if not self.path_exists(self._log_path(name)):
             return False
         self._logs.add(name)
         return True
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        w = df.write.mode("append").option("mergeSchema", "true")
+        w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self._log_path(name))
         self._logs.add(name)
 
     def read_log(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+        """A log with its contract (bronze: plus the ingest columns), not by reading footers; a log
+        without a contract is read by inference over all its files."""
         schema = schema or schemas.CONTRACTS.get(name)
+        if schema is not None and name.startswith("bronze."):
+            have = set(schema.fieldNames())
+            schema = T.StructType(schema.fields + [f for f in INGEST_COLUMNS if f.name not in have])
         if not self._has_log(name):
+            if schema is None:
+                raise KeyError(f"log {name} does not exist and has no contract")
             return schemas.empty(self.spark, schema)
-        return self.spark.read.option("mergeSchema", "true").parquet(self._log_path(name))
+        reader = self.spark.read
+        reader = reader.schema(schema) if schema is not None else reader.option("mergeSchema", "true")
+        return reader.parquet(self._log_path(name))

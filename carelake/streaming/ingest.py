@@ -58,10 +58,12 @@ def start(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_pa
     return q
 
 
-def _summary(q, spec: IngestSpec, target_path: str, batch_id: str) -> dict:
+def _summary(spark: SparkSession, q, spec: IngestSpec, target_path: str, batch_id: str) -> dict:
     q.awaitTermination()
-    progress = q.recentProgress or []
-    added = sum(int(p.get("numInputRows", 0)) for p in progress)
+    # Counted in the target: Spark keeps the progress of the last 100 micro-batches only.
+    wrote = bool(q.recentProgress)
+    added = (spark.read.schema("_batch_id string").parquet(target_path)
+             .filter(F.col("_batch_id") == batch_id).count()) if wrote else 0
     return {"entity": spec.entity, "target": target_path, "batch_id": batch_id,
             "landing_path": spec.landing_path, "rows_added": added}
 
@@ -71,7 +73,7 @@ def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_p
     """Ingest unseen landing files of one entity; blocks until done."""
     batch_id = batch_id or str(uuid.uuid4())
     q = start(spark, spec, target_path, checkpoint_path, batch_id)
-    return _summary(q, spec, target_path, batch_id)
+    return _summary(spark, q, spec, target_path, batch_id)
 
 
 def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable[[str], str],
@@ -90,7 +92,7 @@ def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable
     out, error = [], None
     for s, q in running:
         try:
-            out.append(_summary(q, s, target_of(s.entity), batch_id))
+            out.append(_summary(spark, q, s, target_of(s.entity), batch_id))
         except Exception as e:  # noqa: BLE001 - let the others finish first
             error = error or e
     if error is not None:

@@ -10,8 +10,9 @@ from tests.conftest import SF_ORACLE
 from tests.harness import compare, duck
 
 import __spark_entry__ as E
+from carelake.queries import REGISTRY
 
-ORACLE = E.oracle_sql()
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in REGISTRY}
 
 
 @pytest.fixture(scope="module")

@@ -18,7 +18,8 @@ def _plan(df) -> str:
 
 def test_gated_run_halts_then_resumes(spark, tmpdir_path):
     store = Store(spark, tmpdir_path)
-    run = Run(spark, store, TESTDATA_PARAMS, adapter.landing_specs(SF_SMALL))
+    measures = adapter.land_measure_definitions(spark, f"{tmpdir_path}/_landing")
+    run = Run(spark, store, TESTDATA_PARAMS, adapter.landing_specs(SF_SMALL, measures))
     with pytest.raises(PipelineHalted, match="Referential integrity"):
         run_pipeline(run)
     log = {r.stage_name: r.status for r in
@@ -74,4 +75,18 @@ def test_all_registered_queries_build(spark):
     from __spark_entry__ import oracle_sql, queries
     qs, orc = queries(), oracle_sql()
     assert set(orc) <= set(qs)
-    assert set(qs) == set(orc)  # every query has a DuckDB twin
+    assert set(REGISTRY) <= set(orc)  # each of these has a DuckDB twin
+
+
+def test_any_failure_is_logged_and_stops_the_run(spark, tmpdir_path, monkeypatch):
+    """A Spark error (not one of ours) in a stage leaves FAILED with its whole text, then UPSTREAM_FAILED."""
+    from carelake.plans import pipeline
+    text = "duplicate key: " + "k" * 2000
+    bad = lambda run: spark.range(1).select(F.raise_error(F.lit(text))).collect()
+    monkeypatch.setitem(pipeline.STAGE_FN, "bronze_ingestion", bad)
+    run = Run(spark, Store(spark, tmpdir_path), TESTDATA_PARAMS, [])
+    log = {r.stage_name: r for r in run_pipeline(run, raise_on_failure=False).collect()}
+    assert [log[s].status for s in STAGES] == ["FAILED"] + ["UPSTREAM_FAILED"] * (len(STAGES) - 1)
+    assert text in log[STAGES[0]].details
+    with pytest.raises(PipelineHalted):
+        run_pipeline(Run(spark, run.store, TESTDATA_PARAMS, []))
