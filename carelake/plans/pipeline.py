@@ -299,7 +299,12 @@ def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: boo
             status, failure = "FAILED", e
             detail = json.dumps({"error": str(e), "type": type(e).__name__})
         ended = _utcnow()
-        rows = _row_count(run.store, OUTPUT_TABLE[stage]) if failure is None else None
+        try:
+            rows = _row_count(run.store, OUTPUT_TABLE[stage])
+        except Exception:  # noqa: BLE001 - a metric must not hide the stage's own failure
+            if failure is None:
+                raise
+            rows = None
         _log_stage(run, stage, began, ended, status, rows, detail, ended)
     log = run.store.read_log(LOG).filter(F.col("run_id") == run.run_id)
     if failure is not None and raise_on_failure:
