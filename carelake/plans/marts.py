@@ -38,7 +38,10 @@ def billing_batch(dim_encounter: DataFrame, fact_charges: DataFrame,
       (silver keeps them as OTHER);
     * ``claim_status != 'DENIED'`` also drops NULL statuses (3-valued logic);
     * look-back ``encounter_dttm >= as_of - N days`` (midnight), pushed to the
-      scan.
+      scan;
+    * the join has a hash of its key as a second key: an encounter side that a window left
+      partitioned by ``encounter_id`` is exchanged again, so both inputs are plain exchanges and
+      AQE can split the charges of a hot encounter.
     """
     cutoff = lookback_cutoff(params)
     types = bounded_broadcast(active_types(encounter_types)
@@ -51,7 +54,9 @@ def billing_batch(dim_encounter: DataFrame, fact_charges: DataFrame,
                   "paid_amt", "claim_status"))
     threshold = F.lit(params.high_cost_threshold).cast("decimal(20,2)")
     load = lit_ts(params.load_ts)
-    return enc.join(ch, "encounter_id").select(
+    spread = F.xxhash64("encounter_id")
+    return enc.withColumn("_spread", spread).join(
+        ch.withColumn("_spread", spread), ["encounter_id", "_spread"]).select(
         "pat_id", "encounter_id", "charge_id", "encounter_dttm",
         F.col("_det_type").alias("encounter_type"), "cpt_code", "primary_dx_code",
         F.lit(None).cast("string").alias("payer_id"),

@@ -22,7 +22,7 @@ from carelake.operators import checks
 from carelake.operators.upsert import duplicate_keys, merge_latest, scd2_apply, upsert_all
 from carelake.params import Params
 from carelake.plans import dq, eligibility, marts, reference, runlog
-from carelake.plans.staging import (PATIENT_ATTRS, stage_charges, stage_encounters,
+from carelake.plans.staging import (PATIENT_ATTRS, charge_order, stage_charges, stage_encounters,
                                     stage_patients)
 from carelake.sources.store import Store
 from carelake.streaming.ingest import IngestSpec, ingest_all
@@ -164,12 +164,6 @@ def encounter_order():
                                             "primary_dx_id", "encounter_status")]
 
 
-def charge_order():
-    return [F.col("charge_dttm").desc_nulls_last()] + [
-        F.col(c).desc_nulls_last() for c in ("cpt_code", "billed_amt", "allowed_amt",
-                                             "paid_amt", "claim_status")]
-
-
 def silver_gates(run: Run) -> None:
     s = run.store
     nulls = checks.null_key_counts({

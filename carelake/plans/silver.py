@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from carelake import schemas
 from carelake.operators.upsert import scd2_apply
 from carelake.params import Params
-from carelake.plans.staging import PATIENT_ATTRS, stage_charges, stage_encounters, stage_patients
+from carelake.plans.staging import (PATIENT_ATTRS, latest_charges, stage_charges,
+                                    stage_encounters, stage_patients)
 
 
 class Silver:
@@ -40,7 +41,14 @@ class Silver:
 
     @cached_property
     def fact_charges(self) -> DataFrame:
-        return stage_charges(self.bronze["charge_detail"](), self.params.load_ts)
+        return latest_charges(stage_charges(self.bronze["charge_detail"](), self.params.load_ts))
+
+    def fact_charges_where(self, cond) -> DataFrame:
+        """Charges of the encounters that ``cond`` keeps (see ``dim_encounter_where``): the semi
+        join comes before the latest-row dedupe, so other charges meet one shuffle only."""
+        kept = self.bronze["encounter"]().filter(cond).select("encounter_id")
+        staged = stage_charges(self.bronze["charge_detail"](), self.params.load_ts)
+        return latest_charges(staged.join(kept, "encounter_id", "left_semi"))
 
 
 def initial_dim_patient(spark: SparkSession, staged: DataFrame, params: Params) -> DataFrame:

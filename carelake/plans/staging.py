@@ -19,6 +19,19 @@ ENCOUNTER_COLS = ["pat_id", "encounter_id", "visit_type_c", "encounter_type",
                   "primary_dx_code", "encounter_status"]
 CHARGE_COLS = ["encounter_id", "charge_id", "cpt_code", "billed_amt", "paid_amt",
                "allowed_amt", "claim_status", "charge_dttm"]
+CHARGE_KEYS = ["encounter_id", "charge_id"]
+
+
+def charge_order() -> list[Column]:
+    """Latest charge first (a total order within a key)."""
+    return [F.col("charge_dttm").desc_nulls_last()] + [
+        F.col(c).desc_nulls_last() for c in ("cpt_code", "billed_amt", "allowed_amt",
+                                             "paid_amt", "claim_status")]
+
+
+def latest_charges(staged: DataFrame) -> DataFrame:
+    """One row per charge key, the same choice as the nightly upsert's."""
+    return latest_per_key(staged, CHARGE_KEYS, charge_order())
 
 
 def stage_patients(bronze_patient: DataFrame, mrn_salt: str | None = None,

@@ -16,8 +16,8 @@ from carelake.params import TESTDATA_PARAMS, Params
 from carelake.plans import eligibility as elig
 from carelake.plans import marts
 from carelake.plans.silver import Silver, build_silver
-from carelake.plans.staging import (PATIENT_ATTRS, stage_charges, stage_encounters,
-                                    stage_patients)
+from carelake.plans.staging import (PATIENT_ATTRS, latest_charges, stage_charges,
+                                    stage_encounters, stage_patients)
 from carelake.sources import adapter, seeds
 
 P = TESTDATA_PARAMS
@@ -53,19 +53,22 @@ def _eligibility(spark, sf_dir, params: Params = P, silver: Silver | None = None
 def _quality(spark, sf_dir, params: Params = P) -> DataFrame:
     def build():
         s = _silver(spark, sf_dir, params)
-        year_enc = s.dim_encounter_where(in_year("encounter_dttm", params.measurement_year))
-        return marts.quality_batch(_eligibility(spark, sf_dir, params), year_enc,
-                                   s.dim_patient, params)
+        bound = in_year("encounter_dttm", params.measurement_year)
+        # eligibility is decided per encounter, so the year bounds its inputs as well
+        year_enc, year_charges = s.dim_encounter_where(bound), s.fact_charges_where(bound)
+        eligible = elig.eligibility_batch(s.dim_patient, year_enc, year_charges,
+                                          seeds.eligibility_codes(spark),
+                                          adapter.measure_definitions(spark), params)
+        return marts.quality_batch(eligible, year_enc, s.dim_patient, params)
     return _memo("quality", spark, sf_dir, params, build)
 
 
 def _billing(spark, sf_dir, params: Params = P) -> DataFrame:
     def build():
         s = _silver(spark, sf_dir, params)
-        window = s.dim_encounter_where(F.col("encounter_dttm") >= lit_ts(
-            marts.lookback_cutoff(params)))
-        return marts.billing_batch(window, s.fact_charges, seeds.encounter_types(spark),
-                                   params)
+        bound = F.col("encounter_dttm") >= lit_ts(marts.lookback_cutoff(params))
+        return marts.billing_batch(s.dim_encounter_where(bound), s.fact_charges_where(bound),
+                                   seeds.encounter_types(spark), params)
     return _memo("billing", spark, sf_dir, params, build)
 
 
@@ -158,9 +161,9 @@ def q_encounter_upsert(spark, sf_dir):
 
 def q_charge_upsert(spark, sf_dir):
     raw = adapter.charge_detail(spark, sf_dir)
-    d1 = stage_charges(raw.filter(_src_mod("_src_key", 3) != 2), T1)
-    d2 = stage_charges(raw.filter(_src_mod("_src_key", 3) != 0)
-                       .withColumn("claim_status", F.lit("ADJUSTED")), P.load_ts)
+    d1 = latest_charges(stage_charges(raw.filter(_src_mod("_src_key", 3) != 2), T1))
+    d2 = latest_charges(stage_charges(raw.filter(_src_mod("_src_key", 3) != 0)
+                                      .withColumn("claim_status", F.lit("ADJUSTED")), P.load_ts))
     keys = ["encounter_id", "charge_id"]
     t = upsert_all(schemas.empty(spark, schemas.FACT_CHARGES), d1, keys)
     return upsert_all(t, d2, keys)
@@ -232,7 +235,7 @@ def q_idempotency(spark, sf_dir):
 
 def q_dup_keys(spark, sf_dir):
     """Duplicate (encounter_id, charge_id) keys among raw charge deliveries."""
-    return duplicate_keys(adapter.charge_detail_raw(spark, sf_dir), ["encounter_id", "charge_id"])
+    return duplicate_keys(adapter.charge_detail(spark, sf_dir), ["encounter_id", "charge_id"])
 
 
 def q_false_positives(spark, sf_dir):

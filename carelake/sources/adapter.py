@@ -1,8 +1,7 @@
 """Map the driver's TPC-H-style tables onto the bronze landing contracts.
 
-The mapping is deterministic and row-wise (one projection per table, plus a
-keyed de-duplication for charges), so every downstream query grows with the
-input tables.
+The mapping is deterministic and row-wise (one projection per table), so every
+downstream query grows with the input tables.
 """
 
 from __future__ import annotations
@@ -94,7 +93,7 @@ def encounter_from_orders(o: DataFrame, extra: list | None = None) -> DataFrame:
     )
 
 
-def charge_detail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def charge_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lineitem rows as charges; (encounter_id, charge_id) is NOT unique."""
     return charges_from_lineitem(table(spark, sf_dir, "lineitem"))
 
@@ -118,20 +117,10 @@ def charges_from_lineitem(li: DataFrame, extra: list | None = None) -> DataFrame
         status.alias("claim_status"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("charge_dttm"),
         F.col("l_orderkey").alias("_src_key"),
-        F.col("l_partkey").alias("_tiebreak"),
         *(extra or []),
     )
 
 
-def charge_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Charges keyed by (encounter_id, charge_id): latest ``charge_dttm`` wins,
-    then the highest part key (a total order within each key)."""
-    from carelake.operators.dedupe import latest_per_key
-    raw = charge_detail_raw(spark, sf_dir)
-    return latest_per_key(raw, ["encounter_id", "charge_id"],
-                          [F.col("charge_dttm").desc_nulls_last(), F.col("_tiebreak").desc()])
-
-
 def measure_definitions(spark: SparkSession) -> DataFrame:
     return schemas.literal_frame(spark, MEASURE_DEFINITION_ROWS, schemas.MEASURE_DEFINITION)
 
@@ -141,7 +130,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict:
     return {
         "dim_patient": lambda: dim_patient(spark, sf_dir).drop("_src_key"),
         "encounter": lambda: encounter(spark, sf_dir).drop("_src_key"),
-        "charge_detail": lambda: charge_detail(spark, sf_dir).drop("_src_key", "_tiebreak"),
+        "charge_detail": lambda: charge_detail(spark, sf_dir).drop("_src_key"),
         "hedis_measure_definition": lambda: measure_definitions(spark),
     }
 
@@ -197,7 +186,7 @@ def landing_specs(sf_dir: str, measures: str | None = None) -> list:
                    lambda df: _carry_meta(df, encounter_from_orders, ["_src_key"]),
                    "orders.parquet"),
         IngestSpec("charge_detail", LINEITEM_SCHEMA, sf_dir,
-                   lambda df: _carry_meta(df, charges_from_lineitem, ["_src_key", "_tiebreak"]),
+                   lambda df: _carry_meta(df, charges_from_lineitem, ["_src_key"]),
                    "lineitem.parquet"),
         IngestSpec("dim_patient", CUSTOMER_SCHEMA, sf_dir,
                    lambda df: _carry_meta(df, patient_from_customer, ["_src_key"]),

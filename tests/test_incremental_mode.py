@@ -22,7 +22,7 @@ def _specs(landing):
     for entity, schema, fn, drop in [
             ("encounter", adapter.ORDERS_SCHEMA, adapter.encounter_from_orders, ["_src_key"]),
             ("charge_detail", adapter.LINEITEM_SCHEMA, adapter.charges_from_lineitem,
-             ["_src_key", "_tiebreak"]),
+             ["_src_key"]),
             ("dim_patient", adapter.CUSTOMER_SCHEMA, adapter.patient_from_customer,
              ["_src_key"])]:
         out.append(IngestSpec(entity, schema, os.path.join(landing, entity) + "/*",

@@ -10,6 +10,7 @@ from carelake.functions import lit_ts
 from carelake.operators.dedupe import latest_per_key
 from carelake.params import Params
 from carelake.plans import marts
+from carelake.plans.staging import latest_charges, stage_charges, stage_encounters
 from carelake.sources import seeds
 
 N = 120_000
@@ -88,3 +89,26 @@ def test_hot_patient_join_is_split_by_aqe(spark, skew_conf):
     assert "skew=true" in plan
     assert out.count() == N  # nothing dropped or capped
     assert out.filter(F.col("pat_id") == "HOT").count() == N // 3
+
+
+def test_hot_encounter_billing_is_split_by_aqe(spark, skew_conf):
+    """Both inputs pass their latest-row windows first, as in the billing query."""
+    encounter = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("E"), (F.col("id") % 4000).cast("string"))).alias("encounter_id")
+    money = [F.lit(5).cast("decimal(12,2)").alias(c) for c in ("billed_amt", "paid_amt", "allowed_amt")]
+    charges = latest_charges(stage_charges(spark.range(N).select(
+        encounter, F.concat(F.lit("C"), F.col("id").cast("string")).alias("charge_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("cpt_code"), *money, F.lit("PAID").alias("claim_status"),
+        lit_ts(dt.datetime(2001, 7, 1)).alias("charge_dttm")), dt.datetime(2001, 8, 2)))
+    visits = spark.range(4001).select(
+        F.lit("P").alias("pat_id"),
+        F.when(F.col("id") == 4000, "HOT").otherwise(F.concat(F.lit("E"), F.col("id").cast("string"))).alias("encounter_id"),
+        F.lit(101).alias("visit_type_c"), lit_ts(dt.datetime(2001, 7, 1)).alias("encounter_dttm"),
+        F.lit("D").alias("dept_id"), F.lit("R").alias("prov_id"), F.lit("DX_I10").alias("primary_dx_id"),
+        F.lit("F").alias("encounter_status"))
+    types = seeds.encounter_types(spark)
+    visits = stage_encounters(visits, types, dt.datetime(2001, 8, 2))
+    out = marts.billing_batch(visits, charges, types, P)
+    assert "skew=true" in _final_plan(out)
+    assert out.count() == N
+    assert out.filter(F.col("encounter_id") == "HOT").count() == N // 3
