@@ -100,11 +100,19 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
 
 
 def referential_integrity(child: DataFrame, parent: DataFrame, key: str,
-                          child_name: str, parent_name: str) -> DataFrame:
-    o = orphans(child, parent, key)
-    return o.agg(F.count(F.lit(1)).alias("orphan_count")).select(
+                          child_name: str, parent_name: str, sample: int | None = None) -> DataFrame:
+    """Number of orphans and verdict; with ``sample``, also the smallest orphan keys (NULL is not listed)."""
+    found = orphans(child, parent, key).agg(F.count(F.lit(1)).alias("orphan_count"))
+    extra = []
+    if sample is not None:
+        some = orphan_sample(child, parent, key, sample).select(
+            F.lit(None).cast("long").alias("orphan_count"), F.col(key).cast("string").alias("_key"))
+        found = found.withColumn("_key", F.lit(None).cast("string")).unionByName(some).agg(
+            F.max("orphan_count").alias("orphan_count"), F.sort_array(F.collect_list("_key")).alias("sample_orphans"))
+        extra = ["sample_orphans"]
+    return found.select(
         F.lit(child_name).alias("child_table"), F.lit(parent_name).alias("parent_table"),
-        F.lit(key).alias("key_column"), "orphan_count",
+        F.lit(key).alias("key_column"), "orphan_count", *extra,
         _pass_fail(F.col("orphan_count") > 0).alias("status"))
 
 
@@ -160,11 +168,6 @@ def validate_codes(codes: DataFrame, allowed_types=("CPT", "ICD10"),
         | (F.col("delimited_codes") > 0) | (F.col("invalid_types") > 0)))
 
 
-def codes_per_measure(codes: DataFrame) -> DataFrame:
-    return codes.groupBy("measure_id", "code_type").agg(
-        F.count(F.lit(1)).alias("normalized_count")).orderBy("measure_id", "code_type")
-
-
 def encounter_type_check(types: DataFrame, expected_rows: int = 5) -> DataFrame:
     """Reference type table: expected row count, unique keys, catch-all."""
     return types.agg(

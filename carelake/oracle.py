@@ -491,21 +491,39 @@ def build_pipeline() -> dict[str, str]:
         CASE WHEN orphans > 0 THEN NULL ELSE n_gaps END FROM cnt""")
     b, qn, g = ("gold_billing.claims_processed", "gold_quality.measures",
                 "gold_care_mgmt.gap_queue")
+    per_mart = "".join(f"""
+      UNION ALL SELECT '{m}', 'null_rate:{keys}', 'PASS', {n}, 0.0::DOUBLE, NULL, NULL, NULL FROM cnt{where}
+      UNION ALL SELECT '{m}', 'row_count_threshold', 'PASS', {n}, NULL, 0.8::DOUBLE, 7, NULL FROM cnt{where}
+      UNION ALL SELECT '{m}', 'row_count_snapshot', 'PASS', {n}, NULL, NULL, NULL, NULL FROM cnt{where}"""
+                       for m, keys, n, where in (
+                           (b, "pat_id,encounter_id,charge_id", "n_bill", ""),
+                           (qn, "pat_id,encounter_id,measure_id", "n_qual", ""),
+                           (g, "pat_id,measure_id", "n_gaps", " WHERE orphans = 0")))
     hist = with_(_pipeline_ctes(), f"""
-      SELECT '{b}' AS mart_name, 'null_rate:pat_id,encounter_id,charge_id' AS assertion_name,
-             'PASS' AS status, n_bill AS observed_count FROM cnt
-      UNION ALL SELECT '{b}', 'row_count_threshold', 'PASS', n_bill FROM cnt
-      UNION ALL SELECT '{b}', 'row_count_snapshot', 'PASS', n_bill FROM cnt
-      UNION ALL SELECT '{qn}', 'null_rate:pat_id,encounter_id,measure_id', 'PASS', n_qual FROM cnt
-      UNION ALL SELECT '{qn}', 'row_count_threshold', 'PASS', n_qual FROM cnt
-      UNION ALL SELECT '{qn}', 'row_count_snapshot', 'PASS', n_qual FROM cnt
-      UNION ALL SELECT '{qn}', 'referential_integrity:{qn}->{b}',
-             CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END, orphans FROM cnt
-      UNION ALL SELECT '{g}', 'null_rate:pat_id,measure_id', 'PASS', n_gaps FROM cnt
-        WHERE orphans = 0
-      UNION ALL SELECT '{g}', 'row_count_threshold', 'PASS', n_gaps FROM cnt WHERE orphans = 0
-      UNION ALL SELECT '{g}', 'row_count_snapshot', 'PASS', n_gaps FROM cnt WHERE orphans = 0""")
-    return {"gated_run": gated, "dq_history": hist}
+      SELECT '{qn}' AS mart_name, 'referential_integrity:{qn}->{b}' AS assertion_name,
+             CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END AS status, orphans AS observed_count,
+             NULL::DOUBLE AS max_null_rate, NULL::DOUBLE AS threshold_ratio,
+             NULL::BIGINT AS trailing_days, least(orphans, 10)::BIGINT AS listed_orphans FROM cnt{per_mart}""")
+    held = ("SELECT count(*) FROM (SELECT encounter_id, charge_id FROM b_first "
+            "UNION SELECT encounter_id, charge_id FROM billing)")
+    gate = "CASE WHEN rows < floor(coalesce(before, 0) * 0.8) THEN 'FAILED' ELSE 'SUCCESS' END"
+    nights = with_(_pipeline_ctes() + [
+        billing("b_first", "DATE '2001-08-01'"),
+        f"""held AS (SELECT (SELECT count(*) FROM b_first) AS first_bill, ({held}) AS second_bill, cnt.* FROM cnt)""",
+        """outputs AS (
+          SELECT unnest([{'stage': 'bronze_ingestion', 'one': n_orders, 'two': n_orders},
+            {'stage': 'silver_patient_encounter', 'one': n_orders, 'two': n_orders},
+            {'stage': 'silver_hedis_eligibility', 'one': n_elig, 'two': n_elig},
+            {'stage': 'gold_billing_mart', 'one': first_bill, 'two': second_bill},
+            {'stage': 'billing_dq', 'one': first_bill, 'two': second_bill},
+            {'stage': 'gold_quality_mart', 'one': n_qual, 'two': n_qual},
+            {'stage': 'quality_dq', 'one': n_qual, 'two': n_qual},
+            {'stage': 'gold_care_gaps', 'one': n_gaps, 'two': n_gaps},
+            {'stage': 'care_gaps_dq', 'one': n_gaps, 'two': n_gaps}]) AS o FROM held)""",
+        """runs AS (SELECT 1 AS night, o.stage AS stage_name, o.one AS rows, NULL::BIGINT AS before FROM outputs
+          UNION ALL SELECT 2, o.stage, o.two, CASE WHEN o.stage LIKE '%_dq' THEN o.one END FROM outputs)""",
+    ], f"SELECT night, stage_name, {gate} AS status, rows AS row_count FROM runs")
+    return {"gated_run": gated, "dq_history": hist, "two_nights": nights}
 
 
 def build_runtime() -> dict[str, str]:

@@ -427,8 +427,28 @@ def q_dq_history(spark, sf_dir):
     store, _ = _gated(spark, sf_dir)
     observed = F.coalesce(*[F.get_json_object("details", f"$.{k}") for k in
                             ("row_count", "current_count", "orphan_count")]).cast("long")
+    field = lambda name: F.get_json_object("details", f"$.{name}")
     return store.read_log("audit.dq_results").select(
-        "mart_name", "assertion_name", "status", observed.alias("observed_count"))
+        "mart_name", "assertion_name", "status", observed.alias("observed_count"),
+        field("max_null_rate").cast("double").alias("max_null_rate"),
+        field("threshold_ratio").cast("double").alias("threshold_ratio"),
+        field("trailing_days").cast("long").alias("trailing_days"),
+        F.json_array_length(field("sample_orphans")).cast("long").alias("listed_orphans"))
+
+
+NIGHT_BEFORE = P.with_(as_of_date=dt.date(2001, 8, 1), as_of_ts=T1)
+
+
+def q_two_nights(spark, sf_dir):
+    """Two nightly runs over one store, the cross-mart verdict only logged: all nine stages run, and the
+    second night's upserts and row-count gates meet the tables and snapshots of the first."""
+    from carelake.plans.pipeline import Run, run_pipeline
+    store = _fresh_store(spark, "nights")
+    specs = adapter.landing_specs(sf_dir, adapter.land_measure_definitions(spark, f"{store.root}/_landing"))
+    nights = [run_pipeline(Run(spark, store, p, specs, cross_mart="log"), raise_on_failure=False)
+              .select(F.lit(n).alias("night"), "stage_name", "status", "row_count")
+              for n, p in ((1, NIGHT_BEFORE), (2, P))]
+    return nights[0].unionByName(nights[1])
 
 
 def q_dedupe_latest(spark, sf_dir):
@@ -445,4 +465,5 @@ REGISTRY.update({
     "ingest_profile": q_ingest_profile,
     "gated_run": q_gated_run,
     "dq_history": q_dq_history,
+    "two_nights": q_two_nights,
 })
