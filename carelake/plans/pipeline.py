@@ -124,9 +124,8 @@ def stage_silver(run: Run) -> None:
         newest = [F.col("_ingestion_timestamp").desc(), F.col("_source_file").desc(),
                   F.xxhash64(*[c for c in bronze.columns if not c.startswith("_")]).desc()]
         staged = stage_patients(bronze, latest_by=newest).drop("attr_hash")
-        s.replace("silver.dim_patient", scd2_apply(s.read("silver.dim_patient"), staged,
-                                                   "pat_id", PATIENT_ATTRS, p.as_of_date,
-                                                   p.load_ts))
+        s.replace_checked("silver.dim_patient", scd2_apply(
+            s.read("silver.dim_patient"), staged, "pat_id", PATIENT_ATTRS, p.as_of_date, p.load_ts))
         _record_watermark(run, "dim_patient", mark)
 
     def encounters():
@@ -137,8 +136,8 @@ def stage_silver(run: Run) -> None:
             merged = merge_latest(target, enc, ["encounter_id"], encounter_order())
         else:
             merged = upsert_all(target, enc, ["encounter_id"])
-        s.replace("silver.dim_encounter", merged,
-                  cluster_by=["encounter_dttm"])  # look-back / year filters skip row groups
+        s.replace_checked("silver.dim_encounter", merged,
+                          cluster_by=["encounter_dttm"])  # look-back / year filters skip row groups
         _record_watermark(run, "encounter", mark)
 
     def charges():
@@ -150,7 +149,7 @@ def stage_silver(run: Run) -> None:
             merged = merge_latest(target, ch, keys, charge_order())
         else:
             merged = upsert_all(target, ch, keys, on_duplicate="latest", order=charge_order())
-        s.replace("silver.fact_charges", merged)
+        s.replace_checked("silver.fact_charges", merged)
         _record_watermark(run, "charge_detail", mark)
 
     _concurrently(patients, encounters, charges)
@@ -186,8 +185,8 @@ def stage_eligibility(run: Run) -> None:
         s.read("silver.dim_patient"), s.read("silver.dim_encounter"),
         s.read("silver.fact_charges"), codes, _bronze(run, "hedis_measure_definition"), p)
     keys = ["pat_id", "encounter_id", "measure_id"]
-    s.replace("silver.hedis_eligibility", upsert_all(s.read("silver.hedis_eligibility"),
-                                                     batch, keys))
+    s.replace_checked("silver.hedis_eligibility",
+                      upsert_all(s.read("silver.hedis_eligibility"), batch, keys))
     result = s.read("silver.hedis_eligibility")
 
     def exact_match_only():
@@ -222,8 +221,8 @@ def stage_billing(run: Run) -> None:
     batch = _materialized_batch(run, "billing_batch", marts.billing_batch(
         s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="split"),
-              cluster_by=["encounter_dttm"])
+    s.replace_checked(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="split"),
+                      cluster_by=["encounter_dttm"])
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
     run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
 
@@ -233,8 +232,8 @@ def stage_quality(run: Run) -> None:
     batch = _materialized_batch(run, "quality_batch", marts.quality_batch(
         s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
         s.read("silver.dim_patient"), p))
-    s.replace(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="split"),
-              cluster_by=["encounter_dttm"])
+    s.replace_checked(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="split"),
+                      cluster_by=["encounter_dttm"])
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
     run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
 
@@ -244,7 +243,7 @@ def stage_gaps(run: Run) -> None:
     batch = _materialized_batch(run, "gap_batch", marts.gap_batch(
         s.read(dq.QUALITY), s.read("silver.dim_encounter"), s.read("silver.dim_patient"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch, strategy="split"))
+    s.replace_checked(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch, strategy="split"))
     _idempotent(marts.gap_summary(s.read(dq.GAPS)), dq.GAPS)
     run.spark.conf.set("carelake.dq.last_mart", dq.GAPS)
 

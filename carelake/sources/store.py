@@ -118,21 +118,21 @@ class Store:
     def replace(self, name: str, df: DataFrame, cluster_by: list[str] | None = None) -> int:
         """Write ``df`` as the next version and repoint. Returns the version.
 
-        A table with a contract gets its columns, types and NOT NULL rules: a NULL in such
-        a column fails the write, and the version is not committed.
-
         ``cluster_by`` sorts rows within each task before writing (no
         shuffle): row groups then cover narrow ranges of those columns, so
         range filters on them skip row groups via Parquet min/max statistics.
         """
-        if name in schemas.CONTRACTS:
-            df = schemas.conform(df, schemas.CONTRACTS[name], name)
         if cluster_by:
             df = df.sortWithinPartitions(*cluster_by)
         v = self._commit(self.path(name), lambda folder: df.write.mode("errorifexists").parquet(folder))
         self._versions[name] = v
         return v
 
+    def replace_checked(self, name: str, df: DataFrame, cluster_by: list[str] | None = None) -> int:
+        """``replace`` under the table's contract: its columns and types; a NULL in a NOT NULL
+        column fails the write, and the version is not committed."""
+        return self.replace(name, schemas.conform(df, schemas.CONTRACTS[name], name), cluster_by)
+
     # ---- table properties and SQL names ------------------------------------------
     def set_properties(self, name: str, props: dict[str, str]) -> None:
         """Table properties (quality, source, description, ...) kept next to

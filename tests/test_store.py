@@ -92,9 +92,9 @@ def test_a_contract_holds_on_write(spark, tmpdir_path):
     table = "gold_care_mgmt.gap_queue"
     s = Store(spark, tmpdir_path)
     row = spark.sql("SELECT 'CDC' AS measure_id, 'P1' AS pat_id, 400L AS days_since_last_encounter, 1 AS other")
-    s.replace(table, row)
+    s.replace_checked(table, row)
     kept = spark.read.parquet(f"{s.path(table)}/v=000001")
     assert [(f.name, f.dataType) for f in kept.schema] == [(f.name, f.dataType) for f in schemas.GAP_QUEUE]
     with pytest.raises(Exception, match="NOT NULL constraint violated"):
-        s.replace(table, row.selectExpr("CAST(NULL AS STRING) AS pat_id", "measure_id"))
+        s.replace_checked(table, row.selectExpr("CAST(NULL AS STRING) AS pat_id", "measure_id"))
     assert Store(spark, tmpdir_path).version(table) == 1
