@@ -3,16 +3,18 @@
 A text gets the dummy prefix, spaces become U+2581, and chunks that no piece of the
 vocabulary can span are segmented on their own. In a chunk all adjacent pairs that form a
 piece wait on an agenda, best score first, leftmost on ties. A popped candidate is
-skipped for good when a hash of (seed, variant, piece, position) falls below the dropout
-rate, so the same seed always gives the same segmentation, and other seeds or variants give
-others. Chunks of a batch that aren't known yet run their agendas side by side in arrays; very long
-chunks use a heap. Characters outside the vocabulary become byte pieces; so does a literal U+2581, which
+skipped for good when a hash of (seed, text, piece, position in the text) falls below the dropout
+rate, so the same seed always gives the same segmentation, other seeds give others, and each occurrence
+of a chunk is drawn anew. What is remembered is not an outcome but a tree per chunk: a node holds the
+next candidate, its two successors what follows a merge and a skip, its ends the segmentations; each
+occurrence goes down by its own draws. Draws not met before run their agendas side by side in arrays;
+very long chunks use a heap. Characters outside the vocabulary become byte pieces; so does a literal U+2581, which
 makes decoding exact for every text. With dropout 0 the result is the usual merge encoding.
 
 Cases: a null text has null ids, an empty one no ids; both decode to what they were. Repeated
 rows and null ids give one result each; an empty table gives an empty result; other
 columns are not read. Work stays in the scan's task. Memory is one Arrow batch plus
-two generations of at most ``CACHE_ENTRIES`` chunk segmentations.
+trees of about ``CACHE_ENTRIES`` chunks and ``CACHE_NODES`` nodes, which are then begun anew.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +35,18 @@ from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHE_ENTRIES = 150_000
+CACHE_ENTRIES, CACHE_NODES = 500_000, 6_000_000
 #: Chunks longer than this are segmented each time and not remembered.
 CACHE_CHARS = 64
 #: Rank of a pair that is no piece, or whose merge was skipped.
-NEVER = 2**40
+NEVER = 2**31 - 1
+PAIR_BITS = 18
+#: Marks of a node without known candidate, and of one whose agenda is empty.
+UNKNOWN, END = -2, -1
 #: Chunks whose agendas run together.
 BLOCK_CHUNKS = 4096
 #: Texts whose chunks are gathered together.
-GROUP_CHARS = 4_000_000
+GROUP_CHARS = 1_500_000
 MASK, WIDE = 2**64 - 1, 2**21 + 2**20
 
 
@@ -69,7 +76,7 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes and decodes single texts; one per task.
+    """Encodes and decodes texts.
 
     Pairs that form a piece are a sorted table of (left id, right id) keys with the rank of the
     piece's score and its id. Symbols outside the vocabulary have ids beyond it.
@@ -87,7 +94,15 @@ class Encoder:
         pairs = sorted((self.id_of[p[:k]] * WIDE + self.id_of[p[k:]], order[-vocab.scores[i]], i)
                        for i in normal for p in [vocab.pieces[i]] for k in range(1, len(p))
                        if p[:k] in self.id_of and p[k:] in self.id_of)
-        self.keys, self.ranks, self.merged = (np.array([x[j] for x in pairs], np.int64) for j in range(3))
+        self.keys, self.ranks, self.merged = (np.array([x[j] for x in pairs], t) for j, t in enumerate((np.int64, np.int32, np.int32)))
+        # keys by the top bits of their hash, so that a look-up tries a few places
+        code = self._code(self.keys)
+        by = np.argsort(code, kind="stable")
+        self.keys, self.ranks, self.merged = self.keys[by], self.ranks[by], self.merged[by]
+        self.first = np.searchsorted(code[by], np.arange(2**PAIR_BITS + 1)).astype(np.int32)
+        self.tries = int(np.diff(self.first).max(initial=0))
+        self.keys, self.ranks, self.merged = (np.append(x, np.full(self.tries + 1, v, x.dtype))
+                                              for x, v in ((self.keys, -1), (self.ranks, NEVER), (self.merged, 0)))
         self.lookup = {k: (r, i) for k, r, i in pairs}
         # id of a character: its piece, or beyond the vocabulary its code point
         self.char_id = np.arange(0x110000, dtype=np.int32) + self.size
@@ -100,31 +115,40 @@ class Encoder:
             self.out[i] = b""
         for b, i in enumerate(vocab.byte_ids):
             self.out[i] = bytes([b])
-        self.young: dict[int, dict[str, bytes]] = {}
-        self.old: dict[int, dict[str, bytes]] = {}
+        self._clear()
 
-    def skipped(self, piece: int, position: int, variant: int) -> bool:
+    def skipped(self, piece: int, position: int, key: int) -> bool:
         """Keyed hash of a candidate below the dropout rate."""
-        x = piece * 0x9E3779B97F4A7C15 ^ position * 0xC2B2AE3D27D4EB4F ^ variant * 0x165667B19E3779F9 ^ self.seed
+        x = piece * 0x9E3779B97F4A7C15 ^ position * 0xC2B2AE3D27D4EB4F ^ key * 0x165667B19E3779F9 ^ self.seed
         x &= MASK
         x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & MASK
         x = (x ^ x >> 29) * 0xC4CEB9FE1A85EC53 & MASK
         return x ^ x >> 32 < self.bound
 
-    def _skipped(self, piece: np.ndarray, position: np.ndarray, variant: int) -> np.ndarray:
+    def _skipped(self, piece: np.ndarray, position: np.ndarray, key: np.ndarray) -> np.ndarray:
         u = np.uint64
-        x = piece.astype(u) * u(0x9E3779B97F4A7C15) ^ position.astype(u) * u(0xC2B2AE3D27D4EB4F) ^ u(
-            (variant * 0x165667B19E3779F9 & MASK) ^ self.seed)
+        x = (piece.astype(u) * u(0x9E3779B97F4A7C15) ^ position.astype(u) * u(0xC2B2AE3D27D4EB4F)
+             ^ key * u(0x165667B19E3779F9) ^ u(self.seed))
         x = (x ^ x >> u(33)) * u(0xFF51AFD7ED558CCD)
         x = (x ^ x >> u(29)) * u(0xC4CEB9FE1A85EC53)
         return x ^ x >> u(32) < u(self.bound)
 
+    @staticmethod
+    def _code(key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+
     def _pair(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and id of the piece that two symbols form; ``NEVER`` if none."""
-        key = a.astype(np.int64) * WIDE + b
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        hit = self.keys[at] == key
-        return np.where(hit, self.ranks[at], NEVER), self.merged[at]
+        key = (a.astype(np.int64) * WIDE + b).ravel()
+        code = self._code(key)
+        at, stop = self.first[code], self.first[code + 1]
+        left = np.flatnonzero((at < stop) & (self.keys[at] != key))
+        while len(left):
+            at[left] += 1
+            x = at[left]
+            left = left[(x < stop[left]) & (self.keys[x] != key[left])]
+        hit = (at < stop) & (self.keys[at] == key)
+        return np.where(hit, self.ranks[at], np.int32(NEVER)).reshape(a.shape), self.merged[at].reshape(a.shape)
 
     def _packed(self, ids: np.ndarray) -> bytes:
         if (ids < self.size).all():
@@ -132,13 +156,75 @@ class Encoder:
         return b"".join([struct.pack("<i", i) if i < self.size else
                          b"".join([self.pack_bytes[x] for x in chr(i - self.size).encode()]) for i in ids.tolist()])
 
-    def segment_many(self, chunks: list[str], variant: int) -> dict[str, bytes]:
-        """Chunks of at most ``CACHE_CHARS`` characters, all agendas of a block at once: a row holds the ranks
-        of a chunk's adjacent pairs, and each step merges or skips the best of every row."""
-        out: dict[str, bytes] = {}
-        chunks = sorted(chunks, key=len)
-        for start in range(0, len(chunks), BLOCK_CHUNKS):
-            block = chunks[start:start + BLOCK_CHUNKS]
+    def _clear(self) -> None:
+        """Forget all outcomes; the empty chunk stands for a literal U+2581."""
+        self.nodes = self.stored = 0
+        self.piece, self.place = np.empty(4096, np.int32), np.empty(4096, np.int32)
+        self.next = np.empty((4096, 2), np.int32)
+        self.ids = np.empty(4096, np.int32)
+        self.root: dict[str, int] = {"": int(self._grow(1)[0])}
+        self._keep(np.zeros(1, np.int64), np.frombuffer(self.escaped, np.int32), np.array([len(SPACE.encode())]))
+
+    def _grow(self, n: int) -> np.ndarray:
+        """New nodes without candidate and successors."""
+        out = np.arange(self.nodes, self.nodes + n)
+        self.nodes += n
+        if self.nodes > len(self.piece):
+            for name in ("piece", "place", "next"):
+                old = getattr(self, name)
+                new = np.empty((max(self.nodes, 2 * len(old)), *old.shape[1:]), old.dtype)
+                new[:len(old)] = old
+                setattr(self, name, new)
+        self.piece[out], self.next[out] = UNKNOWN, UNKNOWN
+        return out
+
+    def _keep(self, node: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The segmentations of end nodes, one after the other in ``ids``; place and length stand for successors."""
+        end = self.stored + len(ids)
+        if end > len(self.ids):
+            new = np.empty(max(end, 2 * len(self.ids)), np.int32)
+            new[:self.stored] = self.ids[:self.stored]
+            self.ids = new
+        self.ids[self.stored:end] = ids
+        self.piece[node], self.next[node, 1] = END, lengths
+        self.next[node, 0] = self.stored + np.cumsum(lengths) - lengths
+        self.stored = end
+
+    def _walk(self, node: np.ndarray, start: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """Occurrences go from node to node by their own draws; ``node`` is left at the last known one. Returns
+        the occurrences that met no end, one of each (node, draw)."""
+        at = np.arange(len(node))
+        stuck, draw = [], []
+        while len(at):
+            n = node[at]
+            piece = self.piece[n]
+            fresh = piece == UNKNOWN
+            if fresh.any():
+                stuck.append(at[fresh])
+                draw.append(n[fresh] * 2)
+            go = piece >= 0
+            at, n, piece = at[go], n[go], piece[go]
+            skip = self._skipped(piece, start[at] + self.place[n], key[at]).astype(np.int64)
+            to = self.next[n, skip]
+            new = to == UNKNOWN
+            if new.any():
+                stuck.append(at[new])
+                draw.append(n[new] * 2 + skip[new])
+                at, to = at[~new], to[~new]
+            node[at] = to
+        if not stuck:
+            return np.zeros(0, np.int64)
+        at = np.concatenate(stuck)
+        return at[np.unique(np.concatenate(draw), return_index=True)[1]]
+
+    def _expand(self, chunks: list[str], root: np.ndarray, start: np.ndarray, key: np.ndarray) -> None:
+        """The agendas of occurrences of at most ``CACHE_CHARS`` characters, all of a block at once: a row holds the
+        ranks of a chunk's adjacent pairs, and each step merges or skips the best of every row. What each
+        step met is added to the tree."""
+        order = np.argsort(np.fromiter(map(len, chunks), np.int64, len(chunks)), kind="stable")
+        for first in range(0, len(chunks), BLOCK_CHUNKS):
+            rows = order[first:first + BLOCK_CHUNKS]
+            block = [chunks[i] for i in rows.tolist()]
             n, width = len(block), len(block[-1])
             size = np.fromiter(map(len, block), np.int64, n)
             col = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -146,49 +232,69 @@ class Encoder:
             sym[np.repeat(np.arange(n), size), col] = self.char_id[np.frombuffer("".join(block).encode("utf-32-le"), np.uint32)]
             pos = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
             rank, _ = self._pair(sym[:, :-1], sym[:, 1:])  # a pair with the -1 at the end is no piece
+
+            def put(row: np.ndarray, s: np.ndarray, sym: np.ndarray = sym) -> None:
+                sym[row] = -1
+                sym[row, :s.shape[1]] = s
+
             row = np.arange(n)  # chunks whose agenda isn't empty
-            s, p, k = sym, pos, rank
+            s, p, k = sym.copy(), pos, rank
+            node, at, own = root[rows], start[rows], key[rows]
             while width > 1:
                 i = k.argmin(axis=1)
                 live = k[np.arange(len(k)), i] < NEVER
                 if not live.all():
-                    sym[row] = s
+                    put(row, s)
                     row, s, p, k, i = row[live], s[live], p[live], k[live], i[live]
+                    longest = int((s >= 0).sum(axis=1).max(initial=0))
+                    s, p, k = s[:, :longest + 1], p[:, :longest + 1], k[:, :longest]
                 if len(row) == 0:
                     break
                 r = np.arange(len(row))
                 _, piece = self._pair(s[r, i], s[r, i + 1])
-                if self.bound:
-                    skip = self._skipped(piece, p[r, i], variant)
-                    k[r[skip], i[skip]] = NEVER
-                    go = ~skip
-                    r, i, piece = r[go], i[go], piece[go]
-                if len(r):
-                    s[r, i] = piece
-                    take = np.arange(s.shape[1])[None, :]
-                    take = np.minimum(take + (take > i[:, None]), s.shape[1] - 1)
-                    x, y = np.take_along_axis(s[r], take, 1), np.take_along_axis(p[r], take, 1)
-                    x[:, -1] = -1
-                    z = np.take_along_axis(k[r], np.minimum(take[:, :-1], k.shape[1] - 1), 1)
-                    z[:, -1] = NEVER
-                    q = np.arange(len(r))
-                    z[q, i], _ = self._pair(x[q, i], x[q, i + 1])
+                here, place = node[row], p[r, i]
+                self.piece[here], self.place[here] = piece, place
+                skip = self._skipped(piece, at[row] + place, own[row])
+                draw = skip.astype(np.int64)
+                to = self.next[here, draw]
+                new = np.flatnonzero(to == UNKNOWN)
+                to[new] = self._grow(len(new))
+                self.next[here[new], draw[new]] = to[new]
+                node[row] = to
+                k[r[skip], i[skip]] = NEVER
+                merge = r[~skip]
+                if len(merge):
+                    i = i[merge]
+                    s[merge, i] = piece[merge]
+                    wide = np.arange(s.shape[1])
+                    cut = np.full(len(r), s.shape[1])
+                    cut[merge] = i
+                    take = np.minimum(wide + (wide > cut[:, None]), s.shape[1] - 1)
+                    s, p = s.take(take + (r * s.shape[1])[:, None]), p.take(take + (r * s.shape[1])[:, None])
+                    k = k.take(np.minimum(take[:, :-1], k.shape[1] - 1) + (r * k.shape[1])[:, None])
+                    s[merge, -1], k[merge, -1] = -1, NEVER
+                    k[merge, i], _ = self._pair(s[merge, i], s[merge, i + 1])
                     h = np.flatnonzero(i > 0)
-                    z[h, i[h] - 1], _ = self._pair(x[h, i[h] - 1], x[h, i[h]])
-                    s[r], p[r], k[r] = x, y, z
+                    m, j = merge[h], i[h]
+                    k[m, j - 1], _ = self._pair(s[m, j - 1], s[m, j])
             if len(row):
-                sym[row] = s
-            ends = np.cumsum((sym >= 0).sum(axis=1)).tolist()
-            flat, at = sym[sym >= 0], 0
-            plain = bool((flat < self.size).all())
-            data = flat.astype("<i4").tobytes() if plain else b""
-            for chunk, end in zip(block, ends, strict=True):
-                out[chunk] = data[4 * at:4 * end] if plain else self._packed(flat[at:end])
-                at = end
-        return out
-
-    def merge_long(self, chunk: str, variant: int) -> bytes:
-        """The agenda as a heap, for one chunk of any length."""
+                put(row, s)
+            flat, counts = sym[sym >= 0], (sym >= 0).sum(axis=1)
+            if not (flat < self.size).all():
+                packed = [self._packed(x) for x in np.split(flat, np.cumsum(counts)[:-1])]
+                flat, counts = np.frombuffer(b"".join(packed), np.int32), np.array([len(x) // 4 for x in packed])
+            self._keep(node, flat, counts)
+
+    def merge_short(self, chunk: str, key: int, start: int = 0) -> bytes:
+        """The agenda in arrays, for one occurrence by itself."""
+        node, at, own = self._grow(1), np.array([start]), np.array([key], np.uint64)
+        self._expand([chunk], node, at, own)
+        self._walk(node, at, own)
+        begin, length = self.next[node[0]].tolist()
+        return self.ids[begin:begin + length].tobytes()
+
+    def merge_long(self, chunk: str, key: int, start: int = 0) -> bytes:
+        """The agenda as a heap, for one occurrence of any length."""
         sym, n = self.char_id[np.frombuffer(chunk.encode("utf-32-le"), np.uint32)].tolist(), len(chunk)
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
         agenda: list[tuple] = []
@@ -204,7 +310,7 @@ class Encoder:
             _, a, b, was_a, was_b, piece = heapq.heappop(agenda)
             if sym[a] != was_a or sym[b] != was_b or right[a] != b:
                 continue
-            if self.bound and self.skipped(piece, a, variant):
+            if self.bound and self.skipped(piece, start + a, key):
                 continue
             sym[a], sym[b], right[a] = piece, -1, right[b]
             if right[b] < n:
@@ -214,48 +320,72 @@ class Encoder:
                 offer(left[a], a)
         return self._packed(np.array([x for x in sym if x >= 0], np.int32))
 
-    def _split(self, text: str) -> list[list[str]]:
-        """Chunks of the marked text; more than one list where a literal U+2581 goes in between as bytes."""
+    def _split(self, text: str) -> list[str]:
+        """Chunks of the marked text; an empty one for each literal U+2581, which goes in between as bytes."""
         if not text:
             return []
-        parts = (" " + text).split(SPACE)
-        return [self._CHUNK.findall(p.replace(" ", SPACE)) for p in parts]
-
-    def encode_many(self, texts: list[str], variants: list[int]) -> list[bytes]:
-        """Ids of each text as packed 32-bit integers."""
-        split = [self._split(t) for t in texts]
-        for v in set(variants):
-            young, old = self.young.setdefault(v, {}), self.old.setdefault(v, {})
-            if len(young) > CACHE_ENTRIES:
-                self.old[v], young = young, {}
-                old, self.young[v] = self.old[v], young
-            missing: set[str] = set()
-            for lists, w in zip(split, variants, strict=True):
-                if w == v:
-                    for chunks in lists:
-                        missing.update(chunks)
-            missing.difference_update(young)
-            young.update((c, old[c]) for c in missing & old.keys())
-            missing.difference_update(old)
-            short = [c for c in missing if len(c) <= CACHE_CHARS]
-            young.update(self.segment_many(short, v))
-            young.update((c, self.merge_long(c, v)) for c in missing if len(c) > CACHE_CHARS)
-        out = []
-        for lists, v in zip(split, variants, strict=True):
-            get = self.young[v].__getitem__
-            out.append(self.escaped.join([b"".join(map(get, chunks)) for chunks in lists]))
-        for v in set(variants):  # long chunks aren't worth keeping
-            for c in [c for c in self.young[v] if len(c) > CACHE_CHARS]:
-                del self.young[v][c]
+        first, *more = (" " + text).split(SPACE)
+        out = self._CHUNK.findall(first.replace(" ", SPACE))
+        for p in more:
+            out.append("")
+            out += self._CHUNK.findall(p.replace(" ", SPACE))
         return out
 
-    def encode(self, text: str, variant: int = 0) -> bytes:
-        return self.encode_many([text], [variant])[0]
+    def encode_many(self, texts: list[str], keys: list[int]) -> list[bytes]:
+        """Ids of each text as packed 32-bit integers; its merges are drawn by its key and their places in the text."""
+        if self.nodes > CACHE_NODES or len(self.root) > CACHE_ENTRIES:
+            self._clear()
+        chunks: list[str] = []
+        ends = []
+        for t in texts:
+            chunks += self._split(t)
+            ends.append(len(chunks))
+        n, counts = len(chunks), np.diff([0, *ends])
+        size = np.maximum(np.fromiter(map(len, chunks), np.int64, n), 1)  # a literal U+2581 is one character
+        start = np.cumsum(size) - size
+        start -= np.repeat(np.append(start, 0)[np.array([0, *ends[:-1]], int)], counts)
+        key = np.repeat(np.array(keys, np.uint64), counts)
+        long = np.flatnonzero(size > CACHE_CHARS)
+        root = np.fromiter(map(self.root.get, chunks, repeat(-1)), np.int64, n)
+        root[long] = 0
+        unknown = np.flatnonzero(root < 0)
+        missing = [chunks[i] for i in unknown.tolist()]
+        new = set(missing)
+        self.root.update(zip(new, self._grow(len(new)).tolist(), strict=True))
+        root[unknown] = [self.root[c] for c in missing]
+        node = root.copy()
+        todo = np.arange(n)
+        while len(todo):
+            here = node[todo]
+            stuck = todo[self._walk(here, start[todo], key[todo])]
+            node[todo] = here
+            self._expand([chunks[i] for i in stuck.tolist()], root[stuck], start[stuck], key[stuck])
+            todo = todo[self.piece[here] != END]
+        begin, length = self.next[node].astype(np.int64).T
+        ids = self.ids
+        if len(long):
+            made = [np.frombuffer(self.merge_long(chunks[i], int(key[i]), int(start[i])), np.int32) for i in long.tolist()]
+            length[long] = [len(x) for x in made]
+            begin[long] = self.stored + np.cumsum(length[long]) - length[long]
+            ids = np.concatenate([ids[:self.stored], *made])
+        stop = np.cumsum(length)
+        out = ids[np.arange(length.sum()) + np.repeat(begin - stop + length, length)].astype("<i4")
+        cuts = np.append(0, stop)[np.array([0, *ends])]
+        return [out[a:b].tobytes() for a, b in pairwise(cuts.tolist())]
+
+    def encode(self, text: str, key: int = 0) -> bytes:
+        return self.encode_many([text], [key])[0]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.out.__getitem__, ids))[1:].decode()
 
 
+@lru_cache(maxsize=1)
+def _encoder(vocab: Vocabulary, dropout: float, seed: int) -> Encoder:
+    """The encoder of a Python worker, which its tasks share."""
+    return Encoder(vocab, dropout, seed)
+
+
 def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
     """Runs of texts of about ``GROUP_CHARS`` characters."""
     group, size = [], 0
@@ -269,23 +399,23 @@ def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield group
 
 
-def encode(docs: DataFrame, vocab: Vocabulary, dropout: float = 0.1, seed: int = 7, variants: int = 2,
+def encode(docs: DataFrame, vocab: Vocabulary, dropout: float = 0.1, seed: int = 7,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, ids, n_ids, n_chars, lossless (its ids decode to the text).
 
-    The variant of a document is a hash of its text modulo ``variants``, so copies are
-    segmented alike and different documents show different segmentations of a word.
+    The key of a document is a hash of its text, so copies are segmented alike, and a word shows
+    different segmentations from document to document and from place to place.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(shared.value, dropout, seed)
+        enc = _encoder(shared.value, dropout, seed)
         for b in batches:
             texts = b.column(1).to_pylist()
             packed: list[bytes] = []
             for group in _groups(texts):
                 packed += enc.encode_many([t or "" for t in group],
-                                          [xxhash.xxh32_intdigest(t or "", seed) % variants for t in group])
+                                          [xxhash.xxh64_intdigest(t or "") for t in group])
             null = [t is None for t in texts]
             chars = [len(t or "") for t in texts]
             ok = [enc.decode(np.frombuffer(p, np.int32).tolist()) == (t or "") for p, t in zip(packed, texts, strict=True)]
