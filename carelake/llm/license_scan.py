@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import zip_longest
 
 import ahocorasick
 import pyarrow as pa
@@ -59,7 +60,7 @@ KNOWN = PERMISSIVE | frozenset(
 RANK = {"or": 1, "and": 2, "with": 3}
 
 TRIGGERS = ("spdx license identifier", "licensed under", "released under")
-_TRIGGER = re.compile(r"(spdx-license-identifier\s*:|(?:licensed|released)\s+under)([^\n]*)", re.I)
+_TRIGGER = re.compile(r"(spdx-license-identifier\s*:|(?:licensed|released)\s+under)", re.I)
 _TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*")
 _FILLER = frozenset("the a an either terms of license".split())
 
@@ -68,11 +69,13 @@ _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 o
                   for c in range(256))
 
 
-def read_expression(text: str, known_only: bool) -> list[str]:
-    """The longest run of tokens at the start of ``text`` that can be an expression."""
+def read_expression(text: str, known_only: bool, start: int = 0, end: int | None = None) -> list[str]:
+    """The longest run of tokens from ``start`` in ``text`` that can be an expression. Operands on later lines than
+    the first one must be known."""
     out: list[str] = []
     depth, operand = 0, True  # operand: one is expected next
-    for m in _TOKEN.finditer(text):
+    first = start
+    for m in _TOKEN.finditer(text, start, len(text) if end is None else end):
         raw = m.group()
         t = raw.lower().rstrip(".") if raw not in "()" else raw
         if operand and not out and t in _FILLER:
@@ -87,9 +90,13 @@ def read_expression(text: str, known_only: bool) -> list[str]:
             after_with = bool(out) and out[-1] == "with"
             if known_only and not after_with and t not in KNOWN:
                 break
+            if not known_only and out and t not in KNOWN and "\n" in text[first:m.start()]:
+                break
             operand = False
         else:
             break
+        if not out:
+            first = m.start()
         out.append(t)
     while out and (out[-1] in RANK or out[-1] == "("):
         depth -= out.pop() == "("
@@ -167,9 +174,11 @@ def scan_text(raw: bytes, automaton: ahocorasick.Automaton) -> tuple:
                 last = index if last is None else max(last, index)
     expression, permissive = None, None
     if trigger:
-        for m in _TRIGGER.finditer(raw.decode("utf-8", "replace")):
+        text = raw.decode("utf-8", "replace")
+        found = list(_TRIGGER.finditer(text))
+        for m, after in zip_longest(found, found[1:]):  # an expression ends before the next trigger
             tag = m.group(1)[0] in "sS"
-            postfix = to_postfix(read_expression(m.group(2), known_only=not tag))
+            postfix = to_postfix(read_expression(text, not tag, m.end(), after and after.start()))
             if postfix:
                 named, open_choice = evaluate(postfix)
                 for x in named:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from carelake.llm import sentencepiece_bpe
+from carelake.llm import license_scan, sentencepiece_bpe
 
 
 @pytest.fixture(scope="module")
@@ -48,3 +48,13 @@ def test_dropout_is_that_of_the_plain_agenda(vocab):
                 at += max(1, len(c))
             assert got == want
             assert enc.decode(np.frombuffer(got, np.int32).tolist()) == t
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("released under MIT, parts licensed under Apache-2.0", "apache-2.0,mit"),
+    ("SPDX-License-Identifier: MIT and released under ISC; SPDX-License-Identifier: Foo-1.0", "foo-1.0,isc,mit"),
+    ("Licensed under\n  Apache-2.0 or\n  MIT", "apache-2.0,mit"),
+    ("// SPDX-License-Identifier:\n// MIT\n// and other words", "mit"),
+    ("SPDX-License-Identifier: MIT\nwith code", "mit")])
+def test_all_triggers_of_a_text_are_read(text, labels):
+    assert license_scan.scan_text(text.encode(), license_scan.build_automaton())[5] == labels
