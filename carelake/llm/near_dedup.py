@@ -5,16 +5,18 @@ exponentially distributed hashes of all shingles, on a logarithmic scale: K = 1
 16 bits. Equal sets have equal registers, the registers of a union are the larger ones (``merge``), and two
 registers agree the likelier the more similar the sets. Documents that agree in all registers of a
 band are candidates; their similarity is estimated jointly from the numbers of registers that are
-larger, smaller and equal, by maximum likelihood; candidates within three standard errors of
-the threshold are verified on their full sets; verified links are connected into components.
+larger, smaller and equal, by maximum likelihood; a candidate is dropped only if more registers differ than
+the binomial tail allows at the threshold and the estimate is as low; all others are verified
+on their full sets; verified links are connected into components.
 
 Copies collapse first: texts with equal words are one class, represented by its smallest id; what
 follows sees classes only. Within a bucket no pairs are listed. All members are compared with one
 head (the smallest id), then, as long as a bucket holds several components, with members of
 other components (two more rounds), and at last the members outside the bucket's main component with
 all others, as arrays in blocks of bounded size that emit links only. So no link that
-agrees in a band is lost to a cap; a pair at the threshold agrees in no band with probability
-``miss()`` (1e-5 for the defaults).
+agrees in a band is lost to a cap; a pair at the threshold agrees in no band or is dropped before it is
+verified with a probability of at most ``miss()`` (1.4e-5 for the query, 1.7e-5 for
+pipeline stages).
 
 Cases: a text without words has an empty set and is linked with nothing. Fewer words than a shingle
 make one shingle. Rows with a null id are linked with nothing: component null, kept. Rows
@@ -31,6 +33,7 @@ import hashlib
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -61,14 +64,34 @@ class Settings:
     def registers(self) -> int:
         return self.rows * self.bands
 
-    def miss(self) -> float:
+    def band_miss(self) -> float:
         """Probability that a pair at the threshold agrees in no band."""
         return (1 - (self.percent / 100) ** self.rows) ** self.bands
 
+    def most_differing(self) -> int:
+        """The least number of differing registers that a pair at the threshold exceeds with a probability of at most
+        a quarter of ``band_miss``. A register differs with at most 1 - similarity, whatever the sizes."""
+        return _tail(self.registers, 1 - self.percent / 100, self.band_miss() / 4)[0]
+
+    def miss(self) -> float:
+        """Probability, at most, that a pair at the threshold agrees in no band or isn't verified."""
+        return self.band_miss() + _tail(self.registers, 1 - self.percent / 100, self.band_miss() / 4)[1]
+
     def lowest_estimate(self) -> float:
-        """Three standard errors below the threshold."""
-        j = self.percent / 100
-        return j - 3 * math.sqrt(j * (1 - j) / self.registers)
+        """The estimate of sets of one size that differ in ``most_differing`` registers."""
+        return 1 - self.most_differing() / self.registers
+
+
+@lru_cache
+def _tail(m: int, p: float, most: float) -> tuple[int, float]:
+    """The least k that a binomial number exceeds with at most ``most``, and with what probability."""
+    above = 0.0
+    for k in range(m, 0, -1):
+        chance = math.comb(m, k) * p ** k * (1 - p) ** (m - k)
+        if above + chance > most:
+            return k, above
+        above += chance
+    return 0, above
 
 
 #: The contract of op2, and the default of five words and 0.8 for pipeline stages.
@@ -125,10 +148,10 @@ def estimate(larger: np.ndarray, smaller: np.ndarray, n_a: np.ndarray, n_b: np.n
 def _likely(ra: np.ndarray, rb: np.ndarray, na: np.ndarray, nb: np.ndarray, s: Settings) -> np.ndarray:
     """Which pairs of register rows could reach the threshold."""
     larger, smaller = (ra > rb).sum(axis=1), (ra < rb).sum(axis=1)
-    ok = 100 * np.minimum(na, nb) >= s.percent * np.maximum(na, nb)  # sizes bound the similarity
+    fits = 100 * np.minimum(na, nb) >= s.percent * np.maximum(na, nb)  # sizes bound the similarity
+    ok = fits & (larger + smaller <= s.most_differing())
     # the estimate is costly: only for pairs whose share of equal registers leaves it open
-    ok &= (s.registers - larger - smaller) >= (s.lowest_estimate() - 0.1) * s.registers
-    at = np.flatnonzero(ok)
+    at = np.flatnonzero(fits & ~ok & ((s.registers - larger - smaller) >= (s.lowest_estimate() - 0.1) * s.registers))
     if len(at):
         ok[at] = estimate(larger[at], smaller[at], na[at].astype(float), nb[at].astype(float), s.registers,
                           s.base) >= s.lowest_estimate()
