@@ -6,7 +6,8 @@ base kinds (e-mail, ip, card, phone) are kept whenever their rule holds. The oth
 gradient-boosted trees over binned features of format and context.
 
 Training needs no labels from people: a candidate is positive if a strong rule proves it (checksum,
-value ranges, key words, known prefixes), negative if it looks alike and fails. The trees see
+value ranges, key words, known prefixes and formats), negative if it looks alike and fails; digit groups
+in base spans or after other key words teach nothing. The trees see
 binned features only, so what they learn from is the number of candidates in each cell of feature
 values: one aggregate over all documents, of at most ``MAX_CELLS`` rows whatever the input. One
 fold of documents is left for calibration: scores become probabilities by a logistic fit, and the
@@ -54,10 +55,16 @@ GENERATORS = {
 _KIND_OF = {"keyed": "secret", "token": "secret", "digits": "number"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _KEY_WORD = r"(?i)(?:mail|phone|tel|call|fax|card|visa|account|iban|ssn|address|password|passwd|secret|token|key|login)"
+# What proves a long digit group: a word before it that names a number of a person, or its format
+# (national id, phone number without prefix).
+_NUMBER_WORD = (r"(?i)(?<![a-z])(?:tele)?(?:phone|tel|call|fax|mobile|cell|account|acct|iban|ssn|social security|passport|"
+                r"card|visa)(?![a-z])")
+_NUMBER_FORMAT = (r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$|"
+                  r"^(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}$")
 
 #: Binned features with their number of bins; their product bounds the cells.
 FEATURES = {"length": 6, "digit_share": 5, "upper_share": 3, "mixed": 2, "mark": 5, "before": 4, "after": 3,
-            "key_word": 2}
+            "key_word": 2, "evidence": 3}
 MAX_CELLS = int(np.prod(list(FEATURES.values())))
 
 
@@ -145,8 +152,16 @@ def _valid(g: str, m: Column) -> Column:
     return F.lit(False)
 
 
-def _label(g: str, m: Column, valid: Column) -> Column:
+def _evidence(x: Column) -> Column:
+    """What proves a number: 2 a word before it, 1 its format, 0 nothing."""
+    return F.when(x["b"].rlike(_NUMBER_WORD), F.lit(2)).when(x["m"].rlike(_NUMBER_FORMAT), F.lit(1)).otherwise(F.lit(0))
+
+
+def _label(g: str, x: Column, valid: Column) -> Column:
     """1 proven, 0 disproven, null unknown (such candidates don't train)."""
+    m = x["m"]
+    if g == "digits":  # after other key words it may be anything
+        return F.when(_evidence(x) > 0, F.lit(1)).when(~x["b"].rlike(_KEY_WORD), F.lit(0))
     if g == "token":
         return F.when(valid, F.lit(1)).when(~(m.rlike("[0-9]") & m.rlike("[A-Za-z]")), F.lit(0))
     return F.when(valid, F.lit(1)).otherwise(F.lit(0))
@@ -167,7 +182,7 @@ def _features(x: Column) -> Column:
             F.startswith(m, F.lit("+")), F.lit(2)).when(m.rlike("[ .-]"), F.lit(1)).otherwise(F.lit(0)).alias("mark"),
         F.when(last.isin("=", ":", '"', "'"), F.lit(3)).otherwise(side(last)).alias("before"),
         side(x["a"]).alias("after"),
-        F.when(x["b"].rlike(_KEY_WORD), F.lit(1)).otherwise(F.lit(0)).alias("key_word"))
+        F.when(x["b"].rlike(_KEY_WORD), F.lit(1)).otherwise(F.lit(0)).alias("key_word"), _evidence(x).alias("evidence"))
 
 
 def with_candidates(df: DataFrame, text: str) -> DataFrame:
@@ -178,10 +193,20 @@ def with_candidates(df: DataFrame, text: str) -> DataFrame:
         def at(x: Column) -> Column:
             return let(_valid(g, x["m"]), lambda v: F.struct(
                 x["s"].alias("s"), F.lit(KINDS.index(_KIND_OF.get(g, g))).alias("k"), x["e"].alias("e"),
-                F.lit(g).alias("g"), v.alias("valid"), _label(g, x["m"], v).alias("y"), _features(x).alias("f")))
+                F.lit(g).alias("g"), v.alias("valid"), _label(g, x, v).alias("y"), _features(x).alias("f")))
+        return at
+
+    def untaught(base: Column):
+        """A number in a base span is neither proven nor disproven."""
+        def at(x: Column) -> Column:
+            inside = (x["g"] == "digits") & F.exists(base, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
+            return F.struct(*[x[n].alias(n) for n in ("s", "k", "e", "g", "valid")],
+                            F.when(~inside, x["y"]).alias("y"), x["f"].alias("f"))
         return at
 
-    return d.select(*df.columns, F.concat(*[F.transform(g, judge(g)) for g in GENERATORS]).alias("c"))
+    d = d.select(*df.columns, F.concat(*[F.transform(g, judge(g)) for g in GENERATORS]).alias("c"))
+    base = F.filter("c", lambda x: (x["k"] < len(BASE_KINDS)) & x["valid"])
+    return d.select(*df.columns, let(base, lambda b: F.transform("c", untaught(b))).alias("c"))
 
 
 # ------------------------------------------------------------------ boosted trees

@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from carelake.llm import license_scan, near_dedup, sentencepiece_bpe
+from carelake.llm import license_scan, near_dedup, pii_boost, sentencepiece_bpe
+from carelake.llm.common import materialize
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +73,21 @@ def test_pairs_at_the_threshold_are_verified(s):
         if not near_dedup._likely(regs, np.ones((1, m), np.uint16) * (regs > 0) * 2, n, n, s)[0]:
             lost += math.comb(m, k) * p ** k * (1 - p) ** (m - k)
     assert lost <= s.miss() - (1 - (1 - p) ** s.rows) ** s.bands + 1e-12 and s.miss() < 2e-5
+
+
+def test_number_spans_come_out(spark):
+    r = random.Random(6)
+    digits = lambda n: "".join(r.choice("123456789") for _ in range(n))
+    rows = [(i, f"her account {digits(10)} was closed") for i in range(100)]
+    rows += [(100 + i, f"filed as 2{digits(2)}-{digits(2)}-{digits(4)} there") for i in range(100)]
+    rows += [(200 + i, f"reach me 4{digits(2)}-3{digits(2)}-{digits(4)} today") for i in range(100)]
+    rows += [(300 + i, f"hotel part {digits(10)} in stock, {digits(3)}-{digits(7)} sold") for i in range(200)]
+    rows += [(500 + i, "paid by 4111111111111111 from 10.20.30.40 then") for i in range(200)]
+    found = materialize(pii_boost.candidates(spark.createDataFrame(rows, "doc_id bigint, text string")), "t")
+    inside = found.selectExpr("doc_id", "explode(c) x").where("doc_id >= 500 and x.g = 'digits'").select("x.y").collect()
+    assert inside and all(x["y"] is None for x in inside)
+    got = {x["doc_id"]: x["spans"] for x in pii_boost.find(found, pii_boost.fit(found)).collect()}
+    base = lambda i: any(k in got[i] for k in ("card", "ip", "phone"))
+    assert all(got[i].startswith("number:") for i in range(300) if not base(i))
+    assert sum(got[i].startswith("number:") for i in range(300)) > 290
+    assert not any("number" in got[i] for i in range(300, 700))
