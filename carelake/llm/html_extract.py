@@ -3,7 +3,7 @@
 Markup is stripped into lines, one per block element, in page order. Lines of menus, adverts,
 notices, forms, comments and the like count as empty. Text lengths are summed over windows of
 ``WINDOW`` lines; a surge is a window with text after one without, a dive the next window
-without text. The text between the surge and the dive of the heaviest stretch is kept. If the
+without text. From the first to the last stretch with a heavy window all text is kept. If the
 page marks its article, lines outside it count as empty and all stretches inside are kept.
 
 Cases: null or empty html gives an empty text. Repeated rows and null ids give one result each;
@@ -76,7 +76,7 @@ def to_lines(html: str) -> list[tuple[str, float, bool, bool]]:
     def flush() -> None:
         nonlocal linked
         text = " ".join(htmllib.unescape("".join(parts)).split())
-        if text or parts:
+        if text:
             lines.append((text, min(1.0, linked / max(1, len(text))), dropped, article))
         parts.clear()
         linked = 0
@@ -170,7 +170,7 @@ def extract_text(html: str | None) -> str:
     if not marked and found:
         blocks = line_blocks(lengths)
         strong = [r for r in found if max(blocks[r[0]:r[1]]) >= SURGE_CHARS] or found
-        found = [max(strong, key=lambda r: sum(lengths[r[0]:r[1]]))]
+        found = [r for r in found if strong[0][0] <= r[0] <= strong[-1][0]]  # weak ones in between belong to the text
     return "\n".join(lines[i][0] for a, b in found for i in range(a, b) if lengths[i])
 
 

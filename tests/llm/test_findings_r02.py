@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from carelake.llm import license_scan, near_dedup, pii_boost, sentencepiece_bpe
+from carelake.llm import html_extract, license_scan, near_dedup, pii_boost, sentencepiece_bpe
 from carelake.llm.common import materialize
 
 
@@ -91,3 +91,13 @@ def test_number_spans_come_out(spark):
     assert all(got[i].startswith("number:") for i in range(300) if not base(i))
     assert sum(got[i].startswith("number:") for i in range(300)) > 290
     assert not any("number" in got[i] for i in range(300, 700))
+
+
+def test_unmarked_pages_keep_all_sections():
+    text = [f"Section {i} has a paragraph that is long enough to be text of the page and not a label or a menu." for i in range(4)]
+    section = "<section>\n<h2>\nPart {}\n</h2>\n<p>\n{}\n</p>\n</section>\n\n"
+    parts = [section.format(i, t) for i, t in enumerate(text)]
+    advert = "<div class='ad'>\n<p>Buy</p>\n<p>this</p>\n<p>now</p>\n<p>!</p>\n</div>\n"
+    page = "<html>\n<body>\n<div>\n" + parts[0] + advert + parts[1] + advert + "<p>Short.</p>\n" + advert + "".join(parts[2:]) + "</div>\n"
+    want = ["Part 0", text[0], "Part 1", text[1], "Short.", "Part 2", text[2], "Part 3", text[3]]
+    assert html_extract.extract_text(page).split("\n") == want
