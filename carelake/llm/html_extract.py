@@ -3,8 +3,8 @@
 Markup is stripped into lines, one per block element, in page order. Lines of menus, adverts,
 notices, forms, comments and the like count as empty. Text lengths are summed over windows of
 ``WINDOW`` lines; a surge is a window with text after one without, a dive the next window
-without text. From the first to the last stretch with a heavy window all text is kept. If the
-page marks its article, lines outside it count as empty and all stretches inside are kept.
+without text. From the first to the last stretch with a heavy window all text is kept. An article's
+mark is a weight: its text counts as heavy, and text outside it must outweigh it to be kept.
 
 Cases: null or empty html gives an empty text. Repeated rows and null ids give one result each;
 an empty table gives an empty result; other columns are not read. Unclosed tags end with
@@ -16,6 +16,7 @@ from __future__ import annotations
 import html as htmllib
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 WINDOW = 3
 #: A line with more of its text in links than this is a menu line.
 LINK_SHARE = 0.7
-#: Without a marked article, a stretch must hold so many characters in one window.
+#: Outside a marked article, a stretch must hold so many characters in one window.
 SURGE_CHARS = 80
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>", re.S)
@@ -161,17 +162,31 @@ def stretches(lengths: list[int], window: int = WINDOW) -> list[tuple[int, int]]
     return out
 
 
+def choose(lengths: list[int], inside: list[bool]) -> list[tuple[int, int]]:
+    """The stretches that are text. An article's mark ends a stretch at its borders and is a weight: what it holds counts
+    as heavy; other text must be heavy by itself, and outweigh the marked text in sum."""
+    cuts = [0, *[i for i in range(1, len(lengths)) if inside[i] != inside[i - 1]], len(lengths)]
+    found, strong = [], []
+    for start, end in pairwise(cuts):
+        part = lengths[start:end]
+        blocks = line_blocks(part)
+        for a, b in stretches(part):
+            found.append((start + a, start + b))
+            if not inside[start] and max(blocks[a:b]) >= SURGE_CHARS:
+                strong.append(found[-1])
+    marked = [r for r in found if inside[r[0]]]
+    total = lambda ranges: sum(sum(lengths[a:b]) for a, b in ranges)
+    if marked and total(strong) <= total(marked):
+        return marked
+    strong = sorted(strong + marked) or found
+    # weak ones in between belong to the text
+    return [r for r in found if strong[0][0] <= r[0] <= strong[-1][0]]
+
+
 def extract_text(html: str | None) -> str:
     lines = to_lines(html or "")
-    marked = any(x[3] and not x[2] and x[0] for x in lines)
-    lengths = [0 if drop or marked and not inside or share > LINK_SHARE and not inside else len(text)
-               for text, share, drop, inside in lines]
-    found = stretches(lengths)
-    if not marked and found:
-        blocks = line_blocks(lengths)
-        strong = [r for r in found if max(blocks[r[0]:r[1]]) >= SURGE_CHARS] or found
-        found = [r for r in found if strong[0][0] <= r[0] <= strong[-1][0]]  # weak ones in between belong to the text
-    return "\n".join(lines[i][0] for a, b in found for i in range(a, b) if lengths[i])
+    lengths = [0 if drop or share > LINK_SHARE and not inside else len(text) for text, share, drop, inside in lines]
+    return "\n".join(lines[i][0] for a, b in choose(lengths, [x[3] for x in lines]) for i in range(a, b) if lengths[i])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -101,3 +101,12 @@ def test_unmarked_pages_keep_all_sections():
     page = "<html>\n<body>\n<div>\n" + parts[0] + advert + parts[1] + advert + "<p>Short.</p>\n" + advert + "".join(parts[2:]) + "</div>\n"
     want = ["Part 0", text[0], "Part 1", text[1], "Short.", "Part 2", text[2], "Part 3", text[3]]
     assert html_extract.extract_text(page).split("\n") == want
+
+
+def test_a_marked_teaser_does_not_replace_the_body():
+    body = [f"Paragraph {i} of the real text, which stands in a plain division and is longer than any card." for i in range(5)]
+    page = "<div>" + "".join(f"<p>{t}</p>" for t in body) + "</div>" + "<article><p>Teaser</p></article>"
+    got = html_extract.extract_text(page).split("\n")
+    assert got[:5] == body
+    page = "<article>" + "".join(f"<p>{t}</p>" for t in body) + "</article><div>" + "<p>" + "a blurb " * 12 + "</p></div>"
+    assert html_extract.extract_text(page).split("\n") == body
