@@ -76,5 +76,51 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN f <> page_id THEN f END AS refers_to FROM f"""
 
 
+def _filters() -> str:
+    letters = ", ".join(f"('{x}')" for x in "ABCDE")
+    steps = "\n  UNION ALL ".join(
+        f"SELECT filter_order, {i} AS step, filter_order[{i}] AS own, filter_order[1:{i - 1}] AS before FROM orders" if i > 1 else
+        "SELECT filter_order, 1 AS step, filter_order[1] AS own, '' AS before FROM orders" for i in range(1, 6))
+    fails = " || ".join(f"CASE WHEN {x.lower()} THEN '{x}' ELSE '' END" for x in "ABCDE")
+    return rf"""
+WITH doc AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+words AS (
+  SELECT *, list_filter(regexp_split_to_array(body, '{_WHITE}+'), lambda w: w <> '') AS ws,
+         min(doc_id) OVER (PARTITION BY body) AS first FROM doc),
+judged AS (
+  SELECT doc_id, part, len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b,
+         100 * len(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * len(body) AS c,
+         regexp_matches(body, '[#$%&*|]') AS d, coalesce(doc_id > first, false) AS e FROM words),
+lab AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT part, {fails} AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM judged LEFT JOIN lab USING (doc_id)),
+groups AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (WHERE good) AS n_good,
+         count(*) FILTER (WHERE toxic) AS n_toxic FROM docs GROUP BY part, fails),
+letter(x) AS (VALUES {letters}),
+orders AS (
+  SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+  FROM letter p JOIN letter q ON q.x <> p.x JOIN letter r ON r.x NOT IN (p.x, q.x)
+  JOIN letter s ON s.x NOT IN (p.x, q.x, r.x) JOIN letter t ON t.x NOT IN (p.x, q.x, r.x, s.x)),
+steps AS (
+  {steps}),
+seen AS (
+  SELECT part, filter_order, step, own, n, n_good, n_toxic, fails, contains(fails, own) AS fails_own,
+         before <> '' AND translate(fails, before, '') <> fails AS fails_before
+  FROM groups JOIN steps ON true),
+rows AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (WHERE NOT fails_own AND NOT fails_before), 0)::BIGINT AS kept,
+         coalesce(sum(n) FILTER (WHERE fails_own AND NOT fails_before), 0)::BIGINT AS removed,
+         coalesce(sum(n) FILTER (WHERE fails_own AND fails_before), 0)::BIGINT AS redundant,
+         coalesce(sum(n) FILTER (WHERE fails = own), 0)::BIGINT AS unique_fails,
+         coalesce(sum(n_good) FILTER (WHERE fails_own AND NOT fails_before), 0)::BIGINT AS good_lost,
+         coalesce(sum(n_toxic) FILTER (WHERE fails_own AND NOT fails_before), 0)::BIGINT AS toxic_lost
+  FROM seen GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM rows"""
+
+
 def build() -> dict[str, str]:
-    return {"op3_line_dedup": _lines(), "op8_warc_zip": _revisits(), "op6_quality_rules": _quality()}
+    return {"op13_filter_audit": _filters(), "op3_line_dedup": _lines(), "op8_warc_zip": _revisits(), "op6_quality_rules": _quality()}
