@@ -122,5 +122,28 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
        (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM rows"""
 
 
+def _ranked() -> str:
+    terms = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+    return f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {terms} AS ts FROM documents),
+size AS (SELECT r, doc_id, len(ts)::BIGINT AS n FROM doc WHERE len(ts) > 0),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM size),
+held AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS t FROM doc) GROUP BY r, t),
+asked AS (
+  SELECT q, t, count(*)::BIGINT AS times
+  FROM (SELECT row_number() OVER () AS q, unnest({terms}) AS t FROM benchmark) GROUP BY q, t),
+item AS (SELECT row_number() OVER () AS q, item_id FROM benchmark),
+freq AS (SELECT t, count(*)::BIGINT AS df FROM held GROUP BY t),
+weight AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM freq, total),
+norm AS (SELECT r, doc_id, 100 - 25 + ((25 * n * docs) // terms) AS m FROM size, total),
+found AS (
+  SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM asked JOIN held USING (t) JOIN weight USING (t) JOIN norm USING (r) GROUP BY q, r),
+ranked AS (
+  SELECT q, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+  FROM found JOIN norm USING (r) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN item USING (q) WHERE rank <= 20"""
+
+
 def build() -> dict[str, str]:
-    return {"op13_filter_audit": _filters(), "op3_line_dedup": _lines(), "op8_warc_zip": _revisits(), "op6_quality_rules": _quality()}
+    return {"op12_treap_search": _ranked(), "op13_filter_audit": _filters(), "op3_line_dedup": _lines(), "op8_warc_zip": _revisits(), "op6_quality_rules": _quality()}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm import (decontaminate, filter_audit, html_extract, license_scan, line_dedup, mil_classifier, near_dedup, pii_boost,
-                          quality_rules, sentencepiece_bpe, warc_zip)
+                          quality_rules, sentencepiece_bpe, treap_search, warc_zip)
 from carelake.llm.common import materialize, read_table
 
 
@@ -64,6 +64,11 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode(read_table(spark, sf_dir, "documents"), vocab)
 
 
+def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = treap_search.build(read_table(spark, sf_dir, "documents"))
+    return treap_search.search(index, read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -71,4 +76,4 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_near_dedup, op3_line_dedup, op4_pii_boost, op5_decontaminate, op6_quality_rules,
                             op7_html_extract, op8_warc_zip, op9_quality_classifier, op10_sentencepiece,
-                            op13_filter_audit)}
+                            op12_treap_search, op13_filter_audit)}
