@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm import (decontaminate, filter_audit, html_extract, license_scan, line_dedup, mil_classifier, near_dedup, pii_boost,
+from carelake.llm import (credential_links, decontaminate, filter_audit, html_extract, license_scan, line_dedup, mil_classifier, near_dedup, pii_boost,
                           quality_rules, sentencepiece_bpe, treap_search, warc_zip)
 from carelake.llm.common import materialize, read_table
 
@@ -64,6 +64,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.encode(read_table(spark, sf_dir, "documents"), vocab)
 
 
+def op11_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = credential_links.scan(read_table(spark, sf_dir, "documents"))
+    n = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in credential_links.BASE]
+    return d.select("doc_id", *n, F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+                    F.size("credentials").cast("bigint").alias("n_credentials"))
+
+
 def op12_treap_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = treap_search.build(read_table(spark, sf_dir, "documents"))
     return treap_search.search(index, read_table(spark, sf_dir, "benchmark"))
@@ -76,4 +83,4 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_license_scan, op2_near_dedup, op3_line_dedup, op4_pii_boost, op5_decontaminate, op6_quality_rules,
                             op7_html_extract, op8_warc_zip, op9_quality_classifier, op10_sentencepiece,
-                            op12_treap_search, op13_filter_audit)}
+                            op11_credential_links, op12_treap_search, op13_filter_audit)}
