@@ -1,15 +1,16 @@
 """Keyed upserts and SCD Type 2 as pure DataFrame functions.
 
-Each returns the *new* table state ``f(target, source) -> DataFrame``; the
-store persists it as a fresh snapshot. Semantics follow SQL MERGE: NULL keys
-never match (such source rows are always inserted), target-only rows stay,
-and at most one source row may match a target row.
+Each returns the *new* state ``f(target, source) -> DataFrame`` of the rows it is given; the store persists it.
+Semantics follow SQL MERGE: NULL keys never match (such source rows are always inserted), target-only rows stay, and at
+most one source row may match a target row. A table's own keys are unique; a target that repeats one is an error.
+
+All of them stand on ``merged_pairs``: both inputs are tagged, united and grouped by the keys, so a merge reads each
+input once and exchanges it once, and the duplicate guard is a count of the same groups.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,133 +19,94 @@ from carelake.functions import changed_any, lit_date, lit_ts
 from carelake.operators.dedupe import latest_per_key
 
 
-def _any_null(keys: Iterable[str], prefix: str = "") -> Column:
-    out = None
-    for k in keys:
-        c = F.col(f"{prefix}{k}").isNull()
-        out = c if out is None else (out | c)
+def _any_null(keys: list[str]) -> Column:
+    out = F.col(keys[0]).isNull()
+    for k in keys[1:]:
+        out = out | F.col(k).isNull()
     return out
 
 
-def guard_unique_source(src: DataFrame, keys: list[str], on_duplicate: str = "error",
-                        order: list[Column] | None = None) -> DataFrame:
-    """Enforce that each non-NULL key occurs once in an upsert source.
+def merged_pairs(target: DataFrame, source: DataFrame, keys: list[str], on_duplicate: str = "error",
+                 order: list[Column] | None = None) -> DataFrame:
+    """Columns ``t`` and ``s``: the target's and the source's row of each key as structs, either may be null.
 
-    ``error``: fail lazily (``raise_error``) when a key repeats;
-    ``latest``: keep the first row under ``order``; ``allow``: no check.
+    ``on_duplicate``: ``error`` fails the task that meets a key twice in the source; ``latest`` keeps its first
+    row under ``order``. Rows with a NULL key stand alone; a number of their own spreads them over the
+    partitions, so they don't gather where NULL hashes to.
     """
-    if on_duplicate == "allow":
-        return src
     if on_duplicate == "latest":
         if not order:
             raise ValueError("on_duplicate='latest' needs an order")
-        keyed = src.filter(~_any_null(keys))
-        return latest_per_key(keyed, keys, order).unionByName(src.filter(_any_null(keys)))
-    if on_duplicate != "error":
+        source = latest_per_key(source.withColumn("_alone", _alone(keys)), [*keys, "_alone"], order).drop("_alone")
+    elif on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate mode: {on_duplicate}")
-    # NULL-key rows never match and are exempt; they bypass the keyed window
-    # so they cannot pile up in the one partition that NULL hashes to.
-    # Copies of a key are counted by partial sums; only the keys' one-row counts are joined.
-    first = keys[0]
-    keyed = src.filter(~_any_null(keys))
-    repeated = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).filter("_copies > 1")
-    j = keyed.join(repeated, keys, "left")
-    guarded = F.when(F.col("_copies").isNull(), F.col(first)).otherwise(
-        F.raise_error(F.concat(F.lit("upsert source has duplicate key: "),
-                               F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))))
-    return j.withColumn(first, guarded.cast(src.schema[first].dataType)).select(
-        *src.columns).unionByName(src.filter(_any_null(keys)))
+    names = [f"_k{i}" for i in range(len(keys))]
+    # the key columns of both sides share a type; rows keep their own
+    types = [target.schema[k].dataType for k in keys]
+
+    def side(df: DataFrame, tag: str, other: str, other_type) -> DataFrame:
+        return df.select(*[F.col(k).cast(t).alias(n) for k, n, t in zip(keys, names, types)], _alone(keys, int(tag == "s")).alias("_alone"),
+                         F.struct(*[F.col(c) for c in df.columns]).alias(tag), F.lit(None).cast(other_type).alias(other))
+
+    both = side(target, "t", "s", source.schema).unionByName(side(source, "s", "t", target.schema))
+    grouped = both.repartition(*names, "_alone").groupBy(*names, "_alone").agg(
+        F.count("t").alias("_nt"), F.count("s").alias("_ns"), F.first("t", ignorenulls=True).alias("t"),
+        F.first("s", ignorenulls=True).alias("s"))
+    key = F.concat_ws("|", *[F.col(n).cast("string") for n in names])
+    twice = lambda what: F.raise_error(F.concat(F.lit(f"upsert {what} has duplicate key: "), key)).cast("boolean")
+    return grouped.where(F.when(F.col("_ns") > 1, twice("source")).when(F.col("_nt") > 1, twice("target"))
+                         .otherwise(True)).select("t", "s")
+
+
+def _alone(keys: list[str], side: int = 0) -> Column:
+    """A number of its own for a row with a NULL key, never the same on both sides; else null."""
+    return F.when(_any_null(keys), 2 * F.monotonically_increasing_id() + side)
 
 
 def upsert_all(target: DataFrame, source: DataFrame, keys: list[str],
                on_duplicate: str = "error", order: list[Column] | None = None) -> DataFrame:
-    """MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *.
+    """MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *: matched rows are replaced
+    wholesale (including their load time)."""
+    cols = target.columns
+    pairs = merged_pairs(target, source.select(*cols), keys, on_duplicate, order)
+    return pairs.select(*_typed(target, {c: F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+                                         for c in cols}))
 
-    Implemented as ``target ANTI source_keys UNION ALL source``: target rows
-    whose key appears in the batch are replaced wholesale (including their
-    load time). When the batch is small AQE broadcasts its keys, so the large
-    target is not shuffled.
-    """
-    src = guard_unique_source(source.select(*target.columns), keys, on_duplicate, order)
-    src_keys = src.select(*keys).filter(~_any_null(keys))
-    kept = target.join(src_keys, on=keys, how="left_anti")
-    return kept.unionByName(src)
+
+def _typed(target: DataFrame, values: dict[str, Column]) -> list[Column]:
+    return [values[f.name].cast(f.dataType).alias(f.name) for f in target.schema.fields]
 
 
 def merge_latest(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column]
                  ) -> DataFrame:
-    """Incremental form of "latest row per key over all deliveries".
-
-    For keys present in ``batch`` the stored row and the new rows compete
-    under ``order`` (latest-of-latest equals latest over everything, so the
-    result equals a full recompute); other stored rows pass through an anti
-    join. Staging work grows with the batch; the stored table is read and rewritten whole.
-    """
-    batch = batch.select(*target.columns)
-    touched = batch.select(*keys).distinct()
-    prior = target.join(touched, keys, "left_semi")
-    winners = latest_per_key(prior.unionByName(batch), keys, order)
-    return target.join(touched, keys, "left_anti").unionByName(winners)
+    """Incremental form of "latest row per key over all deliveries": stored and new rows compete
+    under ``order`` (latest-of-latest equals latest over everything, so the result equals a full
+    recompute). One scan of each input, one exchange."""
+    return latest_per_key(target.unionByName(batch.select(*target.columns)), keys, order)
 
 
 def upsert_columns(target: DataFrame, source: DataFrame, keys: list[str],
                    update_cols: list[str], on_duplicate: str = "error",
-                   order: list[Column] | None = None, strategy: str = "full_outer"
-                   ) -> DataFrame:
+                   order: list[Column] | None = None) -> DataFrame:
     """MERGE with an explicit column map.
 
     Matched: ``update_cols`` take the source value, every other column
     (keys, first load time) keeps the target value. Not matched: the source
     row is inserted whole.
-
-    ``strategy``:
-      * ``full_outer`` - one full outer join on the keys (shuffles both sides);
-      * ``split`` - for a batch that is small next to the table: target rows whose key
-        is not in the batch pass through an anti join, and only the touched rows
-        meet the batch in the outer join. No size switch: AQE broadcasts the batch keys
-        when their runtime size allows and shuffles otherwise. Use it on a
-        materialized batch, which is read three times.
     """
     cols = target.columns
-    src = guard_unique_source(source.select(*cols), keys, on_duplicate, order)
-    if strategy == "split":
-        batch_keys = src.select(*keys).filter(~_any_null(keys))
-        untouched = target.join(batch_keys, keys, "left_anti")
-        touched = target.join(batch_keys, keys, "left_semi")
-        return untouched.unionByName(
-            _merge_outer(touched, src, keys, update_cols, cols))
-    if strategy != "full_outer":
-        raise ValueError(f"unknown upsert strategy: {strategy}")
-    return _merge_outer(target, src, keys, update_cols, cols)
-
-
-def _merge_outer(target: DataFrame, src: DataFrame, keys: list[str], update_cols: list[str],
-                 cols: list[str]) -> DataFrame:
-    t = target.withColumn("_t_present", F.lit(True)).alias("t")
-    s = src.withColumn("_s_present", F.lit(True)).alias("s")
-    cond = None
-    for k in keys:
-        c = F.col(f"t.{k}") == F.col(f"s.{k}")
-        cond = c if cond is None else (cond & c)
-    j = t.join(s, cond, "full_outer")
-    t_in = F.col("t._t_present").isNotNull()
-    s_in = F.col("s._s_present").isNotNull()
-    out = []
-    for c in cols:
-        tc, sc = F.col(f"t.{c}"), F.col(f"s.{c}")
-        if c in update_cols:
-            v = F.when(s_in, sc).otherwise(tc)
-        else:
-            v = F.when(t_in, tc).otherwise(sc)
-        out.append(v.alias(c))
-    return j.select(*out)
+    pairs = merged_pairs(target, source.select(*cols), keys, on_duplicate, order)
+    t_in, s_in = F.col("t").isNotNull(), F.col("s").isNotNull()
+    return pairs.select(*_typed(target, {
+        c: F.when(s_in, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")) if c in update_cols
+        else F.when(t_in, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}")) for c in cols}))
 
 
 def scd2_apply(target: DataFrame, staged: DataFrame, key: str, attrs: list[str],
                as_of_date: dt.date, load_ts: dt.datetime,
                null_safe: tuple[str, ...] = ("birth_date",),
                on_duplicate: str = "error") -> DataFrame:
-    """SCD Type 2 in one pass over the current versions.
+    """SCD Type 2 in one merge of the current versions with the delivery.
 
     * current row whose attributes changed -> ``expiration_date = as_of``,
       ``is_current = false`` (same-day stamps allowed);
@@ -152,16 +114,12 @@ def scd2_apply(target: DataFrame, staged: DataFrame, key: str, attrs: list[str],
       ``effective_date = as_of``, ``expiration_date = NULL``, ``load_dttm``;
     * unchanged -> nothing, so re-applying the same batch is a no-op.
 
-    History rows (``is_current = false``) are never joined.
+    History rows (``is_current = false``) are never exchanged.
     """
     cols = target.columns
-    staged = guard_unique_source(staged, [key], on_duplicate)
     history = target.filter(~F.col("is_current"))
-    current = target.filter(F.col("is_current")).withColumn("_t_present", F.lit(True))
-    j = current.alias("t").join(staged.withColumn("_s_present", F.lit(True)).alias("s"),
-                                F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    t_in = F.col("t._t_present").isNotNull()
-    s_in = F.col("s._s_present").isNotNull()
+    pairs = merged_pairs(target.filter(F.col("is_current")), staged, [key], on_duplicate)
+    t_in, s_in = F.col("t").isNotNull(), F.col("s").isNotNull()
     changed = t_in & s_in & changed_any("t", "s", attrs, null_safe)
 
     fresh = {
@@ -172,13 +130,11 @@ def scd2_apply(target: DataFrame, staged: DataFrame, key: str, attrs: list[str],
     }
     ended = {"expiration_date": F.when(changed, lit_date(as_of_date)).otherwise(F.col("t.expiration_date")),
              "is_current": F.when(changed, F.lit(False)).otherwise(F.col("t.is_current"))}
-    typed = lambda f, c: c.cast(f.dataType).alias(f.name)
-    old = F.struct(*[typed(f, ended.get(f.name, F.col(f"t.{f.name}"))) for f in target.schema.fields])
-    new = F.struct(*[typed(f, fresh[f.name] if f.name in fresh else F.col(f"s.{f.name}"))
-                     for f in target.schema.fields])
-    # the join runs once: each of its rows gives the version it keeps or ends, the one it starts, or both
+    old = F.struct(*_typed(target, {c: ended.get(c, F.col(f"t.{c}")) for c in cols}))
+    new = F.struct(*_typed(target, {c: fresh[c] if c in fresh else F.col(f"s.{c}") for c in cols}))
+    # each pair gives the version it keeps or ends, the one it starts, or both
     versions = F.array_compact(F.array(F.when(t_in, old), F.when(s_in & (~t_in | changed), new)))
-    applied = j.select(F.explode(versions).alias("_v")).select(*[F.col(f"_v.{c}").alias(c) for c in cols])
+    applied = pairs.select(F.explode(versions).alias("_v")).select(*[F.col(f"_v.{c}").alias(c) for c in cols])
     return history.unionByName(applied)
 
 

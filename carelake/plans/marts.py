@@ -67,11 +67,9 @@ def billing_batch(dim_encounter: DataFrame, fact_charges: DataFrame,
         "claim_status", load.alias("load_dttm"), load.alias("updated_dttm"))
 
 
-def billing_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error",
-                   strategy: str = "full_outer") -> DataFrame:
+def billing_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error") -> DataFrame:
     return upsert_columns(target, batch, BILLING_KEYS,
-                          _update_cols(target.columns, BILLING_KEYS), on_duplicate,
-                          strategy=strategy)
+                          _update_cols(target.columns, BILLING_KEYS), on_duplicate)
 
 
 # ---- quality ----------------------------------------------------------------
@@ -94,11 +92,9 @@ def quality_batch(eligibility: DataFrame, dim_encounter: DataFrame, dim_patient:
         "encounter_type", load.alias("load_dttm"), load.alias("updated_dttm"))
 
 
-def quality_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error",
-                   strategy: str = "full_outer") -> DataFrame:
+def quality_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error") -> DataFrame:
     return upsert_columns(target, batch, QUALITY_KEYS,
-                          _update_cols(target.columns, QUALITY_KEYS), on_duplicate,
-                          strategy=strategy)
+                          _update_cols(target.columns, QUALITY_KEYS), on_duplicate)
 
 
 def quality_summary(measures: DataFrame, params: Params) -> DataFrame:
@@ -160,14 +156,9 @@ def gap_batch(measures: DataFrame, dim_encounter: DataFrame, dim_patient: DataFr
         "primary_payer_id", load.alias("load_dttm"), load.alias("updated_dttm")))
 
 
-def gap_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error",
-               close_resolved: bool = False, strategy: str = "full_outer") -> DataFrame:
-    """Upsert the gap queue. Closed gaps stay unless ``close_resolved``."""
-    out = upsert_columns(target, batch, GAP_KEYS, _update_cols(target.columns, GAP_KEYS),
-                         on_duplicate, strategy=strategy)
-    if close_resolved:
-        out = out.join(batch.select(*GAP_KEYS), GAP_KEYS, "left_semi")
-    return out
+def gap_upsert(target: DataFrame, batch: DataFrame, on_duplicate: str = "error") -> DataFrame:
+    """Upsert the gap queue; gaps that closed since stay in it."""
+    return upsert_columns(target, batch, GAP_KEYS, _update_cols(target.columns, GAP_KEYS), on_duplicate)
 
 
 def gap_summary(queue: DataFrame) -> DataFrame:

@@ -221,7 +221,7 @@ def stage_billing(run: Run) -> None:
     batch = _materialized_batch(run, "billing_batch", marts.billing_batch(
         s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace_checked(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch, strategy="split"),
+    s.replace_checked(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch),
                       cluster_by=["encounter_dttm"])
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
     run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
@@ -232,7 +232,7 @@ def stage_quality(run: Run) -> None:
     batch = _materialized_batch(run, "quality_batch", marts.quality_batch(
         s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
         s.read("silver.dim_patient"), p))
-    s.replace_checked(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch, strategy="split"),
+    s.replace_checked(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch),
                       cluster_by=["encounter_dttm"])
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
     run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
@@ -243,7 +243,7 @@ def stage_gaps(run: Run) -> None:
     batch = _materialized_batch(run, "gap_batch", marts.gap_batch(
         s.read(dq.QUALITY), s.read("silver.dim_encounter"), s.read("silver.dim_patient"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace_checked(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch, strategy="split"))
+    s.replace_checked(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch))
     _idempotent(marts.gap_summary(s.read(dq.GAPS)), dq.GAPS)
     run.spark.conf.set("carelake.dq.last_mart", dq.GAPS)
 

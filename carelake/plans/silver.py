@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.operators.upsert import scd2_apply
@@ -45,10 +46,15 @@ class Silver:
 
     def fact_charges_where(self, cond) -> DataFrame:
         """Charges of the encounters that ``cond`` keeps (see ``dim_encounter_where``): the semi
-        join comes before the latest-row dedupe, so other charges meet one shuffle only."""
-        kept = self.bronze["encounter"]().filter(cond).select("encounter_id")
+        join comes before the latest-row dedupe, so other charges meet one shuffle only.
+
+        The join has a hash of its key as a second key. So its output does not count as partitioned by
+        ``encounter_id``: the dedupe exchanges it by its own keys, and AQE may split a hot encounter in the join."""
+        spread = F.xxhash64("encounter_id").alias("_spread")
+        kept = self.bronze["encounter"]().filter(cond).select("encounter_id", spread)
         staged = stage_charges(self.bronze["charge_detail"](), self.params.load_ts)
-        return latest_charges(staged.join(kept, "encounter_id", "left_semi"))
+        return latest_charges(staged.select("*", spread).join(kept, ["encounter_id", "_spread"], "left_semi")
+                              .drop("_spread"))
 
 
 def initial_dim_patient(spark: SparkSession, staged: DataFrame, params: Params) -> DataFrame:

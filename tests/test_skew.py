@@ -112,3 +112,26 @@ def test_hot_encounter_billing_is_split_by_aqe(spark, skew_conf):
     assert "skew=true" in _final_plan(out)
     assert out.count() == N
     assert out.filter(F.col("encounter_id") == "HOT").count() == N // 3
+
+
+def test_hot_encounter_semi_join_is_split_and_leaves_the_dedupe_its_own_key(spark, skew_conf):
+    """``Silver.fact_charges_where``: the way of the billing and quality queries."""
+    from carelake.plans.silver import build_silver
+    encounter = F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(
+        F.concat(F.lit("E"), (F.col("id") % 4000).cast("string"))).alias("encounter_id")
+    money = [F.lit(5).cast("decimal(12,2)").alias(c) for c in ("billed_amt", "paid_amt", "allowed_amt")]
+    charges = spark.range(N).select(
+        encounter, F.concat(F.lit("C"), F.col("id").cast("string")).alias("charge_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("cpt_code"), *money, F.lit("PAID").alias("claim_status"),
+        lit_ts(dt.datetime(2001, 7, 1)).alias("charge_dttm"))
+    visits = spark.range(4001).select(
+        F.lit("P").alias("pat_id"),
+        F.when(F.col("id") == 4000, "HOT").otherwise(F.concat(F.lit("E"), F.col("id").cast("string"))).alias("encounter_id"),
+        F.lit(101).alias("visit_type_c"), lit_ts(dt.datetime(2001, 7, 1)).alias("encounter_dttm"))
+    bronze = {"encounter": lambda: visits, "charge_detail": lambda: charges}
+    out = build_silver(spark, bronze, seeds.encounter_types(spark), P).fact_charges_where(
+        F.col("encounter_dttm") >= lit_ts(dt.datetime(2001, 5, 1)))
+    plan = _final_plan(out)
+    assert "SortMergeJoin(skew=true)" in plan and "LeftSemi" in plan
+    held = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == N and max(held) < N // 3

@@ -96,18 +96,32 @@ def test_scd2_expire_insert_and_noop(spark):
     assert sorted(map(str, t3.collect())) == sorted(map(str, t2.collect()))
 
 
-@pytest.mark.parametrize("strategy", ["full_outer", "split"])
-def test_upsert_strategies_agree(spark, strategy):
+def test_column_merge_updates_inserts_and_keeps(spark):
     tgt = spark.createDataFrame([("a", "1", D1, D1), ("b", "1", D1, D1), (None, "n", D1, D1)], T)
-    src = spark.createDataFrame([("b", "2", D2, D2), ("c", "2", D2, D2), (None, "m", D2, D2)], T)
-    out = upsert_columns(tgt, src, ["k"], ["v", "updated_dttm"], strategy=strategy)
-    assert rows(out) == [(None, "m", D2, D2), (None, "n", D1, D1), ("a", "1", D1, D1),
+    src = spark.createDataFrame([("b", "2", D2, D2), ("c", "2", D2, D2), (None, "m", D2, D2), (None, "m", D2, D2)], T)
+    out = upsert_columns(tgt, src, ["k"], ["v", "updated_dttm"])
+    assert rows(out) == [(None, "m", D2, D2), (None, "m", D2, D2), (None, "n", D1, D1), ("a", "1", D1, D1),
                          ("b", "2", D1, D2), ("c", "2", D2, D2)]
-    if strategy == "split":
-        plan = out._jdf.queryExecution().optimizedPlan().toString()
-        assert "LeftAnti" in plan and "LeftSemi" in plan  # as asked for, whatever the size
-        with pytest.raises(ValueError):
-            upsert_columns(tgt, src, ["k"], ["v", "updated_dttm"], strategy="auto")
+
+
+def test_a_repeated_target_key_is_an_error_and_latest_picks_one(spark):
+    twice = spark.createDataFrame([("a", "1", D1, D1), ("a", "2", D2, D2)], T)
+    none = spark.createDataFrame([], T)
+    with pytest.raises(Exception, match="target has duplicate key: a"):
+        upsert_all(twice, none, ["k"]).count()
+    out = upsert_all(none, twice, ["k"], on_duplicate="latest", order=[F.col("load_dttm").desc()])
+    assert rows(out) == [("a", "2", D2, D2)]
+
+
+@pytest.mark.parametrize("merge", [
+    lambda t, s: upsert_all(t, s, ["k"]), lambda t, s: upsert_columns(t, s, ["k"], ["v"])])
+def test_a_merge_is_one_scan_of_each_input_and_one_exchange(spark, tmpdir_path, merge):
+    for name in ("t", "s"):
+        spark.createDataFrame([(name, "1", D1, D1)], T).write.parquet(f"{tmpdir_path}/{name}")
+    out = merge(*[spark.read.parquet(f"{tmpdir_path}/{n}") for n in ("t", "s")])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert out.count() == 2
 
 
 def test_lookup_is_checked_again_after_it_grew(spark, tmpdir_path):
@@ -122,13 +136,15 @@ def test_lookup_is_checked_again_after_it_grew(spark, tmpdir_path):
     assert not hinted()
 
 
-def test_scd2_joins_once(spark):
-    tgt = spark.createDataFrame([], "pat_id string, mrn string, effective_date date, expiration_date date, "
-                                    "is_current boolean, load_dttm timestamp_ntz")
-    out = scd2_apply(tgt, spark.createDataFrame([("a", "m")], "pat_id string, mrn string"), "pat_id", ["mrn"],
-                     D1.date(), D1, null_safe=())
-    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join FullOuter") <= 1
-    assert out.count() == 1
+def test_scd2_is_one_exchange_and_leaves_history_alone(spark, tmpdir_path):
+    spark.createDataFrame([("a", "m", D1.date(), None, True, D1), ("a", "l", D1.date(), D1.date(), False, D1)],
+                          "pat_id string, mrn string, effective_date date, expiration_date date, is_current boolean, "
+                          "load_dttm timestamp_ntz").write.parquet(f"{tmpdir_path}/t")
+    out = scd2_apply(spark.read.parquet(f"{tmpdir_path}/t"), spark.createDataFrame([("a", "n")], "pat_id string, mrn string"),
+                     "pat_id", ["mrn"], D2.date(), D2, null_safe=())
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert sorted((r.mrn, r.is_current) for r in out.collect()) == [("l", False), ("m", False), ("n", True)]
 
 
 def test_merge_latest_newer_wins_older_loses(spark):
