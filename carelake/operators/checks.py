@@ -50,6 +50,8 @@ def null_rate_verdict(rates: DataFrame) -> DataFrame:
         F.count_if(F.col("column_status") == "FAIL").alias("failed_columns"),
         F.to_json(F.map_from_entries(F.collect_list(F.struct(
             "column_name", F.struct("null_count", "null_rate"))))).alias("columns"),
+        F.sort_array(F.collect_list(F.when(F.col("column_status") == "FAIL", F.struct(
+            "column_name", "null_count", "null_rate")))).alias("failures"),
     ).withColumn("status", _pass_fail(F.col("failed_columns") > 0))
 
 

@@ -33,8 +33,9 @@ def measure_names(measure_defs: DataFrame) -> DataFrame:
 
 def eligibility_batch(dim_patient: DataFrame, dim_encounter: DataFrame,
                       fact_charges: DataFrame, codes: DataFrame, measure_defs: DataFrame,
-                      params: Params) -> DataFrame:
-    """Per (patient, encounter, measure) eligibility, in one pass over encounters.
+                      params: Params, with_time: bool = False) -> DataFrame:
+    """Per (patient, encounter, measure) eligibility, in one pass over encounters. ``with_time`` adds
+    the encounter's time as ``_encounter_dttm``.
 
     * CPT: charges are reduced through the broadcast code set to one row per
       encounter holding the set of matched measures (``collect_set``, combined
@@ -84,7 +85,8 @@ def eligibility_batch(dim_patient: DataFrame, dim_encounter: DataFrame,
                     .alias("measure_compliant"),
                     completed_years("encounter_dttm", "birth_date").alias("age_at_encounter"),
                     "encounter_type",
-                    lit_ts(params.load_ts).alias("load_dttm")))
+                    lit_ts(params.load_ts).alias("load_dttm"),
+                    *([F.col("encounter_dttm").alias("_encounter_dttm")] if with_time else [])))
 
 
 def substring_false_positives(eligibility: DataFrame, fact_charges: DataFrame,

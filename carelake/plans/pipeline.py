@@ -53,7 +53,8 @@ class Run:
     cross_mart: str = "raise"
     # False: silver is rebuilt from all of bronze each night (the reference's
     # behaviour). True: only bronze rows past the recorded watermark are
-    # staged and merged, so nightly work grows with new data, not history.
+    # staged and merged, and later stages look at the encounters they touch, so
+    # nightly work grows with new data, not history.
     incremental: bool = False
 
 
@@ -62,8 +63,12 @@ class PipelineHalted(RuntimeError):
 
 
 # ---- stages --------------------------------------------------------------------------
+# Each stage returns the rows its output table holds, as observed while they were written.
+ROWS = "carelake.rows"
+
+
 def _bronze(run: Run, entity: str) -> DataFrame:
-    return run.store.read_log(f"bronze.{entity}")
+    return run.store.read(f"bronze.{entity}")
 
 
 def _reference_gate(table: str, verdict: DataFrame) -> None:
@@ -73,17 +78,27 @@ def _reference_gate(table: str, verdict: DataFrame) -> None:
         raise dq.DataQualityError(f"{table} failed its validation: {failed}")
 
 
-def stage_bronze(run: Run) -> None:
+def stage_bronze(run: Run) -> int:
     s = run.store
-    if s.version(reference.ENCOUNTER_TYPES) is None:
+    if not s.exists(reference.ENCOUNTER_TYPES):
         _reference_gate(reference.ENCOUNTER_TYPES, reference.load_encounter_types(run.spark, s))
-    if s.version(reference.ELIGIBILITY_CODES) is None:
+    if not s.exists(reference.ELIGIBILITY_CODES):
         _reference_gate(reference.ELIGIBILITY_CODES, reference.load_eligibility_codes(run.spark, s))
-    ingest_all(run.spark, list(run.landing), lambda e: s.log_path(f"bronze.{e}"),
-               lambda e: f"{s.root}/_checkpoints/bronze/{e}", run.run_id)
-
-
-def _concurrently(*jobs) -> None:
+    # the row total is taken off while rows stream in, so that a run that dies here leaves none to trust
+    main = OUTPUT_TABLE["bronze_ingestion"]
+    held = s.properties(main).get(ROWS)
+    before = int(held) if held is not None else s.read(main).count() if s.exists(main) else 0
+    if held is not None:
+        s.drop_property(main, ROWS)
+    done = ingest_all(run.spark, list(run.landing), lambda e: s.table(f"bronze.{e}"),
+                      lambda e: f"{s.root}/_checkpoints/bronze/{e}", run.run_id)
+    rows = before + sum(d["rows_added"] for d in done if d["target"] == s.table(main))
+    if s.exists(main):
+        s.set_properties(main, {ROWS: str(rows)})
+    return rows
+
+
+def _concurrently(*jobs) -> list:
     """Run independent Spark actions side by side (one driver thread each);
     re-raise the first failure after all have finished."""
     from concurrent.futures import ThreadPoolExecutor
@@ -92,17 +107,18 @@ def _concurrently(*jobs) -> None:
     errors = [f.exception() for f in futures if f.exception() is not None]
     if errors:
         raise errors[0]
+    return [f.result() for f in futures]
 
 
-WATERMARK = "bronze_watermark"
+WATERMARK = "carelake.bronze_watermark"
 
 
-def _bronze_since_watermark(run: Run, entity: str):
+def _bronze_since_watermark(run: Run, entity: str, target: str):
     """Bronze rows to stage, and the new watermark to record on success."""
     df = _bronze(run, entity)
     if not run.incremental:
         return df, None
-    mark = run.store.properties(f"silver.{entity}_state").get(WATERMARK)
+    mark = run.store.properties(target).get(WATERMARK)
     if mark:
         since = F.lit(mark).cast("timestamp_ntz")  # the date prunes partitions
         df = df.filter((F.col("_ingestion_date") >= since.cast("date")) & (F.col("_ingestion_timestamp") > since))
@@ -110,50 +126,59 @@ def _bronze_since_watermark(run: Run, entity: str):
     return df, new_mark
 
 
-def _record_watermark(run: Run, entity: str, mark) -> None:
+def _record_watermark(run: Run, target: str, mark) -> None:
     if run.incremental and mark is not None:
-        run.store.set_properties(f"silver.{entity}_state", {WATERMARK: str(mark)})
+        run.store.set_properties(target, {WATERMARK: str(mark)})
 
 
-def stage_silver(run: Run) -> None:
+def stage_silver(run: Run) -> int:
+    """Patients, encounters and charges side by side; then, in incremental mode, the encounters whose rows or
+    patients changed (``staging.touched``), which is all that later stages look at."""
     s, p = run.store, run.params
     types = s.read(reference.ENCOUNTER_TYPES)
+    patient, encounter, charge = "silver.dim_patient", "silver.dim_encounter", "silver.fact_charges"
 
     def patients():
-        bronze, mark = _bronze_since_watermark(run, "dim_patient")
+        bronze, mark = _bronze_since_watermark(run, "dim_patient", patient)
         newest = [F.col("_ingestion_timestamp").desc(), F.col("_source_file").desc(),
                   F.xxhash64(*[c for c in bronze.columns if not c.startswith("_")]).desc()]
-        staged = stage_patients(bronze, latest_by=newest).drop("attr_hash")
-        s.replace_checked("silver.dim_patient", scd2_apply(
-            s.read("silver.dim_patient"), staged, "pat_id", PATIENT_ATTRS, p.as_of_date, p.load_ts))
-        _record_watermark(run, "dim_patient", mark)
+        staged = s.stage("patients", stage_patients(bronze, latest_by=newest).drop("attr_hash"))
+        s.replace_checked(patient, scd2_apply(s.read(patient), staged, "pat_id", PATIENT_ATTRS, p.as_of_date, p.load_ts))
+        _record_watermark(run, patient, mark)
+        return staged.select("pat_id")
 
     def encounters():
-        bronze, mark = _bronze_since_watermark(run, "encounter")
-        enc = stage_encounters(bronze, types, p.load_ts)
-        target = s.read("silver.dim_encounter")
-        if run.incremental:
-            merged = merge_latest(target, enc, ["encounter_id"], encounter_order())
-        else:
-            merged = upsert_all(target, enc, ["encounter_id"])
-        s.replace_checked("silver.dim_encounter", merged,
-                          cluster_by=["encounter_dttm"])  # look-back / year filters skip row groups
-        _record_watermark(run, "encounter", mark)
+        bronze, mark = _bronze_since_watermark(run, "encounter", encounter)
+        batch = s.stage("encounters", stage_encounters(bronze, types, p.load_ts))
+        keys = ["encounter_id"]
+        written = s.merge(encounter, batch, keys, lambda old, new: merge_latest(old, new, keys, encounter_order())
+                          if run.incremental else upsert_all(old, new, keys))
+        _record_watermark(run, encounter, mark)
+        return written.total, batch.select("encounter_id")
 
     def charges():
-        bronze, mark = _bronze_since_watermark(run, "charge_detail")
-        ch = stage_charges(bronze, p.load_ts)
+        bronze, mark = _bronze_since_watermark(run, "charge_detail", charge)
+        batch = s.stage("charges", stage_charges(bronze, p.load_ts))
         keys = ["encounter_id", "charge_id"]
-        target = s.read("silver.fact_charges")
-        if run.incremental:
-            merged = merge_latest(target, ch, keys, charge_order())
-        else:
-            merged = upsert_all(target, ch, keys, on_duplicate="latest", order=charge_order())
-        s.replace_checked("silver.fact_charges", merged)
-        _record_watermark(run, "charge_detail", mark)
-
-    _concurrently(patients, encounters, charges)
+        s.merge(charge, batch, keys, lambda old, new: merge_latest(old, new, keys, charge_order()) if run.incremental
+                else upsert_all(old, new, keys, on_duplicate="latest", order=charge_order()))
+        _record_watermark(run, charge, mark)
+        return batch.select("encounter_id")
+
+    delivered, (rows, changed), charged = _concurrently(patients, encounters, charges)
+    if run.incremental:
+        theirs = s.read(encounter).join(delivered, "pat_id", "left_semi").select("encounter_id")
+        s.replace("staging.touched", changed.unionByName(charged).unionByName(theirs).distinct())
     silver_gates(run)
+    return rows
+
+
+def _touched(run: Run, df: DataFrame) -> DataFrame:
+    """In incremental mode the rows of the encounters that this night's deliveries touch. A change of the
+    parameters or of the reference tables concerns all rows: run that night in full."""
+    if not run.incremental:
+        return df
+    return df.join(run.store.read("staging.touched", TOUCHED), "encounter_id", "left_semi")
 
 
 # Latest-row orders of silver (total within a key, so merges are exact).
@@ -178,20 +203,19 @@ def silver_gates(run: Run) -> None:
         raise dq.DataQualityError(f"{drift.unmapped_count} encounters with unexpected type")
 
 
-def stage_eligibility(run: Run) -> None:
+def stage_eligibility(run: Run) -> int:
     s, p = run.store, run.params
     codes = s.read(reference.ELIGIBILITY_CODES)
-    batch = eligibility.eligibility_batch(
-        s.read("silver.dim_patient"), s.read("silver.dim_encounter"),
-        s.read("silver.fact_charges"), codes, _bronze(run, "hedis_measure_definition"), p)
+    enc, charges = (_touched(run, s.read(t)) for t in ("silver.dim_encounter", "silver.fact_charges"))
+    batch = s.stage("hedis_eligibility", eligibility.eligibility_batch(
+        s.read("silver.dim_patient"), enc, charges, codes, _bronze(run, "hedis_measure_definition"), p, with_time=True))
     keys = ["pat_id", "encounter_id", "measure_id"]
-    s.replace_checked("silver.hedis_eligibility",
-                      upsert_all(s.read("silver.hedis_eligibility"), batch, keys))
-    result = s.read("silver.hedis_eligibility")
+    table = "silver.hedis_eligibility"
+    written = s.merge(table, batch, keys, lambda old, new: upsert_all(old, new, keys))
+    result = _touched(run, s.read(table))
 
     def exact_match_only():
-        bad = eligibility.unsupported_eligibility(result, s.read("silver.dim_encounter"),
-                                                  s.read("silver.fact_charges"), codes, p)
+        bad = eligibility.unsupported_eligibility(result, enc, charges, codes, p)
         if bad.limit(1).count():
             raise dq.DataQualityError("Eligibility rows without an exact code match")
 
@@ -200,6 +224,7 @@ def stage_eligibility(run: Run) -> None:
             raise dq.DataQualityError("Duplicate keys in silver.hedis_eligibility after upsert")
 
     _concurrently(exact_match_only, unique_keys)
+    return written.total
 
 
 def _idempotent(df: DataFrame, table: str) -> None:
@@ -208,71 +233,60 @@ def _idempotent(df: DataFrame, table: str) -> None:
         raise RuntimeError(f"{table} is not unique by its key: {v.row_count} rows, {v.distinct_keys} keys")
 
 
-def _materialized_batch(run: Run, name: str, batch: DataFrame) -> DataFrame:
-    """Write the night's batch once (staging snapshot) and read it back: it
-    is computed a single time, its lineage is cut, and the upsert can size
-    it cheaply to pick its join strategy."""
-    run.store.replace(f"staging.{name}", batch)
-    return run.store.read(f"staging.{name}", batch.schema)
-
-
-def stage_billing(run: Run) -> None:
+def stage_billing(run: Run) -> int:
     s, p = run.store, run.params
-    batch = _materialized_batch(run, "billing_batch", marts.billing_batch(
-        s.read("silver.dim_encounter"), s.read("silver.fact_charges"),
+    since = (marts.lookback_cutoff(p).date(), None)
+    batch = s.stage("billing_batch", marts.billing_batch(
+        _touched(run, s.read("silver.dim_encounter", months=since)), _touched(run, s.read("silver.fact_charges")),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace_checked(dq.BILLING, marts.billing_upsert(s.read(dq.BILLING), batch),
-                      cluster_by=["encounter_dttm"])
+    written = s.merge(dq.BILLING, batch, marts.BILLING_KEYS, marts.billing_upsert)
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
     run.spark.conf.set("carelake.dq.last_mart", dq.BILLING)
+    return written.total
 
 
-def stage_quality(run: Run) -> None:
+def stage_quality(run: Run) -> int:
     s, p = run.store, run.params
-    batch = _materialized_batch(run, "quality_batch", marts.quality_batch(
-        s.read("silver.hedis_eligibility"), s.read("silver.dim_encounter"),
+    year = (dt.date(p.measurement_year, 1, 1), dt.date(p.measurement_year, 12, 31))
+    batch = s.stage("quality_batch", marts.quality_batch(
+        _touched(run, s.read("silver.hedis_eligibility", months=year)), s.read("silver.dim_encounter", months=year),
         s.read("silver.dim_patient"), p))
-    s.replace_checked(dq.QUALITY, marts.quality_upsert(s.read(dq.QUALITY), batch),
-                      cluster_by=["encounter_dttm"])
+    written = s.merge(dq.QUALITY, batch, marts.QUALITY_KEYS, marts.quality_upsert)
     _idempotent(marts.quality_summary(s.read(dq.QUALITY), p), dq.QUALITY)
     run.spark.conf.set("carelake.dq.last_mart", dq.QUALITY)
+    return written.total
 
 
-def stage_gaps(run: Run) -> None:
+def stage_gaps(run: Run) -> int:
+    """The whole queue, in incremental mode too: the days since the last visit change every night."""
     s, p = run.store, run.params
-    batch = _materialized_batch(run, "gap_batch", marts.gap_batch(
+    batch = s.stage("gap_batch", marts.gap_batch(
         s.read(dq.QUALITY), s.read("silver.dim_encounter"), s.read("silver.dim_patient"),
         s.read(reference.ENCOUNTER_TYPES), p))
-    s.replace_checked(dq.GAPS, marts.gap_upsert(s.read(dq.GAPS), batch))
+    written = s.merge(dq.GAPS, batch, marts.GAP_KEYS, marts.gap_upsert)
     _idempotent(marts.gap_summary(s.read(dq.GAPS)), dq.GAPS)
     run.spark.conf.set("carelake.dq.last_mart", dq.GAPS)
+    return written.total
+
 
+TOUCHED = schemas._struct(("encounter_id", schemas.S))
 
 STAGE_FN = {
     "bronze_ingestion": stage_bronze,
     "silver_patient_encounter": stage_silver,
     "silver_hedis_eligibility": stage_eligibility,
     "gold_billing_mart": stage_billing,
-    "billing_dq": lambda r: dq.validate(r.store, "billing", r.run_id, r.params),
+    "billing_dq": lambda r: dq.validate(r.store, "billing", r.run_id, r.params)[dq.BILLING],
     "gold_quality_mart": stage_quality,
-    "quality_dq": lambda r: dq.validate(r.store, "quality", r.run_id, r.params, r.cross_mart),
+    "quality_dq": lambda r: dq.validate(r.store, "quality", r.run_id, r.params, r.cross_mart)[dq.QUALITY],
     "gold_care_gaps": stage_gaps,
-    "care_gaps_dq": lambda r: dq.validate(r.store, "care_gaps", r.run_id, r.params),
+    "care_gaps_dq": lambda r: dq.validate(r.store, "care_gaps", r.run_id, r.params)[dq.GAPS],
 }
 
 
-_COUNTS: dict = {}
-
-
 def _row_count(store: Store, table: str) -> int | None:
-    """Rows of a stage's output; a snapshot version is counted once (a gate
-    stage reports the table its mart stage just wrote)."""
-    if table.startswith("bronze."):
-        return store.read_log(table).count()
-    key = (store.root, table, store.version(table))
-    if key not in _COUNTS:
-        _COUNTS[key] = store.read(table).count()
-    return _COUNTS[key]
+    """Rows of a failed stage's output, if it has any yet."""
+    return store.read(table).count() if store.exists(table) else None
 
 
 def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: bool = True
@@ -287,19 +301,17 @@ def run_pipeline(run: Run, resume_from: str | None = None, raise_on_failure: boo
             continue
         status, detail = "SUCCESS", "{}"
         try:
-            STAGE_FN[stage](run)
+            rows = STAGE_FN[stage](run)
+            ended = _utcnow()
         except Exception as e:  # noqa: BLE001 - any failure ends the run, after it is logged
-            status, failure = "FAILED", e
+            status, failure, ended = "FAILED", e, _utcnow()
             detail = json.dumps({"error": str(e), "type": type(e).__name__})
-        ended = _utcnow()
-        try:
-            rows = _row_count(run.store, OUTPUT_TABLE[stage])
-        except Exception:  # noqa: BLE001 - a metric must not hide the stage's own failure
-            if failure is None:
-                raise
-            rows = None
+            try:
+                rows = _row_count(run.store, OUTPUT_TABLE[stage])
+            except Exception:  # noqa: BLE001 - a metric must not hide the stage's own failure
+                rows = None
         _log_stage(run, stage, began, ended, status, rows, detail, ended)
-    log = run.store.read_log(LOG).filter(F.col("run_id") == run.run_id)
+    log = run.store.read(LOG).filter(F.col("run_id") == run.run_id)
     if failure is not None and raise_on_failure:
         raise PipelineHalted(str(failure)) from failure
     return log

@@ -399,9 +399,9 @@ def q_ingest_profile(spark, sf_dir):
     from carelake.streaming.ingest import ingest_all, ingest_profile
     store = _fresh_store(spark, "ingest")
     specs = adapter.landing_specs(sf_dir)
-    ingest_all(spark, specs, lambda e: store.log_path(f"bronze.{e}"),
+    ingest_all(spark, specs, lambda e: store.table(f"bronze.{e}"),
                lambda e: f"{store.root}/_checkpoints/bronze/{e}")
-    prof = ingest_profile({f"bronze.{s.entity}": store.read_log(f"bronze.{s.entity}")
+    prof = ingest_profile({f"bronze.{s.entity}": store.read(f"bronze.{s.entity}")
                            for s in specs})
     return prof.select("table_name", "total_rows", "distinct_batches")
 
@@ -428,7 +428,7 @@ def q_dq_history(spark, sf_dir):
     observed = F.coalesce(*[F.get_json_object("details", f"$.{k}") for k in
                             ("row_count", "current_count", "orphan_count")]).cast("long")
     field = lambda name: F.get_json_object("details", f"$.{name}")
-    return store.read_log("audit.dq_results").select(
+    return store.read("audit.dq_results").select(
         "mart_name", "assertion_name", "status", observed.alias("observed_count"),
         field("max_null_rate").cast("double").alias("max_null_rate"),
         field("threshold_ratio").cast("double").alias("threshold_ratio"),

@@ -38,9 +38,10 @@ def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
             .withColumn("_ingestion_date", F.to_date("_ingestion_timestamp")))
 
 
-def start(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_path: str,
+def start(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path: str,
           batch_id: str):
-    """Start the available-now streaming query of one entity (non-blocking)."""
+    """Start the available-now streaming query of one entity into the catalog table ``target`` (non-blocking).
+    Rows and the first and last ingestion time are observed as they stream."""
     reader = spark.readStream.schema(spec.schema)
     if spec.file_glob:
         reader = reader.option("pathGlobFilter", spec.file_glob)
@@ -50,30 +51,39 @@ def start(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_pa
     stream = with_ingest_metadata(stream, batch_id)
     if spec.transform is not None:
         stream = spec.transform(stream)
-    q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint_path)
-         .partitionBy("_ingestion_date")
-         .trigger(availableNow=True)
-         .start(target_path))
-    return q
-
-
-def _summary(spark: SparkSession, q, spec: IngestSpec, target_path: str, batch_id: str) -> dict:
+    at = F.col("_ingestion_timestamp")
+    return (stream.observe("ingest", F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last"))
+            .writeStream.format("parquet").outputMode("append")
+            .option("checkpointLocation", checkpoint_path)
+            .partitionBy("_ingestion_date")
+            .trigger(availableNow=True)
+            .toTable(target))
+
+
+def _summary(spark: SparkSession, q, spec: IngestSpec, target: str, batch_id: str) -> dict:
+    """What the query's micro-batches observed. Spark keeps the progress of the last micro-batches only
+    (``spark.sql.streaming.numRecentProgressUpdates``); if there were more, the target is asked."""
     q.awaitTermination()
-    # Counted in the target: Spark keeps the progress of the last 100 micro-batches only.
-    wrote = bool(q.recentProgress)
-    added = (spark.read.schema("_batch_id string").parquet(target_path)
-             .filter(F.col("_batch_id") == batch_id).count()) if wrote else 0
-    return {"entity": spec.entity, "target": target_path, "batch_id": batch_id,
-            "landing_path": spec.landing_path, "rows_added": added}
-
-
-def ingest(spark: SparkSession, spec: IngestSpec, target_path: str, checkpoint_path: str,
+    spark.catalog.refreshTable(target)
+    seen = [p for p in q.recentProgress if p.numInputRows]
+    got = [p.observedMetrics["ingest"] for p in seen if "ingest" in p.observedMetrics]
+    keeps = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(q.recentProgress) >= keeps or len(got) < len(seen):
+        at = F.col("_ingestion_timestamp")
+        got = spark.table(target).where(F.col("_batch_id") == batch_id).agg(
+            F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last")).collect()
+    return {"entity": spec.entity, "target": target, "batch_id": batch_id, "landing_path": spec.landing_path,
+            "rows_added": sum(g["rows"] for g in got),
+            "first": min((g["first"] for g in got if g["first"]), default=None),
+            "last": max((g["last"] for g in got if g["last"]), default=None)}
+
+
+def ingest(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path: str,
            batch_id: str | None = None) -> dict:
-    """Ingest unseen landing files of one entity; blocks until done."""
+    """Ingest unseen landing files of one entity into a table; blocks until done."""
     batch_id = batch_id or str(uuid.uuid4())
-    q = start(spark, spec, target_path, checkpoint_path, batch_id)
-    return _summary(spark, q, spec, target_path, batch_id)
+    q = start(spark, spec, target, checkpoint_path, batch_id)
+    return _summary(spark, q, spec, target, batch_id)
 
 
 def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable[[str], str],
@@ -100,14 +110,6 @@ def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable
     return out
 
 
-def read_bronze(spark: SparkSession, path: str, since=None) -> DataFrame:
-    """Bronze table; ``since`` (a date) prunes ``_ingestion_date`` partitions."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    if since is not None:
-        df = df.filter(F.col("_ingestion_date") >= F.lit(since).cast("date"))
-    return df
-
-
 def ingest_profile(tables: dict[str, DataFrame]) -> DataFrame:
     """Per bronze table: rows, distinct batches, first/last ingestion time
     (one aggregate per table, unioned)."""

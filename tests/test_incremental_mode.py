@@ -66,7 +66,7 @@ def test_incremental_equals_full(spark, tmpdir_path):
         run_pipeline(Run(spark, store, TESTDATA_PARAMS, _specs(landing), cross_mart="log",
                          incremental=mode == "incr"))
     full, incr = stores["full"], stores["incr"]
-    assert incr.properties("silver.encounter_state").get("bronze_watermark")
+    assert incr.properties("silver.dim_encounter").get("carelake.bronze_watermark")
     for table in ["silver.dim_patient", "silver.dim_encounter", "silver.fact_charges",
                   "silver.hedis_eligibility", "gold_billing.claims_processed",
                   "gold_quality.measures", "gold_care_mgmt.gap_queue"]:

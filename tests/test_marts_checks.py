@@ -144,12 +144,12 @@ def test_mart_gate_logs_then_snapshots(spark, tmpdir_path):
     store.replace(dq.BILLING, billing)
     with pytest.raises(dq.DataQualityError, match="null_rate"):
         dq.run_assertions_for_mart(store, "billing", "run1", P)
-    log = store.read_log(dq.AUDIT)
+    log = store.read(dq.AUDIT)
     assert sorted((r.assertion_name, r.status) for r in log.collect()) == [
         ("null_rate:pat_id,encounter_id,charge_id", "FAIL"), ("row_count_threshold", "PASS")]
     store.replace(dq.BILLING, billing.filter(F.col("pat_id").isNotNull()))
     dq.run_assertions_for_mart(store, "billing", "run2", P)
-    snaps = store.read_log(dq.AUDIT).filter(F.col("assertion_name") == "row_count_snapshot")
+    snaps = store.read(dq.AUDIT).filter(F.col("assertion_name") == "row_count_snapshot")
     assert [r.details for r in snaps.collect()] == [
         '{"table":"gold_billing.claims_processed","row_count":1}']
 

@@ -23,7 +23,7 @@ def test_gated_run_halts_then_resumes(spark, tmpdir_path):
     with pytest.raises(PipelineHalted, match="Referential integrity"):
         run_pipeline(run)
     log = {r.stage_name: r.status for r in
-           store.read_log("audit.orchestration_log").filter(F.col("run_id") == run.run_id)
+           store.read("audit.orchestration_log").filter(F.col("run_id") == run.run_id)
            .collect()}
     assert log["quality_dq"] == "FAILED"
     assert log["gold_care_gaps"] == log["care_gaps_dq"] == "UPSTREAM_FAILED"
@@ -37,11 +37,12 @@ def test_gated_run_halts_then_resumes(spark, tmpdir_path):
     assert gaps.count() > 0
     # validating ALL marts: null-rate + row-count per mart, then cross-mart RI
     from carelake.plans import dq, runlog
-    rows = dq.validate(store, "ALL", "manual", TESTDATA_PARAMS, cross_mart="log")
-    names = [r.assertion_name for r in rows]
-    assert names.count("row_count_threshold") == 3 and names[-1].startswith("referential")
+    counts = dq.validate(store, "ALL", "manual", TESTDATA_PARAMS, cross_mart="log")
+    assert counts == {t: store.read(t).count() for t, _ in dq.MARTS.values()}
+    names = [r.assertion_name for r in store.read(dq.AUDIT).filter("assertion_run_id = 'manual'").collect()]
+    assert names.count("row_count_threshold") == 3 and sum(n.startswith("referential") for n in names) == 1
     # SLA report over our own stage log (halted stages have no end time)
-    sla = runlog.sla_report(store.read_log("audit.orchestration_log")).collect()
+    sla = runlog.sla_report(store.read("audit.orchestration_log")).collect()
     assert {r.run_id for r in sla} == {run.run_id, run2.run_id}
     assert all(r.run_end_time is not None for r in sla)
     # second full run over the same landing files: bronze gets nothing new,
@@ -50,7 +51,7 @@ def test_gated_run_halts_then_resumes(spark, tmpdir_path):
     run3 = Run(spark, store, TESTDATA_PARAMS, run.landing, cross_mart="log")
     run_pipeline(run3)
     assert store.read("gold_billing.claims_processed").count() == before
-    assert store.read_log("bronze.encounter").count() == adapter.table(
+    assert store.read("bronze.encounter").count() == adapter.table(
         spark, SF_SMALL, "orders").count()
 
 

@@ -78,7 +78,7 @@ def test_second_delivery_builds_scd2_history(spark, tmpdir_path):
     changed.write.parquet(os.path.join(cust_dir, "d2"))
     run_pipeline(Run(spark, store, TESTDATA_PARAMS, specs, cross_mart="log"))
     dim = store.read("silver.dim_patient")
-    assert store.read_log("bronze.dim_patient").count() == n + k  # only the new file
+    assert store.read("bronze.dim_patient").count() == n + k  # only the new file
     assert dim.count() == n + k_changed
     assert dim.filter(~F.col("is_current")).count() == k_changed
     assert dim.filter(F.col("is_current")).count() == n

@@ -9,7 +9,7 @@ from carelake import schemas
 from carelake.plans import reference
 from carelake.sources import adapter, seeds
 from carelake.sources.store import Store
-from carelake.streaming.ingest import IngestSpec, ingest, ingest_profile, read_bronze
+from carelake.streaming.ingest import IngestSpec, ingest, ingest_profile
 
 from tests.conftest import SF_SMALL
 
@@ -21,7 +21,7 @@ def test_ingest_once_then_only_new_files(spark, tmpdir_path):
     spec = IngestSpec("encounter", adapter.ORDERS_SCHEMA, landing + "/*",
                       lambda df: adapter._carry_meta(df, adapter.encounter_from_orders,
                                                      ["_src_key"]))
-    target, ckpt = os.path.join(tmpdir_path, "bronze"), os.path.join(tmpdir_path, "ckpt")
+    target, ckpt = Store(spark, tmpdir_path).table("bronze.encounter"), os.path.join(tmpdir_path, "ckpt")
     r1 = ingest(spark, spec, target, ckpt, "b1")
     n_even = src.filter("o_orderkey % 2 = 0").count()
     assert r1["rows_added"] == n_even
@@ -30,7 +30,7 @@ def test_ingest_once_then_only_new_files(spark, tmpdir_path):
     src.filter("o_orderkey % 2 = 1").write.parquet(os.path.join(landing, "part2"))
     r3 = ingest(spark, spec, target, ckpt, "b3")
     assert r3["rows_added"] == src.count() - n_even
-    bronze = read_bronze(spark, target)
+    bronze = spark.table(target)
     assert bronze.count() == src.count()
     assert set(bronze.columns) >= {"pat_id", "encounter_id", "_ingestion_timestamp",
                                    "_source_file", "_batch_id", "_ingestion_date"}
@@ -48,10 +48,10 @@ def test_backlog_drains_in_bounded_batches(spark, tmpdir_path):
                       lambda df: adapter._carry_meta(df, adapter.patient_from_customer,
                                                      ["_src_key"]),
                       max_files_per_trigger=1)
-    target = os.path.join(tmpdir_path, "bronze")
+    target = Store(spark, tmpdir_path).table("bronze.dim_patient")
     r = ingest(spark, spec, target, os.path.join(tmpdir_path, "ckpt"), "b1")
     assert r["rows_added"] == src.count()
-    assert read_bronze(spark, target).count() == src.count()
+    assert spark.table(target).count() == src.count()
     commits = os.listdir(os.path.join(tmpdir_path, "ckpt", "commits"))
     assert len([c for c in commits if not c.startswith(".")]) >= 3
 
@@ -63,9 +63,9 @@ def test_seed_tables_and_validation(spark, tmpdir_path):
     res = {r.code_type: r for r in reference.load_eligibility_codes(spark, store).collect()}
     assert res["CPT"].row_count == 5 and res["ICD10"].row_count == 4
     assert all(r.status == "PASS" for r in res.values())
-    assert store.version(reference.ELIGIBILITY_CODES) == 1
+    assert len(store._states(reference.ELIGIBILITY_CODES)) == 1
     reference.load_eligibility_codes(spark, store)
-    assert store.version(reference.ELIGIBILITY_CODES) == 2
+    assert len(store._states(reference.ELIGIBILITY_CODES)) == 2
     assert store.read(reference.ELIGIBILITY_CODES).count() == 9
 
 
@@ -123,9 +123,9 @@ def test_store_properties_views_and_versions(spark, tmpdir_path):
     reference.load_encounter_types(spark, store)
     props = store.properties(reference.ENCOUNTER_TYPES)
     assert props["quality"] == "reference"
-    store.set_properties(reference.ENCOUNTER_TYPES, {"owner": "data-eng"})
+    store.set_properties(reference.ENCOUNTER_TYPES, {"steward": "data-eng"})
     assert set(store.properties(reference.ENCOUNTER_TYPES)) == {
-        "quality", "source", "description", "owner"}
+        "quality", "source", "description", "steward"}
     views = store.register_views([reference.ENCOUNTER_TYPES])
     assert spark.sql(f"SELECT count(*) AS n FROM {views[0]}").first().n == 5
     # missing table reads as an empty table with its contract
@@ -135,8 +135,6 @@ def test_store_properties_views_and_versions(spark, tmpdir_path):
 
 
 def test_cluster_by_narrows_row_groups_for_range_filters(spark, tmpdir_path):
-    import glob
-
     import pyarrow.parquet as pq
     from carelake.plans.staging import stage_encounters
     old = spark.conf.get("parquet.block.size", None)
@@ -151,7 +149,7 @@ def test_cluster_by_narrows_row_groups_for_range_filters(spark, tmpdir_path):
             store.replace(name, enc, cluster_by=cluster)
             groups = 0
             hits[name] = 0
-            for f in glob.glob(store.path(name) + "/v=000001/*.parquet"):
+            for f in (u.removeprefix("file://") for u in spark.table(store.table(name)).inputFiles()):
                 md = pq.ParquetFile(f).metadata
                 col = pq.ParquetFile(f).schema_arrow.get_field_index("encounter_dttm")
                 for i in range(md.num_row_groups):
@@ -164,25 +162,3 @@ def test_cluster_by_narrows_row_groups_for_range_filters(spark, tmpdir_path):
             spark.conf.unset("parquet.block.size")
         else:
             spark.conf.set("parquet.block.size", old)
-
-
-def test_read_bronze_since_prunes_partitions(spark, tmpdir_path):
-    path = os.path.join(tmpdir_path, "bronze")
-    df = spark.range(10).select(
-        F.col("id"), F.when(F.col("id") < 5, F.lit("2024-01-01")).otherwise(
-            F.lit("2024-01-02")).cast("date").alias("_ingestion_date"))
-    df.write.partitionBy("_ingestion_date").parquet(path)
-    recent = read_bronze(spark, path, since=dt.date(2024, 1, 2))
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_ingestion_date" in plan
-    assert recent.count() == 5
-
-
-def test_store_version_cache_is_single_writer(spark, tmpdir_path):
-    a, b = Store(spark, tmpdir_path), Store(spark, tmpdir_path)
-    a.replace("silver.t", spark.range(1))
-    assert b.version("silver.t") == 1
-    a.replace("silver.t", spark.range(2))
-    assert b.version("silver.t") == 1  # remembered; another writer is not seen
-    b.refresh()
-    assert b.version("silver.t") == 2 and b.read("silver.t", a.read("silver.t").schema).count() == 2
