@@ -134,6 +134,15 @@ def null_key_counts(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame
     return out
 
 
+def unmapped_types(bronze_encounter: DataFrame, encounter_types: DataFrame) -> DataFrame:
+    """Delivered visit types without an active mapping, before staging turns them into
+    ``OTHER``: encounters per code, and those without a code."""
+    from carelake.operators.lookup import bounded_broadcast
+    active = bounded_broadcast(encounter_types.filter("is_active").select("visit_type_c"))
+    return (bronze_encounter.select("visit_type_c").join(active, "visit_type_c", "left_anti")
+            .groupBy("visit_type_c").agg(F.count(F.lit(1)).alias("encounters")))
+
+
 def mapping_drift(dim_encounter: DataFrame, encounter_types: DataFrame) -> DataFrame:
     """Encounters whose visit type has no mapping yet are not ``OTHER``."""
     from carelake.operators.lookup import bounded_broadcast
@@ -148,8 +157,9 @@ def mapping_drift(dim_encounter: DataFrame, encounter_types: DataFrame) -> DataF
 
 def validate_codes(codes: DataFrame, allowed_types=("CPT", "ICD10"),
                    min_length: dict | None = None, delimiters=(",", " ")) -> DataFrame:
-    """Code-set conformance per code type in one aggregate: rows, distinct
-    keys, short codes, codes holding delimiters, unknown types."""
+    """Code-set conformance per code type and per measure (``code_type`` or ``measure_id`` is
+    NULL) in one aggregate over grouping sets: rows, distinct keys, short codes, codes
+    holding delimiters, unknown types."""
     min_length = min_length or {"CPT": 4, "ICD10": 3}
     short = None
     for t, n in min_length.items():
@@ -159,7 +169,7 @@ def validate_codes(codes: DataFrame, allowed_types=("CPT", "ICD10"),
     for d in delimiters:
         c = F.col("code_value").contains(d)
         delim = c if delim is None else (delim | c)
-    return codes.groupBy("code_type").agg(
+    return codes.groupingSets([["code_type"], ["measure_id"]], "code_type", "measure_id").agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct("measure_id", "code_type", "code_value").alias("distinct_keys"),
         F.count_if(short).alias("short_codes"),

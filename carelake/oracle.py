@@ -81,7 +81,7 @@ def dim_patient(name="dim_patient", src="stg_patient", as_of=AS_OF, load=LOAD) -
   FROM {src})"""
 
 
-def bronze_encounter(name="bronze_encounter", where="TRUE", status="o_orderstatus") -> str:
+def bronze_encounter(name="bronze_encounter", where="TRUE", status="o_orderstatus", table="orders") -> str:
     return f"""{name} AS (
   SELECT 'P' || o_custkey AS pat_id, 'E' || o_orderkey AS encounter_id,
     CAST(CASE o_orderpriority WHEN '1-URGENT' THEN 201 WHEN '2-HIGH' THEN 101
@@ -91,7 +91,7 @@ def bronze_encounter(name="bronze_encounter", where="TRUE", status="o_orderstatu
     CASE o_orderkey % 5 WHEN 0 THEN 'DX_E119' WHEN 1 THEN 'DX_I10' WHEN 2 THEN 'J45909'
          WHEN 3 THEN 'DX_M545' ELSE 'DX_Z000' END AS primary_dx_id,
     {status} AS encounter_status
-  FROM orders WHERE {where})"""
+  FROM {table} WHERE {where})"""
 
 
 def dim_encounter(name="dim_encounter", src="bronze_encounter", load=LOAD) -> str:
@@ -112,7 +112,7 @@ def dim_encounter(name="dim_encounter", src="bronze_encounter", load=LOAD) -> st
   WHERE rn = 1)"""
 
 
-def bronze_charge(name="bronze_charge", where="TRUE", status=None) -> str:
+def bronze_charge(name="bronze_charge", where="TRUE", status=None, table="lineitem") -> str:
     status = status or """CASE WHEN l_returnflag = 'R' THEN 'DENIED'
          WHEN l_returnflag = 'N' AND l_linestatus = 'F' THEN NULL ELSE 'PAID' END"""
     return f"""{name} AS (
@@ -125,7 +125,7 @@ def bronze_charge(name="bronze_charge", where="TRUE", status=None) -> str:
            - CAST(l_linenumber AS DECIMAL(12,2)) AS DECIMAL(12,2)) END AS paid_amt,
     CAST(CAST(l_extendedprice AS DECIMAL(12,2)) - CAST(l_quantity AS DECIMAL(12,2)) AS DECIMAL(12,2)) AS allowed_amt,
     {status} AS claim_status, l_shipdate AS charge_dttm
-  FROM lineitem WHERE {where})"""
+  FROM {table} WHERE {where})"""
 
 
 def staged_charges(name="staged_charges", src="bronze_charge", load=LOAD) -> str:
@@ -164,14 +164,14 @@ def completed_years_sql(t: str, b: str) -> str:
 
 
 def eligibility(name="eligibility", as_of=CODE_DAY, load=LOAD, enc="dim_encounter",
-                compliant=("WELLNESS", "FOLLOWUP")) -> str:
+                compliant=("WELLNESS", "FOLLOWUP"), charges="fact_charges", codes="codes") -> str:
     """Codes seen at an encounter, whatever their kind, matched once with the codes in force."""
     comp = ", ".join(f"'{c}'" for c in compliant)
     return f"""{name}_in_force AS (
-  SELECT measure_id, code_type, code_value FROM codes
+  SELECT measure_id, code_type, code_value FROM {codes}
   WHERE {as_of} BETWEEN effective_date AND coalesce(expiration_date, DATE '9999-12-31')),
 {name}_seen AS (
-  SELECT encounter_id, 'CPT' AS code_type, cpt_code AS code_value FROM fact_charges
+  SELECT encounter_id, 'CPT' AS code_type, cpt_code AS code_value FROM {charges}
   UNION ALL SELECT encounter_id, 'ICD10', primary_dx_code FROM {enc}),
 {name}_hits AS (
   SELECT encounter_id, measure_id FROM {name}_seen JOIN {name}_in_force USING (code_type, code_value)
@@ -190,30 +190,30 @@ def eligibility(name="eligibility", as_of=CODE_DAY, load=LOAD, enc="dim_encounte
   (SELECT map(list(measure_id), list(measure_name)) AS names FROM measure_defs))"""
 
 
-def billing(name="billing", as_of=AS_OF, load=LOAD, lookback=90) -> str:
+def billing(name="billing", as_of=AS_OF, load=LOAD, lookback=90, enc="dim_encounter", charges="fact_charges") -> str:
     """Claims that were not denied, of visits at most ``lookback`` days old whose type is mapped."""
     return f"""{name}_visits AS (
   SELECT pat_id, encounter_id, encounter_dttm, primary_dx_code,
     (SELECT any_value(t.encounter_type) FROM enc_types t
      WHERE t.is_active AND t.visit_type_c = v.visit_type_c) AS encounter_type
-  FROM dim_encounter v WHERE datediff('day', CAST(encounter_dttm AS DATE), {as_of}) <= {lookback}),
+  FROM {enc} v WHERE datediff('day', CAST(encounter_dttm AS DATE), {as_of}) <= {lookback}),
 {name} AS (
   SELECT pat_id, encounter_id, charge_id, encounter_dttm, encounter_type, cpt_code, primary_dx_code,
     NULL::VARCHAR AS payer_id, billed_amt, allowed_amt, paid_amt,
     CAST(allowed_amt - paid_amt AS DECIMAL(12,2)) AS patient_responsibility,
     if(billed_amt > 10000, 'Y', 'N') AS high_cost_flag,
     claim_status, {load} AS load_dttm, {load} AS updated_dttm
-  FROM (SELECT * EXCLUDE (load_dttm) FROM fact_charges WHERE claim_status <> 'DENIED')
+  FROM (SELECT * EXCLUDE (load_dttm) FROM {charges} WHERE claim_status <> 'DENIED')
   JOIN (FROM {name}_visits WHERE encounter_type IS NOT NULL) USING (encounter_id))"""
 
 
-def quality(name="quality", year=2000, load=LOAD, src="eligibility") -> str:
+def quality(name="quality", year=2000, load=LOAD, src="eligibility", enc="dim_encounter") -> str:
     return f"""{name} AS (
   SELECT pat_id, encounter_id, encounter_dttm, mrn,
     CAST(datediff('year', birth_date, CAST(encounter_dttm AS DATE)) AS INTEGER) AS age_at_encounter,
     measure_id, measure_name, measure_eligible, measure_compliant, encounter_type,
     {load} AS load_dttm, {load} AS updated_dttm
-  FROM (SELECT encounter_id, encounter_dttm FROM dim_encounter
+  FROM (SELECT encounter_id, encounter_dttm FROM {enc}
         WHERE encounter_dttm >= DATE '{year}-01-01' AND encounter_dttm < DATE '{year + 1}-01-01')
   JOIN (SELECT * EXCLUDE (age_at_encounter, load_dttm) FROM {src}
         WHERE measure_eligible = 'Y') USING (encounter_id)
@@ -407,23 +407,68 @@ UNION ALL SELECT {cols}, DATE '2001-08-02' AS effective_date, NULL::DATE AS expi
       if(count(*) = 0, 'PASS', 'FAIL') AS status
       FROM dim_encounter WHERE encounter_type <> 'OTHER'
         AND visit_type_c NOT IN (SELECT visit_type_c FROM enc_types)""")
-    q["validate_codes"] = with_(silver_ctes() + ["""observed AS (
-      SELECT DISTINCT 'OBSERVED' AS measure_id, code_type, code_value FROM (
+    bad = {"short_codes": "(code_type = 'CPT' AND length(code_value) < 4) OR (code_type = 'ICD10' AND length(code_value) < 3)",
+           "delimited_codes": "regexp_matches(code_value, '[, ]')",
+           "invalid_types": "code_type NOT IN ('CPT', 'ICD10')"}
+    counted = ", ".join(f"count(*) FILTER (WHERE {c}) AS {n}" for n, c in bad.items())
+    per = "\n      UNION ALL ".join(
+        f"""SELECT {t} AS code_type, {m} AS measure_id, count(*) AS row_count,
+          count(DISTINCT (measure_id, code_type, code_value)) AS distinct_keys, {counted}
+        FROM observed GROUP BY {by}""" for t, m, by in (("code_type", "NULL", "code_type"), ("NULL", "measure_id", "measure_id")))
+    q["validate_codes"] = with_(silver_ctes() + [f"""observed AS (
+      SELECT coalesce(c.measure_id, 'NONE') AS measure_id, o.code_type, o.code_value FROM (
         SELECT 'CPT' AS code_type, cpt_code AS code_value FROM fact_charges WHERE cpt_code IS NOT NULL
-        UNION ALL SELECT 'ICD10', primary_dx_code FROM dim_encounter WHERE primary_dx_code IS NOT NULL))"""],
-        """SELECT code_type, count(*) AS row_count,
-          count(DISTINCT (measure_id, code_type, code_value)) AS distinct_keys,
-          count(*) FILTER (WHERE (code_type = 'CPT' AND length(code_value) < 4)
-                              OR (code_type = 'ICD10' AND length(code_value) < 3)) AS short_codes,
-          count(*) FILTER (WHERE contains(code_value, ',') OR contains(code_value, ' ')) AS delimited_codes,
-          count(*) FILTER (WHERE code_type NOT IN ('CPT', 'ICD10')) AS invalid_types,
-          CASE WHEN count(*) != count(DISTINCT (measure_id, code_type, code_value))
-                 OR count(*) FILTER (WHERE (code_type = 'CPT' AND length(code_value) < 4)
-                              OR (code_type = 'ICD10' AND length(code_value) < 3)) > 0
-                 OR count(*) FILTER (WHERE contains(code_value, ',') OR contains(code_value, ' ')) > 0
-                 OR count(*) FILTER (WHERE code_type NOT IN ('CPT', 'ICD10')) > 0
-               THEN 'FAIL' ELSE 'PASS' END AS status
-        FROM observed GROUP BY code_type""")
+        UNION SELECT 'ICD10', primary_dx_code FROM dim_encounter WHERE primary_dx_code IS NOT NULL) o
+      LEFT JOIN codes c USING (code_type, code_value))""", f"per AS ({per})"],
+        """SELECT *, if(row_count = distinct_keys AND short_codes + delimited_codes + invalid_types = 0, 'PASS', 'FAIL')
+           AS status FROM per""")
+    q["unmapped_types"] = with_([ENC_TYPES, bronze_encounter()], """SELECT visit_type_c, count(*) AS encounters
+      FROM bronze_encounter WHERE visit_type_c IS NULL
+        OR visit_type_c NOT IN (SELECT visit_type_c FROM enc_types WHERE is_active) GROUP BY visit_type_c""")
+    q["mapping_drift_retired"] = with_([bronze_encounter()], """SELECT count(*) AS unmapped_count,
+      if(count(*) = 0, 'PASS', 'FAIL') AS status
+      FROM (SELECT DISTINCT encounter_id FROM bronze_encounter WHERE visit_type_c = 201)""")
+    q["dated_codes"] = with_(silver_ctes() + ["""more_codes AS (FROM codes
+      UNION ALL VALUES ('OLD', 'CPT', '99213', DATE '2020-01-01', DATE '2024-06-29'),
+        ('LAST', 'CPT', '99213', DATE '2020-01-01', DATE '2024-06-30'),
+        ('FIRST', 'CPT', '99213', DATE '2024-06-30', NULL), ('LATER', 'ICD10', 'I10', DATE '2024-07-01', NULL))""",
+        eligibility("dated", codes="more_codes")],
+        "SELECT measure_id, count(*) AS eligible_rows FROM dated GROUP BY measure_id")
+    key = "CAST(substr(encounter_id, 2) AS BIGINT)"
+    flawed = {
+        "encounter": (f"""SELECT if(k % 101 = 0, NULL, if(k % 103 = 0, ' ', pat_id)) AS pat_id,
+            if(k % 107 = 0, '', if(k % 109 = 0, encounter_id || ',E0', encounter_id)) AS encounter_id,
+            if(k % 113 = 0, NULL, encounter_dttm) AS encounter_dttm
+          FROM (SELECT *, {key} AS k FROM bronze_encounter)""",
+                      {"pat_id_not_null": "pat_id IS NULL", "encounter_id_not_null": "encounter_id IS NULL",
+                       "pat_id_filled": "trim(pat_id) = ''", "encounter_id_filled": "trim(encounter_id) = ''",
+                       "encounter_id_single": "regexp_matches(encounter_id, '[, ]')",
+                       "encounter_dttm_not_null": "encounter_dttm IS NULL"}),
+        "charge_detail": (f"""SELECT encounter_id, if(k % 127 = 0, NULL, charge_id) AS charge_id,
+            CASE WHEN k % 101 = 0 THEN '' WHEN k % 103 = 0 THEN '99213, 99214' WHEN k % 107 = 0 THEN '992' ELSE cpt_code END AS cpt_code,
+            billed_amt, allowed_amt, if(k % 109 = 0, -paid_amt, paid_amt) AS paid_amt
+          FROM (SELECT *, {key} AS k FROM bronze_charge)""",
+                          {"encounter_id_not_null": "encounter_id IS NULL", "charge_id_not_null": "charge_id IS NULL",
+                           "encounter_id_filled": "trim(encounter_id) = ''", "charge_id_filled": "trim(charge_id) = ''",
+                           "cpt_code_filled": "trim(cpt_code) = ''", "cpt_code_single": "regexp_matches(cpt_code, '[, ]')",
+                           "cpt_code_length": "length(cpt_code) < 4",
+                           "amounts_not_negative": "billed_amt < 0 OR allowed_amt < 0 OR paid_amt < 0"})}
+    parts = []
+    for name, (rows, rules) in flawed.items():
+        any_bad = " OR ".join(f"coalesce({c}, false)" for c in rules.values())
+        parts += [f"""SELECT '{name}' AS table_name, '{r}' AS rule, count(*) FILTER (WHERE {c}) AS rows_broken,
+          count(*) FILTER (WHERE NOT ({any_bad})) AS rows_kept, count(*) FILTER (WHERE {any_bad}) AS rows_quarantined
+        FROM flawed_{name}""" for r, c in rules.items()]
+    q["row_constraints"] = with_([bronze_encounter(), bronze_charge()] + [
+        f"flawed_{n} AS ({r})" for n, (r, _) in flawed.items()], "\n      UNION ALL ".join(parts))
+    q["sql_billed_by_type"] = with_(silver_ctes(), f"""SELECT encounter_type, count(*) AS charges,
+        sum(billed_amt)::DECIMAL(22,2) AS billed, count(*) FILTER (WHERE billed_amt > 10000) AS high_cost,
+        count(*) FILTER (WHERE claim_status = 'DENIED') AS denied
+      FROM dim_encounter JOIN (SELECT * EXCLUDE (load_dttm) FROM fact_charges) USING (encounter_id)
+      WHERE datediff('day', CAST(encounter_dttm AS DATE), {AS_OF}) <= 90 GROUP BY encounter_type""")
+    q["table_properties"] = """SELECT unnest(['quality', 'source', 'description', 'rows', 'customers']) AS property,
+        unnest(['reference', 'customer', 'it''s by segment', count(DISTINCT c_mktsegment)::VARCHAR, count(*)::VARCHAR]) AS value
+      FROM customer"""
     # --- stage log / SLA / reports ---------------------------------------------------------
     stage_log = f"""stage_log AS (SELECT 'run-' || user_id AS run_id, event_type AS stage_name,
       min(ts) AS start_time, max(ts) AS end_time,
@@ -504,22 +549,35 @@ def build_pipeline() -> dict[str, str]:
              CASE WHEN orphans > 0 THEN 'FAIL' ELSE 'PASS' END AS status, orphans AS observed_count,
              NULL::DOUBLE AS max_null_rate, NULL::DOUBLE AS threshold_ratio,
              NULL::BIGINT AS trailing_days, least(orphans, 10)::BIGINT AS listed_orphans FROM cnt{per_mart}""")
-    held = ("SELECT count(*) FROM (SELECT encounter_id, charge_id FROM b_first "
-            "UNION SELECT encounter_id, charge_id FROM billing)")
     gate = "CASE WHEN rows < floor(coalesce(before, 0) * 0.8) THEN 'FAILED' ELSE 'SUCCESS' END"
+    later = lambda t, key, day, extra: f"""{t}2 AS (FROM {t} UNION ALL
+      SELECT * REPLACE ({day} + INTERVAL 1 DAY AS {day}{extra}) FROM {t} WHERE {key} % 50 = 0 UNION ALL
+      SELECT * REPLACE ({key} + 10000000000 AS {key}) FROM {t} WHERE {key} % 100 = 7)"""
+    pairs = lambda keys, a, b: f"(SELECT count(*) FROM (SELECT {keys} FROM {a} UNION SELECT {keys} FROM {b}))"
     nights = with_(_pipeline_ctes() + [
-        billing("b_first", "DATE '2001-08-01'"),
-        f"""held AS (SELECT (SELECT count(*) FROM b_first) AS first_bill, ({held}) AS second_bill, cnt.* FROM cnt)""",
+        later("orders", "o_orderkey", "o_orderdate", ", 'F' AS o_orderstatus"),
+        later("lineitem", "l_orderkey", "l_shipdate", ""),
+        bronze_encounter("be2", table="orders2"), dim_encounter("de2", "be2"),
+        bronze_charge("bc2", table="lineitem2"), fact_charges("fc2", "bc2"),
+        eligibility("el2", enc="de2", charges="fc2"), quality("qu2", src="el2", enc="de2"),
+        billing("b_first", "DATE '2001-08-01'"), billing("bi2", enc="de2", charges="fc2"),
+        """open1 AS (SELECT pat_id, measure_id FROM quality WHERE measure_compliant = 'N')""",
+        """open2 AS (SELECT pat_id, measure_id FROM qu2 WHERE measure_compliant = 'N')""",
+        f"""n2 AS (SELECT (SELECT count(*) FROM orders2) AS bronze2, (SELECT count(*) FROM de2) AS enc2,
+          {pairs("pat_id, encounter_id, measure_id", "eligibility", "el2")} AS elig2,
+          (SELECT count(*) FROM b_first) AS bill1, {pairs("encounter_id, charge_id", "b_first", "bi2")} AS bill2,
+          {pairs("pat_id, encounter_id, measure_id", "quality", "qu2")} AS qual2,
+          {pairs("pat_id, measure_id", "open1", "open2")} AS gaps2, cnt.* FROM cnt)""",
         """outputs AS (
-          SELECT unnest([{'stage': 'bronze_ingestion', 'one': n_orders, 'two': n_orders},
-            {'stage': 'silver_patient_encounter', 'one': n_orders, 'two': n_orders},
-            {'stage': 'silver_hedis_eligibility', 'one': n_elig, 'two': n_elig},
-            {'stage': 'gold_billing_mart', 'one': first_bill, 'two': second_bill},
-            {'stage': 'billing_dq', 'one': first_bill, 'two': second_bill},
-            {'stage': 'gold_quality_mart', 'one': n_qual, 'two': n_qual},
-            {'stage': 'quality_dq', 'one': n_qual, 'two': n_qual},
-            {'stage': 'gold_care_gaps', 'one': n_gaps, 'two': n_gaps},
-            {'stage': 'care_gaps_dq', 'one': n_gaps, 'two': n_gaps}]) AS o FROM held)""",
+          SELECT unnest([{'stage': 'bronze_ingestion', 'one': n_orders, 'two': bronze2},
+            {'stage': 'silver_patient_encounter', 'one': n_orders, 'two': enc2},
+            {'stage': 'silver_hedis_eligibility', 'one': n_elig, 'two': elig2},
+            {'stage': 'gold_billing_mart', 'one': bill1, 'two': bill2},
+            {'stage': 'billing_dq', 'one': bill1, 'two': bill2},
+            {'stage': 'gold_quality_mart', 'one': n_qual, 'two': qual2},
+            {'stage': 'quality_dq', 'one': n_qual, 'two': qual2},
+            {'stage': 'gold_care_gaps', 'one': n_gaps, 'two': gaps2},
+            {'stage': 'care_gaps_dq', 'one': n_gaps, 'two': gaps2}]) AS o FROM n2)""",
         """runs AS (SELECT 1 AS night, o.stage AS stage_name, o.one AS rows, NULL::BIGINT AS before FROM outputs
           UNION ALL SELECT 2, o.stage, o.two, CASE WHEN o.stage LIKE '%_dq' THEN o.one END FROM outputs)""",
     ], f"SELECT night, stage_name, {gate} AS status, rows AS row_count FROM runs")
@@ -531,10 +589,13 @@ def build_runtime() -> dict[str, str]:
         SELECT *, row_number() OVER (PARTITION BY user_id, event_type
                                      ORDER BY ts DESC NULLS LAST, event_id DESC) AS rn
         FROM events) x WHERE rn = 1""",
-            "ingest_profile": """SELECT 'bronze.encounter' AS table_name, count(*) AS total_rows,
-        CAST(1 AS BIGINT) AS distinct_batches FROM orders
-      UNION ALL SELECT 'bronze.charge_detail', count(*), 1 FROM lineitem
-      UNION ALL SELECT 'bronze.dim_patient', count(*), 1 FROM customer"""}
+            "ingest_profile": """SELECT table_name, total_rows, 1::BIGINT AS distinct_batches,
+        total_rows AS rows_with_metadata, true AS times_in_order, true AS observed_agrees
+      FROM (SELECT 'bronze.encounter' AS table_name, count(*) AS total_rows FROM orders
+        UNION ALL SELECT 'bronze.charge_detail', count(*) FROM lineitem
+        UNION ALL SELECT 'bronze.dim_patient', count(*) FROM customer
+        UNION ALL SELECT 'bronze.icd10_reference', count(*) FROM part
+        UNION ALL SELECT 'bronze.hedis_measure_definition', 4)"""}
 
 
 def build() -> dict[str, str]:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake import schemas
-from carelake.operators import checks
+from carelake.operators import checks, constraints
 from carelake.operators.upsert import duplicate_keys, merge_latest, scd2_apply, upsert_all
 from carelake.params import Params
 from carelake.plans import dq, eligibility, marts, reference, runlog
@@ -56,6 +56,9 @@ class Run:
     # staged and merged, and later stages look at the encounters they touch, so
     # nightly work grows with new data, not history.
     incremental: bool = False
+    # True: delivered encounters and charges that break a row constraint go to
+    # quarantine tables before staging.
+    quarantine: bool = False
 
 
 class PipelineHalted(RuntimeError):
@@ -126,6 +129,10 @@ def _bronze_since_watermark(run: Run, entity: str, target: str):
     return df, new_mark
 
 
+def _clean(run: Run, entity: str, df: DataFrame, rules: list) -> DataFrame:
+    return constraints.quarantine(run.store, entity, df, rules) if run.quarantine else df
+
+
 def _record_watermark(run: Run, target: str, mark) -> None:
     if run.incremental and mark is not None:
         run.store.set_properties(target, {WATERMARK: str(mark)})
@@ -149,6 +156,7 @@ def stage_silver(run: Run) -> int:
 
     def encounters():
         bronze, mark = _bronze_since_watermark(run, "encounter", encounter)
+        bronze = _clean(run, "encounter", bronze, constraints.ENCOUNTER_RULES)
         batch = s.stage("encounters", stage_encounters(bronze, types, p.load_ts))
         keys = ["encounter_id"]
         written = s.merge(encounter, batch, keys, lambda old, new: merge_latest(old, new, keys, encounter_order())
@@ -158,6 +166,7 @@ def stage_silver(run: Run) -> int:
 
     def charges():
         bronze, mark = _bronze_since_watermark(run, "charge_detail", charge)
+        bronze = _clean(run, "charge_detail", bronze, constraints.CHARGE_RULES)
         batch = s.stage("charges", stage_charges(bronze, p.load_ts))
         keys = ["encounter_id", "charge_id"]
         s.merge(charge, batch, keys, lambda old, new: merge_latest(old, new, keys, charge_order()) if run.incremental

@@ -24,60 +24,39 @@ P = TESTDATA_PARAMS
 T1 = dt.datetime(2001, 8, 1)  # first delivery's load time in the two-delivery queries
 
 
-# Plan objects (not data) are memoized per session, input and parameters:
-# building a plan costs thousands of py4j calls, running it re-reads the data.
-_PLANS: dict = {}
-
-
-def _memo(kind: str, spark: SparkSession, sf_dir: str, params: Params, build):
-    key = (kind, spark.sparkContext.applicationId, sf_dir, params)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def _silver(spark: SparkSession, sf_dir: str, params: Params = P) -> Silver:
-    return _memo("silver", spark, sf_dir, params, lambda: build_silver(
-        spark, adapter.bronze(spark, sf_dir), seeds.encounter_types(spark), params))
+    return build_silver(spark, adapter.bronze(spark, sf_dir), seeds.encounter_types(spark), params)
 
 
 def _eligibility(spark, sf_dir, params: Params = P, silver: Silver | None = None) -> DataFrame:
-    def build():
-        s = silver or _silver(spark, sf_dir, params)
-        return elig.eligibility_batch(s.dim_patient, s.dim_encounter, s.fact_charges,
-                                      seeds.eligibility_codes(spark),
-                                      adapter.measure_definitions(spark), params)
-    return _memo("eligibility", spark, sf_dir, params, build)
+    s = silver or _silver(spark, sf_dir, params)
+    return elig.eligibility_batch(s.dim_patient, s.dim_encounter, s.fact_charges,
+                                  seeds.eligibility_codes(spark),
+                                  adapter.measure_definitions(spark), params)
 
 
 def _quality(spark, sf_dir, params: Params = P) -> DataFrame:
-    def build():
-        s = _silver(spark, sf_dir, params)
-        bound = in_year("encounter_dttm", params.measurement_year)
-        # eligibility is decided per encounter, so the year bounds its inputs as well
-        year_enc, year_charges = s.dim_encounter_where(bound), s.fact_charges_where(bound)
-        eligible = elig.eligibility_batch(s.dim_patient, year_enc, year_charges,
-                                          seeds.eligibility_codes(spark),
-                                          adapter.measure_definitions(spark), params)
-        return marts.quality_batch(eligible, year_enc, s.dim_patient, params)
-    return _memo("quality", spark, sf_dir, params, build)
+    s = _silver(spark, sf_dir, params)
+    bound = in_year("encounter_dttm", params.measurement_year)
+    # eligibility is decided per encounter, so the year bounds its inputs as well
+    year_enc, year_charges = s.dim_encounter_where(bound), s.fact_charges_where(bound)
+    eligible = elig.eligibility_batch(s.dim_patient, year_enc, year_charges,
+                                      seeds.eligibility_codes(spark),
+                                      adapter.measure_definitions(spark), params)
+    return marts.quality_batch(eligible, year_enc, s.dim_patient, params)
 
 
 def _billing(spark, sf_dir, params: Params = P) -> DataFrame:
-    def build():
-        s = _silver(spark, sf_dir, params)
-        bound = F.col("encounter_dttm") >= lit_ts(marts.lookback_cutoff(params))
-        return marts.billing_batch(s.dim_encounter_where(bound), s.fact_charges_where(bound),
-                                   seeds.encounter_types(spark), params)
-    return _memo("billing", spark, sf_dir, params, build)
+    s = _silver(spark, sf_dir, params)
+    bound = F.col("encounter_dttm") >= lit_ts(marts.lookback_cutoff(params))
+    return marts.billing_batch(s.dim_encounter_where(bound), s.fact_charges_where(bound),
+                               seeds.encounter_types(spark), params)
 
 
 def _gaps(spark, sf_dir, params: Params = P) -> DataFrame:
-    def build():
-        s = _silver(spark, sf_dir, params)
-        return marts.gap_batch(_quality(spark, sf_dir, params), s.dim_encounter, s.dim_patient,
-                               seeds.encounter_types(spark), params)
-    return _memo("gaps", spark, sf_dir, params, build)
+    s = _silver(spark, sf_dir, params)
+    return marts.gap_batch(_quality(spark, sf_dir, params), s.dim_encounter, s.dim_patient,
+                           seeds.encounter_types(spark), params)
 
 
 # ---- staging -----------------------------------------------------------------
@@ -305,17 +284,89 @@ def q_mapping_drift(spark, sf_dir):
 
 
 def q_validate_codes(spark, sf_dir):
-    """Code-set rules applied to the codes observed on charges (CPT) and
-    encounter diagnoses (ICD-10)."""
+    """Code-set rules applied to the codes observed on charges (CPT) and encounter diagnoses (ICD-10), per code
+    type and per measure that asks for the code (NONE: no measure does)."""
     s = _silver(spark, sf_dir)
     cpt = s.fact_charges.filter(F.col("cpt_code").isNotNull()).select(
         F.lit("CPT").alias("code_type"), F.col("cpt_code").alias("code_value"))
     icd = s.dim_encounter.filter(F.col("primary_dx_code").isNotNull()).select(
         F.lit("ICD10").alias("code_type"), F.col("primary_dx_code").alias("code_value"))
-    observed = cpt.unionByName(icd).distinct().withColumn("measure_id", F.lit("OBSERVED"))
+    from carelake.operators.lookup import bounded_broadcast
+    asked = bounded_broadcast(seeds.eligibility_codes(spark).select("measure_id", "code_type", "code_value").distinct())
+    observed = cpt.unionByName(icd).distinct().join(asked, ["code_type", "code_value"], "left").withColumn(
+        "measure_id", F.coalesce("measure_id", F.lit("NONE")))
     return checks.validate_codes(observed)
 
 
+def q_unmapped_types(spark, sf_dir):
+    """Delivered visit types that the type table doesn't map, counted before staging makes them OTHER."""
+    return checks.unmapped_types(adapter.encounter(spark, sf_dir), seeds.encounter_types(spark))
+
+
+def q_mapping_drift_retired(spark, sf_dir):
+    """Drift after a type was taken out of the type table: encounters mapped before keep its name."""
+    return checks.mapping_drift(_silver(spark, sf_dir).dim_encounter,
+                                seeds.encounter_types(spark).filter("visit_type_c <> 201"))
+
+
+DATED_CODES = [("OLD", "CPT", "99213", dt.date(2020, 1, 1), dt.date(2024, 6, 29)),
+               ("LAST", "CPT", "99213", dt.date(2020, 1, 1), dt.date(2024, 6, 30)),
+               ("FIRST", "CPT", "99213", dt.date(2024, 6, 30), None),
+               ("LATER", "ICD10", "I10", dt.date(2024, 7, 1), None)]
+
+
+def q_dated_codes(spark, sf_dir):
+    """Eligible encounters per measure under code sets with expired, ending, starting and future codes: those in
+    force on the code day (both ends included) count, the others don't."""
+    s = _silver(spark, sf_dir)
+    e = elig.eligibility_batch(s.dim_patient, s.dim_encounter, s.fact_charges,
+                               seeds.eligibility_codes(spark, DATED_CODES), adapter.measure_definitions(spark), P)
+    return e.groupBy("measure_id").agg(F.count(F.lit(1)).alias("eligible_rows"))
+
+
+def q_row_constraints(spark, sf_dir):
+    """Encounters and charges with planted flaws pass the row constraints: rows that break one are quarantined;
+    the report counts them per rule from the quarantine tables."""
+    from carelake.operators import constraints as con
+    store = _fresh_store(spark, "constraints")
+    reports = []
+    for name, df, rules in (("encounter", adapter.flawed_encounters(spark, sf_dir), con.ENCOUNTER_RULES),
+                            ("charge_detail", adapter.flawed_charges(spark, sf_dir), con.CHARGE_RULES)):
+        kept = con.quarantine(store, name, df, rules)
+        reports.append(con.rule_report(kept, store.read(f"quarantine.{name}"), name, rules))
+    return reports[0].unionByName(reports[1])
+
+
+def q_sql_billed_by_type(spark, sf_dir):
+    """SQL text with named arguments over the views of two silver tables; the arguments come from ``spark.conf``
+    (``carelake.lookback_days``, ``carelake.high_cost_threshold``), the as-of day from the test parameters."""
+    from carelake.plans import sqltext
+    s = _silver(spark, sf_dir)
+    params = Params.from_conf(spark, as_of_date=P.as_of_date)
+    return sqltext.run_text(spark, sqltext.BILLED_BY_TYPE, params,
+                            {"dim_encounter": s.dim_encounter, "fact_charges": s.fact_charges})
+
+
+REFERENCE_PROPERTIES = ("quality", "source", "description")
+
+
+def q_table_properties(spark, sf_dir):
+    """A replaced catalog table (customers per segment) whose properties stay with its name over a second state:
+    the properties read back, and the rows and customers that a temp view of the table counts."""
+    store = _fresh_store(spark, "properties")
+    segments = adapter.table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers"))
+    store.replace("reference.segments", segments.limit(0))
+    store.set_properties("reference.segments", {"quality": "reference", "source": "customer", "description": "it's by segment"})
+    store.replace("reference.segments", segments)
+    props = store.properties("reference.segments")
+    kept = schemas.literal_frame(spark, [(k, props.get(k)) for k in REFERENCE_PROPERTIES],
+                                 schemas._struct(("property", schemas.S), ("value", schemas.S)))
+    view, = store.register_views(["reference.segments"])
+    counts = spark.sql(f"""SELECT inline(array(struct('rows' AS property, CAST(count(*) AS STRING) AS value),
+      struct('customers' AS property, CAST(sum(customers) AS STRING) AS value))) FROM {view}""")
+    return kept.unionByName(counts)
+
+
 # ---- stage log, SLA, reports -----------------------------------------------------------
 def q_stage_log(spark, sf_dir):
     from carelake.plans import runlog
@@ -378,6 +429,12 @@ REGISTRY.update({
     "silver_null_keys": q_silver_null_keys,
     "mapping_drift": q_mapping_drift,
     "validate_codes": q_validate_codes,
+    "unmapped_types": q_unmapped_types,
+    "mapping_drift_retired": q_mapping_drift_retired,
+    "dated_codes": q_dated_codes,
+    "row_constraints": q_row_constraints,
+    "sql_billed_by_type": q_sql_billed_by_type,
+    "table_properties": q_table_properties,
     "stage_log": q_stage_log,
     "sla_report": q_sla_report,
     "inventory_census": q_inventory_census,
@@ -395,15 +452,17 @@ def _fresh_store(spark, kind: str):
 
 def q_ingest_profile(spark, sf_dir):
     """Stream the landing files (driver tables) into bronze, available-now,
-    then profile the bronze tables (rows and batches per table)."""
+    then profile the five bronze tables (rows, batches, metadata and times per table) and
+    compare them with what the streams observed."""
     from carelake.streaming.ingest import ingest_all, ingest_profile
     store = _fresh_store(spark, "ingest")
-    specs = adapter.landing_specs(sf_dir)
-    ingest_all(spark, specs, lambda e: store.table(f"bronze.{e}"),
+    specs = adapter.landing_specs(sf_dir, adapter.land_measure_definitions(spark, f"{store.root}/_landing"), code_catalogue=True)
+    observed = ingest_all(spark, specs, lambda e: store.table(f"bronze.{e}"),
                lambda e: f"{store.root}/_checkpoints/bronze/{e}")
-    prof = ingest_profile({f"bronze.{s.entity}": store.read(f"bronze.{s.entity}")
-                           for s in specs})
-    return prof.select("table_name", "total_rows", "distinct_batches")
+    return ingest_profile({f"bronze.{s.entity}": store.read(f"bronze.{s.entity}") for s in specs}, observed).select(
+        "table_name", "total_rows", "distinct_batches", "rows_with_metadata",
+        (F.col("earliest_ingestion") <= F.col("latest_ingestion")).alias("times_in_order"),
+        "observed_agrees")
 
 
 def _gated(spark, sf_dir):
@@ -440,14 +499,18 @@ NIGHT_BEFORE = P.with_(as_of_date=dt.date(2001, 8, 1), as_of_ts=T1)
 
 
 def q_two_nights(spark, sf_dir):
-    """Two nightly runs over one store, the cross-mart verdict only logged: all nine stages run, and the
-    second night's upserts and row-count gates meet the tables and snapshots of the first."""
+    """Two nightly runs over one store, the cross-mart verdict only logged: all nine stages run. The first
+    delivery holds the whole tables, the second re-sent, new and changed rows; the second night stages and merges these
+    only, rewrites the months they touch, and its gates meet the tables and snapshots of the first."""
     from carelake.plans.pipeline import Run, run_pipeline
     store = _fresh_store(spark, "nights")
-    specs = adapter.landing_specs(sf_dir, adapter.land_measure_definitions(spark, f"{store.root}/_landing"))
-    nights = [run_pipeline(Run(spark, store, p, specs, cross_mart="log"), raise_on_failure=False)
-              .select(F.lit(n).alias("night"), "stage_name", "status", "row_count")
-              for n, p in ((1, NIGHT_BEFORE), (2, P))]
+    landing = f"{store.root}/_landing"
+    specs = adapter.delivery_specs(landing, adapter.land_measure_definitions(spark, landing))
+    nights = []
+    for n, p, land in ((1, NIGHT_BEFORE, adapter.land_first_delivery), (2, P, adapter.land_second_delivery)):
+        land(spark, sf_dir, landing)
+        log = run_pipeline(Run(spark, store, p, specs, cross_mart="log", incremental=True), raise_on_failure=False)
+        nights.append(log.select(F.lit(n).alias("night"), "stage_name", "status", "row_count"))
     return nights[0].unionByName(nights[1])
 
 

@@ -121,6 +121,16 @@ def charges_from_lineitem(li: DataFrame, extra: list | None = None) -> DataFrame
     )
 
 
+def icd10_from_part(p: DataFrame, extra: list | None = None) -> DataFrame:
+    """Row-wise mapping (usable on a stream): the code catalogue, which no later stage reads."""
+    k = F.col("p_partkey")
+    return p.select(
+        F.concat(F.lit("Z"), k.cast("string")).alias("icd10_code"),
+        F.col("p_name").alias("short_description"), F.col("p_type").alias("category"),
+        F.when(F.col("p_size") > 25, "Y").otherwise("N").alias("chronic_flag"),
+        *(extra or []))
+
+
 def measure_definitions(spark: SparkSession) -> DataFrame:
     return schemas.literal_frame(spark, MEASURE_DEFINITION_ROWS, schemas.MEASURE_DEFINITION)
 
@@ -150,6 +160,10 @@ LINEITEM_SCHEMA = schemas._struct(
     ("l_tax", schemas.T.DoubleType()), ("l_returnflag", schemas.S), ("l_linestatus", schemas.S),
     ("l_shipdate", schemas.TS))
 
+PART_SCHEMA = schemas._struct(
+    ("p_partkey", schemas.L), ("p_name", schemas.S), ("p_brand", schemas.S), ("p_type", schemas.S),
+    ("p_size", schemas.I), ("p_retailprice", schemas.T.DoubleType()))
+
 _META = ["_ingestion_timestamp", "_source_file", "_batch_id", "_ingestion_date"]
 
 
@@ -175,20 +189,79 @@ def measure_definition_spec(folder: str):
                       file_glob="*.parquet")
 
 
-def landing_specs(sf_dir: str, measures: str | None = None) -> list:
+#: Driver table -> (bronze entity, landing schema, row-wise mapping).
+LANDED = {
+    "orders": ("encounter", ORDERS_SCHEMA, encounter_from_orders),
+    "lineitem": ("charge_detail", LINEITEM_SCHEMA, charges_from_lineitem),
+    "customer": ("dim_patient", CUSTOMER_SCHEMA, patient_from_customer),
+    "part": ("icd10_reference", PART_SCHEMA, icd10_from_part),
+}
+
+
+def _spec(table_name: str, folder: str, file_glob: str | None):
+    from carelake.streaming.ingest import IngestSpec
+    entity, schema, fn = LANDED[table_name]
+    return IngestSpec(entity, schema, folder, lambda df: _carry_meta(df, fn, ["_src_key"]), file_glob)
+
+
+def landing_specs(sf_dir: str, measures: str | None = None, code_catalogue: bool = False) -> list:
     """Streaming ingest specs that land the driver tables as bronze entities
     (row-wise mappings only, so they run on the stream). ``measures`` is the folder of
-    the measure catalogue (``land_measure_definitions``), which the tables don't hold."""
-    from carelake.streaming.ingest import IngestSpec
+    the measure catalogue (``land_measure_definitions``), which the tables don't hold;
+    ``code_catalogue`` adds the fifth entity, which no later stage reads."""
     catalogue = [measure_definition_spec(measures)] if measures else []
-    return catalogue + [
-        IngestSpec("encounter", ORDERS_SCHEMA, sf_dir,
-                   lambda df: _carry_meta(df, encounter_from_orders, ["_src_key"]),
-                   "orders.parquet"),
-        IngestSpec("charge_detail", LINEITEM_SCHEMA, sf_dir,
-                   lambda df: _carry_meta(df, charges_from_lineitem, ["_src_key"]),
-                   "lineitem.parquet"),
-        IngestSpec("dim_patient", CUSTOMER_SCHEMA, sf_dir,
-                   lambda df: _carry_meta(df, patient_from_customer, ["_src_key"]),
-                   "customer.parquet"),
-    ]
+    tables = ["orders", "lineitem", "customer", *(["part"] if code_catalogue else [])]
+    return catalogue + [_spec(t, sf_dir, f"{t}.parquet") for t in tables]
+
+
+# ---- deliveries of two nights ------------------------------------------------------
+#: Keys of orders that the second delivery adds start here.
+NEW_ORDERS = 10_000_000_000
+
+
+def delivery_specs(landing: str, measures: str) -> list:
+    """Specs over landing folders that hold one subfolder per delivery."""
+    return [measure_definition_spec(measures)] + [_spec(t, f"{landing}/{t}/*", None) for t in ("orders", "lineitem", "customer")]
+
+
+def land_first_delivery(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """The whole tables."""
+    for t in ("orders", "lineitem", "customer"):
+        table(spark, sf_dir, t).write.parquet(f"{landing}/{t}/d1")
+
+
+def land_second_delivery(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    """One order in fifty is sent again a day later with its lines, one in a hundred is new, and one
+    customer in twenty has another segment."""
+    o, li, c = (table(spark, sf_dir, t) for t in ("orders", "lineitem", "customer"))
+    day = F.expr("INTERVAL 1 DAY")
+    again = o.filter("o_orderkey % 50 = 0").withColumn("o_orderdate", F.col("o_orderdate") + day).withColumn(
+        "o_orderstatus", F.lit("F"))
+    new = o.filter("o_orderkey % 100 = 7").withColumn("o_orderkey", F.col("o_orderkey") + F.lit(NEW_ORDERS))
+    again.unionByName(new).write.parquet(f"{landing}/orders/d2")
+    again = li.filter("l_orderkey % 50 = 0").withColumn("l_shipdate", F.col("l_shipdate") + day)
+    new = li.filter("l_orderkey % 100 = 7").withColumn("l_orderkey", F.col("l_orderkey") + F.lit(NEW_ORDERS))
+    again.unionByName(new).write.parquet(f"{landing}/lineitem/d2")
+    c.filter("c_custkey % 20 = 0").withColumn("c_mktsegment", F.lit("SELFPAY")).write.parquet(f"{landing}/customer/d2")
+
+
+# ---- deliveries with flaws -----------------------------------------------------------
+def flawed_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encounters some of which break row constraints: NULL, empty and listed keys, no time."""
+    k = F.col("_src_key")
+    enc = encounter(spark, sf_dir)
+    return enc.withColumns({
+        "pat_id": F.when(k % 101 == 0, None).when(k % 103 == 0, " ").otherwise(F.col("pat_id")),
+        "encounter_id": F.when(k % 107 == 0, "").when(k % 109 == 0, F.concat("encounter_id", F.lit(",E0")))
+        .otherwise(F.col("encounter_id")),
+        "encounter_dttm": F.when(k % 113 == 0, None).otherwise(F.col("encounter_dttm"))}).drop("_src_key")
+
+
+def flawed_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Charges some of which break row constraints: NULL keys, empty, short and listed codes, negative amounts."""
+    k = F.col("_src_key")
+    return charge_detail(spark, sf_dir).withColumns({
+        "charge_id": F.when(k % 127 == 0, None).otherwise(F.col("charge_id")),
+        "cpt_code": F.when(k % 101 == 0, "").when(k % 103 == 0, "99213, 99214").when(k % 107 == 0, "992")
+        .otherwise(F.col("cpt_code")),
+        "paid_amt": F.when(k % 109 == 0, -F.col("paid_amt")).otherwise(F.col("paid_amt"))}).drop("_src_key")

@@ -120,8 +120,9 @@ class Store:
                     df = df.where(keep(F.col(MONTH), F.lit(dt.date(day.year, day.month, 1))))
         if schema is None:
             return df.drop(MONTH)
-        have = set(df.columns)
-        return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+        have = {f.name: f.dataType.simpleString() for f in df.schema}
+        return df.select(*[F.col(f.name) if have.get(f.name) == f.dataType.simpleString() else
+                           (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
                            for f in schema.fields])
 
     def register_views(self, names: list[str]) -> list[str]:

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,16 @@ def with_ingest_metadata(df: DataFrame, batch_id: str) -> DataFrame:
             .withColumn("_ingestion_date", F.to_date("_ingestion_timestamp")))
 
 
+def _micros(at) -> Column:
+    return F.unix_micros(at.cast("timestamp"))
+
+
+def _seen() -> list[Column]:
+    """Rows, and the first and last ingestion time in microseconds (progress reports cut times to seconds)."""
+    at = _micros(F.col("_ingestion_timestamp"))
+    return [F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last")]
+
+
 def start(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path: str,
           batch_id: str):
     """Start the available-now streaming query of one entity into the catalog table ``target`` (non-blocking).
@@ -51,8 +61,7 @@ def start(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path: s
     stream = with_ingest_metadata(stream, batch_id)
     if spec.transform is not None:
         stream = spec.transform(stream)
-    at = F.col("_ingestion_timestamp")
-    return (stream.observe("ingest", F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last"))
+    return (stream.observe("ingest", *_seen())
             .writeStream.format("parquet").outputMode("append")
             .option("checkpointLocation", checkpoint_path)
             .partitionBy("_ingestion_date")
@@ -69,13 +78,11 @@ def _summary(spark: SparkSession, q, spec: IngestSpec, target: str, batch_id: st
     got = [p.observedMetrics["ingest"] for p in seen if "ingest" in p.observedMetrics]
     keeps = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
     if len(q.recentProgress) >= keeps or len(got) < len(seen):
-        at = F.col("_ingestion_timestamp")
-        got = spark.table(target).where(F.col("_batch_id") == batch_id).agg(
-            F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last")).collect()
+        got = spark.table(target).where(F.col("_batch_id") == batch_id).agg(*_seen()).collect()
     return {"entity": spec.entity, "target": target, "batch_id": batch_id, "landing_path": spec.landing_path,
             "rows_added": sum(g["rows"] for g in got),
-            "first": min((g["first"] for g in got if g["first"]), default=None),
-            "last": max((g["last"] for g in got if g["last"]), default=None)}
+            "first_micros": min((g["first"] for g in got if g["first"]), default=None),
+            "last_micros": max((g["last"] for g in got if g["last"]), default=None)}
 
 
 def ingest(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path: str,
@@ -110,15 +117,29 @@ def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable
     return out
 
 
-def ingest_profile(tables: dict[str, DataFrame]) -> DataFrame:
-    """Per bronze table: rows, distinct batches, first/last ingestion time
-    (one aggregate per table, unioned)."""
+METADATA = ("_ingestion_timestamp", "_source_file", "_batch_id", "_ingestion_date")
+
+
+def ingest_profile(tables: dict[str, DataFrame], observed: list[dict] | None = None) -> DataFrame:
+    """Per bronze table: rows, distinct batches, rows with all four metadata columns, first/last ingestion time
+    (one aggregate per table, unioned). With ``observed`` (the summaries of ``ingest_all``, of a first ingest):
+    whether rows and times are those that the streams saw."""
+    seen = {f"bronze.{o['entity']}": o for o in observed or []}
     out = None
     for name, df in tables.items():
+        complete = F.lit(True)
+        for c in METADATA:
+            complete = complete & F.col(c).isNotNull()
         r = df.agg(F.count(F.lit(1)).alias("total_rows"),
                    F.count_distinct("_batch_id").alias("distinct_batches"),
+                   F.count_if(complete).alias("rows_with_metadata"),
                    F.min("_ingestion_timestamp").alias("earliest_ingestion"),
                    F.max("_ingestion_timestamp").alias("latest_ingestion")
                    ).select(F.lit(name).alias("table_name"), "*")
+        if observed is not None:
+            o = seen[name]
+            same = lambda c, us: _micros(F.col(c)).eqNullSafe(F.lit(us).cast("bigint"))
+            r = r.withColumn("observed_agrees", (F.col("total_rows") == F.lit(o["rows_added"]))
+                             & same("earliest_ingestion", o["first_micros"]) & same("latest_ingestion", o["last_micros"]))
         out = r if out is None else out.unionByName(r)
     return out
