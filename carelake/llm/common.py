@@ -27,7 +27,7 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     This cuts the lineage: a lost executor costs only the tasks it was running,
@@ -35,7 +35,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -74,3 +74,19 @@ def left_join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str
         cold.hint("shuffle_hash"),
         [F.col("__lk") == F.col("__rk"), *[F.col(k) == F.col(f"__r_{k}") for k in keys]], "left")
     return j.select(*keys, *out, *[F.coalesce(f"__h_c_{c}", f"__c_{c}").alias(c) for c in cols])
+
+
+def inner_join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: str, total: int,
+                       wanted: Column | None = None, parts: int = HOT_PARTS) -> DataFrame:
+    """Inner join to the ``wanted`` rows of a table with one row per key, safe for hot keys.
+
+    ``right[n]`` and ``total`` are as in ``left_join_counted``; ``right`` should hold the unwanted hot keys as well, whose
+    rows then go nowhere. Rows of hot keys are answered by a broadcast of fewer than ``parts`` keys and are not
+    shuffled; ``left`` is read twice.
+    """
+    wanted = F.lit(True) if wanted is None else wanted
+    is_hot = F.col(n) * parts > total
+    hot, cold = right.where(is_hot), right.where(~is_hot & wanted).drop(n)
+    near = left.join(F.broadcast(hot.where(wanted).drop(n)), keys)
+    far = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold.hint("shuffle_hash"), keys)
+    return near.unionByName(far)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import left_join_counted, materialize
+from carelake.llm.common import inner_join_counted, left_join_counted, materialize
 
 
 def _signature(links: DataFrame) -> tuple:
@@ -35,8 +35,8 @@ def components(links: DataFrame) -> DataFrame:
         large = (left_join_counted(both, small, ["u"], "n", 2 * before[0]).where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         large = materialize(large, "links")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        nxt = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        nxt = inner_join_counted(large, least, ["u"], "n", large.count()).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         cur = materialize(nxt.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
         after = _signature(cur)
         if after == before:

@@ -2,25 +2,29 @@
 
 A run is a table of line keys (two hashes) sorted and bucketed by the key, with the number of
 documents that hold the key and the largest of their ids. Each new batch of documents is reduced
-to one row per key, merge-anti-joined with the runs (``fresh`` marks keys that no run holds)
-and added as a run of level 0. When a level has ``fanout`` runs they are merged into one run of
-the next level; runs share their buckets, so a merge joins them without a shuffle.
+to one row per key and merge-anti-joined with the runs: keys that no run holds are ``fresh``, the others count up
+a key held before. The batch becomes a run of level 0. When a level has ``fanout`` runs they are merged into one run of
+the next level: only the keys of the newer run that are not fresh are joined with the older run, the fresh
+ones are added as they are. Runs share their buckets, so these joins need no shuffle. ``dedup`` deals the documents into
+``BATCHES`` batches by a hash of their id, so several levels form whatever files the table has.
 
 A line's key is the line stripped of white space at both ends with A-Z in lower case. A key
 of ``min_chars`` code points that ``min_docs`` documents hold loses its lines in all
 documents but the one with the largest id.
 
-Cases: a null or empty text is one empty line and stays. Every row counts as a document, so
-repeated rows count each; of rows that share the largest id, all keep their lines. A null id is
-smaller than any other; if only null ids hold a key, they keep their lines. An empty table gives
+Cases: a null or empty text is one empty line and stays. Rows that repeat an id are one document: it counts once,
+and if it has the largest id, all its rows keep their lines. Rows without an id count as no document and
+lose the lines that others hold. An empty table gives
 an empty result. ``rewrite`` keeps all columns of the input, whatever their names.
 
 Hot lines: keys are counted by partial sums; keys that a large share of all lines have (fewer
-than 1000 can) are looked up by a broadcast, the others in a shuffled join.
+than 1000 can) are looked up by a broadcast, the others in a shuffled join. The run tables are dropped once
+their counts are written.
 """
 
 from __future__ import annotations
 
+import string
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
@@ -28,63 +32,56 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelake.llm.common import WHITE_CHARS, left_join_counted, let, shared_path
+from carelake.llm.common import WHITE_CHARS, left_join_counted, let, materialize, shared_path
 
 MIN_CHARS = 20
 MIN_DOCS = 3
 FANOUT = 2
-
-
-def line_key(line: Column) -> Column:
-    """A string that is equal for two lines exactly if their keys are.
-
-    ``lower`` also changes letters beyond ASCII, which the key must not; the letters beyond
-    ASCII, appended as they were, tell such lines apart again.
-    """
-    beyond = F.when(F.char_length(line) == F.octet_length(line), F.lit("")).otherwise(
-        F.regexp_replace(line, r"[\x00-\x7F]+", ""))
-    return F.concat(F.lower(line), F.lit("\0"), beyond)
+BATCHES = 4
 
 
 def line_keys(text: Column, min_chars: int = MIN_CHARS) -> Column:
     """The keys of a text's lines by position; null for lines under ``min_chars``."""
     strip = lambda x: F.btrim(x, F.lit(WHITE_CHARS))
+    lower = lambda s: F.translate(s, string.ascii_uppercase, string.ascii_lowercase)
     return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: let(
-        strip(x), lambda s: F.when(F.char_length(s) >= min_chars, line_key(s))))
+        strip(x), lambda s: F.when(F.char_length(s) >= min_chars, lower(s))))
 
 
-def _hashes(key: Column) -> list[Column]:
-    return [F.xxhash64(key).alias("h1"), F.hash(key).alias("h2")]
+def line_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """One row per line with a key: its document (d), a hash of the text (th), the position and the key's hashes."""
+    return (docs.select(F.col(id_col).cast("bigint").alias("d"), F.xxhash64(text_col).alias("th"),
+                        F.posexplode(line_keys(F.col(text_col), min_chars)).alias("pos", "k"))
+            .where(F.col("k").isNotNull())
+            .select("d", "th", "pos", F.xxhash64("k").alias("h1"), F.hash("k").alias("h2")))
 
 
 @dataclass
 class LineRuns:
-    """The runs of line hashes of all batches so far, in the shared folder."""
+    """The runs of line hashes of all batches so far, in a database of their own in the shared folder."""
 
     spark: SparkSession
-    min_chars: int = MIN_CHARS
     fanout: int = FANOUT
     buckets: int = 0
     levels: dict[int, list[DataFrame]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.buckets = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.database = f"line_runs_{uuid.uuid4().hex}"
+        self.spark.sql(f"CREATE DATABASE {self.database} LOCATION '{shared_path(self.spark, 'lines')}'")
 
     def runs(self) -> list[DataFrame]:
-        return [r for level in sorted(self.levels) for r in self.levels[level]]
+        """Oldest first."""
+        return [r for level in sorted(self.levels, reverse=True) for r in self.levels[level]]
 
     def _write(self, run: DataFrame) -> DataFrame:
-        name = f"line_run_{uuid.uuid4().hex}"
-        (run.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2")
-         .option("path", shared_path(self.spark, "lines")).saveAsTable(name))
+        name = f"{self.database}.run_{uuid.uuid4().hex}"
+        run.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").saveAsTable(name)
         return self.spark.table(name)
 
-    def add(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """Add a batch; returns its run: h1, h2, n_docs, top_doc, fresh."""
-        held = F.array_distinct(F.array_compact(line_keys(F.col(text_col), self.min_chars)))
-        run = (docs.select(F.col(id_col).cast("bigint").alias("d"), F.explode(held).alias("k"))
-               .select("d", *_hashes(F.col("k")))
-               .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n_docs"), F.max("d").alias("top_doc")))
+    def add(self, lines: DataFrame) -> DataFrame:
+        """Add the lines (see ``line_table``) of new documents; returns their run: h1, h2, n_docs, top_doc, fresh."""
+        run = lines.groupBy("h1", "h2").agg(F.count_distinct("d").alias("n_docs"), F.max("d").alias("top_doc"))
         # the merge-anti-join, run by run: what none of them matches is fresh
         fresh = F.lit(True)
         for i, old in enumerate(self.runs()):
@@ -104,68 +101,61 @@ class LineRuns:
             level += 1
 
     @staticmethod
-    def _merge(a: DataFrame, b: DataFrame) -> DataFrame:
-        """Both runs' keys with their sums; a sorted merge of equal buckets."""
-        a = a.select("h1", "h2", *[F.col(c).alias(f"a_{c}") for c in ("n_docs", "top_doc", "fresh")])
-        b = b.select("h1", "h2", *[F.col(c).alias(f"b_{c}") for c in ("n_docs", "top_doc", "fresh")])
+    def _merge(old: DataFrame, new: DataFrame) -> DataFrame:
+        """Both runs' keys with their sums. No run before ``new`` holds its fresh keys, so they meet no join."""
+        a = old.select("h1", "h2", *[F.col(c).alias(f"a_{c}") for c in ("n_docs", "top_doc", "fresh")])
+        b = new.where(~F.col("fresh")).select("h1", "h2", *[F.col(c).alias(f"b_{c}") for c in ("n_docs", "top_doc")])
         zero = lambda c: F.coalesce(c, F.lit(0))
-        return a.join(b, ["h1", "h2"], "full").select(
+        met = a.join(b, ["h1", "h2"], "full").select(
             "h1", "h2", (zero("a_n_docs") + zero("b_n_docs")).alias("n_docs"),
-            F.greatest("a_top_doc", "b_top_doc").alias("top_doc"),
-            (F.coalesce("a_fresh", F.lit(False)) | F.coalesce("b_fresh", F.lit(False))).alias("fresh"))
+            F.greatest("a_top_doc", "b_top_doc").alias("top_doc"), F.coalesce("a_fresh", F.lit(False)).alias("fresh"))
+        return met.unionByName(new.where("fresh"))
 
     def counts(self) -> DataFrame | None:
         """One row per key over all batches: h1, h2, n_docs, top_doc."""
         return reduce(self._merge, self.runs()).drop("fresh") if self.runs() else None
 
+    def drop(self) -> None:
+        """Drop the runs' tables and their files."""
+        self.levels.clear()
+        self.spark.sql(f"DROP DATABASE IF EXISTS {self.database} CASCADE")
+
 
-def _lines_to_drop(docs: DataFrame, counts: DataFrame, id_col: str, text_col: str, min_chars: int,
-                   min_docs: int) -> DataFrame:
+def _lines_to_drop(lines: DataFrame, counts: DataFrame, min_docs: int) -> DataFrame:
     """Per document (its id and a hash of its text): the positions of the lines it loses."""
     drops = counts.where(F.col("n_docs") >= min_docs).select("h1", "h2", "n_docs", "top_doc", F.lit(True).alias("hit"))
     total = drops.agg(F.sum("n_docs")).first()[0] or 0
-    lines = (docs.select(F.col(id_col).cast("bigint").alias("d"), F.xxhash64(text_col).alias("th"),
-                         F.posexplode(line_keys(F.col(text_col), min_chars)).alias("pos", "k"))
-             .where(F.col("k").isNotNull()).select("d", "th", "pos", *_hashes(F.col("k"))))
-    found = left_join_counted(lines, drops, ["h1", "h2"], "n_docs", total)
+    found = left_join_counted(lines.select("d", "th", "pos", "h1", "h2"), drops, ["h1", "h2"], "n_docs", total)
     return (found.where(F.col("hit") & ~F.col("d").eqNullSafe(F.col("top_doc")))
-            .groupBy("d", "th").agg(F.collect_list("pos").alias("gone")))
+            .groupBy("d", "th").agg(F.collect_set("pos").alias("gone")))
 
 
-def rewrite(docs: DataFrame, counts: DataFrame | None, id_col: str = "doc_id", text_col: str = "text",
-            min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` as a struct ``row``, with ``kept_text``, ``n_lines`` and ``n_dropped``."""
+def rewrite(docs: DataFrame, counts: DataFrame, lines: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` as a struct ``row``, with ``kept_text``, ``n_lines`` and ``n_dropped``. ``lines`` is their ``line_table``."""
     text = F.coalesce(F.col("row")[text_col], F.lit(""))
-    d = docs.select(F.struct("*").alias("row"))
-    if counts is None:
-        none = F.lit(None).cast("array<int>")
-        j = d.withColumn("gone", none)
-    else:
-        gone = _lines_to_drop(docs, counts, id_col, text_col, min_chars, min_docs)
-        j = d.join(gone.hint("shuffle_hash"),
-                   F.col("row")[id_col].cast("bigint").eqNullSafe(F.col("d"))
-                   & (F.xxhash64(F.col("row")[text_col]) == F.col("th")), "left").select("row", "gone")
+    gone = _lines_to_drop(lines, counts, min_docs)
+    j = docs.select(F.struct("*").alias("row")).join(
+        gone.hint("shuffle_hash"),
+        F.col("row")[id_col].cast("bigint").eqNullSafe(F.col("d"))
+        & (F.xxhash64(F.col("row")[text_col]) == F.col("th")), "left").select("row", "gone")
     j = j.select("row", "gone", F.size(F.split(text, "\n")).alias("n"))
     left = F.array_except(F.sequence(F.lit(0), F.col("n") - 1), "gone")
     kept = let(F.split(text, "\n"), lambda lines: F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
     return j.select(
         "row", F.when(F.col("gone").isNull(), text).otherwise(kept).alias("kept_text"),
         F.col("n").cast("bigint").alias("n_lines"),
-        F.coalesce(F.size(F.array_distinct("gone")), F.lit(0)).cast("bigint").alias("n_dropped"))
+        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
-def dedup(docs: DataFrame, batches: list[DataFrame] | None = None, **names: str) -> DataFrame:
-    """Count lines batch by batch (``docs`` at once without ``batches``), then rewrite all documents."""
+def dedup(docs: DataFrame, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Count the lines batch by batch, then rewrite all documents. The lines' hashes are written once; each batch
+    reads its own part of them."""
+    part = F.pmod(F.xxhash64("d"), F.lit(batches)).cast("int").alias("part")
+    lines = materialize(line_table(docs, id_col, text_col).select("*", part), "line-hashes", partition_by="part")
     runs = LineRuns(docs.sparkSession)
-    for b in batches or [docs]:
-        runs.add(b, **names)
-    return rewrite(docs, runs.counts(), **names)
-
-
-def deliveries(docs: DataFrame, n: int = 2) -> list[DataFrame]:
-    """``docs`` as ``n`` batches of its input files; one batch if it has fewer files."""
-    files = sorted(docs.inputFiles())
-    if len(files) < n:
-        return [docs]
-    read = docs.sparkSession.read.schema(docs.schema)
-    return [read.parquet(*files[i::n]) for i in range(n)]
+    for i in range(batches):
+        runs.add(lines.where(F.col("part") == i))
+    counts = materialize(runs.counts(), "line-counts")
+    runs.drop()
+    return rewrite(docs, counts, lines, id_col, text_col)

@@ -10,10 +10,11 @@ the binomial tail allows at the threshold and the estimate is as low; all others
 on their full sets; verified links are connected into components.
 
 Copies collapse first: texts with equal words are one class, represented by its smallest id; what
-follows sees classes only. Within a bucket no pairs are listed. All members are compared with one
-head (the smallest id), then, as long as a bucket holds several components, with members of
-other components (two more rounds), and at last the members outside the bucket's main component with
-all others, as arrays in blocks of bounded size that emit links only. So no link that
+follows sees classes only. Within a bucket no pairs are listed. In the first bands all members are compared with one
+head (the smallest id), which joins most groups. Of all bands, only buckets that hold several components (open ones) go on:
+their members are compared with members of other components (two rounds, each over the buckets still
+open), and at last the members outside a bucket's main component with all others, as arrays in blocks
+bounded in rows and bytes of sets that emit links only. So no link that
 agrees in a band is lost to a cap; a pair at the threshold agrees in no band or is dropped before it is
 verified with a probability of at most ``miss()`` (1.4e-5 for the query, 1.7e-5 for
 pipeline stages).
@@ -42,10 +43,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import left_join_counted, materialize
+from carelake.llm.common import inner_join_counted, left_join_counted, materialize
 from carelake.llm.components import components
 
 BLOCK, REST_BLOCK = 1024, 512
+#: Bytes of sets on one side of a block, on average; sets of at most so many ids are looked up by a broadcast.
+BLOCK_BYTES, FEW_IDS = 1 << 23, 500_000
+#: Bands whose buckets are compared with their heads before all others are built.
+FIRST_BANDS = 4
 _ODD = np.random.default_rng(5).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
 _SCALE = 20.0
 
@@ -235,13 +240,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
 
 
 def _sets(docs: DataFrame, ids: DataFrame, s: Settings, id_col: str, text_col: str) -> DataFrame:
+    """The sets of the documents ``ids`` (a written table of distinct ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingles(t.as_py() or b"", s.words).tobytes() for t in b.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], names=["id", "set"])
 
     d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return d.join(ids.hint("shuffle_hash"), "id", "left_semi").mapInArrow(run, "id bigint, set binary")
+    few = F.broadcast(ids) if ids.count() <= FEW_IDS else ids.hint("shuffle_hash")
+    return d.join(few, "id", "left_semi").mapInArrow(run, "id bigint, set binary")
 
 
 def _label(m: DataFrame, comp: DataFrame | None) -> DataFrame:
@@ -252,32 +259,35 @@ def _label(m: DataFrame, comp: DataFrame | None) -> DataFrame:
         "c", F.coalesce("root", "id")).drop("root")
 
 
-def _cross_pairs(m: DataFrame, seed: int) -> DataFrame:
-    """Each member with one of another component of its bucket, in buckets that hold several."""
+def _open_members(m: DataFrame, seed: int) -> DataFrame:
+    """Members of the buckets that hold several components, each with one of another component (``other``). From the second
+    round on, buckets of two are settled: their only pair was compared."""
     one = F.struct("c", F.xxhash64("id", F.lit(seed)).alias("h"), "id")
-    heads = (m.groupBy("band", "key").agg(F.count(F.lit(1)).alias("cnt"), F.min(one).alias("lo"), F.max(one).alias("hi"))
-             .where("cnt > 2 and lo.c <> hi.c"))
+    heads = materialize(m.groupBy("band", "key").agg(F.count(F.lit(1)).alias("cnt"), F.min(one).alias("lo"), F.max(one).alias("hi"))
+                        .where("cnt > 1"), "buckets")
     total = heads.agg(F.sum("cnt")).first()[0] or 0
-    j = left_join_counted(m, heads, ["band", "key"], "cnt", total).where("lo is not null")
+    is_open = (F.col("lo.c") != F.col("hi.c")) & (F.col("cnt") > (1 if seed == 1 else 2))
     other = F.when(F.col("c") != F.col("lo.c"), F.col("lo.id")).otherwise(F.col("hi.id"))
-    return j.select(F.col("id").alias("a"), other.alias("b"))
+    return inner_join_counted(m, heads.withColumn("open", is_open), ["band", "key"], "cnt", total, F.col("open")).select(
+        "id", "n", "band", "key", other.alias("other"))
 
 
 def _rest(m: DataFrame, classes: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
     """Verified links across the components of a bucket: members outside its main component with all others, in
     blocks of arrays. A pair is looked at for the first band it agrees in only, and a member needs one link
     to each component, so few rows leave a block however many pairs it compares."""
-    sizes = m.groupBy("band", "key", "c").agg(F.count(F.lit(1)).alias("k"))
-    mains = (sizes.groupBy("band", "key").agg(F.sum("k").alias("cnt"), F.max(F.struct("k", "c")).alias("top"),
+    blocks = lambda rows, elements: F.ceil(F.greatest(
+        F.col(rows) / REST_BLOCK, F.col(elements) * 8 / BLOCK_BYTES)).cast("int")
+    sizes = m.groupBy("band", "key", "c").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("e"))
+    mains = (sizes.groupBy("band", "key").agg(F.sum("k").alias("cnt"), F.sum("e").alias("e"), F.max(F.struct("k", "c", "e")).alias("top"),
                                               F.count(F.lit(1)).alias("parts"))
-             .where("parts > 1 and cnt > 2")
-             .select("band", "key", "cnt", F.col("top.c").alias("main"),
-                     F.ceil(F.col("cnt") / REST_BLOCK).cast("int").alias("qm"),
-                     F.ceil((F.col("cnt") - F.col("top.k")) / REST_BLOCK).cast("int").alias("qs")))
+             .withColumn("out", F.col("cnt") - F.col("top.k")).withColumn("e_out", F.col("e") - F.col("top.e"))
+             .select("band", "key", "cnt", "parts", F.col("top.c").alias("main"), blocks("cnt", "e").alias("qm"),
+                     blocks("out", "e_out").alias("qs")))
     mains = materialize(mains, "mains")
     total = mains.agg(F.sum("cnt")).first()[0] or 0
-    j = left_join_counted(m, mains, ["band", "key"], "cnt", total).where("main is not null")
-    j = j.join(classes.select("id", "regs", "n"), "id").join(sets, "id")
+    j = inner_join_counted(m.drop("n"), mains, ["band", "key"], "cnt", total, F.expr("parts > 1 and cnt > 2"))
+    j = j.join(classes.select("id", "regs", "n").join(sets, "id"), "id")
     slot = lambda q, x: F.pmod(F.xxhash64("id", F.lit(x)), F.col(q)).cast("int")
     every = lambda q: F.explode(F.sequence(F.lit(0), F.col(q) - 1))
     cols = ["band", "key", "id", "c", "regs", "n", "set"]
@@ -336,27 +346,46 @@ def classes_and_components(docs: DataFrame, s: Settings, id_col: str = "doc_id",
         sk.where("n > 0 and doc_id is not null").groupBy("c1", "c2")
         .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("regs").alias("regs")),
         "classes")
-    width = 2 * s.rows
-    key = F.xxhash64("band", F.substring(F.col("regs"), F.col("band") * width + 1, F.lit(width)))
-    b = classes.select("id", "regs", F.explode(F.sequence(F.lit(0), F.lit(s.bands - 1))).alias("band")).select(
-        "id", "band", key.alias("key"))
+    comp, tested = None, None
+
+    def buckets(labelled: DataFrame, bands: int) -> DataFrame:
+        width = 2 * s.rows
+        key = F.xxhash64("band", F.substring(F.col("regs"), F.col("band") * width + 1, F.lit(width)))
+        return labelled.select("id", "c", "n", "regs", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")).select(
+            "id", "c", "n", "band", key.alias("key"))
+
+    def of(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+        ids = materialize(ids.distinct(), "ids")
+        return (materialize(classes.join(ids, "id", "left_semi").select("id", "n", "regs").dropDuplicates(["id", "regs"]), "candidates"),
+                materialize(_sets(docs, ids, s, id_col, text_col), "sets"))
+
+    # the first bands: all members with the head of their bucket
+    b = buckets(classes.select("id", "n", "regs", F.col("id").alias("c")), min(FIRST_BANDS, s.bands))
     heads = materialize(b.groupBy("band", "key").agg(F.count(F.lit(1)).alias("cnt"), F.min("id").alias("head"))
                         .where("cnt > 1"), "buckets")
     total = heads.agg(F.sum("cnt")).first()[0] or 0
-    m = materialize(left_join_counted(b, heads, ["band", "key"], "cnt", total).where("head is not null"), "members")
-    pairs = _ordered(m.select(F.col("id").alias("a"), F.col("head").alias("b")))
-    m = m.drop("head")
-    ids = m.select("id").distinct()
-    some = classes.join(ids, "id", "left_semi")
-    some = materialize(some.select("id", "n", "regs").dropDuplicates(["id", "regs"]), "candidates")
-    sets = materialize(_sets(docs, ids, s, id_col, text_col), "sets")
-    comp, tested = None, None
-    for step in range(4):
+    pairs = materialize(_ordered(inner_join_counted(b, heads, ["band", "key"], "cnt", total)
+                                 .select(F.col("id").alias("a"), F.col("head").alias("b"))), "pairs")
+    if not pairs.isEmpty():
+        some, sets = of(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))))
+        tested = materialize(_estimated(pairs, some, s), "pairs")
+        comp = _join_up(None, materialize(_verified(tested, sets, s), "verified"))
+    # all bands: members of open buckets
+    m = materialize(_open_members(buckets(_label(classes.select("id", "n", "regs"), comp), s.bands), 1), "members")
+    if m.isEmpty():
+        return sk, classes, comp
+    some, sets = of(m.select("id"))
+    for step in (1, 2, 3):
+        if step > 1:
+            m = _label(m.drop("other"), comp)
+            m = materialize(_open_members(m, step), "members") if step < 3 else m
+            if m.isEmpty():
+                break
         if step == 3:
-            links = materialize(_rest(_label(m, comp), some, sets, s), "verified")
+            links = materialize(_rest(m, some, sets, s), "verified")
         else:
-            if step:
-                pairs = _ordered(_cross_pairs(_label(m, comp), step)).join(tested, ["a", "b"], "left_anti")
+            pairs = _ordered(m.select(F.col("id").alias("a"), F.col("other").alias("b")))
+            pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
             pairs = materialize(_estimated(pairs, some, s), "pairs")
             tested = pairs if tested is None else tested.unionByName(pairs)
             links = materialize(_verified(pairs, sets, s), "verified")
@@ -378,5 +407,7 @@ def near_duplicates(docs: DataFrame, s: Settings = QUERY, id_col: str = "doc_id"
 
 def filter_documents(docs: DataFrame, s: Settings = STAGE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, with all columns."""
-    gone = near_duplicates(docs, s, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone.hint("shuffle_hash"), F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    gone = near_duplicates(docs, s, id_col, text_col).where(~F.col("kept")).select("doc_id").distinct()
+    d = docs.select(F.struct("*").alias("row"))
+    left = d.join(gone.hint("shuffle_hash"), F.col("row")[id_col].cast("bigint") == F.col("doc_id"), "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in docs.columns])

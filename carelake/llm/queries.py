@@ -22,7 +22,7 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    d = line_dedup.dedup(docs, line_dedup.deliveries(docs))
+    d = line_dedup.dedup(docs)
     return d.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 

@@ -14,7 +14,8 @@ its own; only files listed in the committed manifest are read, so a lost or repe
 task leaves no half-written or doubled record.
 
 Cases: null html is an empty payload. Rows that repeat the smallest page_id of their payload are all
-responses; a null page_id is larger than any other. Urls may be null. An empty table gives an empty
+responses; a null page_id is larger than any other. Urls may be null; one with control
+characters (line ends) is percent-encoded in its header and reads back as it was. An empty table gives an empty
 result; other columns are not read. Memory is one Arrow batch and one archive of ``ARCHIVE_BYTES``.
 
 Hot payloads are counted by partial sums and looked up by a broadcast of fewer than 1000 digests.
@@ -26,15 +27,17 @@ import gzip
 import hashlib
 import io
 import json
+import re
 import struct
 import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.llm.common import left_join_counted, materialize, shared_path
@@ -42,6 +45,8 @@ from carelake.llm.common import left_join_counted, materialize, shared_path
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 16 * 1024 * 1024
 RECORD_DATE = "2024-01-01T00:00:00Z"
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
+_ESCAPED = "X-Target-URI-Encoding: percent"
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 
 
@@ -57,7 +62,9 @@ def make_record(page_id: int | None, url: str | None, payload: bytes, digest: st
                 revisit: bool) -> bytes:
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_urn(page_id)}",
             f"WARC-Date: {RECORD_DATE}", f"WARC-Payload-Digest: sha256:{digest}"]
-    if url is not None:
+    if url is not None and _CONTROL.search(url):  # would break the header; escaped as a whole, so it reads back as it was
+        head += [f"WARC-Target-URI: {quote(url, safe=':/?#[]@!$&()*+,;=')}", _ESCAPED]
+    elif url is not None:
         head.append(f"WARC-Target-URI: {url}")
     if revisit:
         head += [f"WARC-Refers-To: {_urn(refers_to)}",
@@ -75,6 +82,9 @@ def parse_record(raw: bytes) -> dict:
     if not lines[0].startswith("WARC/"):
         raise ValueError("not a WARC record")
     h = dict(x.split(": ", 1) for x in lines[1:])
+    url = h.get("WARC-Target-URI")
+    if _ESCAPED in lines:
+        url = unquote(url)
     block = rest[:int(h["Content-Length"])]
     http, _, payload = block.partition(b"\r\n\r\n")
     size = int(dict(x.split(": ", 1) for x in http.decode().split("\r\n")[1:])["Content-Length"])
@@ -82,7 +92,7 @@ def parse_record(raw: bytes) -> dict:
     revisit = h["WARC-Type"] == "revisit"
     if not revisit and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
         raise ValueError(f"record {h['WARC-Record-ID']} is damaged")
-    return {"page_id": _page(h["WARC-Record-ID"]), "url": h.get("WARC-Target-URI"), "record_type": h["WARC-Type"],
+    return {"page_id": _page(h["WARC-Record-ID"]), "url": url, "record_type": h["WARC-Type"],
             "payload_bytes": size, "payload_digest": digest, "payload": None if revisit else payload,
             "refers_to": _page(h["WARC-Refers-To"]) if revisit else None}
 
@@ -165,11 +175,19 @@ def with_types(pages: DataFrame) -> DataFrame:
     return left_join_counted(p, groups, ["digest"], "n", total)
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder's URI; a path without a scheme is on the cluster's default file system."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    return re.sub(r"^file:/(?!/)", "file:///", uri)
+
+
 def write_archives(typed: DataFrame, folder: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
     """Write the records; returns the manifest: path, size, n_records."""
     spark = typed.sparkSession
     folder = folder or shared_path(spark, "archives")
-    folder = folder if "://" in folder or folder.startswith("file:") else f"file://{folder}"
+    folder = _qualified(spark, folder)
     columns = ["page_id", "url", "html", "digest", "first"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

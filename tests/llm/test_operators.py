@@ -189,15 +189,15 @@ def test_sketch_merges_and_estimates():
 def plain_lines(rows):
     key = lambda x: re.sub("[A-Z]", lambda m: m.group().lower(), x.strip(" \t\n\x0b\f\r"))
     held = {}
-    for n, (i, t) in enumerate(rows):
+    for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
-            if len(k) >= 20:
-                held.setdefault(k, []).append((i is not None, i or 0, n))
+            if len(k) >= 20 and i is not None:
+                held.setdefault(k, set()).add(i)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
-        top = {k: max(v)[:2] for k, v in held.items() if len(v) >= 3}
-        kept = [x for x in lines if key(x) not in top or top[key(x)] == (i is not None, i or 0)]
+        top = {k: max(v) for k, v in held.items() if len(v) >= 3}
+        kept = [x for x in lines if key(x) not in top or top[key(x)] == i]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
 
@@ -206,7 +206,7 @@ def plain_lines(rows):
 def test_line_dedup_equals_plain(spark, n):
     rows = [*TEXTS, (None, f"{LINE}\nx"), (20, f"{LINE} \n\n{LINE}\ntail"), (20, f"{LINE}\nother text of the same id")]
     docs = table(spark, rows)
-    got = line_dedup.dedup(docs, [table(spark, rows[i::n]) for i in range(n)])
+    got = line_dedup.dedup(docs, n)
     key = lambda r: tuple((x is None, str(x)) for x in r)
     have = sorted((tuple(r) for r in got.select("row.doc_id", "n_lines", "n_dropped", "kept_text").collect()), key=key)
     assert have == sorted(plain_lines(rows), key=key)
@@ -215,18 +215,33 @@ def test_line_dedup_equals_plain(spark, n):
 
 def test_runs_compact_and_mark_fresh_keys(spark):
     runs = line_dedup.LineRuns(spark, fanout=2)
-    a = runs.add(table(spark, [(1, LINE), (2, LINE + " a")]))
-    b = runs.add(table(spark, [(3, LINE)]))
-    assert {r["fresh"] for r in a.collect()} == {True} and [r["fresh"] for r in b.collect()] == [False]
+    lines = lambda rows: line_dedup.line_table(table(spark, rows))
+    a = runs.add(lines([(1, LINE), (2, LINE + " a")]))
+    fresh = {r["fresh"] for r in a.collect()}
+    b = runs.add(lines([(3, LINE), (3, LINE + " b")]))
+    assert fresh == {True} and sorted(r["fresh"] for r in b.collect()) == [False, True]
     assert {k: len(v) for k, v in runs.levels.items()} == {0: 0, 1: 1}
-    assert sorted((r["n_docs"], r["top_doc"]) for r in runs.counts().collect()) == [(1, 2), (2, 3)]
-
-
-def test_line_keys_tell_letters_beyond_ascii_apart(spark):
-    lines = ["É" * 20 + "A", "é" * 20 + "A", "É" * 20 + "a", "K" * 25, "K" * 25]
+    for i in (4, 5, 6):
+        runs.add(lines([(i, LINE), (i, LINE + " b"), (i, f"{LINE} {i}")]))
+    assert {k: len(v) for k, v in runs.levels.items()} == {0: 1, 1: 0, 2: 1}
+    assert sorted((r["n_docs"], r["top_doc"]) for r in runs.counts().collect()) == [
+        (1, 2), (1, 4), (1, 5), (1, 6), (4, 6), (5, 6)]
+    runs.drop()
+    assert not spark.catalog.databaseExists(runs.database)
+
+
+def test_line_keys_lower_a_to_z_only(spark):
+    kelvin = "\u212a"
+    lines = ["É" * 20 + "A", "é" * 20 + "A", "É" * 20 + "a", kelvin * 25, "K" * 25, (kelvin + "k") * 13, ("k" + kelvin) * 13]
     d = spark.createDataFrame([(x,) for x in lines], "t string").select(line_dedup.line_keys(F.col("t"))[0].alias("k"))
     k = [r["k"] for r in d.collect()]
-    assert k[0] == k[2] and len(set(k)) == 4
+    assert k[0] == k[2] and len(set(k)) == 6
+
+
+def test_a_repeated_id_is_one_document(spark):
+    rows = [(1, LINE), (1, LINE + "\nx"), (2, LINE)]
+    got = line_dedup.dedup(table(spark, rows))
+    assert sorted(r["n_dropped"] for r in got.collect()) == [0, 0, 0]
 
 
 # ------------------------------------------------------------------ op4
