@@ -66,8 +66,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_credential_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = credential_links.scan(read_table(spark, sf_dir, "documents"))
-    n = [F.size(F.filter("found", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in credential_links.BASE]
-    return d.select("doc_id", *n, F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+    count = lambda kind: F.size(F.filter("found", lambda x: x["kind"] == kind)).cast("bigint")
+    return d.select("doc_id", *[count(k).alias(f"n_{k}") for k in credential_links.BASE], F.sha2("base_spans", 256).alias("base_sha256"), "spans",
                     F.size("credentials").cast("bigint").alias("n_credentials"))
 
 
