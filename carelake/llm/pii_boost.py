@@ -3,13 +3,14 @@
 High-recall generators (regular expressions) propose overlapping candidates with their places. The
 base kinds (e-mail, ip, card, phone) are kept whenever their rule holds. The other candidates
 (``secret``: keyed values and long mixed tokens; ``number``: long digit groups) are judged by
-gradient-boosted trees over binned features of format and context.
+evidence and, where there is none, by gradient-boosted trees over binned features of format and context.
 
-Training needs no labels from people: a candidate is positive if a strong rule proves it (checksum,
-value ranges, key words, known prefixes and formats), negative if it looks alike and fails; digit groups
-in base spans or after other key words teach nothing. The trees see
+Training needs no labels from people. Evidence that the trees don't see labels candidates: words before a number that name a
+number of a person or a count of things, formats with ranges, known prefixes and the variety of characters of a
+value. What evidence proves is a span, what it disproves is none; the trees judge the rest, by the shape of the value and
+the marks around it, one model for secrets and one for numbers. Digit groups in base spans teach nothing. The trees see
 binned features only, so what they learn from is the number of candidates in each cell of feature
-values: one aggregate over all documents, of at most ``MAX_CELLS`` rows whatever the input. One
+values: one aggregate over all documents, of at most ``MAX_CELLS`` rows a kind whatever the input. One
 fold of documents is left for calibration: scores become probabilities by a logistic fit, and the
 threshold is the lowest with ``PRECISION`` on that fold. The trees come back as one SQL expression.
 
@@ -18,7 +19,7 @@ a shuffle. Offsets count code points; ends are exclusive.
 
 Cases: a null or empty text has no spans. Repeated rows give one result each; null ids are passed
 through; an empty table gives an empty result. Other columns are not read.
-Without candidates to learn from, only base spans are returned.
+Without candidates to learn from, base spans and proven ones are returned.
 """
 
 from __future__ import annotations
@@ -50,22 +51,27 @@ GENERATORS = {
     "keyed": r"(?i)(?<![A-Za-z0-9])(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)"
              r"[\"']?[ \t]{0,4}[:=][ \t]{0,4}[\"']?[A-Za-z0-9+/_.-]{8,}+",
     "token": r"(?<![A-Za-z0-9])[A-Za-z0-9]{16,}+",
-    "digits": r"(?<![0-9])(?<![0-9][ ().-])[0-9](?:[ ().-]?[0-9]){6,}+",
+    "digits": r"(?<![0-9])(?<![0-9][ ().-])[0-9](?:[ ().-]{0,2}+[0-9]){6,}+",
 }
 _KIND_OF = {"keyed": "secret", "token": "secret", "digits": "number"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-_KEY_WORD = r"(?i)(?:mail|phone|tel|call|fax|card|visa|account|iban|ssn|address|password|passwd|secret|token|key|login)"
-# What proves a long digit group: a word before it that names a number of a person, or its format
-# (national id, phone number without prefix).
+# What proves a long digit group (a word before it that names a number of a person, or its format:
+# national id, phone number without prefix) and what disproves it (a word that counts or names things).
 _NUMBER_WORD = (r"(?i)(?<![a-z])(?:tele)?(?:phone|tel|call|fax|mobile|cell|account|acct|iban|ssn|social security|passport|"
                 r"card|visa)(?![a-z])")
+_COUNT_WORD = (r"(?i)(?<![a-z])(?:page|part|order|invoice|version|year|total|sum|item|serial|model|chapter|section|line|stock|"
+               r"isbn|issn|price|date|since|until|about|nearly|over)(?![a-z])[^A-Za-z]{0,8}$|[$€£]\s?$")
 _NUMBER_FORMAT = (r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$|"
                   r"^(?:1[ .-])?[2-9][0-9]{2}[ .-][2-9][0-9]{2}[ .-][0-9]{4}$")
+_PREFIX = r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^(?:ghp|gho|xoxb|sk)[A-Za-z0-9]{20,}$"
+#: So many different characters, digits among them, prove a keyed value; so few disprove a token.
+_VARIED, _PLAIN = 9, 6
 
 #: Binned features with their number of bins; their product bounds the cells.
-FEATURES = {"length": 6, "digit_share": 5, "upper_share": 3, "mixed": 2, "mark": 5, "before": 4, "after": 3,
-            "key_word": 2, "evidence": 3}
+FEATURES = {"length": 6, "digit_share": 5, "upper_share": 3, "mark": 4, "before": 4, "after": 3, "groups": 4, "first": 4, "last": 4}
 MAX_CELLS = int(np.prod(list(FEATURES.values())))
+#: The kinds that evidence and trees decide, by their generators.
+LEARNED = {"secret": ("keyed", "token"), "number": ("digits",)}
 
 
 def _gates(t: Column) -> dict[str, Column]:
@@ -135,7 +141,7 @@ def luhn(digits: Column) -> Column:
 
 
 def _valid(g: str, m: Column) -> Column:
-    """The base rules; for the method's generators the strong evidence."""
+    """The base rules."""
     if g == "email":
         return F.lit(True)
     if g == "ip":
@@ -145,44 +151,47 @@ def _valid(g: str, m: Column) -> Column:
                    .otherwise(F.lit(False)))
     if g == "phone":
         return F.char_length(_digits(m)).between(9, 15)
-    if g == "keyed":
-        return m.rlike("[0-9]")
-    if g == "token":
-        return m.rlike(r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^(?:ghp|gho|xoxb|sk)[A-Za-z0-9]{20,}$")
     return F.lit(False)
 
 
-def _evidence(x: Column) -> Column:
-    """What proves a number: 2 a word before it, 1 its format, 0 nothing."""
-    return F.when(x["b"].rlike(_NUMBER_WORD), F.lit(2)).when(x["m"].rlike(_NUMBER_FORMAT), F.lit(1)).otherwise(F.lit(0))
+def _value(x: Column) -> Column:
+    """The value of a keyed secret; other matches as they are."""
+    return F.regexp_extract(x["m"], r"[A-Za-z0-9+/_.-]+$", 0)
 
 
-def _label(g: str, x: Column, valid: Column) -> Column:
-    """1 proven, 0 disproven, null unknown (such candidates don't train)."""
-    m = x["m"]
-    if g == "digits":  # after other key words it may be anything
-        return F.when(_evidence(x) > 0, F.lit(1)).when(~x["b"].rlike(_KEY_WORD), F.lit(0))
-    if g == "token":
-        return F.when(valid, F.lit(1)).when(~(m.rlike("[0-9]") & m.rlike("[A-Za-z]")), F.lit(0))
-    return F.when(valid, F.lit(1)).otherwise(F.lit(0))
+def _label(g: str, x: Column) -> Column:
+    """1 proven, 0 disproven, null unknown. None of this evidence is a feature."""
+    if g in BASE_KINDS:
+        return F.lit(None).cast("int")
+    if g == "digits":
+        proven = x["b"].rlike(_NUMBER_WORD) | x["m"].rlike(_NUMBER_FORMAT)
+        return F.when(proven, F.lit(1)).when(x["b"].rlike(_COUNT_WORD), F.lit(0))
+    v = _value(x) if g == "keyed" else x["m"]
+    varied = F.size(F.array_distinct(F.split(v, "")))
+    if g == "keyed":
+        return F.when((varied >= _VARIED) & v.rlike("[0-9]"), F.lit(1)).when(~v.rlike("[0-9A-Z]"), F.lit(0))
+    return F.when(v.rlike(_PREFIX), F.lit(1)).when((varied <= _PLAIN) | ~v.rlike("[0-9]"), F.lit(0))
 
 
-def _features(x: Column) -> Column:
-    m, n = x["m"], F.char_length(x["m"])
+def _features(g: str, x: Column) -> Column:
+    m = _value(x) if g == "keyed" else x["m"]
+    n = F.char_length(m)
     cut = lambda v, *at: reduce(lambda a, b: a + F.when(v >= b, F.lit(1)).otherwise(F.lit(0)), at, F.lit(0))
     share = lambda p: F.char_length(F.regexp_replace(m, p, "")) / n
-    last = F.right(x["b"], F.lit(1))
+    # a keyed value follows its mark
+    last = F.substring(x["m"], F.char_length(x["m"]) - n, F.lit(1)) if g == "keyed" else F.right(x["b"], F.lit(1))
     side = lambda c: F.when(F.coalesce(c, F.lit("")) == "", F.lit(0)).when(
         c.rlike(r"[\x20\x09-\x0D]"), F.lit(1)).otherwise(F.lit(2))
+    parts = F.split(m, "[ ().-]+")
     return F.struct(
         cut(n, 10, 14, 18, 24, 40).alias("length"), cut(share("[^0-9]+"), 0.2, 0.5, 0.75, 1.0).alias("digit_share"),
         cut(share("[^A-Z]+"), 0.1, 0.5).alias("upper_share"),
-        F.when(m.rlike("[A-Za-z]") & m.rlike("[0-9]"), F.lit(1)).otherwise(F.lit(0)).alias("mixed"),
-        F.when(F.contains(m, F.lit("@")), F.lit(4)).when(m.rlike("[=:]"), F.lit(3)).when(
-            F.startswith(m, F.lit("+")), F.lit(2)).when(m.rlike("[ .-]"), F.lit(1)).otherwise(F.lit(0)).alias("mark"),
+        F.when(m.rlike("[ ()]"), F.lit(3)).when(F.contains(m, F.lit(".")), F.lit(2)).when(
+            F.contains(m, F.lit("-")), F.lit(1)).otherwise(F.lit(0)).alias("mark"),
         F.when(last.isin("=", ":", '"', "'"), F.lit(3)).otherwise(side(last)).alias("before"),
-        side(x["a"]).alias("after"),
-        F.when(x["b"].rlike(_KEY_WORD), F.lit(1)).otherwise(F.lit(0)).alias("key_word"), _evidence(x).alias("evidence"))
+        side(x["a"]).alias("after"), cut(F.size(parts), 2, 3, 4).alias("groups"),
+        cut(F.char_length(F.get(parts, F.lit(0))), 3, 4, 5).alias("first"),
+        cut(F.char_length(F.element_at(parts, -1)), 3, 4, 5).alias("last"))
 
 
 def with_candidates(df: DataFrame, text: str) -> DataFrame:
@@ -193,7 +202,7 @@ def with_candidates(df: DataFrame, text: str) -> DataFrame:
         def at(x: Column) -> Column:
             return let(_valid(g, x["m"]), lambda v: F.struct(
                 x["s"].alias("s"), F.lit(KINDS.index(_KIND_OF.get(g, g))).alias("k"), x["e"].alias("e"),
-                F.lit(g).alias("g"), v.alias("valid"), _label(g, x, v).alias("y"), _features(x).alias("f")))
+                F.lit(g).alias("g"), v.alias("valid"), _label(g, x).alias("y"), _features(g, x).alias("f")))
         return at
 
     def untaught(base: Column):
@@ -299,7 +308,7 @@ def boost(x: np.ndarray, pos: np.ndarray, neg: np.ndarray, cal_pos: np.ndarray,
     last = np.append(p[order][1:] < p[order][:-1], True)  # a threshold takes all cells of equal score
     good = np.flatnonzero(last & (cp >= PRECISION * (cp + cn)) & (cp > 0))
     threshold = float(p[order][good[-1]]) if len(good) else 1.1
-    return Model(bias, tuple(trees), float(a), float(b), max(0.5, threshold - 1e-9))
+    return Model(bias, tuple(trees), float(a), float(b), threshold - 1e-9)
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -308,19 +317,23 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return with_candidates(d, "t").select("doc_id", "c")
 
 
-def fit(found: DataFrame) -> Model | None:
-    """Train on the candidates of all documents."""
+def fit(found: DataFrame) -> dict[str, Model] | None:
+    """A model per learned kind, trained on the candidates of all documents that evidence proves or disproves. A kind
+    without both has none: only what is proven counts."""
     fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 5 == 0
     c = found.select(fold.alias("cal"), F.explode("c").alias("c"))
-    one = lambda cal, y: F.sum(F.when((F.col("cal") == cal) & (F.col("c.y") == y), 1).otherwise(0))
-    cells = (c.where(F.col("c.y").isNotNull()).select("cal", "c.y", "c.f.*").select("cal", F.struct("y").alias("c"), *FEATURES)
-             .groupBy(*FEATURES).agg(one(False, 1).alias("p"), one(False, 0).alias("n"), one(True, 1).alias("cp"),
-                                     one(True, 0).alias("cn")).collect())
-    if not cells:
-        return None
-    cells.sort()
-    x = np.array([[r[f] for f in FEATURES] for r in cells], int)
-    return boost(x, *[np.array([float(r[k]) for r in cells]) for k in ("p", "n", "cp", "cn")])
+    one = lambda cal, y: F.sum(F.when((F.col("cal") == cal) & (F.col("y") == y), 1).otherwise(0))
+    cells = (c.where(F.col("c.y").isNotNull()).select("cal", F.col("c.y").alias("y"), F.col("c.k").alias("k"), "c.f.*")
+             .groupBy("k", *FEATURES).agg(one(False, 1).alias("p"), one(False, 0).alias("n"), one(True, 1).alias("cp"),
+                                          one(True, 0).alias("cn")).collect())
+    models = {}
+    for kind in LEARNED:
+        mine = sorted(r for r in cells if r["k"] == KINDS.index(kind))
+        x = np.array([[r[f] for f in FEATURES] for r in mine], int).reshape(-1, len(FEATURES))
+        model = boost(x, *[np.array([float(r[k]) for r in mine]) for k in ("p", "n", "cp", "cn")])
+        if model is not None:
+            models[kind] = model
+    return models or None
 
 
 # ------------------------------------------------------------------ spans
@@ -332,23 +345,28 @@ def _text(spans: Column) -> Column:
         ":", F.get(names, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def find(found: DataFrame, model: Model | None) -> DataFrame:
-    """Per document: numbers of base spans, the base spans and all spans as ``kind:start:end`` lists."""
+def find(found: DataFrame, models: dict[str, Model] | None) -> DataFrame:
+    """Per document: numbers of base spans, the base spans and all spans as ``kind:start:end`` lists. Without ``models``
+    the trees judge nothing: base spans and proven candidates remain."""
     c = found.select("doc_id", "c")
     brief = lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))
     base = F.transform(F.filter("c", lambda x: (x["k"] < len(BASE_KINDS)) & x["valid"]), brief)
     c = c.select("doc_id", "c", base.alias("base"))
-    if model is None:
-        c = c.withColumn("all_spans", F.col("base"))
-    else:
-        chosen = lambda x: model.probability(x["f"]) >= model.threshold
-        free = lambda col: lambda x: ~F.exists(col, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-        pick = lambda g, taken: lambda x: (x["g"] == g) & chosen(x) & free(taken)(x)
-        for g in ("keyed", "token", "digits"):  # a later generator doesn't overlap what is chosen
-            taken = "base" if g == "keyed" else "taken"
-            more = F.filter("c", pick(g, taken))
-            c = c.select("doc_id", "c", "base", F.concat(F.col(taken), F.transform(more, brief)).alias("taken"))
-        c = c.withColumnRenamed("taken", "all_spans")
+    models = models or {}
+    kind_of = {g: kind for kind, of in LEARNED.items() for g in of}
+
+    def chosen(g: str, x: Column) -> Column:
+        model = models.get(kind_of[g])
+        unknown = model.probability(x["f"]) >= model.threshold if model else F.lit(False)
+        return F.when(x["y"].isNotNull(), x["y"] == 1).otherwise(unknown)
+
+    free = lambda col: lambda x: ~F.exists(col, lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
+    pick = lambda g, taken: lambda x: (x["g"] == g) & chosen(g, x) & free(taken)(x)
+    for g in kind_of:  # a later generator doesn't overlap what is chosen
+        taken = "base" if g == "keyed" else "taken"
+        more = F.filter("c", pick(g, taken))
+        c = c.select("doc_id", "c", "base", F.concat(F.col(taken), F.transform(more, brief)).alias("taken"))
+    c = c.withColumnRenamed("taken", "all_spans")
     count = lambda k: F.size(F.filter("base", lambda x: x["k"] == k)).cast("bigint")
     return c.select("doc_id", *[count(k).alias(f"n_{KINDS[k]}") for k in range(4)],
                     _text(F.col("base")).alias("base_spans"), _text(F.col("all_spans")).alias("spans"))
