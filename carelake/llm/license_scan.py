@@ -3,8 +3,9 @@
 A text is reduced to its words (ASCII lower case; maximal runs of digits, ASCII letters and
 all characters beyond ASCII) joined by single spaces. One automaton finds every place where
 the words of a phrase stand consecutively. Where an identifier tag or a grant ("licensed
-under") is found, the licence expression after it is read from the raw text, ordered by the
-shunting-yard method (with binds tighter than and, and tighter than or) and evaluated.
+under", unless negated) is found, the licence expression after it is read from the raw text, ordered by the
+shunting-yard method (with binds tighter than and, and tighter than or) and evaluated. Operators stand in capitals or
+small letters; identifiers may end in a plus; exceptions follow "with"; a token that names no licence ends the expression.
 
 Cases: a null or empty text has no words, no labels, null places and score 0. Repeated
 rows give one result each; null ids are passed through; an empty table gives an empty result;
@@ -50,18 +51,37 @@ NOTICES = {
 BASE_WEIGHT = {"cc-by": 0.6, "gpl": 0.7, "reserved": 0.5}
 TAG_WEIGHT, GRANT_WEIGHT = 0.95, 0.85
 
-# Identifiers that an expression may name outside a tag, and those that permit
-# any use with at most a notice.
-PERMISSIVE = frozenset("mit apache-2.0 bsd-2-clause bsd-3-clause isc zlib unlicense cc0-1.0 cc-by-4.0 "
-                       "cc-by-3.0 0bsd bsl-1.0".split())
-KNOWN = PERMISSIVE | frozenset(
-    "gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0-only gpl-3.0-or-later lgpl-2.1 "
-    "lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 agpl-3.0 mpl-2.0 epl-2.0 cc-by-sa-4.0 cc-by-nc-4.0".split())
+# Identifiers that an expression may name outside a tag. Families by their versions; the names
+# without versions; exceptions that may follow "with".
+FAMILIES = {
+    "gpl": "1.0 2.0 3.0", "lgpl": "2.0 2.1 3.0", "agpl": "1.0 3.0", "gfdl": "1.1 1.2 1.3", "apache": "1.0 1.1 2.0",
+    "mpl": "1.0 1.1 2.0", "epl": "1.0 2.0", "cddl": "1.0 1.1", "eupl": "1.0 1.1 1.2", "artistic": "1.0 2.0",
+    "afl": "1.1 1.2 2.0 2.1 3.0", "osl": "1.0 1.1 2.0 2.1 3.0", "ofl": "1.0 1.1", "cecill": "1.0 1.1 2.0 2.1",
+    "zpl": "1.1 2.0 2.1", "php": "3.0 3.01", "python": "2.0", "psf": "2.0", "bsl": "1.0", "upl": "1.0", "cpl": "1.0", "ipl": "1.0",
+    "ecl": "1.0 2.0", "lppl": "1.0 1.1 1.2 1.3a 1.3c", "odbl": "1.0", "odc-by": "1.0", "pddl": "1.0", "cc0": "1.0",
+    "cc-by": "1.0 2.0 2.5 3.0 4.0", "cc-by-sa": "1.0 2.0 2.5 3.0 4.0", "cc-by-nc": "1.0 2.0 2.5 3.0 4.0",
+    "cc-by-nd": "1.0 2.0 2.5 3.0 4.0", "cc-by-nc-sa": "1.0 2.0 2.5 3.0 4.0", "cc-by-nc-nd": "1.0 2.0 2.5 3.0 4.0",
+    "bsd": "1-clause 2-clause 3-clause 4-clause 2-clause-patent 3-clause-clear"}
+GNU = ("gpl", "lgpl", "agpl", "gfdl")
+NAMES = ("mit mit-0 isc zlib unlicense 0bsd wtfpl x11 ncsa ruby vim curl openssl postgresql beerware ms-pl ms-rl blessing "
+         "libpng sleepycat w3c json icu hpnd tcl fsfap naist-2003")
+EXCEPTIONS = frozenset("classpath-exception-2.0 llvm-exception gcc-exception-2.0 gcc-exception-3.1 autoconf-exception-2.0 "
+                       "autoconf-exception-3.0 bison-exception-2.2 font-exception-2.0 linux-syscall-note "
+                       "openvpn-openssl-exception gpl-cc-1.0 swift-exception u-boot-exception-2.0 libtool-exception".split())
+KNOWN = frozenset(NAMES.split()) | frozenset(
+    f"{f}-{v}{s}" for f, versions in FAMILIES.items() for v in versions.split()
+    for s in (("", "-only", "-or-later") if f in GNU else ("",)))
+#: Those that permit any use with at most a notice.
+PERMISSIVE = frozenset("mit mit-0 apache-2.0 bsd-2-clause bsd-3-clause isc zlib unlicense cc0-1.0 cc-by-4.0 cc-by-3.0 0bsd "
+                       "bsl-1.0 x11 ncsa upl-1.0 curl postgresql".split())
 RANK = {"or": 1, "and": 2, "with": 3}
 
 TRIGGERS = ("spdx license identifier", "licensed under", "released under")
 _TRIGGER = re.compile(r"(spdx-license-identifier\s*:|(?:licensed|released)\s+under)", re.I)
-_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*")
+_NOT = re.compile(r"(?:\b(?:not|never|neither|nor|no\s+longer)|n['\u2019]t)(?:\s+\w+)?\s+\Z", re.I)
+_TOKEN = re.compile(r"\(|\)|[A-Za-z0-9][A-Za-z0-9.:+-]*")
+_OPERATORS = frozenset("and or with AND OR WITH".split())
+_REFERENCE = re.compile(r"(?:documentref-[a-z0-9.-]+:)?licenseref-[a-z0-9.-]+")
 _FILLER = frozenset("the a an either terms of license".split())
 
 #: Everything but digits, a-z and bytes beyond ASCII becomes a space; A-Z are lower-cased.
@@ -69,28 +89,42 @@ _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 o
                   for c in range(256))
 
 
+def _is_operand(raw: str, known_only: bool, before: str | None) -> bool:
+    """Whether a token names a licence after ``before`` (an operator as written, or None at the start). Known identifiers
+    do, with or without a plus. After a tag, also references, any first name or exception, and later ones that
+    look like an identifier: with a digit or a hyphen, or in capitals after an operator in capitals."""
+    t = raw.lower()
+    if before is not None and before.lower() == "with":
+        return t in EXCEPTIONS or not known_only
+    if t.removesuffix("+") in KNOWN:
+        return True
+    if known_only:
+        return False
+    return before is None or _REFERENCE.fullmatch(t) is not None or re.search("[0-9-]", raw) is not None \
+        or raw.isupper() and before.isupper()
+
+
 def read_expression(text: str, known_only: bool, start: int = 0, end: int | None = None) -> list[str]:
-    """The longest run of tokens from ``start`` in ``text`` that can be an expression. Operands on later lines than
-    the first one must be known."""
+    """The longest run of tokens from ``start`` in ``text`` that can be an expression; a token that is no operand where one
+    is expected ends it. Operands on later lines than the first one must be known."""
     out: list[str] = []
-    depth, operand = 0, True  # operand: one is expected next
+    depth, operand, before = 0, True, None  # operand: one is expected next
     first = start
     for m in _TOKEN.finditer(text, start, len(text) if end is None else end):
         raw = m.group()
-        t = raw.lower().rstrip(".") if raw not in "()" else raw
+        raw = raw if raw in "()" else raw.rstrip(".:")
+        t = raw.lower()
         if operand and not out and t in _FILLER:
             continue
         if t == "(" and operand:
             depth += 1
         elif t == ")" and not operand and depth:
             depth -= 1
-        elif t in RANK and not operand:
-            operand = True
+        elif raw in _OPERATORS and not operand:
+            operand, before = True, raw
         elif operand and t not in RANK and t not in "()":
-            after_with = bool(out) and out[-1] == "with"
-            if known_only and not after_with and t not in KNOWN:
-                break
-            if not known_only and out and t not in KNOWN and "\n" in text[first:m.start()]:
+            later = out and "\n" in text[first:m.start()]
+            if not _is_operand(raw, bool(known_only or later), before):
                 break
             operand = False
         else:
@@ -133,7 +167,7 @@ def evaluate(postfix: list[str]) -> tuple[set[str], bool]:
             (a, x), (b, y) = stack.pop(), stack.pop()
             stack.append((a | b, x and y if t == "and" else x or y))
         else:
-            stack.append(({t}, t in PERMISSIVE))
+            stack.append(({t}, t.removesuffix("+") in PERMISSIVE))
     return stack[-1]
 
 
@@ -178,6 +212,8 @@ def scan_text(raw: bytes, automaton: ahocorasick.Automaton) -> tuple:
         found = list(_TRIGGER.finditer(text))
         for m, after in zip_longest(found, found[1:]):  # an expression ends before the next trigger
             tag = m.group(1)[0] in "sS"
+            if not tag and _NOT.search(text, max(0, m.start() - 32), m.start()):
+                continue
             postfix = to_postfix(read_expression(text, not tag, m.end(), after and after.start()))
             if postfix:
                 named, open_choice = evaluate(postfix)

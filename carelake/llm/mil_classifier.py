@@ -7,8 +7,8 @@ w . (tanh(Vh) * sigmoid(Uh)); the document's score is the sigmoid of a linear fo
 sum of h. All weights are learned from document labels by full-batch Adam.
 
 Training takes at most ``SAMPLE_DOCS`` labelled documents outside the held-out fold (those with
-the smallest hashes of their ids) of at most ``SAMPLE_PASSAGES`` passages each; that bounds what the
-driver gathers. Scoring covers all documents and whole texts, in the scan's task.
+the smallest hashes of their ids); of one with more than ``SAMPLE_PASSAGES`` passages as many at even distances, and of
+rows that repeat an id one. That bounds what the driver gathers. Scoring covers all documents and whole texts, in the scan's task.
 
 Cases: a null or empty text is one passage of zeros and gets a score. Repeated rows give one
 result each. A null id is scored and never held out. A repeated label counts once, as its largest
@@ -160,14 +160,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", sample_d
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bags = [encode_passages(t.as_py() or b"") for t in b.column(1).cast(pa.binary())]
-            keep = [i for i, x in enumerate(bags) if len(x) <= sample_passages]
+            # of a longer document, passages at even distances from its first to its last
+            bags = [x[np.linspace(0, len(x) - 1, sample_passages).astype(int)] if len(x) > sample_passages else x for x in bags]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(keep, pa.int64())), b.column(2).take(pa.array(keep, pa.int64())),
-                 pa.array([bags[i].tobytes() for i in keep], pa.binary())], names=["id", "y", "bag"])
+                [b.column(0), b.column(2), pa.array([x.tobytes() for x in bags], pa.binary())], names=["id", "y", "bag"])
 
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("__id"), F.col("text").alias("__text"))
             .join(F.broadcast(known), "__id").select("__id", "__text", "__y")
-            .mapInArrow(run, "id bigint, y int, bag binary").collect())
+            .mapInArrow(run, "id bigint, y int, bag binary")
+            .groupBy("id").agg(F.max("y").alias("y"), F.min("bag").alias("bag")).collect())  # one row of a repeated id
     rows.sort(key=lambda r: (r["id"], r["y"], bytes(r["bag"])))
     bags = [np.frombuffer(r["bag"], np.float32).reshape(-1, N_FEATURES) for r in rows]
     return train(bags, np.array([1.0 if r["y"] > 0 else 0.0 for r in rows]))

@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from carelake.llm import credential_links, filter_audit, html_extract, near_dedup, pii_boost, treap_search, warc_zip
+from carelake.llm import credential_links, filter_audit, html_extract, license_scan, mil_classifier, near_dedup, pii_boost, treap_search, warc_zip
 from carelake.llm.common import materialize
 from tests.conftest import SF_SMALL
 from tests.llm.test_operators import TEXTS, by_id, prose, table
@@ -362,3 +362,28 @@ def test_trees_find_numbers_that_no_rule_proves(spark):
     right = sum(got[i] and truth[i] for i in range(400, 800))
     assert right / hits >= 0.98 and right / 200 >= 0.95
     assert not any(bare[i] for i in range(400, 800)) and all(bare[i] == truth[i] for i in range(400))
+
+
+# ------------------------------------------------------------------ op1, op9
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("SPDX-License-Identifier: MIT and see the file", "mit"), ("SPDX-License-Identifier: MIT And Apache-2.0", "mit"),
+    ("licensed under GPL-3.0+", "gpl-3.0+"), ("it is not licensed under MIT", ""), ("isn't released under MIT", ""),
+    ("never was licensed under MIT", ""), ("SPDX-License-Identifier: LicenseRef-My.Own OR MIT", "licenseref-my.own,mit"),
+    ("SPDX-License-Identifier: DocumentRef-a:LicenseRef-b AND ISC", "documentref-a:licenseref-b,isc"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0", "gpl-2.0-only"),
+    ("licensed under MIT with love", "mit"), ("SPDX-License-Identifier: GPL-2.0+ OR (MIT AND CDDL-1.1)", "cddl-1.1,gpl-2.0+,mit"),
+    ("SPDX-License-Identifier: MIT OR NASA", "mit,nasa"), ("released under EUPL-1.2 or OSL-3.0.", "eupl-1.2,osl-3.0"),
+    ("SPDX-License-Identifier: curl", "curl"), ("licensed under the terms of the WTFPL and MPL-1.1", "mpl-1.1,wtfpl"),
+])
+def test_expressions_follow_the_grammar(text, labels):
+    assert license_scan.scan_text(text.encode(), license_scan.build_automaton())[5] == labels
+
+
+def test_long_and_repeated_documents_train(spark):
+    docs = spark.createDataFrame([(i, ("good words here. " if i % 2 else "#### !!!! $$$$ ") * 60) for i in range(40)] * 2, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    model = mil_classifier.fit(docs, labels, sample_passages=2)
+    got = {r["doc_id"]: r["predicted"] for r in mil_classifier.score(docs, model).collect()}
+    assert all(got[i] == i % 2 for i in range(40))
