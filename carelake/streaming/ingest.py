@@ -77,7 +77,7 @@ def _summary(spark: SparkSession, q, spec: IngestSpec, target: str, batch_id: st
     seen = [p for p in q.recentProgress if p.numInputRows]
     got = [p.observedMetrics["ingest"] for p in seen if "ingest" in p.observedMetrics]
     keeps = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates"))
-    if len(q.recentProgress) >= keeps or len(got) < len(seen):
+    if len(q.recentProgress) >= keeps - 1 or len(got) < len(seen):
         got = spark.table(target).where(F.col("_batch_id") == batch_id).agg(*_seen()).collect()
     return {"entity": spec.entity, "target": target, "batch_id": batch_id, "landing_path": spec.landing_path,
             "rows_added": sum(g["rows"] for g in got),
