@@ -6,8 +6,9 @@ into k + 1 pieces; of any match with k edits, one piece is untouched (pigeonhole
 of all pieces finds every place worth a look. There, Myers' bit-parallel distance is run over the
 words around, and the item is reported where its distance is at most k.
 
-The items are the query set, searched in all documents in blocks of at most ``BLOCK_ITEMS``, so
-that a task's automaton is bounded however many items there are.
+The items are the query set, searched in all documents in blocks of about ``BLOCK_ITEMS`` items and ``BLOCK_BYTES``
+bytes at most, so that a task's automaton and what the driver gathers are bounded however many items there are; the
+documents are read once per block.
 
 Cases: null, empty or wordless texts match nothing, and so do such items. Equal items match each
 on its own. Repeated rows are reported each; null ids are passed through. Empty tables give an
@@ -24,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ITEMS = 20_000
+from carelake.llm.common import materialize
+
+BLOCK_ITEMS, BLOCK_BYTES = 20_000, 1 << 24
 #: One word edit is allowed for so many words of an item.
 WORDS_PER_EDIT = 5
 
@@ -130,21 +133,27 @@ def _joined(spans: list[list[int]]) -> list[list[int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, block_items: int) -> Iterator[list[tuple[int | None, bytes]]]:
+def _blocks(benchmark: DataFrame, block_items: int) -> list[DataFrame]:
+    """The items in blocks of at most about ``block_items`` items and ``BLOCK_BYTES`` bytes, by a hash of the item."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("i"), F.col("text").alias("t")).where("t is not null")
-    n = -(-items.count() // block_items)
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b).collect() if n > 1 else items.collect()
-        yield sorted(((r["i"], r["t"].encode()) for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()
+    n = max(-(-count // block_items), -(-size // BLOCK_BYTES))
+    return [items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == b) if n > 1 else items for b in range(n)]
+
+
+def _items(block: DataFrame) -> list[tuple[int | None, bytes]]:
+    return sorted(((r["i"], r["t"].encode()) for r in block.collect()), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
 
 
 def search(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """One row per document and item found in it: doc_id, item_id, item_words, allowed, distance, end_word."""
+    """One row per document and item found in it: doc_id, item_id, item_words, allowed, distance, end_word. The documents
+    are read once per block of items; of several blocks each is finished and let go before the next is gathered."""
     schema = "doc_id bigint, item_id bigint, item_words bigint, allowed bigint, distance bigint, end_word bigint"
     names = [f.split()[0] for f in schema.split(", ")]
     out = docs.sparkSession.createDataFrame([], schema)
-    for items in _blocks(benchmark, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    blocks = _blocks(benchmark, block_items)
+    for block in blocks:
+        shared = docs.sparkSession.sparkContext.broadcast(_items(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value)
@@ -154,15 +163,20 @@ def search(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS
                 cols = list(zip(*rows)) or [()] * len(names)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=names)
 
-        out = out.unionByName(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema))
+        found = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
+        if len(blocks) > 1:
+            found = materialize(found, "found")
+            shared.destroy()
+        out = out.unionByName(found)
     return out
 
 
 def filter_documents(docs: DataFrame, benchmark: DataFrame, block_items: int = BLOCK_ITEMS) -> DataFrame:
-    """The documents in which no item was found, with all their columns."""
+    """The documents in which no item was found, with all their columns; block by block as in ``search``."""
     text = docs.columns.index("text")
-    for items in _blocks(benchmark, block_items):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
+    blocks = _blocks(benchmark, block_items)
+    for block in blocks:
+        shared = docs.sparkSession.sparkContext.broadcast(_items(block))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value)
@@ -171,4 +185,7 @@ def filter_documents(docs: DataFrame, benchmark: DataFrame, block_items: int = B
                 yield b.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
+        if len(blocks) > 1:
+            docs = materialize(docs, "clean")
+            shared.destroy()
     return docs
