@@ -10,7 +10,7 @@ import sys
 from carelake.queries import REGISTRY
 from carelake.session import build_session
 
-SIDE_EFFECT = {"ingest_profile", "gated_run", "dq_history"}
+SIDE_EFFECT = {"ingest_profile", "gated_run", "dq_history", "two_nights", "row_constraints", "table_properties"}
 
 
 def summarize(plan: str) -> dict:
