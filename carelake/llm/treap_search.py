@@ -10,7 +10,7 @@ in that range; its bound is the weighted sum of the nodes' maxima. States are ex
 ones of a level together as arrays, until no bound reaches the score of the last place: the result is
 exact, ties included, however few documents were looked at.
 
-A first pass counts documents and terms (impacts need the mean length); the index is then built in the tasks that read
+A first pass counts documents and terms (impacts need the mean length) on the texts' bytes in arrays; the index is then built in the tasks that read
 the documents, without a shuffle, every document in one shard, and written to the shared folder. Queries go
 through the index in blocks of bounded size. A shard answers with its best documents, which are
 ranked in two steps (per item and salt, then per item), so that an item's rows gather in no task.
@@ -45,6 +45,7 @@ TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Bytes outside terms become spaces, A-Z lower case.
 _FOLD = bytes(32 if c < 0x30 or 0x3A <= c <= 0x40 or 0x5B <= c <= 0x60 or 0x7B <= c <= 0x7F
               else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
+_IN_TERM = np.frombuffer(_FOLD, np.uint8) != 32
 TOP = 20
 #: Bounds of a shard (documents, cells, bytes of text), of a query block (bytes of its terms) and of a step of the descent.
 SHARD_DOCS, SHARD_CELLS, SHARD_BYTES = 4096, 1 << 21, 1 << 25
@@ -67,6 +68,28 @@ def pieces(raw: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+def _slice(data: pa.Buffer | None, start: int, end: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint8, end - start, start) if end > start else np.zeros(0, np.uint8)
+
+
+def term_counts(texts: pa.Array) -> np.ndarray:
+    """How many terms each text has: the places where a byte of a term follows none, counted in runs of texts of bounded size."""
+    raw = pc.fill_null(texts.cast(pa.binary()), b"")
+    ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset:raw.offset + len(raw) + 1].astype(np.int64)
+    data, out, i = raw.buffers()[2], np.zeros(len(raw), np.int64), 0
+    while i < len(raw):
+        j = max(int(np.searchsorted(ends, ends[i] + PIECE, "right")) - 1, i + 1)
+        part, cuts = _slice(data, int(ends[i]), int(ends[j])), ends[i:j + 1] - ends[i]
+        inside = _IN_TERM[part]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        first = cuts[:-1][cuts[:-1] < cuts[1:]]  # a text's first byte follows none
+        begins[first] = inside[first]
+        out[i:j] = np.diff(np.searchsorted(np.flatnonzero(begins), cuts))
+        i = j
+    return out
+
+
 # ------------------------------------------------------------------ the tree
 
 
@@ -243,8 +266,16 @@ class Index:
 
 def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
     """Index every row of ``docs``."""
-    n = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(TERM)).cast("bigint")
-    n_docs, n_terms = docs.select(n.alias("n")).where("n > 0").agg(F.count("n"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = term_counts(b.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array([np.count_nonzero(n)], pa.int64()), pa.array([n.sum()], pa.int64())],
+                                             names=["docs", "terms"])
+
+    n_docs, n_terms = d.select("text").mapInArrow(counted, "docs bigint, terms bigint").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)) for c in ("docs", "terms")]).first()
     schema = pa.schema([("shard", pa.int64()), ("ids", pa.list_(pa.int64())), ("terms", pa.binary()), ("dfs", pa.binary()),
                         ("tree", pa.binary())])
 
@@ -261,7 +292,6 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
         if shard.ids:
             yield pa.RecordBatch.from_pylist([shard.row(number, n_docs, n_terms)], schema)
 
-    d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return Index(materialize(d.mapInArrow(run, INDEX_SCHEMA), "treap"), n_docs, n_terms)
 
 
