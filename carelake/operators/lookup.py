@@ -16,6 +16,12 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(plan.stats().sizeInBytes()))
 
 
+def proven_empty(df: DataFrame) -> bool:
+    """Whether the plan itself bounds the rows by 0 (a literal empty table); runs no job."""
+    most = df._jdf.queryExecution().optimizedPlan().maxRows()
+    return most.isDefined() and int(str(most.get())) == 0
+
+
 def bounded_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only while its plan proves it small.
 

@@ -5,7 +5,8 @@ Semantics follow SQL MERGE: NULL keys never match (such source rows are always i
 most one source row may match a target row. A table's own keys are unique; a target that repeats one is an error.
 
 All of them stand on ``merged_pairs``: both inputs are tagged, united and grouped by the keys, so a merge reads each
-input once and exchanges it once, and the duplicate guard is a count of the same groups.
+input once and exchanges it once, and the duplicate guard is a count of the same groups. If the plan of the target
+proves it empty (a first load), only the source's keys are exchanged, for the guard.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from carelake.functions import changed_any, lit_date, lit_ts
 from carelake.operators.dedupe import latest_per_key
+from carelake.operators.lookup import proven_empty
 
 
 def _any_null(keys: list[str]) -> Column:
@@ -27,12 +29,13 @@ def _any_null(keys: list[str]) -> Column:
 
 
 def merged_pairs(target: DataFrame, source: DataFrame, keys: list[str], on_duplicate: str = "error",
-                 order: list[Column] | None = None) -> DataFrame:
+                 order: list[Column] | None = None, first_load: bool = True) -> DataFrame:
     """Columns ``t`` and ``s``: the target's and the source's row of each key as structs, either may be null.
 
     ``on_duplicate``: ``error`` fails the task that meets a key twice in the source; ``latest`` keeps its first
     row under ``order``. Rows with a NULL key stand alone; a number of their own spreads them over the
-    partitions, so they don't gather where NULL hashes to.
+    partitions, so they don't gather where NULL hashes to. ``first_load``: a target proven empty is not merged with,
+    which reads the source a second time for its keys.
     """
     if on_duplicate == "latest":
         if not order:
@@ -40,6 +43,8 @@ def merged_pairs(target: DataFrame, source: DataFrame, keys: list[str], on_dupli
         source = latest_per_key(source.withColumn("_alone", _alone(keys)), [*keys, "_alone"], order).drop("_alone")
     elif on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate mode: {on_duplicate}")
+    if first_load and proven_empty(target):
+        return _first_load(target, source, keys, unique=on_duplicate == "latest")
     names = [f"_k{i}" for i in range(len(keys))]
     # the key columns of both sides share a type; rows keep their own
     types = [target.schema[k].dataType for k in keys]
@@ -52,12 +57,31 @@ def merged_pairs(target: DataFrame, source: DataFrame, keys: list[str], on_dupli
     grouped = both.repartition(*names, "_alone").groupBy(*names, "_alone").agg(
         F.count("t").alias("_nt"), F.count("s").alias("_ns"), F.first("t", ignorenulls=True).alias("t"),
         F.first("s", ignorenulls=True).alias("s"))
-    key = F.concat_ws("|", *[F.col(n).cast("string") for n in names])
-    twice = lambda what: F.raise_error(F.concat(F.lit(f"upsert {what} has duplicate key: "), key)).cast("boolean")
-    return grouped.where(F.when(F.col("_ns") > 1, twice("source")).when(F.col("_nt") > 1, twice("target"))
+    return grouped.where(F.when(F.col("_ns") > 1, _twice("source", names)).when(F.col("_nt") > 1, _twice("target", names))
                          .otherwise(True)).select("t", "s")
 
 
+def _twice(what: str, keys: list[str]) -> Column:
+    key = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+    return F.raise_error(F.concat(F.lit(f"upsert {what} has duplicate key: "), key)).cast("boolean")
+
+
+def _first_load(target: DataFrame, source: DataFrame, keys: list[str], unique: bool) -> DataFrame:
+    """``merged_pairs`` with an empty target: rows are not exchanged. The guard counts the keys alone, beside them; it
+    gives no row, or fails."""
+    no_target = F.lit(None).cast(target.schema).alias("t")
+    pairs = source.select(no_target, F.struct(*[F.col(c) for c in source.columns]).alias("s"))
+    if unique:
+        return pairs
+    names = [f"_k{i}" for i in range(len(keys))]
+    counted = (source.where(~_any_null(keys))
+               .select(*[F.col(k).cast(target.schema[k].dataType).alias(n) for k, n in zip(keys, names)])
+               .groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
+    guard = counted.where(F.when(F.col("_n") > 1, _twice("source", names)).otherwise(False)).select(
+        no_target, F.lit(None).cast(pairs.schema["s"].dataType).alias("s"))
+    return pairs.unionByName(guard)
+
+
 def _alone(keys: list[str], side: int = 0) -> Column:
     """A number of its own for a row with a NULL key, never the same on both sides; else null."""
     return F.when(_any_null(keys), 2 * F.monotonically_increasing_id() + side)
@@ -118,7 +142,7 @@ def scd2_apply(target: DataFrame, staged: DataFrame, key: str, attrs: list[str],
     """
     cols = target.columns
     history = target.filter(~F.col("is_current"))
-    pairs = merged_pairs(target.filter(F.col("is_current")), staged, [key], on_duplicate)
+    pairs = merged_pairs(target.filter(F.col("is_current")), staged, [key], on_duplicate, first_load=False)
     t_in, s_in = F.col("t").isNotNull(), F.col("s").isNotNull()
     changed = t_in & s_in & changed_any("t", "s", attrs, null_safe)
 

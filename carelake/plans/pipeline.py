@@ -167,7 +167,8 @@ def stage_silver(run: Run) -> int:
     def charges():
         bronze, mark = _bronze_since_watermark(run, "charge_detail", charge)
         bronze = _clean(run, "charge_detail", bronze, constraints.CHARGE_RULES)
-        batch = s.stage("charges", stage_charges(bronze, p.load_ts))
+        # one projection of bronze rows, which are a table already: reading them again costs less than staging them
+        batch = stage_charges(bronze, p.load_ts)
         keys = ["encounter_id", "charge_id"]
         s.merge(charge, batch, keys, lambda old, new: merge_latest(old, new, keys, charge_order()) if run.incremental
                 else upsert_all(old, new, keys, on_duplicate="latest", order=charge_order()))

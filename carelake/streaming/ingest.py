@@ -9,7 +9,8 @@ a re-run ingests only new files (exactly once per file).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,22 @@ def _seen() -> list[Column]:
     return [F.count(F.lit(1)).alias("rows"), F.min(at).alias("first"), F.max(at).alias("last")]
 
 
+@contextmanager
+def open_writers(spark: SparkSession, n: int = 8) -> Iterator[None]:
+    """Up to ``n`` files per task stay open: a micro-batch has one ingestion date, so its rows need no sort by it
+    before they are written (Spark sorts the rest of a task that meets more dates)."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key)
+    if int(old) > 0:
+        yield
+        return
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def start(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path: str,
           batch_id: str):
     """Start the available-now streaming query of one entity into the catalog table ``target`` (non-blocking).
@@ -89,8 +106,9 @@ def ingest(spark: SparkSession, spec: IngestSpec, target: str, checkpoint_path:
            batch_id: str | None = None) -> dict:
     """Ingest unseen landing files of one entity into a table; blocks until done."""
     batch_id = batch_id or str(uuid.uuid4())
-    q = start(spark, spec, target, checkpoint_path, batch_id)
-    return _summary(spark, q, spec, target, batch_id)
+    with open_writers(spark):
+        q = start(spark, spec, target, checkpoint_path, batch_id)
+        return _summary(spark, q, spec, target, batch_id)
 
 
 def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable[[str], str],
@@ -104,14 +122,15 @@ def ingest_all(spark: SparkSession, specs: list[IngestSpec], target_of: Callable
     if not concurrent:
         return [ingest(spark, s, target_of(s.entity), checkpoint_of(s.entity), batch_id)
                 for s in specs]
-    running = [(s, start(spark, s, target_of(s.entity), checkpoint_of(s.entity), batch_id))
-               for s in specs]
-    out, error = [], None
-    for s, q in running:
-        try:
-            out.append(_summary(spark, q, s, target_of(s.entity), batch_id))
-        except Exception as e:  # noqa: BLE001 - let the others finish first
-            error = error or e
+    with open_writers(spark):
+        running = [(s, start(spark, s, target_of(s.entity), checkpoint_of(s.entity), batch_id))
+                   for s in specs]
+        out, error = [], None
+        for s, q in running:
+            try:
+                out.append(_summary(spark, q, s, target_of(s.entity), batch_id))
+            except Exception as e:  # noqa: BLE001 - let the others finish first
+                error = error or e
     if error is not None:
         raise error
     return out
