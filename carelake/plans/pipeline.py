@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.operators import checks, constraints
+from carelake.operators.lookup import proven_empty
 from carelake.operators.upsert import duplicate_keys, merge_latest, scd2_apply, upsert_all
 from carelake.params import Params
 from carelake.plans import dq, eligibility, marts, reference, runlog
@@ -160,7 +161,7 @@ def stage_silver(run: Run) -> int:
         batch = s.stage("encounters", stage_encounters(bronze, types, p.load_ts))
         keys = ["encounter_id"]
         written = s.merge(encounter, batch, keys, lambda old, new: merge_latest(old, new, keys, encounter_order())
-                          if run.incremental else upsert_all(old, new, keys))
+                          if run.incremental and not proven_empty(old) else upsert_all(old, new, keys))
         _record_watermark(run, encounter, mark)
         return written.total, batch.select("encounter_id")
 
@@ -175,10 +176,15 @@ def stage_silver(run: Run) -> int:
         _record_watermark(run, charge, mark)
         return batch.select("encounter_id")
 
+    first = not s.exists("staging.touched")  # no delivery has been worked off before this one
     delivered, (rows, changed), charged = _concurrently(patients, encounters, charges)
-    if run.incremental:
+    if run.incremental and first:
+        s.replace("staging.touched", schemas.literal_frame(run.spark, [(EVERY,)], TOUCHED))
+    elif run.incremental:
         theirs = s.read(encounter).join(delivered, "pat_id", "left_semi").select("encounter_id")
         s.replace("staging.touched", changed.unionByName(charged).unionByName(theirs).distinct())
+        for table in TOUCHED_ROWS:  # later stages read these several times
+            s.replace(TOUCHED_ROWS[table], _touched(run, s.read(table)))
     silver_gates(run)
     return rows
 
@@ -188,7 +194,23 @@ def _touched(run: Run, df: DataFrame) -> DataFrame:
     parameters or of the reference tables concerns all rows: run that night in full."""
     if not run.incremental:
         return df
-    return df.join(run.store.read("staging.touched", TOUCHED), "encounter_id", "left_semi")
+    touched = run.store.read("staging.touched", TOUCHED)
+    if _every(touched):
+        return df
+    return df.join(touched.hint("shuffle_hash"), "encounter_id", "left_semi")
+
+
+def _every(touched: DataFrame) -> bool:
+    return bool(touched.where(F.col("encounter_id").isNull()).limit(1).count())
+
+
+def _silver(run: Run, table: str, months: tuple | None = None) -> DataFrame:
+    """A silver table for the stages after it: in incremental mode the rows of touched encounters, which the silver
+    stage has written."""
+    s = run.store
+    if run.incremental and not _every(s.read("staging.touched", TOUCHED)) and s.exists(TOUCHED_ROWS[table]):
+        return s.read(TOUCHED_ROWS[table], schemas.CONTRACTS[table])
+    return _touched(run, s.read(table, months=months))
 
 
 # Latest-row orders of silver (total within a key, so merges are exact).
@@ -216,7 +238,7 @@ def silver_gates(run: Run) -> None:
 def stage_eligibility(run: Run) -> int:
     s, p = run.store, run.params
     codes = s.read(reference.ELIGIBILITY_CODES)
-    enc, charges = (_touched(run, s.read(t)) for t in ("silver.dim_encounter", "silver.fact_charges"))
+    enc, charges = _silver(run, "silver.dim_encounter"), _silver(run, "silver.fact_charges")
     batch = s.stage("hedis_eligibility", eligibility.eligibility_batch(
         s.read("silver.dim_patient"), enc, charges, codes, _bronze(run, "hedis_measure_definition"), p, with_time=True))
     keys = ["pat_id", "encounter_id", "measure_id"]
@@ -247,7 +269,7 @@ def stage_billing(run: Run) -> int:
     s, p = run.store, run.params
     since = (marts.lookback_cutoff(p).date(), None)
     batch = s.stage("billing_batch", marts.billing_batch(
-        _touched(run, s.read("silver.dim_encounter", months=since)), _touched(run, s.read("silver.fact_charges")),
+        _silver(run, "silver.dim_encounter", months=since), _silver(run, "silver.fact_charges"),
         s.read(reference.ENCOUNTER_TYPES), p))
     written = s.merge(dq.BILLING, batch, marts.BILLING_KEYS, marts.billing_upsert)
     _idempotent(marts.billing_summary(s.read(dq.BILLING)), dq.BILLING)
@@ -280,6 +302,9 @@ def stage_gaps(run: Run) -> int:
 
 
 TOUCHED = schemas._struct(("encounter_id", schemas.S))
+#: The one row of ``staging.touched`` after a first delivery, which touches every encounter (silver holds no such id).
+EVERY = None
+TOUCHED_ROWS = {"silver.dim_encounter": "staging.touched_encounters", "silver.fact_charges": "staging.touched_charges"}
 
 STAGE_FN = {
     "bronze_ingestion": stage_bronze,

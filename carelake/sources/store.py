@@ -72,6 +72,8 @@ class Store:
         # copies of merged months overwrite the partitions they hold; other writes of the session keep its own mode
         self._copier = spark.newSession()
         self._copier.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # the files to copy hold one month each, a task reads few of them: their rows need no sort by month
+        self._copier.conf.set("spark.sql.maxConcurrentOutputFileWriters", "16")
         self._opened: set[str] = set()
 
     @classmethod

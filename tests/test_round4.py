@@ -1,4 +1,7 @@
-"""First loads exchange keys only, and micro-batches are written unsorted."""
+"""First loads exchange keys only, micro-batches are written unsorted, and a first night looks for no touched encounters."""
+
+import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +9,13 @@ from pyspark.sql import functions as F
 from carelake import schemas
 from carelake.operators.lookup import proven_empty
 from carelake.operators.upsert import upsert_all, upsert_columns
+from carelake.params import TESTDATA_PARAMS
+from carelake.plans import pipeline
+from carelake.plans.pipeline import Run, run_pipeline
+from carelake.sources import adapter
+from carelake.sources.store import Store
 from carelake.streaming.ingest import open_writers
+from tests.conftest import SF_SMALL
 
 KV = schemas._struct(("k", schemas.S), ("j", schemas.S), ("v", schemas.S))
 
@@ -47,3 +56,24 @@ def test_writers_stay_open_during_an_ingest_only(spark):
         assert int(spark.conf.get(key)) > 0
         raise KeyError
     assert spark.conf.get(key) == old
+
+
+def test_a_first_night_touches_every_encounter_without_a_list(spark, tmpdir_path):
+    landing = os.path.join(tmpdir_path, "landing")
+    measures = adapter.land_measure_definitions(spark, landing)
+    adapter.land_first_delivery(spark, SF_SMALL, landing)
+    specs = adapter.delivery_specs(landing, measures)
+    store = Store(spark, os.path.join(tmpdir_path, "store"))
+    day1 = TESTDATA_PARAMS.with_(as_of_date=dt.date(2001, 8, 1))
+    run = Run(spark, store, day1, specs, cross_mart="log", incremental=True)
+    run_pipeline(run)
+    assert [tuple(r) for r in store.read("staging.touched", pipeline.TOUCHED).collect()] == [(None,)]
+    assert "Join" not in _plan(pipeline._silver(run, "silver.fact_charges"))
+    adapter.land_second_delivery(spark, SF_SMALL, landing)
+    run = Run(spark, store, TESTDATA_PARAMS, specs, cross_mart="log", incremental=True)
+    run_pipeline(run)
+    touched = store.read("staging.touched", pipeline.TOUCHED)
+    for table in pipeline.TOUCHED_ROWS:
+        held = pipeline._silver(run, table)
+        assert "Join" not in _plan(held) and 0 < held.count() < store.read(table).count()
+        assert _rows(held) == _rows(store.read(table).join(touched, "encounter_id", "left_semi").select(held.columns))
