@@ -13,7 +13,8 @@ makes decoding exact for every text. With dropout 0 the result is the usual merg
 
 Cases: a null text has null ids, an empty one no ids; both decode to what they were. Repeated
 rows and null ids give one result each; an empty table gives an empty result; other
-columns are not read. Work stays in the scan's task. Memory is one Arrow batch plus
+columns are not read. Work stays in the scan's task. Memory is one Arrow batch, the texts and results of one
+group of about ``GROUP_CHARS`` characters, and
 trees of about ``CACHE_ENTRIES`` chunks and ``CACHE_NODES`` nodes, which are then begun anew.
 """
 
@@ -386,10 +387,11 @@ def _encoder(vocab: Vocabulary, dropout: float, seed: int) -> Encoder:
     return Encoder(vocab, dropout, seed)
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Runs of texts of about ``GROUP_CHARS`` characters."""
+def _groups(texts: pa.Array) -> Iterator[list[str | None]]:
+    """Runs of texts of about ``GROUP_CHARS`` characters, decoded one by one."""
     group, size = [], 0
-    for t in texts:
+    for x in texts:
+        t = x.as_py()
         group.append(t)
         size += len(t or "")
         if size >= GROUP_CHARS:
@@ -411,22 +413,21 @@ def encode(docs: DataFrame, vocab: Vocabulary, dropout: float = 0.1, seed: int =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(shared.value, dropout, seed)
         for b in batches:
-            texts = b.column(1).to_pylist()
-            packed: list[bytes] = []
-            for group in _groups(texts):
-                packed += enc.encode_many([t or "" for t in group],
-                                          [xxhash.xxh64_intdigest(t or "") for t in group])
-            null = [t is None for t in texts]
-            chars = [len(t or "") for t in texts]
-            ok = [enc.decode(np.frombuffer(p, np.int32).tolist()) == (t or "") for p, t in zip(packed, texts, strict=True)]
-            ends = np.cumsum([0, *[len(p) // 4 for p in packed]])
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
-                mask=pa.array(null, pa.bool_()))
-            n = pa.array([None if x else (len(p) // 4) for x, p in zip(null, packed, strict=True)], pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), ids, n, pa.array(chars, pa.int64()), pa.array(ok, pa.bool_())],
-                names=["doc_id", "ids", "n_ids", "n_chars", "lossless"])
+            at = 0
+            for texts in _groups(b.column(1)):  # a group's results leave before the next is encoded
+                packed = enc.encode_many([t or "" for t in texts], [xxhash.xxh64_intdigest(t or "") for t in texts])
+                null = [t is None for t in texts]
+                chars = [len(t or "") for t in texts]
+                ok = [enc.decode(np.frombuffer(p, np.int32).tolist()) == (t or "") for p, t in zip(packed, texts, strict=True)]
+                ends = np.cumsum([0, *[len(p) // 4 for p in packed]])
+                ids = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), np.int32)),
+                    mask=pa.array(null, pa.bool_()))
+                n = pa.array([None if x else (len(p) // 4) for x, p in zip(null, packed, strict=True)], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, len(texts)), ids, n, pa.array(chars, pa.int64()), pa.array(ok, pa.bool_())],
+                    names=["doc_id", "ids", "n_ids", "n_chars", "lossless"])
+                at += len(texts)
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
         run, "doc_id bigint, ids array<int>, n_ids bigint, n_chars bigint, lossless boolean")
