@@ -15,7 +15,7 @@ Cases: a null text has null ids, an empty one no ids; both decode to what they w
 rows and null ids give one result each; an empty table gives an empty result; other
 columns are not read. Work stays in the scan's task. Memory is one Arrow batch, the texts and results of one
 group of about ``GROUP_CHARS`` characters, and
-trees of about ``CACHE_ENTRIES`` chunks and ``CACHE_NODES`` nodes, which are then begun anew.
+trees of about ``CACHE_BYTES``, whatever the length of their chunks, which are then begun anew.
 """
 
 from __future__ import annotations
@@ -36,7 +36,9 @@ from pyspark.sql import functions as F
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-CACHE_ENTRIES, CACHE_NODES = 500_000, 6_000_000
+#: Bytes of trees, and about those of a chunk's entry, of one of its characters, of a node, of an id at an end.
+CACHE_BYTES = 40_000_000
+ENTRY_BYTES, CHAR_BYTES, NODE_BYTES, ID_BYTES = 200, 4, 16, 4
 #: Chunks longer than this are segmented each time and not remembered.
 CACHE_CHARS = 64
 #: Rank of a pair that is no piece, or whose merge was skipped.
@@ -159,13 +161,17 @@ class Encoder:
 
     def _clear(self) -> None:
         """Forget all outcomes; the empty chunk stands for a literal U+2581."""
-        self.nodes = self.stored = 0
+        self.nodes = self.stored = self.chars = 0
         self.piece, self.place = np.empty(4096, np.int32), np.empty(4096, np.int32)
         self.next = np.empty((4096, 2), np.int32)
         self.ids = np.empty(4096, np.int32)
         self.root: dict[str, int] = {"": int(self._grow(1)[0])}
         self._keep(np.zeros(1, np.int64), np.frombuffer(self.escaped, np.int32), np.array([len(SPACE.encode())]))
 
+    def held(self) -> int:
+        """Bytes of the trees, about."""
+        return ENTRY_BYTES * len(self.root) + CHAR_BYTES * self.chars + NODE_BYTES * self.nodes + ID_BYTES * self.stored
+
     def _grow(self, n: int) -> np.ndarray:
         """New nodes without candidate and successors."""
         out = np.arange(self.nodes, self.nodes + n)
@@ -334,7 +340,7 @@ class Encoder:
 
     def encode_many(self, texts: list[str], keys: list[int]) -> list[bytes]:
         """Ids of each text as packed 32-bit integers; its merges are drawn by its key and their places in the text."""
-        if self.nodes > CACHE_NODES or len(self.root) > CACHE_ENTRIES:
+        if self.held() > CACHE_BYTES:
             self._clear()
         chunks: list[str] = []
         ends = []
@@ -353,6 +359,7 @@ class Encoder:
         missing = [chunks[i] for i in unknown.tolist()]
         new = set(missing)
         self.root.update(zip(new, self._grow(len(new)).tolist(), strict=True))
+        self.chars += sum(map(len, new))
         root[unknown] = [self.root[c] for c in missing]
         node = root.copy()
         todo = np.arange(n)
