@@ -81,12 +81,19 @@ def inner_join_counted(left: DataFrame, right: DataFrame, keys: list[str], n: st
     """Inner join to the ``wanted`` rows of a table with one row per key, safe for hot keys.
 
     ``right[n]`` and ``total`` are as in ``left_join_counted``; ``right`` should hold the unwanted hot keys as well, whose
-    rows then go nowhere. Rows of hot keys are answered by a broadcast of fewer than ``parts`` keys and are not
-    shuffled; ``left`` is read twice.
+    rows then go nowhere. The hashes of the hot keys, fewer than ``parts``, are read first and part the rows by a filter:
+    rows of hot keys are answered by a broadcast and not shuffled, so each join makes rows that match only. A cold key
+    with the hash of a hot one is answered with the hot ones. ``right`` is computed once more for the hashes, ``left``
+    is read twice if there are any.
     """
     wanted = F.lit(True) if wanted is None else wanted
-    is_hot = F.col(n) * parts > total
-    hot, cold = right.where(is_hot), right.where(~is_hot & wanted).drop(n)
-    near = left.join(F.broadcast(hot.where(wanted).drop(n)), keys)
-    far = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold.hint("shuffle_hash"), keys)
+    digest = F.xxhash64(*keys)
+    hot = [r[0] for r in right.where(F.col(n) * parts > total).select(digest).distinct().collect()]
+    right = right.withColumn("__wanted", wanted).drop(n)
+    side = lambda which: right.where(which & F.col("__wanted")).drop("__wanted")
+    if not hot:
+        return left.join(side(F.lit(True)).hint("shuffle_hash"), keys)
+    is_hot = digest.isin(hot)
+    near = left.where(is_hot).join(F.broadcast(side(is_hot)), keys)
+    far = left.where(~is_hot).join(side(~is_hot).hint("shuffle_hash"), keys)
     return near.unionByName(far)
